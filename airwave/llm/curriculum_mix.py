@@ -14,7 +14,7 @@ Running sums are taken in two steps, by bucket of the hash and then within a buc
 the table of sources (one row each) is handled in one place.
 
 Defined cases: null text has size 0; documents of size 0, and all of a source without words, are taken 0 times and
-have no position; equal rows stand next to each other; an empty table gives an empty result.
+have no position; equal rows are taken equally often; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -84,21 +84,23 @@ def time_of(share: Column, knots: tuple[tuple[float, float], ...]) -> Column:
 
 
 def plan(docs: DataFrame) -> DataFrame:
-    """Every row with its source's figures, where its words start within the source, how often it is taken, and positions."""
+    """A row for each distinct row of docs, and how many ``rows`` are equal to it: figures of the source, words taken of
+    each of them, and the positions of the copies. Equal rows are taken together."""
     sized = staged(sizes(docs), "sizes").withColumn("bucket", F.substring("h", 1, BUCKET_DIGITS))
+    units = sized.groupBy("place", "bucket", "h", "size", "key", "doc_id").agg(F.count("*").alias("rows")).withColumn("all", F.col("rows") * F.col("size"))
     sums = sized.groupBy("place", "bucket").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("place").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("place", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("bucket_start")).join(targets(sized), "place")
     inner = Window.partitionBy("place", "bucket").orderBy("h", "size", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = sized.withColumn("upto", F.sum("size").over(inner)).join(sums, ["place", "bucket"])
-    start = F.col("bucket_start") + F.col("upto") - F.col("size")
+    rows = units.withColumn("upto", F.sum("all").over(inner)).join(sums, ["place", "bucket"])
+    start = F.col("bucket_start") + F.col("upto") - F.col("all")
     whole = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0))
     rows = rows.withColumn("start", start).withColumn("whole", whole)
-    extra = F.col("start") + F.col("size") / 2 < F.col("target") - F.col("whole") * F.col("source_size")
+    extra = F.col("start") + F.col("all") / 2 < F.col("target") - F.col("whole") * F.col("source_size")
     rows = rows.withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + extra.cast("long")).otherwise(0))
 
     def position(copy: Column) -> Column:
-        share = F.least(F.lit(1.0), F.try_divide(copy * F.col("source_size") + F.col("start") + F.col("size") / 2, F.col("target")))
+        share = F.least(F.lit(1.0), F.try_divide(copy * F.col("source_size") + F.col("start") + F.col("all") / 2, F.col("target")))
         out = F.lit(None).cast("double")
         for w, knots in SCHEDULES.items():
             out = F.when(F.col("weight") == w, time_of(share, knots)).otherwise(out)
@@ -106,12 +108,13 @@ def plan(docs: DataFrame) -> DataFrame:
 
     made = F.transform(F.filter(F.array(*map(F.lit, range(MAX_REPEAT))), lambda c: c < F.col("copies")), position)
     return rows.select(
-        "key", "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), made.alias("positions")
+        "key", "doc_id", "rows", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), made.alias("positions")
     )
 
 
 def op10_curriculum_mix(docs: DataFrame) -> DataFrame:
-    return plan(docs).select(
+    each = plan(docs).withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    return each.select(
         "doc_id", "size", "source_size", "target", "taken",
         F.round(F.try_element_at("positions", F.lit(1)), 9).alias("first_position"),
     )
@@ -119,7 +122,7 @@ def op10_curriculum_mix(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The training stream: a row for each copy with its position, range-sorted by position."""
-    placed = plan(docs).where(F.size("positions") > 0).groupBy(F.col("key").alias("__key")).agg(F.first("positions").alias("positions"))
+    placed = plan(docs).where(F.size("positions") > 0).select(F.col("key").alias("__key"), "positions")
     rows = docs.withColumn("__key", row_key("doc_id", "source", "text")).join(placed.hint("shuffle_hash"), "__key")
     stream = rows.select(*[docs[c] for c in docs.columns if c != "position" and c != "copy"], "__key", F.posexplode("positions").alias("copy", "position"))
     return stream.repartitionByRange("position", "__key").sortWithinPartitions("position", "__key", "copy").drop("__key")

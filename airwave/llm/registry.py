@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from airwave.llm.bloom_lm import op5_bloom_lm
+from airwave.llm.chat_hmm import op9_chat_hmm
 from airwave.llm.common import read_table
 from airwave.llm.curriculum_mix import OP10_SQL, op10_curriculum_mix
 from airwave.llm.decontaminate import op7_decontaminate
@@ -9,6 +11,8 @@ from airwave.llm.license_scan import op3_license_scan
 from airwave.llm.quality_rules import OP1_SQL, op1_quality_rules
 from airwave.llm.secret_scan import op8_secret_scan
 from airwave.llm.simhash_gray import op4_simhash_gray
+from airwave.llm.suffix_dedup import op6_suffix_dedup
+from airwave.llm.toxicity_mil import op2_toxicity_mil
 
 
 def _on(fn, *tables):
@@ -18,10 +22,14 @@ def _on(fn, *tables):
 def queries() -> dict:
     return {
         "op1_quality_rules": _on(op1_quality_rules, "documents"),
+        "op2_toxicity_mil": _on(op2_toxicity_mil, "documents", "labels"),
         "op3_license_scan": _on(op3_license_scan, "documents"),
         "op4_simhash_gray": _on(op4_simhash_gray, "documents"),
+        "op5_bloom_lm": _on(op5_bloom_lm, "documents"),
+        "op6_suffix_dedup": _on(op6_suffix_dedup, "documents"),
         "op7_decontaminate": _on(op7_decontaminate, "documents", "benchmark"),
         "op8_secret_scan": _on(op8_secret_scan, "documents"),
+        "op9_chat_hmm": _on(op9_chat_hmm, "conversations"),
         "op10_curriculum_mix": _on(op10_curriculum_mix, "documents"),
     }
 

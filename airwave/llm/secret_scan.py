@@ -43,7 +43,7 @@ _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _HEX, _TOKEN = 1, 2
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[list(b"0123456789abcdef")] |= _HEX
-_CLASS[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] |= _TOKEN
+_CLASS[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] |= _TOKEN
 _DIGITS = "0123456789"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: From the smallest alphabet to the largest; all but base32 are in the order of their values.
@@ -138,6 +138,7 @@ def scan(data: bytes) -> tuple[list[tuple[str, int, int]], list[tuple[int, int,
     base += [("hex", a, b) for a, b in _runs((kinds & _HEX).astype(np.int8), LEAST_HEX)]
     more = []
     for a, b in _runs((kinds >> 1 & 1).astype(np.int8), LEAST_RANDOM):
+        b += 2 if data[b : b + 2] == b"==" else data[b : b + 1] == b"="
         token = data[a:b].decode()
         if (encoding := infer_encoding(token)) and not any(x < b and a < y for _, x, y in base):
             more.append((a, b, grid_point(battery(token, encoding)), length_class(b - a), encoding))
