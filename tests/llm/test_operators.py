@@ -357,9 +357,9 @@ def test_curriculum_mix(docs, rows):
         taken[s] += g.taken
     longest = max(len(WORD.findall(r[1] or "")) for r in rows)
     assert all(abs(taken[s] - target[s]) <= longest for s in order)
-    stream = curriculum_mix.mixed(docs).select("doc_id", "copy", "position").collect()
+    stream = curriculum_mix.mixed(docs).select("doc_id", "text", "copy", "position").collect()
     assert [r.position for r in stream] == sorted(r.position for r in stream) and all(0 <= r.position <= 1 for r in stream)
-    words = sum(len(WORD.findall(dict((r[0], r[1]) for r in rows)[r.doc_id] or "")) for r in stream)
+    words = sum(len(WORD.findall(r.text or "")) for r in stream)
     assert words == sum(g.taken for g in got)
 
 
