@@ -11,7 +11,9 @@ can be named where the text is read; Spark's sorts only find which ranks are uni
    (anchor's rank, LENGTH-byte rank) at every position, together with one copy of each repeated run of that anchor.
 
 Both sorts are spillable windows that look at neighbouring rows only, so a string that a third of all documents hold
-needs no memory of its own.
+needs no memory of its own. For the second, the texts are read again rather than shuffled: a Bloom filter of the
+unsettled runs (SLOTS bits to a run, MAX_SLOTS at most) tells a task which of its runs to write out. A run that it
+lets through by mistake, also beyond its bound, stands for real positions and cannot change the result.
 
 Ranks are 64-bit hashes, compared only below an equal 64-bit anchor rank. Defined cases: null text is empty; texts shorter
 than LENGTH lose nothing; equal rows count as places of their own; an empty table gives an empty result.
@@ -32,6 +34,8 @@ from airwave.llm.common import map_batches, row_key, staged, utf8
 LENGTH, ANCHOR = 200, 32
 #: Bytes that are hashed at once.
 CHUNK = 1 << 20
+#: Bits of the filter to an unsettled run, and at most (32 MB).
+SLOTS, MAX_SLOTS = 16, 1 << 28
 
 _U = np.uint64
 _TABLE = np.random.default_rng(7).integers(1, 2**62, 256, dtype=_U) * _U(2) + _U(1)
@@ -108,7 +112,7 @@ def _joined(parts: list[tuple[int, int, bytes]]):
 
 
 def runs(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR):
-    """(anchor's rank, whole run's rank, part, start within the part, strings) of the runs of some texts side by side."""
+    """The hashes of some texts side by side, and of their runs: the anchor's rank, part, first string, and strings."""
     hashes = Hashes(data)
     ranks = hashes.all(anchor)
     places = (ranks >> _U(24) << _U(24)) | np.arange(len(ranks), dtype=_U)
@@ -123,110 +127,117 @@ def runs(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, anchor: int
     part, spot = part[start], least[start]
     cut = np.flatnonzero(np.concatenate(([True], (spot[1:] != spot[:-1]) | (part[1:] != part[:-1]))))
     first, last = start[cut], start[np.concatenate((cut[1:], [len(start)])) - 1]
-    return ranks[spot[cut]], hashes.of(first, last + length), part[cut], first - bounds[part[cut]], last - first + 1
+    return hashes, ranks[spot[cut]], part[cut], first, last - first + 1
 
 
-def _runs(batch: pa.RecordBatch) -> dict[str, list]:
+def _keyed_runs(batch: pa.RecordBatch):
+    """For each stretch of a batch: the hashes, and of each run the anchor's rank, key, start in its text, first string, strings."""
     keys = batch.column(0).to_numpy(zero_copy_only=False)
-    out: list[list[np.ndarray]] = [[], [], [], [], []]
     for data, text, bounds, at in pieces(utf8(batch)):
-        rank, whole, part, start, n = runs(data, bounds)
-        for held, x in zip(out, (rank.view(np.int64), whole.view(np.int64), keys[text[part]], start + at[part], n), strict=True):
+        hashes, rank, part, first, n = runs(data, bounds)
+        yield hashes, rank, keys[text[part]], first - bounds[part] + at[part], first, n
+
+
+def _runs(batch: pa.RecordBatch) -> dict[str, list]:
+    out: list[list[np.ndarray]] = [[], [], [], [], []]
+    for hashes, rank, key, start, first, n in _keyed_runs(batch):
+        whole = hashes.of(first, first + n - 1 + LENGTH)
+        for held, x in zip(out, (rank.view(np.int64), whole.view(np.int64), key, start, n), strict=True):
             held.append(x)
     return {k: np.concatenate(x) if x else [] for k, x in zip(("anchor", "whole", "key", "start", "n"), out, strict=True)}
 
 
-def _windows(batch: pa.RecordBatch) -> dict[str, list]:
-    """The rank of every string of the runs that are not settled, one row for each run."""
-    out = {k: [] for k in ("anchor", "key", "start", "loose", "ranks")}
-    keys, lists = batch.column(0).to_pylist(), batch.column(2)
-    flat, offsets = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-    start, n, anchor, kind = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-    for i, data in enumerate(utf8(batch)):
-        own = np.arange(offsets[i], offsets[i + 1])
-        own = own[kind[own] != REPEATED]
-        if not len(own):
-            continue
-        at, own = np.sort(start[own]), own[np.argsort(start[own], kind="stable")]
-        base = 0
-        hashes = None
-        for s, k in zip(at.tolist(), own.tolist(), strict=True):
-            if hashes is None or s + n[k] + LENGTH - 1 > base + len(hashes.sums) - 1:
-                base = s
-                hashes = Hashes(np.frombuffer(data, np.uint8)[base : base + CHUNK])
-            span = np.arange(s - base, s - base + n[k])
-            out["anchor"].append(anchor[k])
-            out["key"].append(keys[i])
-            out["start"].append(s)
-            out["loose"].append(bool(kind[k] == LOOSE))
-            out["ranks"].append(hashes.of(span, span + LENGTH).view(np.int64))
-    sizes = np.concatenate(([0], np.cumsum([len(x) for x in out["ranks"]]))).astype(np.int32)
-    ranks = np.concatenate(out["ranks"]) if out["ranks"] else np.zeros(0, np.int64)
-    return out | {"ranks": pa.ListArray.from_arrays(pa.array(sizes), pa.array(ranks))}
+def _slots(key: np.ndarray, start: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    h = _mixed(key.view(_U) * _U(_BASE) + start.astype(_U))
+    return (h & _U(bits - 1)).astype(np.int64), ((h >> _U(32)) & _U(bits - 1)).astype(np.int64)
+
+
+def unsettled_filter(unsettled: DataFrame) -> np.ndarray:
+    """A Bloom filter of (key, start) as bits of bytes; its size is bounded, whatever the number of runs."""
+    bits = min(MAX_SLOTS, 1 << max(16, (SLOTS * unsettled.count()).bit_length()))
+
+    def words(batch: pa.RecordBatch) -> dict[str, list]:
+        spots = np.concatenate(_slots(*(batch.column(k).to_numpy(zero_copy_only=False) for k in range(2)), bits))
+        return {"word": spots >> 6, "mask": np.left_shift(_U(1), (spots & 63).astype(_U)).view(np.int64)}
+
+    made = map_batches(unsettled.select("key", "start"), words, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[made["word"].to_numpy()] = made["mask"].to_numpy()
+    return out.view(np.uint8)
+
+
+def _windows(batch: pa.RecordBatch, filled: np.ndarray) -> dict[str, list]:
+    """The rank of every string of the runs in the filter, one row for each run."""
+    out: dict[str, list] = {k: [] for k in ("anchor", "key", "start", "n", "ranks")}
+    for hashes, rank, key, start, first, n in _keyed_runs(batch):
+        ok = np.ones(len(key), bool)
+        for spot in _slots(key, start, 8 * len(filled)):
+            ok &= filled[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 == 1
+        ok = np.flatnonzero(ok)
+        if len(ok):
+            n = n[ok]
+            span = np.repeat(first[ok] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            for k, x in zip(out, (rank[ok].view(np.int64), key[ok], start[ok], n, hashes.of(span, span + LENGTH).view(np.int64)), strict=True):
+                out[k].append(x)
+    flat = {k: np.concatenate(x) if x else np.zeros(0, np.int64) for k, x in out.items()}
+    sizes = np.concatenate(([0], np.cumsum(flat.pop("n")))).astype(np.int32)
+    return flat | {"ranks": pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat["ranks"]))}
 
 
 def _cut(batch: pa.RecordBatch) -> dict[str, list]:
-    out = {"n_removed": [], "n_spans": [], "kept_sha256": [], "removed": []}
-    for data, whole, single, sha in zip(utf8(batch), *(batch.column(k).to_pylist() for k in (3, 4, 5)), strict=True):
-        if sha is not None:
-            for name, value in zip(out, (0, 0, sha, []), strict=True):
-                out[name].append(value)
-            continue
+    out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "removed": []}
+    for data, found in zip(utf8(batch), batch.column(3).to_pylist(), strict=True):
         edge = np.zeros(len(data) + 1, np.int64)
-        if whole:
-            a = np.array([(r["start"], r["start"] + r["n"] - 1 + LENGTH) for r in whole if r["kind"] != LOOSE], np.int64).reshape(-1, 2)
-            np.add.at(edge, a[:, 0], 1)
-            np.add.at(edge, a[:, 1], -1)
-        for r in single or ():
-            bits = np.array([r["m0"] or 0, r["m1"] or 0, r["m2"] or 0], np.int64).view(np.uint8)
-            at = r["start"] + np.flatnonzero(np.unpackbits(bits, bitorder="little"))
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + LENGTH, -1)
+        for r in found or ():
+            if r["n"]:
+                a = np.array([r["start"]])
+                b = a + r["n"] - 1 + LENGTH
+            else:
+                bits = np.array([r["m0"], r["m1"], r["m2"]], np.int64).view(np.uint8)
+                a = r["start"] + np.flatnonzero(np.unpackbits(bits, bitorder="little"))
+                b = a + LENGTH
+            np.add.at(edge, a, 1)
+            np.add.at(edge, b, -1)
         gone = np.cumsum(edge)[:-1] > 0
         turn = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
         spans = list(zip(turn[::2].tolist(), turn[1::2].tolist(), strict=True))
+        out["n_bytes"].append(len(data))
         out["n_removed"].append(int(gone.sum()))
         out["n_spans"].append(len(spans))
         out["removed"].append([{"start": a, "end": b} for a, b in spans])
-        out["kept_sha256"].append(hashlib.sha256(np.frombuffer(data, np.uint8)[~gone].tobytes()).hexdigest())
-    return out | {"key": batch.column(0), "doc_id": batch.column(1), "n_bytes": batch.column(6)}
+        kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if found else data
+        out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+    return out | {"key": batch.column(0), "doc_id": batch.column(1)}
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """Every row of docs with the stretches (in bytes) that repeated strings cover, and the hash of what is left."""
-    rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = map_batches(rows.select("key", "text"), _runs, _RUN)
+    rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
+    texts = rows.select("key", "text")
 
     by_anchor = Window.partitionBy("anchor").orderBy("whole", "key", "start")
-    near = found.withColumns({"before": F.lag("whole").over(by_anchor), "after": F.lead("whole").over(by_anchor)})
+    near = map_batches(texts, _runs, _RUN).withColumns({"before": F.lag("whole").over(by_anchor), "after": F.lead("whole").over(by_anchor)})
     near = near.where(F.col("before").isNotNull() | F.col("after").isNotNull())
     again = F.coalesce(F.col("before") == F.col("whole"), F.lit(False))
-    kind = F.when(again, REPEATED).when(F.col("after") == F.col("whole"), SAMPLE).otherwise(LOOSE)
-    near = near.withColumn("kind", kind)
+    near = near.withColumn("kind", F.when(again, REPEATED).when(F.col("after") == F.col("whole"), SAMPLE).otherwise(LOOSE))
     open_ = F.min("kind").over(Window.partitionBy("anchor")) == LOOSE
-    near = near.withColumn("kind", F.when((F.col("kind") == SAMPLE) & ~open_, REPEATED).otherwise(F.col("kind")).cast("int"))
-    near = near.groupBy("key").agg(F.collect_list(F.struct("start", "n", "anchor", "kind")).alias("runs"))
-
-    text = rows.join(near.hint("shuffle_hash"), "key", "left")
-    flagged = F.col("runs").isNotNull()
-    text = text.select(
-        "key", "doc_id", F.when(flagged, F.col("text")).alias("text"), "runs",
-        F.when(~flagged, F.sha2(F.col("text").cast("binary"), 256)).alias("sha"), F.octet_length("text").cast("long").alias("n_bytes"),
-    )
-    text = staged(text, "repeat-texts")
-
-    unsettled = text.where(F.exists("runs", lambda r: r["kind"] != REPEATED)).select("key", "text", "runs")
-    ranks = map_batches(unsettled, _windows, "anchor long, key long, start long, loose boolean, ranks array<long>")
+    kind = F.when((F.col("kind") == SAMPLE) & ~open_, REPEATED).otherwise(F.col("kind"))
+    near = staged(near.select("key", "start", "n", kind.cast("int").alias("kind")), "repeated-anchors")
+
+    filled = docs.sparkSession.sparkContext.broadcast(unsettled_filter(near.where(F.col("kind") != REPEATED)))
+    ranks = map_batches(texts, lambda batch: _windows(batch, filled.value), "anchor long, key long, start long, ranks array<long>")
     # one exchange by anchor; the window below needs no other
-    ranks = ranks.repartition("anchor").select("anchor", "key", "start", "loose", F.posexplode("ranks").alias("i", "rank"))
-    by_rank = Window.partitionBy("anchor", "rank").orderBy("loose")
-    twin = F.lag("loose").over(by_rank).isNotNull() | F.lead("loose").over(by_rank).isNotNull()
-    singles = ranks.withColumn("twin", twin).where(F.col("twin") & F.col("loose"))
-    bit = lambda k: F.bit_or(F.when(F.floor(F.col("i") / 64) == k, F.expr("shiftleft(1L, i % 64)")).otherwise(F.lit(0).cast("long"))).alias(f"m{k}")
-    singles = singles.groupBy("anchor", "key", "start").agg(bit(0), bit(1), bit(2))
-    singles = singles.groupBy("key").agg(F.collect_list(F.struct("start", "m0", "m1", "m2")).alias("singles"))
-
-    joined = text.join(singles.hint("shuffle_hash"), "key", "left").select("key", "doc_id", "text", "runs", "singles", "sha", "n_bytes")
+    ranks = ranks.repartition("anchor").select("anchor", "key", "start", F.posexplode("ranks").alias("i", "rank"))
+    by_rank = Window.partitionBy("anchor", "rank").orderBy("i")
+    twin = F.lag("i").over(by_rank).isNotNull() | F.lead("i").over(by_rank).isNotNull()
+    singles = ranks.withColumn("twin", twin).where("twin")
+    bit = lambda k: F.bit_or(F.when(F.shiftright("i", 6) == k, F.expr("shiftleft(1L, i % 64)")).otherwise(F.lit(0).cast("long"))).alias(f"m{k}")
+    singles = singles.groupBy("anchor", "key", "start").agg(bit(0), bit(1), bit(2)).select("key", "start", F.lit(0).alias("n"), "m0", "m1", "m2")
+
+    none = F.lit(0).cast("long")
+    whole = near.where(F.col("kind") != LOOSE).select("key", "start", "n", none.alias("m0"), none.alias("m1"), none.alias("m2"))
+    found = whole.unionByName(singles).groupBy("key").agg(F.collect_list(F.struct("start", "n", "m0", "m1", "m2")).alias("found"))
+    joined = rows.join(found.hint("shuffle_hash"), "key", "left").select("key", "doc_id", "text", "found")
     return map_batches(
         joined, _cut, "key long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>"
     )

@@ -249,12 +249,22 @@ def test_suffix_dedup(docs, rows):
             assert (g.n_bytes, g.n_removed, g.n_spans, g.kept_sha256) == (len(d), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()), r[0]
 
 
-def test_suffix_dedup_of_long_texts(docs, rows, monkeypatch):
+def test_runs_hold_every_string_once(rows, monkeypatch):
     texts = [(r[1] or "").encode() for r in rows]
-    whole = {(i, s + k) for *_, in [()] for d, text, bounds, at in suffix_dedup.pieces(texts) for rank, h, part, start, n in [suffix_dedup.runs(d, bounds)] for p, st, m in zip(part, start, n, strict=True) for i, s in [(int(text[p]), int(st + at[p]))] for k in range(m)}
-    monkeypatch.setattr(suffix_dedup, "CHUNK", 700)
-    cut = [(int(text[p]), int(st + at[p]) + k) for d, text, bounds, at in suffix_dedup.pieces(texts) for rank, h, part, start, n in [suffix_dedup.runs(d, bounds)] for p, st, m in zip(part, start, n, strict=True) for k in range(m)]
-    assert set(cut) == whole == {(i, s) for i, d in enumerate(texts) for s in range(len(d) - 199)} and len(cut) == len(whole)
+    want = [(i, s) for i, d in enumerate(texts) for s in range(len(d) - 199)]
+    for chunk in (suffix_dedup.CHUNK, 700):
+        monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+        got = []
+        for data, text, bounds, at in suffix_dedup.pieces(texts):
+            _, _, part, first, n = suffix_dedup.runs(data, bounds)
+            got += [(int(text[p]), int(f - bounds[p] + at[p]) + k) for p, f, m in zip(part, first, n, strict=True) for k in range(m)]
+        assert sorted(got) == want
+
+
+def test_suffix_dedup_with_a_full_filter(docs, monkeypatch):
+    want = sorted(map(tuple, suffix_dedup.op6_suffix_dedup(docs).collect()), key=str)
+    monkeypatch.setattr(suffix_dedup, "MAX_SLOTS", 1 << 6)
+    assert sorted(map(tuple, suffix_dedup.op6_suffix_dedup(docs).collect()), key=str) == want
 
 
 def test_decontamination(spark):
