@@ -4,7 +4,7 @@ A document is a bag of sentences. A sentence's score is logistic in the features
 a document's is their noisy-or with a leak: 1 - (1 - leak) * product of (1 - sentence score). Both are trained from
 document labels alone, and the sentence scores then locate the offending sentences.
 
-Features are chosen by the log-odds of their document counts in the training sample. The sample has at most
+Features are chosen by the likelihood ratio of their document counts in the training sample. The sample has at most
 max_train_docs labelled documents (those with the smallest hashes of their ids), which bounds the ids that are broadcast,
 and the sentences that the driver fits on; everything is scored.
 
@@ -28,8 +28,10 @@ from airwave.llm.common import id_remainder, map_batches, row_key, utf8
 
 #: The bound on labelled documents that train.
 MAX_TRAIN_DOCS = 20_000
-#: Features: at most so many, with this log-odds z-score and this many documents at least. Parts of words: these lengths.
-MAX_FEATURES, LEAST_Z, LEAST_DOCS, PARTS = 800, 4.0, 8, (4, 5, 6)
+#: Features: at most so many, with this odds ratio, likelihood ratio (G squared) and number of documents at least.
+MAX_FEATURES, LEAST_ODDS, LEAST_G2, LEAST_DOCS = 800, 6.0, 16.0, 4
+#: Lengths of the parts of words.
+PARTS = (4, 5, 6)
 ROUNDS, RATE, RIDGE = 300, 0.15, 0.002
 THRESHOLD, OFFENDING = 0.7, 0.5
 #: Remainders of crc32 of the id by 3; rows with this one are held out.
@@ -112,17 +114,27 @@ def choose_features(sample: DataFrame, positives: int, negatives: int) -> list[b
     rows = sample.repartition(int(size), "doc_id").select("text", "label")
     counts = rows.mapInArrow(parts, "part binary, neg long, pos long").groupBy("part").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     odds = lambda c, n: (F.col(c) + 0.5) / (F.lit(n) - F.col(c) + 0.5)
-    z = F.log(odds("pos", positives) / odds("neg", negatives)) / F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
-    best = counts.where(F.col("pos") >= LEAST_DOCS).select("part", z.alias("z")).where(F.col("z") >= LEAST_Z)
-    return [bytes(r.part) for r in best.orderBy(F.desc("z"), "part").limit(MAX_FEATURES).collect()]
-
-
-def fit(bags: list[list[list[int]]], labels: np.ndarray, size: int) -> tuple[np.ndarray, float, float]:
-    """(weights, bias, leak) by gradient steps on the noisy-or likelihood; the classes weigh what they are."""
-    sentence_of = np.array([i for i, bag in enumerate(bags) for _ in bag], np.int64)
-    flat = [(s, f) for s, sent in enumerate(x for bag in bags for x in bag) for f in sent]
-    rows, cols = (np.array(x, np.int64) for x in zip(*flat, strict=True)) if flat else (np.zeros(0, np.int64),) * 2
-    empty = np.array([not bag for bag in bags])
+    seen = F.col("pos") + F.col("neg")
+    gain = lambda x, total: F.when(x > 0, x * F.log(x * (positives + negatives) / total)).otherwise(0.0)
+    g2 = sum(
+        gain(F.col(c), seen * n) + gain(F.lit(n) - F.col(c), (F.lit(positives + negatives) - seen) * n) for c, n in (("pos", positives), ("neg", negatives))
+    )
+    counts = counts.where((F.col("pos") >= LEAST_DOCS) & (odds("pos", positives) >= LEAST_ODDS * odds("neg", negatives)))
+    best = counts.select("part", (2 * g2).alias("g2")).where(F.col("g2") >= LEAST_G2)
+    return [bytes(r.part) for r in best.orderBy(F.desc("g2"), "part").limit(MAX_FEATURES).collect()]
+
+
+def fit(bags: pa.ListArray, labels: np.ndarray, size: int) -> tuple[np.ndarray, float, float]:
+    """(weights, bias, leak) by gradient steps on the noisy-or likelihood; the classes weigh what they are.
+
+    bags: of each document the features of each of its sentences.
+    """
+    inner = bags.flatten()
+    n_sentences, n_features = (np.diff(x.offsets.to_numpy()) for x in (bags, inner))
+    sentence_of = np.repeat(np.arange(len(bags)), n_sentences)
+    rows = np.repeat(np.arange(len(inner)), n_features)
+    cols = inner.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    empty = n_sentences == 0
     leak = float((labels[empty].sum() + 0.1) / (empty.sum() + 2)) if empty.any() else 0.01
     leak = min(leak, 0.3)
     params, mean, square = np.concatenate((np.full(size, 0.5), [-2.0])), np.zeros(size + 1), np.zeros(size + 1)
@@ -171,8 +183,9 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
         return {"key": batch.column(1), "label": batch.column(2), "bag": [[x[2] for x in features.bag(d)] for d in utf8(batch)]}
 
     rows = map_batches(sample.select("text", F.xxhash64("doc_id", "text").alias("key"), "label"), bags, "key long, label int, bag array<array<int>>")
-    got = sorted(rows.toLocalIterator(), key=lambda r: (r.key, r.label))[: 4 * max_train_docs]
-    weights, bias, leak = fit([r.bag for r in got], np.array([int(r.label > 0) for r in got]), len(names))
+    got = rows.toArrow().sort_by([("key", "ascending"), ("label", "ascending")]).combine_chunks()
+    bag = got["bag"].combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.list_(pa.int32())))
+    weights, bias, leak = fit(bag, (got["label"].to_numpy() > 0).astype(int), len(names))
     return Model(names, weights, bias, leak)
 
 

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -119,7 +120,7 @@ def test_toxicity_locates_sentences(spark):
 def test_noisy_or_gradient_fits():
     bags = [[[0]], [[1]], [[0], [1]], [[1], [1]], []] * 20
     labels = np.array([1, 0, 1, 0, 0] * 20)
-    weights, bias, leak = toxicity_mil.fit(bags, labels, 2)
+    weights, bias, leak = toxicity_mil.fit(pa.array(bags, pa.list_(pa.list_(pa.int32()))), labels, 2)
     score = lambda bag: toxicity_mil.noisy_or([1 / (1 + math.exp(-(weights[s].sum() + bias))) for s in bag], leak)
     assert score([[0], [1]]) > 0.9 and score([[1], [1]]) < 0.1 and score([]) == pytest.approx(leak)
 
