@@ -15,14 +15,18 @@ from airwave.sources import artifacts, files
 from airwave.sources.views import Views
 
 
+#: Stands for a field that the readers skip.
+NONE = "(skipped)"
+
+
 def text_file(rows: DataFrame, sep: str, *columns) -> str:
     """The columns as lines of text in shared storage; the path."""
     path = f"{artifacts.shared_folder(rows.sparkSession)}/airwave/text-{uuid.uuid4().hex}"
-    rows.select(F.concat_ws(sep, *(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")).cast("string") for c in columns)).alias("value")).write.text(path)
+    field = lambda c: F.lit("x") if isinstance(c, str) and c == NONE else F.col(c) if isinstance(c, str) else c
+    rows.select(F.concat_ws(sep, *(F.coalesce(field(c).cast("string"), F.lit("")) for c in columns)).alias("value")).write.text(path)
     return path
 
 
-NONE = F.lit("x")
 
 
 @query("scan_watch_log", "watch", """SELECT CAST("user" AS VARCHAR) AS "user", CAST(item AS VARCHAR) AS item, rating FROM watch
