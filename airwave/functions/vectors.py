@@ -26,6 +26,11 @@ def dot(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x))
 
 
+def dot_of(a: Column, b: Column, size: int) -> Column:
+    """The dot product of vectors of known size, written out so that it is compiled: for all-pairs scores."""
+    return sum((F.get(a, F.lit(k)) * F.get(b, F.lit(k)) for k in range(size)), F.lit(0.0))
+
+
 def norm_l2(a: Column) -> Column:
     n = F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, x: s + x * x))
     return F.when(n > ZERO, F.transform(a, lambda x: x / n)).otherwise(a)

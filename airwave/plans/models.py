@@ -204,7 +204,7 @@ ALL = """, scores AS (SELECT "user", item, list_dot_product(uf, vf) AS score FRO
 
 
 def all_scores(v: Views) -> DataFrame:
-    return scoring.all_pairs(v.user_factors(), v.item_factors(), vectors.dot(F.col("uf"), F.col("vf")))
+    return scoring.all_pairs(v.user_factors(), v.item_factors(), vectors.dot_of(F.col("uf"), F.col("vf"), 5))
 
 
 PER_USER = ' SELECT "user", count(*)::BIGINT AS n, round(sum(score), 4) AS total, round(max(score), 6) AS best FROM scores GROUP BY 1'

@@ -47,7 +47,7 @@ def matrix_factorisation(train: DataFrame, test: DataFrame, rank: int = 5, round
     cold_items = scoring.completed(test, items, "item", "vf", scoring.mean_profile(items, "vf", rank))
     cold = error(scoring.pair_scores(test, users, cold_items)).select(F.lit("with_cold").alias("test"), F.col("rmse").alias("value"))
     sampled = exports.sample_users(users, 0.2)
-    scores = scoring.all_pairs(sampled, items, vectors.dot(F.col("uf"), F.col("vf")))
+    scores = scoring.all_pairs(sampled, items, vectors.dot_of(F.col("uf"), F.col("vf"), rank))
     truth = relational.known_only(test, train, train).groupBy("user", "item").agg(F.sum("rating").alias("score"))
     hits = scoring.hit_sets(relational.top_all_and_new(scores, train, n), relational.top_all_and_new(truth, train, n))
     rates = scoring.hit_rates(hits, n).select(F.lit("precision").alias("test"), F.col("precision").alias("value"))
@@ -85,5 +85,5 @@ def predict(ratings: DataFrame, schedule: DataFrame, dates: list[str], k: int =
     rows = schedule.where(F.substring("start", 1, 8).isin(dates))
     scheduled = rows.select(F.col("program").alias("item")).distinct()
     profiles = scoring.completed(scheduled, items, "item", "vf", scoring.mean_profile(items, "vf", rank))
-    scores = scoring.all_pairs(users, profiles, vectors.dot(F.col("uf"), F.col("vf"))).withColumnRenamed("item", "program")
+    scores = scoring.all_pairs(users, profiles, vectors.dot_of(F.col("uf"), F.col("vf"), rank)).withColumnRenamed("item", "program")
     return relational.top_programs_per_hour(scores, rows, k).select("user", "date", "hour", "rank", "program", F.round("score", 6).alias("score"))
