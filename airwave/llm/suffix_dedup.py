@@ -10,7 +10,7 @@ can be named where the text is read; Spark's sorts only find which ranks are uni
 2. What is left - runs that share an anchor with others but differ in what surrounds it - is sorted again by
    (anchor's rank, LENGTH-byte rank) at every position, together with one copy of each repeated run of that anchor.
 
-Both sorts are spillable windows that look at neighbouring rows only, so a string that a third of all documents hold
+Runs of periodic text that repeat right after each other are one row of the first sort. Both sorts are spillable windows that look at neighbouring rows only, so a string that a third of all documents hold
 needs no memory of its own. For the second, the texts are read again rather than shuffled: a Bloom filter of the
 unsettled runs (SLOTS bits to a run, MAX_SLOTS at most) tells a task which of its runs to write out. A run that it
 lets through by mistake, also beyond its bound, stands for real positions and cannot change the result.
@@ -41,7 +41,7 @@ _U = np.uint64
 _TABLE = np.random.default_rng(7).integers(1, 2**62, 256, dtype=_U) * _U(2) + _U(1)
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-_RUN = "anchor long, whole long, key long, start long, n int"
+_RUN = "anchor long, whole long, key long, start long, n int, times int"
 LOOSE, SAMPLE, REPEATED = 0, 1, 2
 
 
@@ -139,12 +139,17 @@ def _keyed_runs(batch: pa.RecordBatch):
 
 
 def _runs(batch: pa.RecordBatch) -> dict[str, list]:
-    out: list[list[np.ndarray]] = [[], [], [], [], []]
+    """Runs with the rank of their whole text; equal runs right after each other, as in periodic text, are one row."""
+    names = ("anchor", "whole", "key", "start", "n", "times")
+    out: dict[str, list[np.ndarray]] = {k: [] for k in names}
     for hashes, rank, key, start, first, n in _keyed_runs(batch):
         whole = hashes.of(first, first + n - 1 + LENGTH)
-        for held, x in zip(out, (rank.view(np.int64), whole.view(np.int64), key, start, n), strict=True):
-            held.append(x)
-    return {k: np.concatenate(x) if x else [] for k, x in zip(("anchor", "whole", "key", "start", "n"), out, strict=True)}
+        new = (whole[1:] != whole[:-1]) | (rank[1:] != rank[:-1]) | (first[1:] != first[:-1] + n[:-1]) | (key[1:] != key[:-1])
+        at = np.flatnonzero(np.concatenate(([True], new)))
+        times = np.diff(np.concatenate((at, [len(first)])))
+        for k, x in zip(names, (rank.view(np.int64)[at], whole.view(np.int64)[at], key[at], start[at], n[at], times), strict=True):
+            out[k].append(x)
+    return {k: np.concatenate(x) if x else [] for k, x in out.items()}
 
 
 def _slots(key: np.ndarray, start: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -217,12 +222,13 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     by_anchor = Window.partitionBy("anchor").orderBy("whole", "key", "start")
     near = map_batches(texts, _runs, _RUN).withColumns({"before": F.lag("whole").over(by_anchor), "after": F.lead("whole").over(by_anchor)})
-    near = near.where(F.col("before").isNotNull() | F.col("after").isNotNull())
+    near = near.where(F.col("before").isNotNull() | F.col("after").isNotNull() | (F.col("times") > 1))
     again = F.coalesce(F.col("before") == F.col("whole"), F.lit(False))
-    near = near.withColumn("kind", F.when(again, REPEATED).when(F.col("after") == F.col("whole"), SAMPLE).otherwise(LOOSE))
+    first = (F.col("times") > 1) | (F.col("after") == F.col("whole"))
+    near = near.withColumn("kind", F.when(again, REPEATED).when(first, SAMPLE).otherwise(LOOSE))
     open_ = F.min("kind").over(Window.partitionBy("anchor")) == LOOSE
     kind = F.when((F.col("kind") == SAMPLE) & ~open_, REPEATED).otherwise(F.col("kind"))
-    near = staged(near.select("key", "start", "n", kind.cast("int").alias("kind")), "repeated-anchors")
+    near = staged(near.select("key", "start", (F.col("n") * F.col("times")).alias("n"), kind.cast("int").alias("kind")), "repeated-anchors")
 
     filled = docs.sparkSession.sparkContext.broadcast(unsettled_filter(near.where(F.col("kind") != REPEATED)))
     ranks = map_batches(texts, lambda batch: _windows(batch, filled.value), "anchor long, key long, start long, ranks array<long>")
