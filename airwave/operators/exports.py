@@ -58,7 +58,8 @@ def rating_lines(ratings: DataFrame) -> DataFrame:
 
 def densified(lines: DataFrame) -> DataFrame:
     """(id, line) for each id from 1 to the largest; a blank where there is none."""
-    ids = lines.agg(F.max("id").alias("most")).select(F.explode(F.sequence(F.lit(1), F.col("most"))).alias("id"))
+    most = lines.agg(F.max("id")).first()[0] or 0  # one number; the range itself is made in parallel
+    ids = lines.sparkSession.range(1, most + 1).select(F.col("id").cast(lines.schema["id"].dataType).alias("id"))
     return ids.join(lines, "id", "left").select("id", F.coalesce("line", F.lit(" ")).alias("line"))
 
 
