@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,29 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-#: Words of the contracts are runs of bytes other than 0x20 and 0x09-0x0D; ``bytes.split()`` cuts at exactly these.
-SPACE = b" \t\n\r\x0b\x0c"
-
-#: Where staged tables go when the session names no shared folder (tests on one machine).
-LOCAL_SCRATCH = "/tmp/checkpoints"
-
+#: Staged tables go to the shared folder that the cluster names in spark.checkpoint.dir.
+from airwave.sources.artifacts import cut as staged
+from airwave.sources.artifacts import shared_folder as scratch_dir
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a local one only if it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = LOCAL_SCRATCH
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared scratch folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/airwave/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["SPACE", "as_array", "id_remainder", "map_batches", "read_table", "row_key", "scratch_dir", "shuffle_width", "staged", "utf8"]
 
+#: Words of the contracts are runs of bytes other than 0x20 and 0x09-0x0D; ``bytes.split()`` cuts at exactly these.
+SPACE = b" \t\n\r\x0b\x0c"
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]], schema: T.StructType | str) -> DataFrame:
     """mapInArrow with a function from a batch to the columns of the result; the state of a task is one batch."""

@@ -14,7 +14,7 @@ Running sums are taken in two steps, by bucket of the hash and then within a buc
 the table of sources (one row each) is handled in one place.
 
 Defined cases: null text has size 0; documents of size 0, and all of a source without words, are taken 0 times and
-have no position; equal rows are taken equally often; an empty table gives an empty result.
+have no position; columns of documents named position or copy give way in the stream; equal rows are taken equally often; an empty table gives an empty result.
 """
 
 from __future__ import annotations
