@@ -19,6 +19,7 @@ __all__ = ["SPACE", "as_array", "id_remainder", "map_batches", "read_table", "ro
 #: Words of the contracts are runs of bytes other than 0x20 and 0x09-0x0D; ``bytes.split()`` cuts at exactly these.
 SPACE = b" \t\n\r\x0b\x0c"
 
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]], schema: T.StructType | str) -> DataFrame:
     """mapInArrow with a function from a batch to the columns of the result; the state of a task is one batch."""
     struct = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)

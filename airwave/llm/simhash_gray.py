@@ -238,6 +238,8 @@ def components(docs: DataFrame, node_limit: int = NODE_LIMIT) -> DataFrame:
     least = member.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = member.join(least, "root").select("fp", "component_id")
     named = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
+    # written, so that both sides of the last join come straight from shuffles and a hot fingerprint can be split
+    named = staged(named, "named-fingerprints")
     return marked.join(named, "fp").select("key", "doc_id", "fp", "component_id")
 
 
