@@ -46,3 +46,27 @@ def test_stages_keep_columns_and_decide(spark, stages):
 def test_run_gives_the_last_stage(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     assert sorted((r.doc_id, r.copy) for r in got.select("doc_id", "copy").collect()) == sorted((r.doc_id, r.copy) for r in stages[-1][1])
+
+
+def test_stages_take_odd_rows(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, key string, kept string, size string, removed string, spans string, copy string, position string"
+    body = " ".join(f"word{i} and{i % 7}" for i in range(80))
+    texts = [None, "", "\n \t", body, body, body + " more", body.replace("word3 ", "other "), "x" * 50_000, "tok " * 30_000, body + " password=Abcdefgh12345678"]
+    rows = [(i, t, None, "s" if i % 2 else None, None, *"abcdefg") for i, t in enumerate(texts)] + [(None, body + " without id", None, None, None, *"abcdefg")] * 2
+    rows += [rows[3], (None,) * 12]
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        made = stage(spark, docs, SF)
+        got = made.collect()
+        if name == "mixing":
+            assert {"copy", "position"} <= set(made.columns) and got
+            assert [r.position for r in got] == sorted(r.position for r in got)
+        else:
+            assert made.columns == docs.columns
+        if name in ("decontamination", "secrets"):
+            assert len(got) == len(rows)
+        if name == "near_duplicates":
+            assert len({r.doc_id for r in got}) == len([r for r in got if r.doc_id is not None]) + (None in {r.doc_id for r in got})
+        if name == "secrets":
+            assert not any("Abcdefgh12345678" in (r.text or "") for r in got)
+    assert not corpus_pipeline.STAGES[0][1](spark, docs.limit(0), SF).count()
