@@ -338,6 +338,36 @@ def test_chat_hmm_is_viterbi(spark):
         assert chat_hmm.viterbi(hmm, texts) == want[::-1], trial
 
 
+def test_chat_hmm_blocks_make_no_difference(spark):
+    rnd = random.Random(5)
+    made = []
+    for conv in (1, 2, 3, None):
+        for turn in range(rnd.choice([1, 40, 90])):
+            text = "\n".join("word " * rnd.choice([0, 1, 3, 20]) + rnd.choice(["", "?"]) for _ in range(rnd.choice([1, 1, 2, 5])))
+            made.append((conv, turn, rnd.choice([*chat_hmm.ROLES, "user", "assistant"]), rnd.choice(["", "User: ", "A: ", "System: "]) + text))
+    made += [(2, 7, "user", "again\nand again"), (2, 7, "user", "again\nand again"), (3, None, "user", None), (3, None, "robot", "x")]
+    raw = spark.createDataFrame(made, "conv_id long, turn long, role string, text string")
+    hmm = chat_hmm.train(raw)
+    plain, whole = collections.Counter(), collections.defaultdict(list)
+    for r in chat_hmm.lines(raw).orderBy("block", "turn", "role", "body", "copy", "line_no").collect():
+        whole[r.conv_id].append(r)
+    for conv, own in whole.items():
+        turns = []
+        for r, state in zip(own, chat_hmm.viterbi(hmm, [r.line for r in own]), strict=True):
+            role, begins = chat_hmm.STATES[state]
+            if not turns or begins or turns[-1][0] != role:
+                turns.append([role, [], 0])
+            seen, at = chat_hmm.marker(r.line)
+            turns[-1][1].append(r.line[at:] if seen and chat_hmm.ROLES[seen - 1] == role else r.line)
+            turns[-1][2] += r.role == role
+        plain.update((conv, i, role, "\n".join(text).strip(), len(text), same) for i, (role, text, same) in enumerate(turns))
+    for size in (1, 4, 37):
+        long = chat_hmm.long_conversations(raw, size)
+        assert long.count() >= 2
+        assert collections.Counter(tuple(r) for r in chat_hmm.decoded(raw, hmm, long, size).collect()) == plain, size
+    assert chat_hmm.parsed(raw, 8).agg(F.sum("n_lines")).first()[0] == sum(len((r[3] or "").split("\n")) for r in made)
+
+
 def test_chat_hmm_recovers_roles(spark):
     got = registry.queries()["op9_chat_hmm"](spark, "/root/testdata/sf0.1").where("held_out").agg(F.sum("n_agree") / F.sum("n_lines")).first()[0]
     assert got > 0.9
