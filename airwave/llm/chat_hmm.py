@@ -72,19 +72,20 @@ def block_of(size: int) -> Column:
     return F.coalesce(F.floor(F.col("turn") / size), F.lit(-(1 << 63)))
 
 
-def lines(turns: DataFrame, size: int = BLOCK) -> DataFrame:
-    """The lines of turns with what orders them, each with the role that is known."""
+def keyed(turns: DataFrame, size: int = BLOCK) -> DataFrame:
+    """Turns with their block and what orders equal turn numbers."""
     own = [c for c in turns.columns if c == "later"]
-    rows = turns.select(
-        "conv_id", block_of(size).alias("block"), "turn", "role", F.xxhash64("text").alias("body"), F.monotonically_increasing_id().alias("copy"),
-        F.split(F.coalesce("text", F.lit("")), "\n").alias("all"), *own,
-    )
-    rows = rows.select("conv_id", "block", "turn", "role", "body", "copy", *own, F.posexplode("all").alias("line_no", "line"))
-    return rows.withColumn("begins", F.col("line_no") == 0)
+    keys = [F.xxhash64("text").alias("body"), F.monotonically_increasing_id().alias("copy")]
+    return turns.select("conv_id", block_of(size).alias("block"), "turn", "role", *keys, F.coalesce("text", F.lit("")).alias("text"), *own)
 
 
-def in_order(rows: DataFrame) -> DataFrame:
-    return rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "turn", "role", "body", "copy", "line_no")
+def lines(rows: DataFrame, *columns: str) -> DataFrame:
+    """The lines of keyed turns in order, dealt by block; rows without a text come before those with one and have one null line."""
+    order = ("turn", "role", "body", "copy")
+    rows = rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", F.col("text").isNotNull(), *order)
+    # turns are dealt and sorted before they are split: fewer rows, and the lines stay in order
+    rows = rows.select("conv_id", "block", *order, *columns, F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
+    return rows.withColumn("begins", F.col("line_no") == 0)
 
 
 def long_conversations(turns: DataFrame, size: int = BLOCK) -> DataFrame:
@@ -148,7 +149,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(turns: DataFrame, long: DataFrame | None = None, size: int = BLOCK) -> Hmm:
     """Counts are a few hundred numbers, whatever the table; only they come to the driver."""
     known = turns.where(F.pmod(F.xxhash64("conv_id"), F.lit(FOLDS)).isin(*TRAIN))
-    rows = in_order(lines(with_later(known, long, "left", size), size)).select("conv_id", "block", "line", "role", "begins", "later")
+    rows = lines(keyed(with_later(known, long, "left", size), size), "later").select("conv_id", "block", "line", "role", "begins", "later")
     found = rows.mapInArrow(_counts, "what int, state int, value int, n long").groupBy("what", "state", "value").agg(F.sum("n").alias("n")).collect()
     n = len(STATES)
     emit = [np.ones((n, size)) for size in _SHAPE]
@@ -360,7 +361,7 @@ def _turns(hmm: Hmm):
 
 
 def edges(raw: DataFrame, hmm: Hmm, long: DataFrame, size: int = BLOCK) -> DataFrame:
-    rows = in_order(lines(with_later(raw, long, "inner", size), size)).select("conv_id", "block", "line", "later")
+    rows = lines(keyed(with_later(raw, long, "inner", size), size), "later").select("conv_id", "block", "line", "later")
     matrices = rows.mapInArrow(_matrices(hmm), _MATRIX)
     return matrices.repartition("conv_id").sortWithinPartitions("conv_id", "block").mapInArrow(_edges(hmm), _EDGE)
 
@@ -371,12 +372,11 @@ def decoded(raw: DataFrame, hmm: Hmm, long: DataFrame | None = None, size: int =
     long: the conversations with several blocks, None if there are none.
     """
     result = ("conv_id", "turn", "role", "text", "n_lines", "n_agree")
-    none = [F.lit(None).cast(k).alias(c) for c, k in (("entry", "int"), ("exit", "int"), ("n_before", "long"))]
-    rows = lines(raw, size).select("*", *none)
+    at_edge = ("entry", "exit", "n_before")
+    rows = keyed(raw, size).select("*", *(F.lit(None).cast(k).alias(c) for c, k in zip(at_edge, ("int", "int", "long"), strict=True)))
     if long is not None:
         rows = rows.unionByName(edges(raw, hmm, long, size), allowMissingColumns=True)
-    rows = rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", F.col("line").isNotNull(), "turn", "role", "body", "copy", "line_no")
-    turns = rows.select("conv_id", "block", "line", "role", "entry", "exit", "n_before").mapInArrow(_turns(hmm), _TURN)
+    turns = lines(rows, *at_edge).select("conv_id", "block", "line", "role", *at_edge).mapInArrow(_turns(hmm), _TURN)
     if long is None:
         return turns.select(*result)
     turns = staged(turns, "turns")

@@ -349,7 +349,7 @@ def test_chat_hmm_blocks_make_no_difference(spark):
     raw = spark.createDataFrame(made, "conv_id long, turn long, role string, text string")
     hmm = chat_hmm.train(raw)
     plain, whole = collections.Counter(), collections.defaultdict(list)
-    for r in chat_hmm.lines(raw).orderBy("block", "turn", "role", "body", "copy", "line_no").collect():
+    for r in chat_hmm.lines(chat_hmm.keyed(raw)).orderBy("block", "turn", "role", "body", "copy", "line_no").collect():
         whole[r.conv_id].append(r)
     for conv, own in whole.items():
         turns = []
