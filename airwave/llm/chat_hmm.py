@@ -116,9 +116,13 @@ class Hmm:
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: list[np.ndarray]) -> None:
         on_grid = lambda x: np.round(x * GRID) / GRID
         self.start, self.move, self.emit = on_grid(start), on_grid(move), [on_grid(e) for e in emit]
+        self.known: dict[tuple[int, int, int, int], np.ndarray] = {}  # a few hundred observations at most
 
     def seen(self, line: str, first: bool) -> np.ndarray:
-        return sum(e[:, x] for e, x in zip(self.emit, observation(line, first), strict=True))
+        what = observation(line, first)
+        if what not in self.known:
+            self.known[what] = sum(e[:, x] for e, x in zip(self.emit, what, strict=True))
+        return self.known[what]
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
