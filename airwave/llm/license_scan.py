@@ -7,8 +7,10 @@ finds all candidates. Around each, the regex library's bounded-error matching de
 
 The scan is one map-only pass; nothing is shuffled or broadcast but the notices.
 
-Defined cases: null text is empty; overlapping places of a phrase all count; a notice is reported once for each stretch
-of overlapping candidates, at its best match; repeated rows give repeated results.
+Windows hold one place at most, so the work grows with the text, also where a notice is repeated over a very long one.
+
+Defined cases: null text is empty; overlapping places of a phrase all count; of matches of a notice that overlap, the one
+with fewer edits is reported, the earlier of equals; repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -54,25 +56,31 @@ class Notice:
         self.pattern = regex.compile(b"(?b)(?:" + regex.escape(data) + b"){e<=%d}" % self.edits)
 
     def windows(self, text: bytes) -> list[tuple[int, int]]:
-        """Stretches around the places of the pieces, merged."""
+        """Stretches around the places of the pieces; places that lie within the errors of each other share one."""
         starts = []
         for offset, piece in self.pieces:
             at = text.find(piece)
             while at >= 0:
                 starts.append(at - offset)
                 at = text.find(piece, at + 1)
-        out: list[list[int]] = []
-        for s in sorted(starts):
-            a, b = max(0, s - self.edits), s + self.size + self.edits
-            if out and a <= out[-1][1]:
-                out[-1][1] = max(out[-1][1], b)
+        out: list[tuple[int, int]] = []
+        for s in sorted(set(starts)):
+            if out and s - out[-1][0] <= self.edits:
+                out[-1] = out[-1][0], s
             else:
-                out.append([a, b])
-        return [(a, min(b, len(text))) for a, b in out]
+                out.append((s, s))
+        return [(max(0, a - self.edits), min(b + self.size + self.edits, len(text))) for a, b in out]
 
     def find(self, text: bytes) -> list[tuple[int, int, int]]:
-        """(start, end, edits) in bytes of the matches; within a window they don't overlap."""
-        return [(m.start(), m.end(), sum(m.fuzzy_counts)) for a, b in self.windows(text) for m in self.pattern.finditer(text, a, b)]
+        """(start, end, edits) in bytes of the matches, in order; they don't overlap."""
+        found = (self.pattern.search(text, a, b) for a, b in self.windows(text))
+        out: list[tuple[int, int, int]] = []
+        for match in sorted({(m.start(), m.end(), sum(m.fuzzy_counts)) for m in found if m}):
+            if not out or match[0] >= out[-1][1]:
+                out.append(match)
+            elif match[2] < out[-1][2]:
+                out[-1] = match
+        return out
 
 
 LIBRARY = [Notice(*x) for x in NOTICES]
@@ -82,14 +90,26 @@ def normalised(data: bytes) -> bytes:
     return b" ".join(data.lower().translate(_KEEP).split())
 
 
+class Counter:
+    """Counts the spaces before places that are asked for in ascending order."""
+
+    def __init__(self, text: bytes) -> None:
+        self.text, self.at, self.spaces = text, 0, 0
+
+    def before(self, place: int) -> int:
+        self.spaces += self.text.count(b" ", self.at, place)
+        self.at = place
+        return self.spaces
+
+
 def base_places(padded: bytes) -> list[tuple[int, str]]:
     """(first word, label) of every place of a phrase; padded: normalised text between spaces."""
     out = []
     for phrase, label in PHRASES.items():
         key = b" " + phrase + b" "
-        at = padded.find(key)
+        at, words = padded.find(key), Counter(padded)
         while at >= 0:
-            out.append((padded.count(b" ", 0, at), label))
+            out.append((words.before(at), label))
             at = padded.find(key, at + 1)
     return out
 
@@ -100,10 +120,11 @@ def scan(data: bytes) -> tuple[int, list[tuple[int, str]], list[tuple[str, int,
     padded = b" " + text + b" "
     notices = []
     for notice in LIBRARY:
+        words = Counter(text)
         for a, b, edits in notice.find(text):
             while a < b and text[a] == 32:
                 a += 1
-            first = text.count(b" ", 0, a)
+            first = words.before(a)
             notices.append((notice.label, first, first + text.count(b" ", a, max(b - 1, a)) + 1, edits, 1 - edits / notice.size))
     return (text.count(b" ") + 1 if text else 0), base_places(padded) if text else [], sorted(notices, key=lambda x: (x[1], x[0]))
 

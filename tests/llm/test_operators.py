@@ -151,6 +151,23 @@ def test_notices_are_found_within_their_edits():
             assert any(e <= notice.edits for _, _, e in notice.find(data)), chars
 
 
+def test_notices_that_follow_each_other_are_all_found():
+    text = license_scan.normalised(b"Licensed under the Apache License version 2 O " * 30 + b"Licensed under the Apache License, version 2.0 " * 2)
+    n, base, notices = license_scan.scan(text)
+    own = [x for x in notices if x[0] == "apache"]
+    assert n == 8 * 32 and [p for p, _ in base] == [8 * i + 3 for i in range(32)]
+    assert [x[1] for x in own] == [8 * i for i in range(32)] and [x[3] for x in own] == [1] * 30 + [0] * 2
+
+
+def test_spans_in_characters():
+    rnd = random.Random(2)
+    text = "".join(rnd.choice("aé漢😀 ") for _ in range(200))
+    cuts = sorted(rnd.sample(range(200), 20))
+    spans = list(zip(cuts[::2], cuts[1::2], strict=True))
+    data = [(len(text[:a].encode()), len(text[:b].encode()), 0.5) for a, b in spans]
+    assert toxicity_mil.in_characters(text.encode(), data) == [(a, b, 0.5) for a, b in spans]
+
+
 def simhash_brute(text):
     ws = ["".join(c.lower() if c < "\x80" else c for c in w) for w in WORD.findall(text or "")]
     hs = [xxhash.xxh64_intdigest(" ".join(ws[i : i + 3]).encode(), 42) for i in range(max(1, len(ws) - 2))] if ws else []
@@ -203,7 +220,7 @@ def test_gray_index_in_a_node():
 
 @pytest.mark.parametrize("head", [0, 30, 1 << 20])
 def test_bloom_lm(docs, rows, head):
-    got = by_id(bloom_lm.scores(docs, head=head))
+    got = by_id(bloom_lm.scores(docs, head=head, shard_bytes=1000 if head == 30 else bloom_lm.SHARD_BYTES))
     tokens = lambda t: ["".join(c.lower() if c < "\x80" else c for c in w) for w in WORD.findall(t or "")] + [None]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
     count = collections.Counter(x for r in rows if not held(r[0]) for x in tokens(r[1]))
@@ -311,6 +328,14 @@ def test_secret_scan(docs, rows):
     assert masked.count() == len(rows) and not masked.where(F.col("text").contains("AKIA")).count()
 
 
+def test_random_spans_keep_clear_of_base_spans():
+    token = "Kx7Qp9Lm2Zt4Rw8Vb6Nc1Hd3Jf5Gs0Ya"
+    text = f"{token} password=0123456789abcdef0 {token}0123456789abcdef {token} token={token}"
+    base, more = secret_scan.scan(text.encode())
+    assert [text[a:b] for a, b, *_ in more] == [token, token]
+    assert not any(a < y and x < b for a, b, *_ in more for _, x, y in base)
+
+
 def test_battery_tells_random_from_written():
     rnd = random.Random(8)
     secrets_ = ["".join(rnd.choice(secret_scan.ENCODINGS["base64url"]) for _ in range(40)) for _ in range(300)]
