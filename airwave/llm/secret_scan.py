@@ -17,6 +17,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -136,11 +137,18 @@ def scan(data: bytes) -> tuple[list[tuple[str, int, int]], list[tuple[int, int,
     if b"AKIA" in data:
         base += [("access", *m.span()) for m in ACCESS.finditer(data) if len(m[0]) >= LEAST_ACCESS]
     base += [("hex", a, b) for a, b in _runs((kinds & _HEX).astype(np.int8), LEAST_HEX)]
+    taken: list[tuple[int, int]] = []  # what base spans cover, as stretches apart
+    for a, b in sorted(s[1:] for s in base):
+        if taken and a <= taken[-1][1]:
+            taken[-1] = taken[-1][0], max(b, taken[-1][1])
+        else:
+            taken.append((a, b))
     more = []
     for a, b in _runs((kinds >> 1 & 1).astype(np.int8), LEAST_RANDOM):
         b += 2 if data[b : b + 2] == b"==" else data[b : b + 1] == b"="
         token = data[a:b].decode()
-        if (encoding := infer_encoding(token)) and not any(x < b and a < y for _, x, y in base):
+        last = bisect.bisect_left(taken, (b,)) - 1  # the last stretch that starts before the end of this run
+        if (encoding := infer_encoding(token)) and (last < 0 or taken[last][1] <= a):
             more.append((a, b, grid_point(battery(token, encoding)), length_class(b - a), encoding))
     if base or more:  # bytes to code points
         marks = sorted({x for s in base for x in s[1:]} | {x for s in more for x in s[:2]})
