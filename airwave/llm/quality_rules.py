@@ -121,16 +121,17 @@ def verdicts(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_S
     features = staged(line_features(docs), "line-features")
     frequent = frequent_lines(features, min_docs, max_share).select("host", "h")
     removed = (
-        features.select("key", "host", F.explode("lines.h").alias("h"))
+        features.select("key", "host", F.explode("lines").alias("line"))
+        .select("key", "host", "line.h", "line.w")
         .join(frequent, ["host", "h"], "left_semi")
         .groupBy("key")
-        .agg(F.collect_set("h").alias("removed"))
-    )
-    gone = F.aggregate(
-        F.filter("lines", lambda x: F.array_contains("removed", x["h"])), F.lit(0).cast("long"), lambda acc, x: acc + x["w"]
+        .agg(F.collect_set(F.struct("h", "w")).alias("gone"))  # a set, as equal rows share a key
     )
+    gone = F.aggregate("gone", F.lit(0).cast("long"), lambda acc, x: acc + x["w"])
     return (
-        features.join(removed, "key", "left")
+        features.drop("lines")
+        .join(removed, "key", "left")
+        .withColumn("removed", F.col("gone.h"))
         .withColumn("n_removed_words", F.coalesce(gone, F.lit(0).cast("long")))
         .withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
         .withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("n_removed_words") >= F.lit(least_left) * F.col("n_words")))
