@@ -220,10 +220,11 @@ def star_components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("v"), F.col("v").alias("root"))
         state = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # least neighbours are written, so that a hub's links come straight from a shuffle and can be split in the join
+        least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "stars-least")
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = staged(large, "stars")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "stars-least")
         small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = staged(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
 
@@ -235,7 +236,8 @@ def components(docs: DataFrame, node_limit: int = NODE_LIMIT) -> DataFrame:
     stars = star_components(near_links(distinct, node_limit))
     member = stars.select(F.col("v").alias("fp"), "root").unionByName(stars.select(F.col("root").alias("fp"), "root").distinct())
     member = member.join(distinct, "fp")
-    least = member.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    member = staged(member, "members")
+    least = staged(member.groupBy("root").agg(F.min("least_id").alias("component_id")), "component-names")
     named = member.join(least, "root").select("fp", "component_id")
     named = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
     # written, so that both sides of the last join come straight from shuffles and a hot fingerprint can be split
