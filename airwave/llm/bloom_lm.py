@@ -5,7 +5,8 @@ each level up to q. A count is read back by probing levels upwards until one is
 one- and two-token counts of the training documents; probabilities interpolate the two orders.
 
 N-grams are counted where they are read (sorted arrays of hashes and counts) and meet in shards by hash; each shard
-counts up, and makes its own segment of the filter, BITS bits to an entry. The segments are joined and broadcast.
+counts up, and makes its own segment of the filter, BITS bits to an entry. The segments are joined and broadcast. There is
+a shard to every SHARD_BYTES of text, so the memory of its task does not grow with the corpus.
 The filter grows with the corpus up to MAX_BITS bits; beyond that it is filled more densely, which makes levels read back
 too high more often, but no n-gram is left out.
 
@@ -34,6 +35,8 @@ MODULUS, HELD_OUT = 7, 2
 BITS, HASHES, MAX_BITS = 8, 4, 1 << 31
 #: Weight of the two-token estimate.
 WEIGHT = 0.6
+#: Bytes of training text to a shard, at most on average; a shard is counted in one task.
+SHARD_BYTES = 1 << 27
 #: Exact counts that are broadcast at most.
 HEAD = 1 << 20
 #: Tokens that are handled at once in a task.
@@ -250,12 +253,14 @@ class Scorer:
         }
 
 
-def scores(docs: DataFrame, head: int = HEAD, max_bits: int = MAX_BITS) -> DataFrame:
+def scores(docs: DataFrame, head: int = HEAD, max_bits: int = MAX_BITS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Every row of docs with its counts, base score and the model's score."""
     spark = docs.sparkSession
     rows = docs.select("text", "doc_id", F.coalesce(id_remainder("doc_id", MODULUS) == HELD_OUT, F.lit(False)).alias("held_out"))
-    shards = max(32, 2 * shuffle_width(spark))
-    parts = rows.where(~F.col("held_out")).select("text").mapInArrow(_counted(shards), "shard int, n int, codes binary, counts binary")
+    training = rows.where(~F.col("held_out")).select("text")
+    size = training.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(32, 2 * shuffle_width(spark), -(-size // shard_bytes))
+    parts = training.mapInArrow(_counted(shards), "shard int, n int, codes binary, counts binary")
     made = staged(parts.groupBy("shard").applyInPandas(_segment(shards, max_bits), _SHARD), "ngram-shards")
 
     segments, tokens, by_level = {}, 0, np.zeros(64, np.int64)
