@@ -231,8 +231,17 @@ def star_components(links: DataFrame) -> DataFrame:
 def components(docs: DataFrame, node_limit: int = NODE_LIMIT) -> DataFrame:
     """(key, doc_id, fp, component_id) for every row of docs."""
     marked = staged(fingerprints(docs), "fingerprints")
-    distinct = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
-    stars = star_components(near_links(distinct, node_limit))
+    distinct = least_ids(marked)
+    return labelled(marked, distinct, near_links(distinct, node_limit))
+
+
+def least_ids(marked: DataFrame) -> DataFrame:
+    return staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
+
+
+def labelled(marked: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, doc_id, fp, component_id) for every row of marked, from links between its fingerprints."""
+    stars = star_components(links)
     member = stars.select(F.col("v").alias("fp"), "root").unionByName(stars.select(F.col("root").alias("fp"), "root").distinct())
     member = member.join(distinct, "fp")
     least = member.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -249,6 +258,11 @@ def op4_simhash_gray(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each group: that of the component's id; a group without any id keeps its rows."""
-    kept = components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("key").alias("__key")).distinct()
+    return keep_least(docs, components(docs))
+
+
+def keep_least(docs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rows of docs that bear the id of their component."""
+    kept = parts.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("key").alias("__key")).distinct()
     rows = docs.withColumn("__key", row_key("doc_id", "text")).join(kept.hint("shuffle_hash"), "__key", "left_semi")
     return rows.dropDuplicates(["doc_id", "__key"]).select(docs.columns)
