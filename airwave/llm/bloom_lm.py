@@ -5,10 +5,10 @@ each level up to q. A count is read back by probing levels upwards until one is
 one- and two-token counts of the training documents; probabilities interpolate the two orders.
 
 N-grams are counted where they are read (sorted arrays of hashes and counts) and meet in shards by hash; each shard
-counts up, and makes its own segment of the filter, BITS bits to an entry. The segments are joined and broadcast. There is
-a shard to every SHARD_BYTES of text, so the memory of its task does not grow with the corpus.
-The filter grows with the corpus up to MAX_BITS bits; beyond that it is filled more densely, which makes levels read back
-too high more often, but no n-gram is left out.
+counts up, and makes its own segment of the filter, BITS bits to an entry at every size. There is a shard to every
+SHARD_BYTES of text, so the memory of its task does not grow with the corpus.
+Segments are broadcast in groups of MAX_BITS bits. A task holds one group at a time: where there are several, the codes
+of a whole batch of documents are held against one after the other, each code against the group of its shard.
 
 The base score needs exact counts. The most frequent tokens, HEAD at most, are broadcast as sorted arrays; the others are
 joined by Spark on their hashes.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from airwave.llm.common import id_remainder, map_batches, shuffle_width, staged, utf8
 
 MODULUS, HELD_OUT = 7, 2
-#: Bits to an entry, hash functions, and the most bits in all (256 MB).
+#: Bits to an entry, hash functions, and the most bits of a group of segments (256 MB).
 BITS, HASHES, MAX_BITS = 8, 4, 1 << 31
 #: Weight of the two-token estimate.
 WEIGHT = 0.6
@@ -39,8 +39,8 @@ WEIGHT = 0.6
 SHARD_BYTES = 1 << 27
 #: Exact counts that are broadcast at most.
 HEAD = 1 << 20
-#: Tokens that are handled at once in a task.
-SLICE = 400_000
+#: Tokens that are handled at once in a task, and slices that wait for a pass over several groups of segments.
+SLICE, WAITING = 400_000, 12
 
 _U = np.uint64
 _END = xxhash.xxh3_64_intdigest(b"")
@@ -128,6 +128,28 @@ class LogFrequencyFilter:
         return out
 
 
+class GroupedFilter:
+    """A filter whose segments are broadcast in groups; one group is in memory at a time."""
+
+    def __init__(self, groups: list, group_of: np.ndarray) -> None:
+        self.groups, self.group_of = groups, group_of
+        self.slices = 1 if len(groups) < 2 else WAITING
+
+    def levels(self, codes: np.ndarray) -> np.ndarray:
+        if len(self.groups) == 1:
+            return self.groups[0].value.levels(codes)
+        out = np.zeros(len(codes), np.int64)
+        own = self.group_of[shard_of(codes, len(self.group_of))]
+        for g, shared in enumerate(self.groups):
+            at = np.flatnonzero(own == g)
+            if len(at):
+                # value would keep every group for as long as the worker lives
+                lm = shared.value if hasattr(shared, "_value") else shared.load_from_path(shared._path)
+                out[at] = lm.levels(codes[at])
+                del lm
+        return out
+
+
 def shard_of(codes: np.ndarray, shards: int) -> np.ndarray:
     return ((codes >> _U(40)) * _U(shards) >> _U(24)).astype(np.int64)
 
@@ -166,7 +188,10 @@ def _counted(shards: int):
 
 
 def _segment(shards: int, max_bits: int):
-    """All parts of a shard to its exact token counts and its segment of the filter."""
+    """All parts of a shard to its exact token counts and its segment of the filter, which is never above BITS to an entry.
+
+    A segment of more than max_bits is a group by itself.
+    """
 
     def go(group: pd.DataFrame) -> pd.DataFrame:
         entries, exact = [], None
@@ -177,7 +202,7 @@ def _segment(shards: int, max_bits: int):
             if order == 1:
                 exact = codes, counts
         total = int(sum(q.sum() for _, q in entries))
-        bits = max(8, -(-min(total * BITS, max_bits // shards) // 8) * 8)
+        bits = max(8, -(-total * BITS // 8) * 8)
         data = np.zeros(bits, bool)
         for codes, q in entries:
             for level in range(1, int(q.max(initial=0)) + 1):
@@ -209,8 +234,8 @@ def _unpacked(least: int, most: int):
 
 
 class Scorer:
-    def __init__(self, lm: LogFrequencyFilter, head: tuple[np.ndarray, np.ndarray], tokens: int, distinct: int) -> None:
-        self.lm, self.codes, self.counts, self.tokens, self.distinct = lm, *head, tokens, distinct
+    def __init__(self, head: tuple[np.ndarray, np.ndarray], tokens: int, distinct: int) -> None:
+        self.codes, self.counts, self.tokens, self.distinct = *head, tokens, distinct
 
     def exact(self, codes: np.ndarray) -> np.ndarray:
         """The counts of the head; -1 for codes outside it."""
@@ -219,27 +244,48 @@ class Scorer:
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
         return np.where(self.codes[at] == codes, self.counts[at], -1)
 
-    def __call__(self, batch: pa.RecordBatch) -> dict[str, list]:
+    @staticmethod
+    def levelled(texts: list[bytes], lm: GroupedFilter) -> Iterator[tuple]:
+        """The slices of texts: first document, lengths, and codes, places and levels of tokens and of pairs."""
+        held = []
+
+        def flush():
+            found = lm.levels(np.concatenate([x for _, _, one, _, two, _ in held for x in (one, two)]))
+            at = 0
+            for first, lengths, one, inverse, two, where in held:
+                mid, end = at + len(one), at + len(one) + len(two)
+                yield first, lengths, one, inverse, two, where, found[at:mid], found[mid:end]
+                at = end
+            held.clear()
+
+        for first, lengths, tokens in slices(texts):
+            one, inverse = np.unique(mixed(tokens), return_inverse=True)
+            two, where = np.unique(pair_codes(tokens, lengths), return_inverse=True)
+            held.append((first, lengths, one, inverse.astype(np.int32), two, where.astype(np.int32)))
+            if len(held) >= lm.slices:
+                yield from flush()
+        if held:
+            yield from flush()
+
+    def __call__(self, batch: pa.RecordBatch, lm: GroupedFilter) -> dict[str, list]:
         texts = utf8(batch)
         out = {k: np.zeros(len(texts)) for k in ("head_score", "score", "n_tokens", "head_known")}
         tail: list = [None] * len(texts)
         total = self.tokens + self.distinct + 1
-        for first, lengths, tokens in slices(texts):
+        for first, lengths, one, inverse, _, where, level_one, level_two in self.levelled(texts, lm):
             doc = np.repeat(np.arange(len(lengths)), lengths)
             rows = slice(first, first + len(lengths))
-            one, inverse = np.unique(mixed(tokens), return_inverse=True)
             exact = self.exact(one)[inverse]
             known = exact >= 0
             out["n_tokens"][rows] = lengths
             out["head_known"][rows] = np.bincount(doc, known, len(lengths))
             out["head_score"][rows] = np.bincount(doc, np.where(known, np.log10(np.maximum(exact + 1, 1) / total), 0), len(lengths))
-            single = count_of(self.lm.levels(one))[inverse]
-            two, where = np.unique(pair_codes(tokens, lengths), return_inverse=True)
-            double = count_of(self.lm.levels(two))[where]
-            context = np.empty(len(tokens))
+            single = count_of(level_one)[inverse]
+            double = count_of(level_two)[where]
+            context = np.empty(len(inverse))
             context[1:] = single[:-1]
             context[np.cumsum(lengths) - lengths] = single[-1]  # as many starts as ends
-            ratio = np.minimum(1.0, np.divide(double, context, out=np.zeros(len(tokens)), where=context > 0))
+            ratio = np.minimum(1.0, np.divide(double, context, out=np.zeros(len(inverse)), where=context > 0))
             p = WEIGHT * ratio + (1 - WEIGHT) * np.minimum(1.0, (single + 1) / total)
             out["score"][rows] = np.bincount(doc, np.log10(p), len(lengths))
             ends = np.cumsum(lengths)
@@ -263,9 +309,15 @@ def scores(docs: DataFrame, head: int = HEAD, max_bits: int = MAX_BITS, shard_by
     parts = training.mapInArrow(_counted(shards), "shard int, n int, codes binary, counts binary")
     made = staged(parts.groupBy("shard").applyInPandas(_segment(shards, max_bits), _SHARD), "ngram-shards")
 
-    segments, tokens, by_level = {}, 0, np.zeros(64, np.int64)
+    segments, groups, group_of, held = {}, [], np.zeros(shards, np.int64), 0
+    tokens, by_level = 0, np.zeros(64, np.int64)
     for r in made.select("shard", "bits", "segment", "tokens", "by_level").toLocalIterator():
+        if segments and held + r.bits > max_bits:
+            groups.append(spark.sparkContext.broadcast(LogFrequencyFilter(segments, shards)))
+            segments, held = {}, 0
         segments[r.shard] = r.bits, bytes(r.segment)
+        group_of[r.shard] = len(groups)
+        held += r.bits
         tokens += r.tokens
         by_level += np.array(r.by_level)
     above = by_level[::-1].cumsum()[::-1]
@@ -274,10 +326,11 @@ def scores(docs: DataFrame, head: int = HEAD, max_bits: int = MAX_BITS, shard_by
     top = counts(1 << (level - 1), 1 << 62).toArrow()
     codes = top["code"].to_numpy().view(_U)
     order = np.argsort(codes)
-    scorer = Scorer(LogFrequencyFilter(segments, shards), (codes[order], top["count"].to_numpy()[order]), tokens, int(by_level.sum()))
+    groups.append(spark.sparkContext.broadcast(LogFrequencyFilter(segments, shards)))
+    lm, scorer = GroupedFilter(groups, group_of), Scorer((codes[order], top["count"].to_numpy()[order]), tokens, int(by_level.sum()))
     shared = spark.sparkContext.broadcast(scorer)
     schema = "doc_id long, held_out boolean, n_tokens long, head_known long, head_score double, score double, tail array<long>"
-    scored = map_batches(rows, lambda batch: shared.value(batch), schema)
+    scored = map_batches(rows, lambda batch: shared.value(batch, lm), schema)
     scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "head-scores")
 
     total = F.lit(float(scorer.tokens + scorer.distinct + 1))
