@@ -3,20 +3,47 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Used where spark.checkpoint.dir is unset and driver and executors are one machine, as in tests.
+LOCAL_FOLDER = "/tmp/checkpoints"
+_SCOPES: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a local folder only where it is unset, as in tests."""
+    """spark.checkpoint.dir. A cluster has to name it; only a local master may do without."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "/tmp/checkpoints"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        root = LOCAL_FOLDER
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[str]:
+    """A folder for all that is cut inside; it is deleted at the end, so results have to be written before."""
+    folder = f"{shared_folder(spark)}/airwave/run-{uuid.uuid4().hex}"
+    _SCOPES.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPES.remove(folder)
+        remove(spark, folder)
+
+
 def save(df: DataFrame, name: str, overwrite: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
     """Write df under a name unless it is there already (or overwrite), and read it back."""
     path = f"{shared_folder(df.sparkSession)}/airwave/{name}"
@@ -26,8 +53,9 @@ def save(df: DataFrame, name: str, overwrite: bool = False, by: tuple[str, ...]
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """A fresh artefact: cuts lineage between the steps of an iteration."""
-    path = f"{shared_folder(df.sparkSession)}/airwave/{name}-{uuid.uuid4().hex}"
+    """A fresh artefact: cuts lineage between the steps of an iteration. Without ``temporary`` it stays, as its readers are lazy."""
+    folder = _SCOPES[-1] if _SCOPES else f"{shared_folder(df.sparkSession)}/airwave"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
