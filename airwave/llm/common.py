@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from airwave.sources.artifacts import cut as staged
 from airwave.sources.artifacts import shared_folder as scratch_dir
 
-__all__ = ["SPACE", "as_array", "id_remainder", "map_batches", "read_table", "row_key", "scratch_dir", "shuffle_width", "staged", "utf8"]
+__all__ = ["KEY", "SPACE", "as_array", "id_remainder", "map_batches", "read_table", "row_key", "scratch_dir", "shuffle_width", "staged", "utf8"]
 
 #: Words of the contracts are runs of bytes other than 0x20 and 0x09-0x0D; ``bytes.split()`` cuts at exactly these.
 SPACE = b" \t\n\r\x0b\x0c"
@@ -47,9 +47,14 @@ def utf8(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()]
 
 
+#: The type of row_key, for schemas.
+KEY = "struct<a:long,b:long>"
+
+
 def row_key(*names: str) -> Column:
-    """A 64-bit key of a row's content. Equal rows share it, and operators that use it give equal rows equal results."""
-    return F.xxhash64(*(F.col(n) for n in names), *(F.col(n).isNull() for n in names))
+    """A 128-bit key of a row's content, two hashes of different seeds. Equal rows share it, and operators give them equal results."""
+    content = [*(F.col(n) for n in names), *(F.col(n).isNull() for n in names)]
+    return F.struct(F.xxhash64(*content).alias("a"), F.xxhash64(F.lit("second"), *content).alias("b"))
 
 
 def id_remainder(column: str, modulus: int) -> Column:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airwave.llm.common import map_batches, row_key, staged, utf8
+from airwave.llm.common import KEY, map_batches, row_key, staged, utf8
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -40,7 +40,7 @@ def _sizes(batch: pa.RecordBatch) -> dict[str, list]:
 def sizes(docs: DataFrame) -> DataFrame:
     """(key, doc_id, place, size, h): place is the source, made not null; h the hash that orders a source."""
     rows = docs.select(row_key("doc_id", "source", "text").alias("key"), "doc_id", "source", "text")
-    sized = map_batches(rows, _sizes, "key long, doc_id long, source string, size long")
+    sized = map_batches(rows, _sizes, f"key {KEY}, doc_id long, source string, size long")
     place = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
     return sized.select("key", "doc_id", place.alias("place"), "size", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"))
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.llm.common import map_batches, row_key, utf8
+from airwave.llm.common import KEY, map_batches, row_key, utf8
 
 #: Places looked at (1) and ignored (0). Of a 20-token stretch, one of them survives any two changed tokens in most places.
 MASKS = ("1101100110111", "1110010101011", "11101101")
@@ -36,7 +36,7 @@ _KEEP = bytes(c if c >= 0x80 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in
 _FACTORS = np.random.default_rng(5).integers(1, 2**62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BITS = 20
 _RESULT = (
-    "key long, doc_id long, item_id long, n_seed_hits long, first_token long, n_tokens long, n_matched long, similarity double"
+    f"key {KEY}, doc_id long, item_id long, n_seed_hits long, first_token long, n_tokens long, n_matched long, similarity double"
 )
 
 

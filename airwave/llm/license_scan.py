@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.llm.common import map_batches, row_key, utf8
+from airwave.llm.common import KEY, map_batches, row_key, utf8
 
 #: Fixed by the contract: phrases and their labels.
 PHRASES = {b"mit license": "mit", b"apache license": "apache", b"general public license": "gpl"}
@@ -41,7 +41,7 @@ EDIT_SHARE = 12
 
 _KEEP = bytes(c if c >= 0x80 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _RESULT = (
-    "key long, doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, "
+    f"key {KEY}, doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, "
     "notices array<struct<label:string,start_word:long,end_word:long,edits:int,similarity:double>>"
 )
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.llm.common import SPACE, map_batches, row_key, staged, utf8
+from airwave.llm.common import KEY, SPACE, map_batches, row_key, staged, utf8
 from airwave.llm.rewrite import rewrite_text
 
 #: A line is removed when more than both of these many documents of its host hold it.
@@ -34,7 +34,7 @@ WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 _NOT_CHARS = SPACE + bytes(range(0x80, 0xC0))
 _FEATURES = (
-    "key long, doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    f"key {KEY}, doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, body long, lines array<struct<h:long,w:int>>"
 )
 _PRIMES = np.random.default_rng(11).integers(1, 2**62, WINDOW, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airwave.llm.common import map_batches, row_key, staged, utf8
+from airwave.llm.common import KEY, map_batches, row_key, staged, utf8
 
 MAX_DIFF = 2
 SHINGLE = 3
@@ -60,7 +60,7 @@ def _fingerprints(batch: pa.RecordBatch) -> dict[str, list]:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
-    return map_batches(rows, _fingerprints, "key long, doc_id long, fp long")
+    return map_batches(rows, _fingerprints, f"key {KEY}, doc_id long, fp long")
 
 
 def mask_tree() -> list[list[tuple[int, int]]]:

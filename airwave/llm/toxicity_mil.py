@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.llm.common import id_remainder, map_batches, row_key, utf8
+from airwave.llm.common import KEY, id_remainder, map_batches, row_key, utf8
 
 #: The bound on labelled documents that train.
 MAX_TRAIN_DOCS = 20_000
@@ -212,7 +212,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         return {"key": batch.column(0), "doc_id": batch.column(1), "score": scores, "offending": spans}
 
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
-    return map_batches(rows, score, "key long, doc_id long, score double, offending array<struct<start:long,end:long,score:double>>")
+    return map_batches(rows, score, f"key {KEY}, doc_id long, score double, offending array<struct<start:long,end:long,score:double>>")
 
 
 def op2_toxicity_mil(docs: DataFrame, labels: DataFrame) -> DataFrame:

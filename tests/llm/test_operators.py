@@ -252,39 +252,6 @@ def test_filter_holds_every_level():
     assert (lm.levels(rnd.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)) == 0).mean() > 0.9
 
 
-def test_suffix_dedup(docs, rows):
-    got = by_id(suffix_dedup.repeats(docs))
-    data = [(r[1] or "").encode() for r in rows]
-    count = collections.Counter(d[i : i + 200] for d in data for i in range(len(d) - 199))
-    for r, d in zip(rows, data, strict=True):
-        gone = np.zeros(len(d) + 1, int)
-        for i in range(len(d) - 199):
-            if count[d[i : i + 200]] > 1:
-                gone[i : i + 200] = 1
-        kept = bytes(c for c, g in zip(d, gone[:-1], strict=True) if not g)
-        spans = int((np.diff(gone, prepend=0) == 1).sum())
-        for g in got[r[0]] if r[0] is not None else []:
-            assert (g.n_bytes, g.n_removed, g.n_spans, g.kept_sha256) == (len(d), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()), r[0]
-
-
-def test_runs_hold_every_string_once(rows, monkeypatch):
-    texts = [(r[1] or "").encode() for r in rows]
-    want = [(i, s) for i, d in enumerate(texts) for s in range(len(d) - 199)]
-    for chunk in (suffix_dedup.CHUNK, 700):
-        monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
-        got = []
-        for data, text, bounds, at in suffix_dedup.pieces(texts):
-            _, _, part, first, n = suffix_dedup.runs(data, bounds)
-            got += [(int(text[p]), int(f - bounds[p] + at[p]) + k) for p, f, m in zip(part, first, n, strict=True) for k in range(m)]
-        assert sorted(got) == want
-
-
-def test_suffix_dedup_with_a_full_filter(docs, monkeypatch):
-    want = sorted(map(tuple, suffix_dedup.op6_suffix_dedup(docs).collect()), key=str)
-    monkeypatch.setattr(suffix_dedup, "MAX_SLOTS", 1 << 6)
-    assert sorted(map(tuple, suffix_dedup.op6_suffix_dedup(docs).collect()), key=str) == want
-
-
 def test_decontamination(spark):
     rnd = random.Random(9)
     word = lambda: "".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(3))
