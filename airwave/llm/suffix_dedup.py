@@ -41,8 +41,8 @@ LENGTH, ANCHOR = 200, 32
 CHUNK = 1 << 20
 #: Hot anchors: in more than this share of about so many sampled documents, and in LEAST_HOT at least; tasks for each.
 HOT_DOCS, HOT_SHARE, LEAST_HOT, SALTS = 4096, 0.005, 20, 64
-#: What was found is broadcast below this size.
-BROADCAST_BYTES = 32 << 20
+#: What was found is broadcast below this size. The bound is low, so that the plan is the same for all but small tables.
+BROADCAST_BYTES = 1 << 20
 
 _U = np.uint64
 _TABLE = np.random.default_rng(7).integers(1, 2**62, 256, dtype=_U) * _U(2) + _U(1)
@@ -249,7 +249,7 @@ def _unpacked(x: np.ndarray) -> tuple[np.ndarray, ...]:
 def beside(rows: DataFrame, lists: DataFrame, size: Column, how: str) -> DataFrame:
     """rows with what lists has for their keys; broadcast only if its counted size is below BROADCAST_BYTES."""
     total = lists.agg(F.sum(F.lit(96) + size)).first()[0] or 0
-    return rows.join(F.broadcast(lists) if total <= BROADCAST_BYTES else lists, ["ka", "kb"], how)
+    return rows.join(F.broadcast(lists) if total <= BROADCAST_BYTES else lists.hint("merge"), ["ka", "kb"], how)
 
 
 def _listed(batch: pa.RecordBatch):
