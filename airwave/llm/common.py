@@ -12,9 +12,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Staged tables go to the shared folder that the cluster names in spark.checkpoint.dir.
 from airwave.sources.artifacts import cut as staged
+from airwave.sources.artifacts import remove, temporary
 from airwave.sources.artifacts import shared_folder as scratch_dir
 
-__all__ = ["KEY", "SPACE", "as_array", "id_remainder", "map_batches", "read_table", "row_key", "scratch_dir", "shuffle_width", "staged", "utf8"]
+__all__ = ["KEY", "SPACE", "as_array", "id_remainder", "map_batches", "read_table", "remove", "row_key", "scratch_dir", "shuffle_width", "staged", "temporary", "utf8"]
 
 #: Words of the contracts are runs of bytes other than 0x20 and 0x09-0x0D; ``bytes.split()`` cuts at exactly these.
 SPACE = b" \t\n\r\x0b\x0c"

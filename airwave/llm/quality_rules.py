@@ -1,11 +1,14 @@
 """Quality rules by cross-document line frequency.
 
 Lines are normalised (ASCII lower case, runs of white space to one space) and hashed. For each host (column
-``source``) the distinct documents that hold a line are counted, exact copies of a text once. A line above the host's
-limit is removed from all of the host's documents; a document that keeps too small a share of its words is rejected.
+``source``) the distinct documents that hold a line are counted. A document is distinct by its text: copies of a page are
+one, or else a page that was crawled often would lose all of its lines in all of its copies. A line above a limit - a share of
+the host's documents, or for lines of several words a number of them - is removed from all of the host's documents; a
+document that keeps too small a share of its words is rejected.
 
 The text is read in one Arrow pass, which gives the per-document figures and the hashed lines; counting is a
-partially aggregated shuffle of (host, line, text) hashes, and the few lines above their limits are joined back.
+partially aggregated shuffle of (host, line, text) hashes. The few lines above their limits are written and joined back:
+broadcast by Spark while they are small, else by shuffles whose hot keys Spark can split.
 
 Defined cases: null text is empty text; a null source is the host ''; lines without a word are never counted nor
 removed; equal rows count as copies of one text and get equal results; an empty table gives an empty result. Only
@@ -23,8 +26,10 @@ from pyspark.sql import functions as F
 from airwave.llm.common import KEY, SPACE, map_batches, row_key, staged, utf8
 from airwave.llm.rewrite import rewrite_text
 
-#: A line is removed when more than both of these many documents of its host hold it.
+#: A line is removed when more than MIN_DOCS documents of its host hold it and these are above MAX_SHARE of the host's,
 MIN_DOCS, MAX_SHARE = 20, 0.05
+#: or when more than MAX_DOCS hold it, at whatever size of the host, if it has LINE_WORDS words at least.
+MAX_DOCS, LINE_WORDS = 200, 5
 #: A document is depleted when less than this share of its words is left.
 LEAST_LEFT = 0.3
 #: Base rule: fewer words than this fail, and more repeated words than this percentage.
@@ -108,18 +113,21 @@ def line_features(docs: DataFrame) -> DataFrame:
     return map_batches(rows, _features, _FEATURES)
 
 
-def frequent_lines(features: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """(host, h, n_docs): lines that more distinct texts of a host hold than both limits allow."""
-    lines = features.select("host", "body", F.explode("lines.h").alias("h")).distinct()
-    counts = lines.groupBy("host", "h").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > min_docs)
+def frequent_lines(features: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_docs: int = MAX_DOCS) -> DataFrame:
+    """(host, h, n_docs): lines that more distinct documents of a host hold than a limit allows."""
+    lines = features.select("host", "body", F.explode("lines").alias("line")).select("host", "body", "line.h", "line.w").distinct()
+    counts = lines.groupBy("host", "h", "w").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > min_docs)
     hosts = features.select("host", "body").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    return counts.join(hosts, "host").where(F.col("n_docs") > F.lit(max_share) * F.col("host_docs")).select("host", "h", "n_docs")
+    above = (F.col("n_docs") > F.lit(max_share) * F.col("host_docs")) | ((F.col("n_docs") > max_docs) & (F.col("w") >= LINE_WORDS))
+    return counts.join(hosts, "host").where(above).select("host", "h", "n_docs")
 
 
-def verdicts(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, least_left: float = LEAST_LEFT) -> DataFrame:
+def verdicts(
+    docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_docs: int = MAX_DOCS, least_left: float = LEAST_LEFT
+) -> DataFrame:
     """Every row of docs with its figures, the hashes of its removed lines and the verdict."""
     features = staged(line_features(docs), "line-features")
-    frequent = frequent_lines(features, min_docs, max_share).select("host", "h")
+    frequent = staged(frequent_lines(features, min_docs, max_share, max_docs).select("host", "h"), "frequent-lines")
     removed = (
         features.select("key", "host", F.explode("lines").alias("line"))
         .select("key", "host", "line.h", "line.w")
@@ -127,6 +135,7 @@ def verdicts(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_S
         .groupBy("key")
         .agg(F.collect_set(F.struct("h", "w")).alias("gone"))  # a set, as equal rows share a key
     )
+    removed = staged(removed, "removed-lines")
     gone = F.aggregate("gone", F.lit(0).cast("long"), lambda acc, x: acc + x["w"])
     return (
         features.drop("lines")
@@ -146,13 +155,13 @@ def op1_quality_rules(docs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, **limits: float) -> DataFrame:
     """The documents that stay, with their columns, without the lines above the limits; n_chars is counted anew."""
-    judged = verdicts(docs, **limits).where("kept").select("key", "removed").distinct()
+    judged = verdicts(docs, **limits).where("not kept or removed is not null").select("key", "kept", "removed").distinct()
 
     def cut(text: str, removed: list[int]) -> str:
         gone = set(removed)
         return "\n".join(x for x in text.split("\n") if line_hash(normalised(x.encode())) not in gone)
 
-    return rewrite_text(docs, row_key("doc_id", "source", "text"), judged, "removed", cut, "inner")
+    return rewrite_text(docs, row_key("doc_id", "source", "text"), judged, "removed", cut, ~F.col("kept"))
 
 
 OP1_SQL = r"""
@@ -174,8 +183,8 @@ WITH d AS (
   SELECT r, host, text, array_to_string(lw, ' ') AS nl, len(lw) AS n FROM lines
 ), dup AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY r
 ), freq AS (
-  SELECT host, nl FROM (SELECT host, nl, count(DISTINCT text) AS c FROM norm GROUP BY ALL)
-  JOIN (SELECT host, count(DISTINCT text) AS h FROM d GROUP BY host) USING (host) WHERE c > 20 AND c > 0.05 * h
+  SELECT host, nl FROM (SELECT host, nl, n, count(DISTINCT text) AS c FROM norm GROUP BY ALL)
+  JOIN (SELECT host, count(DISTINCT text) AS h FROM d GROUP BY host) USING (host) WHERE c > 20 AND (c > 0.05 * h OR (c > 200 AND n >= 5))
 ), gone AS (SELECT r, sum(n) AS n_removed_words FROM norm SEMI JOIN freq USING (host, nl) GROUP BY r
 ), f AS (
   SELECT d.doc_id, len(ws)::BIGINT AS n_words,
