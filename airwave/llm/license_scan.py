@@ -4,13 +4,15 @@ Texts and notices are brought to words of lower-case ASCII letters, digits and n
 between. A notice of m characters may differ in k = m // EDIT_SHARE edits (one at least). It is cut into k + 1
 pieces; a place within k edits holds at least one of them unchanged (pigeonhole), so an exact search for the pieces
 finds all candidates. Around each, the regex library's bounded-error matching decides, counts the edits and gives the span.
+Words that tell licenses apart have to stand in the span unchanged ("by nc", not "by sd"), and of notices that overlap the
+one with the highest similarity names the place, so siblings are not taken for each other.
 
 The scan is one map-only pass; nothing is shuffled or broadcast but the notices.
 
 Windows hold one place at most, so the work grows with the text, also where a notice is repeated over a very long one.
 
-Defined cases: null text is empty; overlapping places of a phrase all count; of matches of a notice that overlap, the one
-with fewer edits is reported, the earlier of equals; repeated rows give repeated results.
+Defined cases: null text is empty; overlapping places of a phrase all count; of matches that overlap, the most similar one is
+reported, then the longer, then the earlier; repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -24,18 +26,32 @@ from airwave.llm.common import KEY, map_batches, row_key, utf8
 
 #: Fixed by the contract: phrases and their labels.
 PHRASES = {b"mit license": "mit", b"apache license": "apache", b"general public license": "gpl"}
-#: Notices searched with errors, by label.
+#: Elements of a Creative Commons license beside attribution, in short and in full.
+CC = {
+    "": "",
+    " sa": " sharealike",
+    " nd": " noderivatives",
+    " nc": " noncommercial",
+    " nc sa": " noncommercial sharealike",
+    " nc nd": " noncommercial noderivatives",
+}
+#: Notices searched with errors: label, text, and the words that must not differ.
 NOTICES = (
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("gpl", "licensed under the gnu general public license version 3"),
-    ("gpl", "redistribute it and or modify it under the terms of the gnu general public license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("mpl", "subject to the terms of the mozilla public license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
-    ("proprietary", "all rights reserved"),
+    ("mit", "released under the mit license", "mit license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy", ""),
+    ("apache", "licensed under the apache license version 2 0", "apache license"),
+    ("gpl", "licensed under the gnu general public license version 3", "gnu general public license"),
+    ("lgpl", "licensed under the gnu lesser general public license version 3", "gnu lesser general public license"),
+    ("agpl", "licensed under the gnu affero general public license version 3", "gnu affero general public license"),
+    ("gpl", "redistribute it and or modify it under the terms of the gnu general public license", "gnu general public license"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", ""),
+    ("mpl", "subject to the terms of the mozilla public license", "mozilla"),
+    ("proprietary", "all rights reserved", "rights"),
+    *((f"cc-by{short.replace(' ', '-')}", f"licensed under cc by{short} 4 0", f"cc by{short}") for short in CC),
+    *(
+        (f"cc-by{short.replace(' ', '-')}", f"licensed under a creative commons attribution{full} 4 0 international license", f"attribution{full}")
+        for short, full in CC.items()
+    ),
 )
 EDIT_SHARE = 12
 
@@ -47,9 +63,9 @@ _RESULT = (
 
 
 class Notice:
-    def __init__(self, label: str, text: str) -> None:
+    def __init__(self, label: str, text: str, exact: str = "") -> None:
         data = text.encode()
-        self.label, self.size = label, len(data)
+        self.label, self.size, self.exact = label, len(data), exact.encode()
         self.edits = max(1, len(data) // EDIT_SHARE)
         cuts = [len(data) * i // (self.edits + 1) for i in range(self.edits + 2)]
         self.pieces = [(a, data[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
@@ -71,11 +87,20 @@ class Notice:
                 out.append((s, s))
         return [(max(0, a - self.edits), min(b + self.size + self.edits, len(text))) for a, b in out]
 
+    def tells(self, text: bytes, a: int, b: int) -> bool:
+        """Whether the words that must not differ are whole words of a match."""
+        if not self.exact:
+            return True
+        a = text.rfind(b" ", 0, a + 1) + 1
+        b = text.find(b" ", b)
+        return b" " + self.exact + b" " in b" " + text[a : b if b >= 0 else len(text)] + b" "
+
     def find(self, text: bytes) -> list[tuple[int, int, int]]:
         """(start, end, edits) in bytes of the matches, in order; they don't overlap."""
         found = (self.pattern.search(text, a, b) for a, b in self.windows(text))
+        found = (m for m in found if m and self.tells(text, *m.span()))
         out: list[tuple[int, int, int]] = []
-        for match in sorted({(m.start(), m.end(), sum(m.fuzzy_counts)) for m in found if m}):
+        for match in sorted({(m.start(), m.end(), sum(m.fuzzy_counts)) for m in found}):
             if not out or match[0] >= out[-1][1]:
                 out.append(match)
             elif match[2] < out[-1][2]:
@@ -114,19 +139,42 @@ def base_places(padded: bytes) -> list[tuple[int, str]]:
     return out
 
 
+def best_of_overlapping(found: list[tuple[int, int, int, Notice]]) -> list[tuple[int, int, int, Notice]]:
+    """Matches of all notices in order of their starts, without those that overlap a better one."""
+    out: list[tuple[int, int, int, Notice]] = []
+    better = lambda x: (x[2] / x[3].size, x[0] - x[1], x[0], x[3].label)
+    stretch: list[tuple[int, int, int, Notice]] = []
+
+    def settle() -> None:
+        kept: list[tuple[int, int, int, Notice]] = []
+        for x in sorted(stretch, key=better):
+            if all(x[1] <= y[0] or y[1] <= x[0] for y in kept):
+                kept.append(x)
+        out.extend(sorted(kept, key=lambda x: x[:3]))
+
+    end = -1
+    for x in sorted(found, key=lambda x: x[:3]):  # stretches of matches that overlap each other; matches of one notice do not
+        if x[0] >= end:
+            settle()
+            stretch.clear()
+        stretch.append(x)
+        end = max(end, x[1])
+    settle()
+    return out
+
+
 def scan(data: bytes) -> tuple[int, list[tuple[int, str]], list[tuple[str, int, int, int, float]]]:
     """Number of words, places of phrases, and notices as (label, first word, word after the last, edits, similarity)."""
     text = normalised(data)
     padded = b" " + text + b" "
-    notices = []
-    for notice in LIBRARY:
-        words = Counter(text)
-        for a, b, edits in notice.find(text):
-            while a < b and text[a] == 32:
-                a += 1
-            first = words.before(a)
-            notices.append((notice.label, first, first + text.count(b" ", a, max(b - 1, a)) + 1, edits, 1 - edits / notice.size))
-    return (text.count(b" ") + 1 if text else 0), base_places(padded) if text else [], sorted(notices, key=lambda x: (x[1], x[0]))
+    found = [(a, b, edits, notice) for notice in LIBRARY for a, b, edits in notice.find(text)]
+    notices, words = [], Counter(text)
+    for a, b, edits, notice in best_of_overlapping(found):
+        while a < b and text[a] == 32:
+            a += 1
+        first = words.before(a)
+        notices.append((notice.label, first, first + text.count(b" ", a, max(b - 1, a)) + 1, edits, 1 - edits / notice.size))
+    return (text.count(b" ") + 1 if text else 0), base_places(padded) if text else [], notices
 
 
 def _scanned(batch: pa.RecordBatch) -> dict[str, list]:
@@ -159,4 +207,5 @@ def op3_license_scan(docs: DataFrame) -> DataFrame:
         F.array_join(labels, ",").alias("labels"),
         F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(best).alias("score"),
         F.size("notices").cast("long").alias("n_notices"),
+        F.array_join(F.transform("notices", lambda x: F.concat_ws(":", *(x[k].cast("string") for k in ("label", "start_word", "end_word", "edits")))), ",").alias("notices"),
     )
