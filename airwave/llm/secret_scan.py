@@ -1,9 +1,12 @@
 """Secret scans by a battery of randomness tests.
 
-Fixed patterns give the base spans. Beside them, every run of token characters is a candidate if its characters
-fit an encoding (hex, base32, base64, base64url). Under the hypothesis that a candidate is random in its encoding three
-tests give p-values: chi-squared uniformity over the alphabet (in as many equal classes as the length supports), the
-runs test above and below the middle of the alphabet, and serial correlation of neighbours. Fisher's method joins them.
+Fixed patterns give the base spans. Beside them, every run of token characters that has two kinds of characters (digits, upper
+case, lower case) is a candidate in the smallest encoding that fits. Under the hypothesis that it is random in its encoding, tests
+give p-values: chi-squared uniformity over the alphabet and over its kinds of characters, the runs test above and below the
+middle of the alphabet (corrected for continuity), and serial correlation of neighbours (corrected for its mean). Tokens are
+short for their alphabets, so the tail of chi-squared is that of a gamma with the statistic's exact first three moments. The
+tests look at one string and are not independent, so the Cauchy combination joins them, whose small p-values hold under
+dependence; Fisher's method would not.
 
 A candidate is taken for text, not for a secret, where randomness is rejected with the false-discovery rate held at FDR
 within its length class (a secret that is thrown away is the false discovery). The threshold of a class is the largest
@@ -47,26 +50,33 @@ _CLASS[list(b"0123456789abcdef")] |= _HEX
 _CLASS[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] |= _TOKEN
 _DIGITS = "0123456789"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: From the smallest alphabet to the largest; all but base32 are in the order of their values.
+#: From the smallest alphabet to the largest.
 ENCODINGS = {
     "hex": _DIGITS + "abcdef",
     "HEX": _DIGITS + "ABCDEF",
     "base32": _UPPER + "234567",
     "upper36": _UPPER + _DIGITS,
     "lower36": _LOWER + _DIGITS,
+    "letters": _UPPER + _LOWER,
     "base64": _UPPER + _LOWER + _DIGITS + "+/",
     "base64url": _UPPER + _LOWER + _DIGITS + "-_",
+    "token": _UPPER + _LOWER + _DIGITS + "+/-_",
 }
 _ORDER = {name: {c: i for i, c in enumerate(chars)} for name, chars in ENCODINGS.items()}
+#: The kind of each character - upper case, lower case, or another - and the share of each kind that an encoding has.
+_KIND_OF, _KIND_SHARES = {}, {}
+for _name, _chars in ENCODINGS.items():
+    _own = np.unique([0 if c in _UPPER else 1 if c in _LOWER else 2 for c in _chars], return_inverse=True)[1]
+    _KIND_OF[_name], _KIND_SHARES[_name] = _own, np.bincount(_own) / len(_chars)
 _SPAN = "array<struct<kind:string,start:long,end:long>>"
 _CANDIDATE = "array<struct<start:long,end:long,grid:int,klass:int,encoding:string>>"
 
 
 def infer_encoding(token: str) -> str | None:
-    """The smallest encoding that fits and could not as well be a word: at least two kinds of characters."""
+    """The smallest encoding that fits; none for one kind of characters, which is a word or a number."""
     body = token.rstrip("=")
     kinds = (any(c in _DIGITS for c in body), any(c in _UPPER for c in body), any(c in _LOWER for c in body))
-    if len(body) < LEAST_RANDOM or sum(kinds) < 2 or not kinds[0]:
+    if len(body) < LEAST_RANDOM or sum(kinds) < 2:
         return None
     chars = set(body)
     return next((name for name, order in _ORDER.items() if chars <= order.keys()), None)
@@ -76,24 +86,39 @@ def _normal_tail(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
 
-def _chi2_tail(x: float, df: int) -> float:
+def _chi2_tail(x: float, df: float) -> float:
     """Upper tail of chi-squared by Wilson and Hilferty's cube root."""
     if df == 2:
-        return math.exp(-x / 2)
-    z = ((x / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+        return math.exp(-max(x, 0.0) / 2)
+    z = ((max(x, 0.0) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+def uniformity(counts: np.ndarray, n: int) -> float:
+    """The p-value of equal chances for all characters.
+
+    Counts are small, so the statistic is compared to a gamma of its own mean, variance and third moment (given by the size
+    of the alphabet and n), less half of the step between its values.
+    """
+    size = len(counts)
+    x = float((counts.astype(float) ** 2).sum()) * size / n - n - size / n
+    variance = 2 * (size - 1) * (n - 1) / n
+    skew = 4 * (size - 1) * (n - 1) * (2 * n + size - 6) / n**2 / variance**1.5
+    df = 8 / skew**2
+    return _chi2_tail(df + (x - (size - 1)) / math.sqrt(variance) * math.sqrt(2 * df), df)
+
+
 def battery(token: str, encoding: str) -> float:
-    """The joint p-value of the three tests under the hypothesis that the token is random in its encoding."""
+    """The joint p-value of the tests under the hypothesis that the token is random in its encoding."""
     order = _ORDER[encoding]
-    x = np.array([order[c] for c in token.rstrip("=")], float)
+    x = np.array([order[c] for c in token.rstrip("=")])
     n, size = len(x), len(order)
-    classes = max(2, min(size, n // 4))
-    seen = np.bincount((x * classes // size).astype(int), minlength=classes)
-    expect = n * np.bincount(np.arange(size) * classes // size, minlength=classes) / size
-    uniform = _chi2_tail(float(((seen - expect) ** 2 / expect).sum()), classes - 1) if classes != 2 else _normal_tail(
-        (seen[0] - expect[0]) / math.sqrt(n / 4)
+    uniform = uniformity(np.bincount(x, minlength=size), n)
+    share = _KIND_SHARES[encoding]
+    expect = n * share
+    seen = np.bincount(_KIND_OF[encoding][x], minlength=len(share))
+    kinds = _chi2_tail(float(((seen - expect) ** 2 / expect).sum()), len(share) - 1) if len(share) > 2 else _normal_tail(
+        max(0.0, abs(seen[0] - expect[0]) - 0.5) / math.sqrt(n * share[0] * share[1])
     )
     high = x >= size / 2
     ups = int(high.sum())
@@ -101,14 +126,25 @@ def battery(token: str, encoding: str) -> float:
     if ups and downs:
         mean = 1 + 2 * ups * downs / n
         variance = max((mean - 1) * (mean - 2) / (n - 1), 1e-9)
-        runs = _normal_tail((1 + int((high[1:] != high[:-1]).sum()) - mean) / math.sqrt(variance))
+        runs = _normal_tail(max(0.0, abs(1 + int((high[1:] != high[:-1]).sum()) - mean) - 0.5) / math.sqrt(variance))
     else:
         runs = 2.0 ** (1 - n)
-    spread = float(((x - x.mean()) ** 2).sum())
-    serial = 0.0 if not spread else _normal_tail(float(((x[1:] - x.mean()) * (x[:-1] - x.mean())).sum()) / spread * math.sqrt(n))
-    fisher = -2 * sum(math.log(max(p, 1e-300)) for p in (uniform, runs, serial))
-    half = fisher / 2
-    return min(1.0, math.exp(-half) * (1 + half + half * half / 2))
+    off = x - x.mean()
+    spread = float((off**2).sum())
+    serial = 0.0
+    if spread:
+        serial = _normal_tail((float((off[1:] * off[:-1]).sum()) / spread + 1 / n) * n / math.sqrt(n - 1))
+    return cauchy((uniform, kinds, runs, serial))
+
+
+def cauchy(ps: tuple[float, ...]) -> float:
+    """The Cauchy combination of p-values; tan((0.5 - p) * pi) is 1 / (p * pi) for small p.
+
+    A p-value near 1 would outweigh a small one, so none counts above 0.9.
+    """
+    tan = (1 / (max(p, 1e-300) * math.pi) if p < 1e-10 else math.tan((0.5 - min(p, 0.9)) * math.pi) for p in ps)
+    mean = sum(tan) / len(ps)
+    return 1 / (mean * math.pi) if mean > 1e9 else 0.5 - math.atan(mean) / math.pi
 
 
 def grid_point(p: float) -> int:
