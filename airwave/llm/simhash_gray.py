@@ -211,7 +211,11 @@ def near_links(fps: DataFrame, node_limit: int = NODE_LIMIT) -> DataFrame:
 
 
 def star_components(links: DataFrame) -> DataFrame:
-    """(v, root): every linked vertex but the roots, by alternating large-star and small-star rounds."""
+    """(v, root): every linked vertex but the roots, by alternating large-star and small-star rounds.
+
+    The least neighbours are written before they are joined, so both sides of a join come straight from their shuffles and
+    the rows of a vertex that most others hang on can be split over tasks.
+    """
     edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "stars")
     state = None
     while True:
@@ -220,10 +224,10 @@ def star_components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("v"), F.col("v").alias("root"))
         state = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = staged(large, "stars")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = staged(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
 
@@ -244,7 +248,8 @@ def labelled(marked: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFr
     stars = star_components(links)
     member = stars.select(F.col("v").alias("fp"), "root").unionByName(stars.select(F.col("root").alias("fp"), "root").distinct())
     member = member.join(distinct, "fp")
-    least = member.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    member = staged(member, "members")
+    least = staged(member.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")
     named = member.join(least, "root").select("fp", "component_id")
     named = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
     # written, so that both sides of the last join come straight from shuffles and a hot fingerprint can be split
@@ -262,7 +267,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def keep_least(docs: DataFrame, parts: DataFrame) -> DataFrame:
-    """The rows of docs that bear the id of their component."""
-    kept = parts.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("key").alias("__key")).distinct()
-    rows = docs.withColumn("__key", row_key("doc_id", "text")).join(kept.hint("shuffle_hash"), "__key", "left_semi")
-    return rows.dropDuplicates(["doc_id", "__key"]).select(docs.columns)
+    """The rows of docs that bear the id of their component; of equal rows one.
+
+    Only keys that go, or that several rows have, are joined. They are written first, so that Spark knows their size and shuffles
+    texts only if they are too many to broadcast; rows that stay as they are are not gathered.
+    """
+    keys = parts.groupBy("key").agg(F.count("*").alias("rows"), F.first(~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("goes"))
+    known = staged(keys.where("goes or rows > 1").select(F.col("key").alias("__key"), F.col("goes").alias("__goes")), "found")
+    rows = docs.withColumn("__key", row_key("doc_id", "text"))
+    single = rows.join(known, "__key", "left_anti").select(docs.columns)
+    several = rows.join(known.where(~F.col("__goes")), "__key", "left_semi").dropDuplicates(["__key"]).select(docs.columns)
+    return single.unionByName(several)
