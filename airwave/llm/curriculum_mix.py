@@ -10,11 +10,12 @@ most. Each weight has a schedule over training time, piecewise linear. Its integ
 wanted by a time; inverting it at the middle of a document's words gives the document's position in training, and the
 documents are range-sorted by it.
 
-Running sums are taken in two steps, by bucket of the hash and then within a bucket, so that no source is one task; only
-the table of sources (one row each) is handled in one place.
+Running sums are taken in two steps, by bucket of the hash and then within a bucket, so that no source is one task. Sources may
+be as many as hosts: they are numbered, and their limits added up, by range-sorted partitions and the partitions' totals.
 
 Defined cases: null text has size 0; documents of size 0, and all of a source without words, are taken 0 times and
-have no position; columns of documents named position or copy give way in the stream; equal rows are taken equally often; an empty table gives an empty result.
+have no position; null ids are ordered by their rows' content; columns of documents named position or copy give way in the
+stream; equal rows are taken equally often; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,30 +43,39 @@ def sizes(docs: DataFrame) -> DataFrame:
     rows = docs.select(row_key("doc_id", "source", "text").alias("key"), "doc_id", "source", "text")
     sized = map_batches(rows, _sizes, f"key {KEY}, doc_id long, source string, size long")
     place = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
-    return sized.select("key", "doc_id", place.alias("place"), "size", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat_ws(" ", F.lit(""), "key.a", "key.b"))
+    return sized.select("key", "doc_id", place.alias("place"), "size", F.md5(name).alias("h"))
+
+
+def before(df: DataFrame, order: list[Column], **sums: str) -> DataFrame:
+    """df with columns name = sum of a column over all rows that come before, without a sort in one task.
+
+    Rows are range-sorted and written; a partition adds up its own, and what comes before it is the totals of the partitions, a
+    table as small as their number.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    ranged = staged(ranged, "ranged").withColumn("part", F.shiftright("at", 33))
+    parts = ranged.groupBy("part").agg(*(F.sum(c).alias(f"{name}_part") for name, c in sums.items()))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", *(F.coalesce(F.sum(f"{name}_part").over(earlier), F.lit(0)).alias(f"{name}_part") for name in sums))
+    own = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = ranged.withColumns({name: F.coalesce(F.sum(c).over(own), F.lit(0)) for name, c in sums.items()}).join(F.broadcast(parts), "part")
+    return ranged.withColumns({name: F.col(name) + F.col(f"{name}_part") for name in sums}).drop("at", "part", *(f"{name}_part" for name in sums))
 
 
 def targets(sized: DataFrame) -> DataFrame:
     """(place, source_size, weight, target): one row for each source."""
-    by_source = sized.groupBy("place").agg(F.sum("size").alias("source_size"))
-    everything = Window.partitionBy()
-    rank = F.row_number().over(Window.orderBy("place"))
-    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (rank - 1) % len(WEIGHTS) + 1)
-    t = by_source.withColumn("weight", weight).withColumn("most", F.lit(MAX_REPEAT) * F.col("source_size"))
-    before = Window.orderBy(F.col("most") / F.col("weight"), "place").rowsBetween(Window.unboundedPreceding, -1)
-    t = t.select(
-        "*",
-        F.sum("source_size").over(everything).alias("words"),
-        F.sum("weight").over(everything).alias("weights"),
-        F.coalesce(F.sum("most").over(before), F.lit(0)).alias("most_before"),
-        F.coalesce(F.sum("weight").over(before), F.lit(0)).alias("weight_before"),
-    )
-    stops = F.col("most") <= (F.col("words") - F.col("most_before")) / (F.col("weights") - F.col("weight_before")) * F.col("weight")
-    t = t.withColumn("stops", stops)
-    over = lambda c: F.sum(F.when(F.col("stops"), F.col(c)).otherwise(0)).over(everything)
-    level = F.try_divide((F.col("words") - over("most")).cast("double"), F.col("weights") - over("weight"))
-    t = t.withColumn("level", level)
-    target = F.when(F.col("stops"), F.col("most").cast("double")).otherwise(F.col("level") * F.col("weight"))
+    by_source = sized.groupBy("place").agg(F.sum("size").alias("source_size")).withColumn("one", F.lit(1).cast("long"))
+    ranked = before(by_source, [F.col("place")], rank="one")
+    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("rank") % len(WEIGHTS) + 1).cast("int"))
+    t = ranked.select("place", "source_size", weight.alias("weight"), (F.lit(MAX_REPEAT) * F.col("source_size")).alias("most"))
+    t = before(t, [F.col("most") / F.col("weight"), F.col("place")], most_before="most", weight_before="weight")
+    words, weights = (float(x or 0) for x in t.agg(F.sum("source_size"), F.sum("weight")).first())
+    share = (F.lit(words) - F.col("most_before")) / (F.lit(weights) - F.col("weight_before"))
+    t = staged(t.withColumn("stops", F.col("most") <= share * F.col("weight")), "limits")
+    stopped, their_weight = (float(x or 0) for x in t.where("stops").agg(F.sum("most"), F.sum("weight")).first())
+    level = (words - stopped) / (weights - their_weight) if weights > their_weight else 0.0
+    target = F.when(F.col("stops"), F.col("most").cast("double")).otherwise(F.lit(level) * F.col("weight"))
     return t.select("place", "source_size", "weight", target.alias("target"))
 
 
@@ -113,17 +123,21 @@ def plan(docs: DataFrame) -> DataFrame:
 
 
 def op10_curriculum_mix(docs: DataFrame) -> DataFrame:
+    """A row for each document with its copies' positions; range-sorted by the first, documents without one at the end."""
     each = plan(docs).withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
-    return each.select(
+    listed = F.array_join(F.transform("positions", lambda x: F.format_string("%.6f", x)), ",")
+    rows = each.select(
         "doc_id", "size", "source_size", "target", "taken",
-        F.round(F.try_element_at("positions", F.lit(1)), 9).alias("first_position"),
+        F.round(F.try_element_at("positions", F.lit(1)), 9).alias("first_position"), listed.alias("positions"),
     )
+    order = F.asc_nulls_last("first_position"), F.col("doc_id")
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The training stream: a row for each copy with its position, range-sorted by position."""
     placed = plan(docs).where(F.size("positions") > 0).select(F.col("key").alias("__key"), "positions")
-    rows = docs.withColumn("__key", row_key("doc_id", "source", "text")).join(placed.hint("shuffle_hash"), "__key")
+    rows = docs.withColumn("__key", row_key("doc_id", "source", "text")).join(placed, "__key")
     stream = rows.select(*[docs[c] for c in docs.columns if c != "position" and c != "copy"], "__key", F.posexplode("positions").alias("copy", "position"))
     return stream.repartitionByRange("position", "__key").sortWithinPartitions("position", "__key", "copy").drop("__key")
 
@@ -141,6 +155,7 @@ def _time_sql(share: str, knots: tuple[tuple[float, float], ...]) -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN {t}" for c, t in parts[:-1]) + f" ELSE {parts[-1][1]} END" if len(parts) > 1 else parts[0][1]
 
 
+SHARE_SQL = "least(1::DOUBLE, (c * source_size + start + size / 2) / nullif(target, 0))"
 OP10_SQL = rf"""
 WITH d AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS place,
@@ -166,6 +181,8 @@ WITH d AS (
     least(1::DOUBLE, (start + size / 2) / nullif(target, 0)) AS share FROM r
 )
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken,
-  CASE WHEN copies > 0 THEN round(CASE weight {" ".join(f"WHEN {w} THEN {_time_sql('share', k)}" for w, k in SCHEDULES.items())} END, 9) END AS first_position
+  CASE WHEN copies > 0 THEN round(CASE weight {" ".join(f"WHEN {w} THEN {_time_sql('share', k)}" for w, k in SCHEDULES.items())} END, 9) END AS first_position,
+  array_to_string(list_transform(range(copies), lambda c: printf('%.6f',
+    CASE weight {" ".join(f"WHEN {w} THEN {_time_sql(SHARE_SQL, k)}" for w, k in SCHEDULES.items())} END)), ',') AS positions
 FROM k
 """
