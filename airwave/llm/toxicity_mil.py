@@ -5,12 +5,13 @@ a document's is their noisy-or with a leak: 1 - (1 - leak) * product of (1 - sen
 document labels alone, and the sentence scores then locate the offending sentences.
 
 Features are chosen by the likelihood ratio of their document counts in the training sample. The sample has at most
-max_train_docs labelled documents (those with the smallest hashes of their ids), which bounds the ids that are broadcast,
-and the sentences that the driver fits on; everything is scored.
+max_train_docs labelled documents (those with the smallest hashes of their ids) of MAX_TRAIN_CHARS characters at most, one
+for each id, which bounds the ids that are broadcast and the sentences that the driver fits on; everything is scored.
 
-Defined cases: null or empty text has no sentence and gets the leak as its score; null labels and ids don't train; without
-a training document of both labels every score is the share of label 1 (0.5 if there is none); repeated rows give
-repeated results.
+Defined cases: null or empty text has no sentence and gets the leak as its score; null labels and ids, and labels without a
+document, don't train; of labels of one id the largest, of documents of one id one counts; without a training document of both
+labels every score is the share of label 1 (0.5 if there is none); repeated rows give repeated results; only the named columns
+are read, so further columns do no harm.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.llm.common import KEY, id_remainder, map_batches, row_key, utf8
+from airwave.llm.common import KEY, id_remainder, map_batches, row_key, staged, utf8
 
-#: The bound on labelled documents that train.
-MAX_TRAIN_DOCS = 20_000
+#: The bounds on labelled documents that train, and on their length.
+MAX_TRAIN_DOCS, MAX_TRAIN_CHARS = 20_000, 200_000
 #: Features: at most so many, with this odds ratio, likelihood ratio (G squared) and number of documents at least.
 MAX_FEATURES, LEAST_ODDS, LEAST_G2, LEAST_DOCS = 800, 6.0, 16.0, 4
 #: Lengths of the parts of words.
@@ -87,11 +88,14 @@ class Features:
         return [x for x in found if x[2]]
 
 
-def training_ids(docs: DataFrame, labels: DataFrame, max_train_docs: int) -> DataFrame:
-    """(doc_id, label) of the sample: a bounded number of rows."""
-    rows = labels.where(F.col("toxic").isNotNull() & (id_remainder("doc_id", MODULUS) != HELD_OUT))
-    rows = rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_docs)
+def training_rows(docs: DataFrame, labels: DataFrame, max_train_docs: int) -> DataFrame:
+    """(doc_id, text, label) of the sample: a bounded number of rows of bounded length, one for each id."""
+    marked = labels.where(F.col("toxic").isNotNull() & (id_remainder("doc_id", MODULUS) != HELD_OUT))
+    marked = marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= MAX_TRAIN_CHARS)
+    ids = marked.join(texts.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_docs)
+    rows = texts.join(F.broadcast(staged(ids, "training-ids")), "doc_id")
+    return staged(rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "training-rows")
 
 
 def choose_features(sample: DataFrame, positives: int, negatives: int) -> list[bytes]:
@@ -169,9 +173,8 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS) -> Model:
-    ids = training_ids(docs, labels, max_train_docs)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    counts = {r.label: r["count"] for r in ids.groupBy((F.col("label") > 0).cast("int").alias("label")).count().collect()}
+    sample = training_rows(docs, labels, max_train_docs)
+    counts = {r.label: r["count"] for r in sample.groupBy((F.col("label") > 0).cast("int").alias("label")).count().collect()}
     positives, negatives = counts.get(1, 0), counts.get(0, 0)
     if not positives or not negatives:
         return Model([], np.zeros(0), 0.0, 0.5 if not counts else positives / (positives + negatives))
@@ -182,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
     def bags(batch: pa.RecordBatch) -> dict[str, list]:
         return {"key": batch.column(1), "label": batch.column(2), "bag": [[x[2] for x in features.bag(d)] for d in utf8(batch)]}
 
-    rows = map_batches(sample.select("text", F.xxhash64("doc_id", "text").alias("key"), "label"), bags, "key long, label int, bag array<array<int>>")
+    rows = map_batches(sample.select("text", F.xxhash64("doc_id").alias("key"), "label"), bags, "key long, label int, bag array<array<int>>")
     got = rows.toArrow().sort_by([("key", "ascending"), ("label", "ascending")]).combine_chunks()
     bag = got["bag"].combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.list_(pa.int32())))
     weights, bias, leak = fit(bag, (got["label"].to_numpy() > 0).astype(int), len(names))
@@ -222,4 +225,5 @@ def op2_toxicity_mil(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
         F.size("offending").cast("long").alias("n_offending"),
+        F.array_join(F.transform("offending", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("offending"),
     )
