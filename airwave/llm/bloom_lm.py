@@ -2,7 +2,8 @@
 
 A count c is quantised to the level 1 + floor(log2 c), and an n-gram of level q is put into the filter q times, once with
 each level up to q. A count is read back by probing levels upwards until one is missing. The filter holds the
-one- and two-token counts of the training documents; probabilities interpolate the two orders.
+one- and two-token counts of the training documents; probabilities interpolate the two orders, the pairs' with an absolute
+discount, so that a pair seen once with a token seen once is not as certain as one seen often.
 
 N-grams are counted where they are read (sorted arrays of hashes and counts) and meet in shards by hash; each shard
 counts up, and makes its own segment of the filter, BITS bits to an entry at every size. There is a shard to every
@@ -33,8 +34,8 @@ from airwave.llm.common import id_remainder, map_batches, shuffle_width, staged,
 MODULUS, HELD_OUT = 7, 2
 #: Bits to an entry, hash functions, and the most bits of a group of segments (256 MB).
 BITS, HASHES, MAX_BITS = 8, 4, 1 << 31
-#: Weight of the two-token estimate.
-WEIGHT = 0.6
+#: Weight of the two-token estimate, and what is taken off the count of a pair.
+WEIGHT, DISCOUNT = 0.6, 0.75
 #: Bytes of training text to a shard, at most on average; a shard is counted in one task.
 SHARD_BYTES = 1 << 27
 #: Exact counts that are broadcast at most.
@@ -87,6 +88,12 @@ def count_of(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (3 * np.exp2(level - 1.0) - 1) / 2, 0.0)
 
 
+def probability(pair: np.ndarray, context: np.ndarray, token: np.ndarray, total: int) -> np.ndarray:
+    """The interpolated probability of tokens from the counts of the pairs they end, of the tokens before, and of their own."""
+    ratio = np.divide(np.maximum(pair - DISCOUNT, 0), context, out=np.zeros(len(pair)), where=context > 0)
+    return WEIGHT * np.minimum(1.0, ratio) + (1 - WEIGHT) * np.minimum(1.0, (token + 1) / total)
+
+
 def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(codes, kind="stable")
     codes, counts = codes[order], counts[order]
@@ -285,9 +292,7 @@ class Scorer:
             context = np.empty(len(inverse))
             context[1:] = single[:-1]
             context[np.cumsum(lengths) - lengths] = single[-1]  # as many starts as ends
-            ratio = np.minimum(1.0, np.divide(double, context, out=np.zeros(len(inverse)), where=context > 0))
-            p = WEIGHT * ratio + (1 - WEIGHT) * np.minimum(1.0, (single + 1) / total)
-            out["score"][rows] = np.bincount(doc, np.log10(p), len(lengths))
+            out["score"][rows] = np.bincount(doc, np.log10(probability(double, context, single, total)), len(lengths))
             ends = np.cumsum(lengths)
             for i, (a, b) in enumerate(zip(ends - lengths, ends, strict=True)):
                 tail[first + i] = one[inverse[a:b][~known[a:b]]].view(np.int64)
