@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Words of no weight for program texts; pass a longer list where one is wanted.
-STOP_WORDS = ("the", "and", "for", "with", "that", "this", "from", "was", "are", "und", "der", "die", "das", "les", "des", "que", "los", "las")
+#: Common English words of no weight, and some German, French and Spanish ones; pass another list where one is wanted.
+STOP_WORDS = tuple(
+    """about above after again against all and any are because been before being below between both but can could did does doing
+    down during each few for from further had has have having her here hers herself him himself his how into its itself just more
+    most myself nor not now off once only other our ours ourselves out over own same she should some such than that the their
+    theirs them themselves then there these they this those through too under until very was were what when where which while who
+    whom why will with would you your yours yourself yourselves und der die das les des que los las""".split()
+)
 
 
 def tokens(text: Column, min_length: int = 2, stop_words: tuple[str, ...] = STOP_WORDS) -> Column:

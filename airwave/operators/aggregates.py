@@ -63,6 +63,12 @@ def packed(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy(*by).agg(F.array_join(F.transform(pairs, lambda p: F.concat_ws(",", p["genre"], p["s"])), ",").alias("packed"))
 
 
+def item_texts(texts: DataFrame) -> DataFrame:
+    """(item, text): an item's texts of all dates with a blank between, in order of the dates."""
+    parts = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("date", "text"))))
+    return texts.groupBy("item").agg(parts.alias("p")).where(F.size("p") > 0).select("item", F.array_join(F.transform("p", lambda x: x["text"]), " ").alias("text"))
+
+
 def term_counts(texts: DataFrame, **options) -> DataFrame:
     """(item, term, n): how often an item's text has a term."""
     return texts.select("item", F.explode(scalars.tokens(F.col("text"), **options)).alias("term")).groupBy("item", "term").agg(F.count("*").alias("n"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airwave.operators.relational import dense_ids
+from airwave.sources.artifacts import save
 
 
 def split_of(user: Column, train: float = 0.7, test: float = 0.2) -> Column:
@@ -14,9 +18,38 @@ def split_of(user: Column, train: float = 0.7, test: float = 0.2) -> Column:
     return F.when(tenth < round(train, 10), "tr").when(tenth < round(train + test, 10), "te").otherwise("va")
 
 
-def sample_users(users: DataFrame, share: float) -> DataFrame:
-    """The same users on every run: by a hash of the id, not by partition."""
-    return users.where(F.pmod(F.col("user") * 7919, F.lit(1000)) < int(share * 1000))
+def sample_users(users: DataFrame, size: float) -> DataFrame:
+    """A share of the users, or so many if size is above 1. The same on every run: by a hash of the id, not by partition."""
+    place = F.pmod(F.col("user") * 7919, F.lit(1000))
+    return users.orderBy(place, "user").limit(int(size)) if size > 1 else users.where(place < int(size * 1000))
+
+
+def written_by_hour(best: DataFrame) -> DataFrame:
+    """(date, hour, user, programs in order of rank) as written with a folder for each hour, and read back."""
+    listed = F.array_sort(F.collect_list(F.struct("rank", "program")))
+    lines = best.groupBy("date", "hour", "user").agg(F.array_join(F.transform(listed, lambda r: r["program"].cast("string")), "\t").alias("programs"))
+    saved = save(lines, f"hourly-{uuid.uuid4().hex}", by=("date", "hour"))
+    return saved.select(F.col("date").cast("string").alias("date"), F.lpad(F.col("hour").cast("string"), 2, "0").alias("hour"), "user", "programs")
+
+
+def metric(column: str) -> Column:
+    """A metric as text of four digits."""
+    return F.format_string("%.4g", column)
+
+
+def date_figures(rows: DataFrame) -> DataFrame:
+    day = lambda c: F.date_format(c, "yyyyMMdd")
+    return rows.agg(day(F.min("date")).alias("first"), day(F.max("date")).alias("last"), F.countDistinct("date").alias("days"))
+
+
+def summary(sections: dict[str, DataFrame]) -> DataFrame:
+    """(section, key, value): the columns of one-row tables as text, one below the other."""
+
+    def listed(section: str, row: DataFrame) -> DataFrame:
+        text = row.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in row.columns))
+        return text.unpivot([], [f"`{c}`" for c in row.columns], "key", "value").select(F.lit(section).alias("section"), "key", "value")
+
+    return reduce(DataFrame.unionByName, (listed(s, row) for s, row in sections.items()))
 
 
 def _listed(entries: Column, sep: str, one) -> Column:

@@ -100,6 +100,17 @@ def joined_blocks(blocks: list[tuple[DataFrame, int]], ids: DataFrame | None = N
     return reduce(DataFrame.unionByName, parts).join(common, "id", "left_semi")
 
 
+def regressed(content: DataFrame, coefficients: DataFrame) -> DataFrame:
+    """(id, idx k, value): latent factors of items from their content, by (idx, k, w) of one regression for each dimension."""
+    rows = content.join(coefficients, "idx")
+    return rows.groupBy("id", F.col("k").alias("idx")).agg(F.sum(F.col("value") * F.col("w")).alias("value"))
+
+
+def cold_items(blocks: list[tuple[DataFrame, int]], content: DataFrame, coefficients: DataFrame) -> DataFrame:
+    """Features of items without ratings: content blocks of fitted vocabularies, then the factors regressed from content."""
+    return joined_blocks([*blocks, (regressed(content, coefficients), 0)])
+
+
 def vectors(block: DataFrame, size: int) -> DataFrame:
     """(id, features): the long form as pyspark.ml vectors."""
     from pyspark.ml.functions import array_to_vector

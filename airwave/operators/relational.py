@@ -53,25 +53,40 @@ def in_all(blocks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.intersect, (b.select("id").distinct() for b in blocks))
 
 
-def coverage(blocks: dict[str, DataFrame], total: int, least: float) -> list[str]:
-    """Names of blocks whose ids cover more than this share of total."""
-    counts = reduce(DataFrame.unionByName, (b.select(F.lit(n).alias("block"), "id") for n, b in blocks.items()))
-    kept = counts.groupBy("block").agg(F.countDistinct("id").alias("n")).where(F.col("n") > least * total)
-    return sorted(r.block for r in kept.collect())  # one row for each block
+def coverage(rows: DataFrame, total: int, least: float) -> DataFrame:
+    """(block): blocks of (block, id) rows whose ids cover more than this share of total."""
+    return rows.groupBy("block").agg(F.countDistinct("id").alias("n")).where(F.col("n") > least * total).select("block")
+
+
+def covering(blocks: dict[str, DataFrame], total: int, least: float) -> list[str]:
+    """Names of the blocks that cover enough, in the order given."""
+    rows = reduce(DataFrame.unionByName, (b.select(F.lit(n).alias("block"), "id") for n, b in blocks.items()))
+    kept = {r.block for r in coverage(rows, total, least).collect()}  # one row for each block
+    return [n for n in blocks if n in kept]
 
 
 def top_n(rows: DataFrame, by: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     return rows.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(rank) <= n)
 
 
-def top_all_and_new(scores: DataFrame, seen: DataFrame, n: int, extra: int = 0) -> DataFrame:
-    """Per user the best n items of all, and of those not seen; users without a seen set drop out."""
+def mark_seen(rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """rows of users that have a seen set, and whether each (user, item) is in it."""
+    pairs = seen.select("user", "item").distinct().withColumn("seen", F.lit(True))
+    own = rows.join(seen.select("user").distinct(), "user", "left_semi")
+    return own.join(pairs, ["user", "item"], "left").withColumn("seen", F.coalesce("seen", F.lit(False)))
+
+
+def top_all_and_new(marked: DataFrame, n: int, extra: int = 0) -> DataFrame:
+    """Per user the best n items of all, and of those not seen, from rows that know what is seen.
+
+    One pass: the best n of the seen and of the unseen hold both lists, so what is ranked in the end is 2 n rows a user.
+    """
     order = [F.desc("score"), F.col("item")]
-    users = seen.select("user").distinct()
-    own = scores.join(users, "user", "left_semi")
-    best = top_n(own, ["user"], order, n + extra).withColumn("kind", F.lit("all"))
-    new = top_n(own.join(seen.select("user", "item"), ["user", "item"], "left_anti"), ["user"], order, n + extra).withColumn("kind", F.lit("new"))
-    return best.unionByName(new)
+    few = top_n(marked, ["user", "seen"], order, n + extra, "own")
+    best = few.withColumn("all", F.row_number().over(Window.partitionBy("user").orderBy(*order)))
+    lists = F.array(F.struct(F.lit("all").alias("kind"), F.col("all").alias("rank")), F.struct(F.lit("new").alias("kind"), F.when(~F.col("seen"), F.col("own")).alias("rank")))
+    rows = best.select("user", "item", "score", F.explode(lists).alias("l")).select("user", "item", "score", "l.kind", "l.rank")
+    return rows.where(F.col("rank") <= n + extra)
 
 
 def top_programs_per_hour(scores: DataFrame, schedule: DataFrame, k: int) -> DataFrame:

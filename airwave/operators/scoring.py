@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +27,29 @@ def pair_scores(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFra
     return pairs.join(users, "user").join(items, "item").withColumn("score", vectors.dot(F.col("uf"), F.col("vf"))).drop("uf", "vf")
 
 
-def all_pairs(users: DataFrame, items: DataFrame, score: Column) -> DataFrame:
-    """Every user with every item. Spark broadcasts the smaller side if it is small; reduce in the same plan what this makes."""
-    return users.crossJoin(items).select("user", "item", score.alias("score"))
+#: Rows of items that are broadcast at once; profiles of a hundred numbers are about a KB a row.
+BLOCK_ROWS = 50_000
+
+
+def with_seen(users: DataFrame, seen: DataFrame) -> DataFrame:
+    """users that have a seen set, with its items as an array: a user's own history."""
+    own = seen.groupBy("user").agg(F.collect_set("item").alias("seen_items"))
+    return users.join(own, "user")
+
+
+def all_pairs(
+    users: DataFrame, items: DataFrame, score: Column, reduced: Callable[[DataFrame], DataFrame] = lambda pairs: pairs, block: int = BLOCK_ROWS
+) -> DataFrame:
+    """Every user with every item, by broadcasts of items that are counted to be small enough.
+
+    More items than a block are dealt into blocks by a hash; each is broadcast and reduced by itself, so give as ``reduced`` what
+    may follow at once, as the best n of each user, and reduce the union again. users may carry seen_items.
+    """
+    n = max(1, -(-items.count() // block))
+    own = lambda k: items if n == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k)
+    columns = [F.array_contains("seen_items", F.col("item")).alias("seen")] if "seen_items" in users.columns else []
+    pairs = (users.crossJoin(F.broadcast(own(k))).select("user", "item", score.alias("score"), *columns) for k in range(n))
+    return reduce(DataFrame.unionByName, map(reduced, pairs))
 
 
 def partial_model(block: DataFrame, weights: DataFrame, latent: int) -> DataFrame:

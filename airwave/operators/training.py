@@ -1,7 +1,8 @@
 """Model training as Spark jobs: ALS, linear models, and factorisation machines by distributed gradients.
 
-A gradient step sends the weights (features x (factors + 1) numbers) with the tasks, each partition gives one row with its
-sums, and Spark adds these up; the driver holds the weights only.
+A gradient step sends the weights (features x (factors + 1) numbers) with the tasks, each partition gives its sums as one array,
+and Spark adds the arrays up in SUMMED tasks; the driver holds the weights and so many arrays at most. Rows are dense arrays, or
+lists of places and values where most are zero.
 """
 
 from __future__ import annotations
@@ -11,9 +12,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
+import pyspark.sql.types as T
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,6 +40,44 @@ def cold_profiles(content: DataFrame, profiles: DataFrame, size: int, reg: float
     return fitted
 
 
+#: Tasks that add up the partitions' gradients, and rows that are handled at once.
+SUMMED, ROWS = 16, 4096
+
+
+@dataclass
+class Sparse:
+    """Rows of which few places are not zero; a product needs only the weights of these places."""
+
+    rows: np.ndarray
+    places: np.ndarray
+    values: np.ndarray
+    n: int
+
+    def __matmul__(self, m: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.n, *m.shape[1:]))
+        np.add.at(out, self.rows, self.values.reshape(-1, *[1] * (m.ndim - 1)) * m[self.places])
+        return out
+
+    def down(self, m: np.ndarray, size: int) -> np.ndarray:
+        """The transposed product, for features 0 .. size - 1."""
+        out = np.zeros((size, *m.shape[1:]))
+        np.add.at(out, self.places, self.values.reshape(-1, *[1] * (m.ndim - 1)) * m[self.rows])
+        return out
+
+
+def design_of(rows: pd.DataFrame) -> np.ndarray | Sparse:
+    """The features of some rows: x alone is dense; with places, x holds their values."""
+    if "places" not in rows:
+        return np.stack(rows.x.to_numpy()).astype(float)
+    sizes = rows.places.map(len).to_numpy()
+    flat = lambda c: np.concatenate(c.to_numpy()) if len(c) else np.zeros(0)
+    return Sparse(np.repeat(np.arange(len(rows)), sizes), flat(rows.places).astype(np.int64), flat(rows.x).astype(float), len(rows))
+
+
+def _down(x: np.ndarray | Sparse, m: np.ndarray, size: int) -> np.ndarray:
+    return x.down(m, size) if isinstance(x, Sparse) else x.T @ m
+
+
 @dataclass
 class Weights:
     """w0, and a row (w, v_1 .. v_k) for each feature; a projection P for feature learning."""
@@ -46,21 +87,65 @@ class Weights:
     projection: np.ndarray | None = None
     losses: list[float] = field(default_factory=list)
 
-    def predict(self, x: np.ndarray) -> np.ndarray:
+    def predict(self, x: np.ndarray | Sparse) -> np.ndarray:
         g = x if self.projection is None else x @ self.projection
         return self.bias + g @ self.matrix[:, 0] + ((g @ self.matrix[:, 1:]) ** 2).sum(axis=1)
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(part, row, column, value): all that a prediction needs, with zeros left out but for the last place of a part."""
+        parts = {"bias": np.array([[self.bias]]), "matrix": self.matrix} | ({} if self.projection is None else {"projection": self.projection})
+        rows = []
+        for name, m in parts.items():
+            keep = m != 0
+            keep[-1, -1] = True
+            rows += [(name, int(i), int(k), float(m[i, k])) for i, k in np.argwhere(keep)]
+        return spark.createDataFrame(rows, WEIGHTS)
+
+    @classmethod
+    def of(cls, table: DataFrame) -> Weights:
+        """The weights of a table that was saved."""
+        found = table.toPandas()
+
+        def part(name: str) -> np.ndarray | None:
+            own = found[found.part == name]
+            if not len(own):
+                return None
+            out = np.zeros((own.row.max() + 1, own.column.max() + 1))
+            out[own.row, own.column] = own.value
+            return out
+
+        return cls(float(part("bias")[0, 0]), part("matrix"), part("projection"))
 
-def gradients(w: Weights, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+
+#: Linear models are weights without latent columns.
+WEIGHTS = "part string, row int, column int, value double"
+
+
+def of_linear(model) -> Weights:
+    return Weights(float(model.intercept), np.asarray(model.coefficients.toArray())[:, None])
+
+
+def predicted(data: DataFrame, w: Weights) -> DataFrame:
+    """data with a prediction for each row of x."""
+    schema = T.StructType([*data.schema.fields, T.StructField("prediction", T.DoubleType())])
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(prediction=w.predict(design_of(b)) if len(b) else np.zeros(0))
+
+    return data.mapInPandas(part, schema)
+
+
+def gradients(w: Weights, x: np.ndarray | Sparse, y: np.ndarray) -> tuple[np.ndarray, float]:
     """Sums over rows of the gradient of half the squared error (bias, matrix, projection in a row), and of that error."""
     g = x if w.projection is None else x @ w.projection
     latent = g @ w.matrix[:, 1:]
     diff = w.bias + g @ w.matrix[:, 0] + (latent**2).sum(axis=1) - y
-    down = np.concatenate(((g.T @ diff)[:, None], 2 * g.T @ (diff[:, None] * latent)), axis=1)
+    down = _down(g, np.concatenate((diff[:, None], 2 * diff[:, None] * latent), axis=1), len(w.matrix))
     parts = [[diff.sum()], down.ravel()]
     if w.projection is not None:
         into = diff[:, None] * (w.matrix[:, 0] + 2 * latent @ w.matrix[:, 1:].T)
-        parts.append((x.T @ into).ravel())
+        parts.append(_down(x, into, len(w.projection)).ravel())
     return np.concatenate(parts), float((diff**2).sum() / 2)
 
 
@@ -70,15 +155,24 @@ def summed_gradients(data: DataFrame, w: Weights, share: float, seed: int) -> tu
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, loss, n = None, 0.0, 0
         for b in batches:
-            if len(b):
-                g, err = gradients(w, np.stack(b.x.to_numpy()).astype(float), b.label.to_numpy(float))
-                total, loss, n = g if total is None else total + g, loss + err, n + len(b)
+            for at in range(0, len(b), ROWS):
+                own = b.iloc[at : at + ROWS]
+                g, err = gradients(w, design_of(own), own.label.to_numpy(float))
+                total, loss, n = g if total is None else total + g, loss + err, n + len(own)
         if n:
-            yield pd.DataFrame({"at": range(len(total)), "g": total, "loss": loss, "n": n})
+            yield pd.DataFrame({"slot": [TaskContext.get().partitionId() % SUMMED], "g": [total.tobytes()], "loss": [loss], "n": [n]})
+
+    columns = [c for c in ("x", "places") if c in rows.columns]
+    sums = rows.select(*columns, "label").mapInPandas(part, "slot int, g binary, loss double, n long")
+    got = sums.groupBy("slot").applyInPandas(_added, "slot int, g binary, loss double, n long").collect()  # SUMMED rows at most
+    if not got:
+        return np.zeros(0), 0.0, 0
+    return sum(np.frombuffer(r.g) for r in got), sum(r.loss for r in got), sum(r.n for r in got)
+
 
-    sums = rows.select("x", "label").mapInPandas(part, "at int, g double, loss double, n long").groupBy("at").agg(F.sum("g"), F.sum("loss"), F.sum("n"))
-    got = sorted(sums.collect())  # one row for each weight
-    return (np.array([r[1] for r in got]), got[0][2], got[0][3]) if got else (np.zeros(0), 0.0, 0)
+def _added(group: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(g) for g in group.g)
+    return pd.DataFrame({"slot": [int(group.slot.iloc[0])], "g": [total.tobytes()], "loss": [group.loss.sum()], "n": [group.n.sum()]})
 
 
 def soft_rows(m: np.ndarray, t: float) -> np.ndarray:
@@ -153,10 +247,11 @@ def mean_squared_error(data: DataFrame, w: Weights) -> float:
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                err = w.predict(np.stack(b.x.to_numpy()).astype(float)) - b.label.to_numpy(float)
+                err = w.predict(design_of(b)) - b.label.to_numpy(float)
                 yield pd.DataFrame({"s": [float((err**2).sum())], "n": [len(b)]})
 
-    got = data.select("x", "label").mapInPandas(part, "s double, n long").agg(F.sum("s"), F.sum("n")).first()
+    columns = [c for c in ("x", "places") if c in data.columns]
+    got = data.select(*columns, "label").mapInPandas(part, "s double, n long").agg(F.sum("s"), F.sum("n")).first()
     return got[0] / got[1] if got[1] else -1.0
 
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airwave.functions import vectors
 from airwave.operators import aggregates, exports, features, relational, scoring, training
+from airwave.plans.pipelines import assembled, hourly_programs, matrix_factorisation, recommend
 from airwave.plans.registry import query
 from airwave.plans.relational import TOKENS, maps
 from airwave.plans.sources import CHANNEL_BLOCK, GENRE_BLOCK, genre_block
+from airwave.sources import artifacts
 from airwave.sources.views import Views
 
 
@@ -19,17 +24,18 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def channel_block(v: Views) -> DataFrame:
-    pairs = features.channel_pairs(v.channels())
-    return features.Vocabulary.of(pairs).multi_hot(pairs)
+    """The pairs are found once; the vocabulary and the block come from them."""
+    pairs = artifacts.cut(features.channel_pairs(artifacts.cut(v.channels(), "channels")), "channel-pairs")
+    return artifacts.cut(features.Vocabulary.of(pairs).multi_hot(pairs), "channel-block")
 
 
 @query("feat_item_genre", "pg", GENRE_BLOCK + " SELECT * FROM block")
-def _(v: Views):
+def feat_item_genre(v: Views):
     return genre_block(v)
 
 
 @query("feat_item_channel", "channels", CHANNEL_BLOCK + " SELECT * FROM block")
-def _(v: Views):
+def feat_item_channel(v: Views):
     return channel_block(v)
 
 
@@ -37,7 +43,7 @@ SHOW = ", block AS (SELECT DISTINCT program AS id, CAST(CAST(start[9:12] AS INT)
 
 
 @query("feat_item_showtime", "schedule", SHOW + " SELECT * FROM block")
-def _(v: Views):
+def feat_item_showtime(v: Views):
     return features.show_time(v.schedule())
 
 
@@ -48,53 +54,58 @@ vocab AS (SELECT CAST(row_number() OVER (ORDER BY score DESC, name) - 1 AS INT)
 
 
 @query("agg_term_freq", "texts", TERMS + " SELECT term, tf FROM figures")
-def _(v: Views):
+def agg_term_freq(v: Views):
     return aggregates.term_figures(aggregates.term_counts(v.texts())).select("term", "tf")
 
 
 @query("agg_doc_freq", "texts", TERMS + " SELECT term, df FROM figures")
-def _(v: Views):
+def agg_doc_freq(v: Views):
     return aggregates.term_figures(aggregates.term_counts(v.texts())).select("term", "df")
 
 
 @query("topn_terms", "texts", TERMS + " SELECT idx, name FROM vocab")
-def _(v: Views):
+def topn_terms(v: Views):
     return features.top_terms(aggregates.term_counts(v.texts())).select("idx", "name")
 
 
+TF_BLOCK = ", block AS (SELECT item AS id, idx, n::DOUBLE AS value FROM counts JOIN vocab ON term = name)"
+
+
+def tf_block(v: Views) -> DataFrame:
+    """Terms are counted once; the vocabulary and the values come from the counts."""
+    counts = artifacts.cut(aggregates.term_counts(v.texts()), "term-counts")
+    return features.Vocabulary(features.top_terms(counts).select("idx", "name")).counts(counts.withColumnRenamed("term", "name"))
+
+
 @query("feat_item_tfidf", "texts", TERMS + " SELECT item AS id, idx, n::DOUBLE AS value FROM counts JOIN vocab ON term = name")
-def _(v: Views):
-    counts = aggregates.term_counts(v.texts())
-    pairs = counts.withColumnRenamed("term", "name")
-    return features.Vocabulary(features.top_terms(counts).select("idx", "name")).counts(pairs)
+def feat_item_tfidf(v: Views):
+    return tf_block(v)
 
 
-MEAN = """, own AS (SELECT "user", item, sum(rating) AS w FROM train WHERE item IN (SELECT id FROM block) GROUP BY ALL),
+MEAN = """, own AS (SELECT "user", item, sum(rating) AS w FROM watch WHERE item IN (SELECT id FROM block) GROUP BY ALL),
 means AS (SELECT "user", idx, sum(w * value) / any_value(total) AS value FROM own JOIN (SELECT "user", sum(w) AS total FROM own GROUP BY 1) USING ("user")
-  JOIN block ON id = item GROUP BY ALL) SELECT "user", idx, round(value, 6) AS value FROM means"""
+  JOIN block ON id = item GROUP BY ALL) SELECT "user", idx, value FROM means"""
 
 
-@query("agg_user_weighted_mean", "watch train pg", GENRE_BLOCK + MEAN)
-@query("feat_user_genre", "watch train pg", GENRE_BLOCK + MEAN)
-def _(v: Views):
-    return rounded(aggregates.weighted_mean(v.train(), genre_block(v)), "value")
+@query("agg_user_weighted_mean", "watch pg", GENRE_BLOCK + MEAN)
+@query("feat_user_genre", "watch pg", GENRE_BLOCK + MEAN)
+def agg_user_weighted_mean(v: Views):
+    return aggregates.weighted_mean(v.watch(), genre_block(v))
 
 
-@query("feat_user_channel", "watch train channels", CHANNEL_BLOCK + MEAN)
-def _(v: Views):
-    return rounded(aggregates.weighted_mean(v.train(), channel_block(v)), "value")
+@query("feat_user_channel", "watch channels", CHANNEL_BLOCK + MEAN)
+def feat_user_channel(v: Views):
+    return aggregates.weighted_mean(v.watch(), channel_block(v))
 
 
-@query("feat_user_showtime", "schedule watch train", SHOW + MEAN)
-def _(v: Views):
-    return rounded(aggregates.weighted_mean(v.train(), features.show_time(v.schedule())), "value")
+@query("feat_user_showtime", "schedule watch", SHOW + MEAN)
+def feat_user_showtime(v: Views):
+    return aggregates.weighted_mean(v.watch(), features.show_time(v.schedule()))
 
 
-@query("feat_user_tfidf", "texts watch train", TERMS + ", block AS (SELECT item AS id, idx, n::DOUBLE AS value FROM counts JOIN vocab ON term = name)" + MEAN)
-def _(v: Views):
-    counts = aggregates.term_counts(v.texts())
-    block = features.Vocabulary(features.top_terms(counts).select("idx", "name")).counts(counts.withColumnRenamed("term", "name"))
-    return rounded(aggregates.weighted_mean(v.train(), block), "value")
+@query("feat_user_tfidf", "texts watch", TERMS + ", block AS (SELECT item AS id, idx, n::DOUBLE AS value FROM counts JOIN vocab ON term = name)" + MEAN)
+def feat_user_tfidf(v: Views):
+    return aggregates.weighted_mean(v.watch(), tf_block(v))
 
 
 UF_MEAN = "SELECT k - 1 AS idx, round(avg(uf[k]), 6) AS value FROM uf, (SELECT unnest(range(1, 6)) AS k) GROUP BY 1"
@@ -102,7 +113,7 @@ UF_MEAN = "SELECT k - 1 AS idx, round(avg(uf[k]), 6) AS value FROM uf, (SELECT u
 
 @query("agg_mean_vector", "uf", UF_MEAN)
 @query("cold_profile_average", "uf", UF_MEAN)
-def _(v: Views):
+def agg_mean_vector(v: Views):
     return rounded(aggregates.mean_vector(v.user_factors().withColumnRenamed("uf", "profile")), "value")
 
 
@@ -110,32 +121,24 @@ L2 = ", norm AS (SELECT id, sqrt(sum(value * value)) AS n FROM block GROUP BY 1)
 
 
 @query("post_l2normalize", "pg", GENRE_BLOCK + L2)
-def _(v: Views):
+def post_l2normalize(v: Views):
     return rounded(features.l2_normalised(genre_block(v)), "value")
 
 
-TF_BLOCK = ", block AS (SELECT item AS id, idx, n::DOUBLE AS value FROM counts JOIN vocab ON term = name)"
-
-
-def tf_block(v: Views) -> DataFrame:
-    counts = aggregates.term_counts(v.texts())
-    return features.Vocabulary(features.top_terms(counts).select("idx", "name")).counts(counts.withColumnRenamed("term", "name"))
-
-
 @query("post_maxnormalize", "texts", TERMS + TF_BLOCK + ", norm AS (SELECT id, max(value) AS n FROM block GROUP BY 1) SELECT id, idx, round(value / n, 6) AS value FROM block JOIN norm USING (id)")
-def _(v: Views):
+def post_maxnormalize(v: Views):
     return rounded(features.max_normalised(tf_block(v), 500), "value")
 
 
 @query("post_select_positions", "pg", GENRE_BLOCK + " SELECT id, CASE WHEN idx > 2 THEN idx - 1 ELSE idx END AS idx, value FROM block WHERE idx <> 2")
-def _(v: Views):
+def post_select_positions(v: Views):
     pairs = features.genre_pairs(v.program_genre())
     vocabulary = features.Vocabulary.of(pairs)
     return features.select_positions(vocabulary.multi_hot(pairs), vocabulary.names, [2])[0]
 
 
 @query("post_chain", "pg", GENRE_BLOCK.replace("block AS (", "raw AS (") + ", block AS (SELECT id, CASE WHEN idx > 2 THEN idx - 1 ELSE idx END AS idx, value FROM raw WHERE idx <> 2)" + L2)
-def _(v: Views):
+def post_chain(v: Views):
     names = features.Vocabulary.of(features.genre_pairs(v.program_genre())).names
     return rounded(features.chained(genre_block(v), [lambda b: features.select_positions(b, names, [2])[0], features.l2_normalised]), "value")
 
@@ -149,14 +152,14 @@ def joined(v: Views) -> DataFrame:
 
 
 @query("join_feature_blocks", "pg channels", JOINED + " SELECT * FROM joined")
-def _(v: Views):
+def join_feature_blocks(v: Views):
     return joined(v)
 
 
-@query("join_rating_filter", "pg watch train channels", JOINED + ' SELECT "user", item, rating FROM train WHERE item IN (SELECT id FROM ids)')
-def _(v: Views):
+@query("join_rating_filter", "pg watch train channels", JOINED + ' SELECT "user", item, rating FROM watch WHERE item IN (SELECT id FROM ids)')
+def join_rating_filter(v: Views):
     ids = joined(v).select(F.col("id").alias("item"))
-    return v.train().join(ids, "item", "left_semi").select("user", "item", "rating")
+    return v.watch().join(ids, "item", "left_semi").select("user", "item", "rating")
 
 
 DESIGN = """, pairs AS (SELECT "user", item, sum(rating) AS label FROM train GROUP BY ALL),
@@ -177,25 +180,51 @@ X_TEXT = "array_to_string(list_transform(x, lambda e: printf('%.6f', e::DOUBLE))
 
 
 @query("join_assemble_design", "uf vf", DESIGN + f' SELECT "user", item, {X_TEXT}, label FROM design')
-@query("assemble_continuous", "uf vf", DESIGN + f' SELECT "user", item, {X_TEXT}, label FROM design')
-def _(v: Views):
+def join_assemble_design(v: Views):
     return as_text(design(v))
 
 
+ASSEMBLED = (
+    GENRE_BLOCK.replace("vocab", "gvocab").replace("block", "gblock")
+    + CHANNEL_BLOCK.replace("block", "cblock")
+    + """, total AS (SELECT count(DISTINCT item) AS n FROM train),
+covered AS (SELECT (SELECT count(DISTINCT id) FROM cblock WHERE id IN (SELECT item FROM train)) > 0.5 * n AS channel, (SELECT count(DISTINCT id) FROM gblock WHERE id IN (SELECT item FROM train)) > 0.5 * n AS genre FROM total),
+ids AS (SELECT DISTINCT item AS id FROM train, covered WHERE (NOT genre OR item IN (SELECT id FROM gblock)) AND (NOT channel OR item IN (SELECT id FROM cblock))),
+side AS (SELECT id, idx + 1 AS idx, value FROM gblock, covered WHERE genre UNION ALL
+  SELECT id, idx + 1 + CASE WHEN genre THEN 16 ELSE 0 END, value FROM cblock, covered WHERE channel),
+pairs AS (SELECT "user", item, sum(rating) AS label FROM train WHERE item IN (SELECT id FROM ids) AND "user" IN (SELECT c_custkey FROM customer) GROUP BY ALL)
+SELECT "user", item, 0 AS idx, c_acctbal AS value, label FROM pairs JOIN customer ON c_custkey = "user"
+UNION ALL SELECT "user", item, CAST(idx AS INT), value, label FROM pairs JOIN side ON id = item"""
+)
+
+
+@query("assemble_continuous", "pg channels watch train", ASSEMBLED)
+def assemble_continuous(v: Views):
+    """A user's balance beside genres and channels of the item; blocks that cover half of the items or fewer go."""
+    balance = v.table("customer").select(F.col("c_custkey").alias("id"), F.lit(0).alias("idx"), F.col("c_acctbal").alias("value"))
+    channels = features.channel_pairs(v.channels())
+    vocabulary = features.Vocabulary.of(channels)
+    blocks = {"genre": (genre_block(v), 16), "channel": (vocabulary.multi_hot(channels), vocabulary.names.count())}
+    return assembled(v.train(), {"balance": (balance, 1)}, blocks, 0.5)[0]
+
+
 @query("to_labeled_points", "uf vf", DESIGN + f" SELECT label, {X_TEXT} FROM design")
-def _(v: Views):
+def to_labeled_points(v: Views):
     points = design(v).select("label", array_to_vector("x").alias("features"))
     return as_text(points.select("label", vector_to_array("features").alias("x")))
 
 
-@query("split_by_user_bucket", "watch train", """SELECT "user", item, CASE WHEN "user" % 10 / 10 < 0.6 THEN 'tr' WHEN "user" % 10 / 10 < 0.9 THEN 'te' ELSE 'va' END AS split FROM train""")
-def _(v: Views):
-    return v.train().select("user", "item", exports.split_of(F.col("user"), 0.6, 0.3).alias("split"))
+@query("split_by_user_bucket", "watch", """SELECT "user", item, CASE WHEN "user" % 10 / 10 < 0.6 THEN 'tr' WHEN "user" % 10 / 10 < 0.9 THEN 'te' ELSE 'va' END AS split FROM watch""")
+def split_by_user_bucket(v: Views):
+    return v.watch().select("user", "item", exports.split_of(F.col("user"), 0.6, 0.3).alias("split"))
 
 
-@query("sample_users", "watch train", 'SELECT DISTINCT "user" FROM train WHERE ("user" * 7919) % 1000 < 200')
-def _(v: Views):
-    return exports.sample_users(v.train().select("user").distinct(), 0.2)
+@query("sample_users", "watch", """SELECT 'share' AS how, "user" FROM (SELECT DISTINCT "user" FROM watch) WHERE ("user" * 7919) % 1000 < 200
+UNION ALL (SELECT 'target', "user" FROM (SELECT DISTINCT "user" FROM watch) ORDER BY ("user" * 7919) % 1000, "user" LIMIT 25)""")
+def sample_users(v: Views):
+    users = v.watch().select("user").distinct()
+    share, target = (exports.sample_users(users, n).withColumn("how", F.lit(how)) for n, how in ((0.2, "share"), (25, "target")))
+    return share.unionByName(target)
 
 
 # Scoring with deterministic stand-ins for trained factors.
@@ -214,23 +243,36 @@ def per_user(scores: DataFrame) -> DataFrame:
     return scores.groupBy("user").agg(F.count("*").alias("n"), F.round(F.sum("score"), 4).alias("total"), F.round(F.max("score"), 6).alias("best"))
 
 
-for _name in ("join_cross_user_item", "join_block_broadcast_nl", "predict_all_pairs", "mf_predict_all_pairs"):
+for _name in ("join_cross_user_item", "predict_all_pairs", "mf_predict_all_pairs"):
 
     @query(_name, "uf vf", ALL + PER_USER)
-    def _(v: Views):
+    def predict_all_pairs(v: Views):
         return per_user(all_scores(v))
 
 
+@query("join_block_broadcast_nl", "uf vf", ALL + PER_USER)
+def join_block_broadcast_nl(v: Views):
+    """Items in at least four blocks; each user's figures are added up from the blocks'."""
+    items = v.item_factors()
+    parts = lambda pairs: pairs.groupBy("user").agg(F.count("*").alias("n"), F.sum("score").alias("total"), F.max("score").alias("best"))
+    blocks = scoring.all_pairs(v.user_factors(), items, vectors.dot_of(F.col("uf"), F.col("vf"), 5), parts, max(1, min(scoring.BLOCK_ROWS, items.count() // 4)))
+    return blocks.groupBy("user").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 4).alias("total"), F.round(F.max("best"), 6).alias("best"))
+
+
+#: A model as it may have been saved: ten features, no latent factors.
+LINEAR = training.Weights(0.0, np.array([[1.0, -1.0, 0.5, 2.0, 0.0, 1.0, 1.0, -2.0, 0.25, 3.0]]).T)
+
+
 @query("predict_pointwise", "uf vf", DESIGN + ' SELECT "user", item, label, round(list_dot_product(x, [1, -1, 0.5, 2, 0, 1, 1, -2, 0.25, 3]), 6) AS prediction FROM design')
-def _(v: Views):
-    weights = F.array(*map(F.lit, (1.0, -1.0, 0.5, 2.0, 0.0, 1.0, 1.0, -2.0, 0.25, 3.0)))
-    return rounded(design(v).select("user", "item", "label", vectors.dot(F.col("x"), weights).alias("prediction")), "prediction")
+def predict_pointwise(v: Views):
+    loaded = training.Weights.of(artifacts.cut(LINEAR.table(v.spark), "model"))
+    return rounded(training.predicted(design(v), loaded).select("user", "item", "label", "prediction"), "prediction")
 
 
 @query("predict_partial", "uf vf", """, a AS (SELECT "user", list_dot_product(uf, [1, 2, 3, 4, 5]) AS lin, list_dot_product(uf, [1, 0, 1, 0, 1]) AS lat FROM uf),
 b AS (SELECT item, list_dot_product(vf, [5, 4, 3, 2, 1]) AS lin, list_dot_product(vf, [0, 1, 0, 1, 0]) AS lat FROM vf),
 scores AS (SELECT "user", item, a.lin + b.lin + (a.lat + b.lat) * (a.lat + b.lat) AS score FROM a, b)""" + PER_USER)
-def _(v: Views):
+def predict_partial(v: Views):
     long = lambda df, i, x: df.select(F.col(i).alias("id"), F.posexplode(x).alias("idx", "value"))
     weights = lambda ws, vs: v.spark.createDataFrame([(i, float(w), float(x)) for i, (w, x) in enumerate(zip(ws, vs, strict=True))], "idx int, w double, v0 double")
     a = scoring.partial_model(long(v.user_factors(), "user", "uf"), weights((1, 2, 3, 4, 5), (1, 0, 1, 0, 1)), 1)
@@ -240,7 +282,7 @@ def _(v: Views):
 
 
 @query("mf_predict_one", "uf vf", ALL + ' SELECT "user", item, round(score, 6) AS score FROM scores WHERE "user" = (SELECT min("user") FROM uf) AND item = (SELECT max(item) FROM vf)')
-def _(v: Views):
+def mf_predict_one(v: Views):
     users, items = v.user_factors(), v.item_factors()
     one = users.join(F.broadcast(users.agg(F.min("user").alias("user"))), "user")
     other = items.join(F.broadcast(items.agg(F.max("item").alias("item"))), "item")
@@ -257,30 +299,39 @@ def completed_items(v: Views) -> DataFrame:
 
 
 @query("mf_predict_user_items", "uf vf test", COLD + ' SELECT item, round(list_dot_product(uf, full_items.vf), 6) AS score FROM full_items, (SELECT uf FROM uf WHERE "user" = (SELECT min("user") FROM uf))')
-def _(v: Views):
+def mf_predict_user_items(v: Views):
     users = v.user_factors()
     one = users.join(F.broadcast(users.agg(F.min("user").alias("user"))), "user")
     return rounded(scoring.all_pairs(one, completed_items(v), vectors.dot(F.col("uf"), F.col("vf"))).drop("user"), "score")
 
 
 @query("mf_predict_pairs_meta", "uf vf test", COLD + ' SELECT "user", item, rating, round(list_dot_product(uf, full_items.vf), 6) AS score FROM test JOIN uf USING ("user") JOIN full_items USING (item)')
-def _(v: Views):
+def mf_predict_pairs_meta(v: Views):
     pairs = v.test().select("user", "item", "rating")
     return rounded(scoring.pair_scores(pairs, v.user_factors(), completed_items(v)), "score")
 
 
 @query("feat_fact_lookup", "uf", 'SELECT "user", round(uf[1], 6) AS f0, round(uf[5], 6) AS f4 FROM uf WHERE "user" IN (SELECT c_custkey FROM customer WHERE c_mktsegment = \'BUILDING\')')
-def _(v: Views):
+def feat_fact_lookup(v: Views):
     wanted = v.table("customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("user"))
     rows = v.user_factors().join(wanted, "user", "left_semi")
     return rows.select("user", F.round(F.get("uf", F.lit(0)), 6).alias("f0"), F.round(F.get("uf", F.lit(4)), 6).alias("f4"))
 
 
-@query("feat_cold_item", "pg watch train test", GENRE_BLOCK + " SELECT id, idx, value FROM block WHERE id IN (SELECT item FROM test EXCEPT SELECT item FROM train)")
-def _(v: Views):
-    pairs = features.genre_pairs(v.program_genre())
+COLD_ITEM = """, own AS (SELECT id, idx, value FROM block WHERE id IN (SELECT item FROM test EXCEPT SELECT item FROM train)),
+regressed AS (SELECT id, k AS idx, sum(value * ((idx * (k + 3)) % 7) / 7) AS value FROM own, (SELECT unnest(range(0, 5)) AS k) GROUP BY ALL)
+SELECT id, idx, value FROM own UNION ALL SELECT id, CAST(idx + 16 AS INT), round(value, 6) FROM regressed"""
+
+
+@query("feat_cold_item", "pg watch train test", GENRE_BLOCK + COLD_ITEM)
+def feat_cold_item(v: Views):
+    """Content of cold items by the vocabulary of the known ones, and factors regressed from it; stand-ins for trained coefficients."""
     cold = v.test().select("item").distinct().join(v.train(), "item", "left_anti")
-    return features.Vocabulary.of(pairs).multi_hot(pairs.join(cold, "item", "left_semi"))
+    pairs = features.genre_pairs(v.program_genre())
+    content = features.Vocabulary.of(pairs).multi_hot(pairs.join(cold, "item", "left_semi"))
+    coefficients = v.spark.range(16 * 5).select((F.col("id") % 16).cast("int").alias("idx"), F.floor(F.col("id") / 16).cast("int").alias("k"))
+    coefficients = coefficients.withColumn("w", (F.col("idx") * (F.col("k") + 3)) % 7 / 7)
+    return rounded(features.cold_items([(content, 16)], content, coefficients), "value")
 
 
 # Ranking and evaluation.
@@ -296,30 +347,49 @@ hits AS (SELECT "user", kind, count(a.rank)::BIGINT AS hits, any_value(n) AS n_a
   JOIN (SELECT "user", kind, count(*)::BIGINT AS n FROM actual GROUP BY ALL) USING ("user", kind) GROUP BY ALL)""".replace("AS score FROM uf, vf)", "AS score FROM uf, vf), sc AS (SELECT * FROM scores)")
 
 
-def hits(v: Views) -> DataFrame:
-    scores = all_scores(v).withColumn("score", F.round("score", 9))
-    predicted = relational.top_all_and_new(scores, v.train(), N)
-    truth = relational.known_only(v.test(), v.train(), v.train()).groupBy("user", "item").agg(F.sum("rating").alias("score"))
-    return scoring.hit_sets(predicted, relational.top_all_and_new(truth, v.train(), N))
+def predicted(v: Views, users: DataFrame) -> DataFrame:
+    """The best N of all and of unseen items by the stand-in factors."""
+    score = F.round(vectors.dot_of(F.col("uf"), F.col("vf"), 5), 9)
+    best = lambda pairs: relational.top_n(pairs, ["user", "seen"], [F.desc("score"), F.col("item")], N).drop("rank")
+    return relational.top_all_and_new(scoring.all_pairs(scoring.with_seen(users, v.train()), v.item_factors(), score, best), N)
+
+
+def hits(v: Views, users: DataFrame | None = None) -> DataFrame:
+    truth = relational.known_only(v.test(), v.train(), v.train())
+    if users is not None:
+        truth = truth.join(users, "user", "left_semi")
+    truth = relational.mark_seen(truth.groupBy("user", "item").agg(F.sum("rating").alias("score")), v.train())
+    return scoring.hit_sets(predicted(v, v.user_factors() if users is None else users), relational.top_all_and_new(truth, N))
 
 
 SEEN = SEEN.replace("sc AS (SELECT * FROM scores)", 'sc AS (SELECT "user", item, round(score, 9) AS score FROM scores)')
 
 
 @query("topn_all_and_new", "uf vf test", SEEN + ' SELECT kind, "user", item, CAST(rank AS INT) AS rank FROM tops')
-def _(v: Views):
-    scores = all_scores(v).withColumn("score", F.round("score", 9))
-    return relational.top_all_and_new(scores, v.train(), N).select("kind", "user", "item", "rank")
+def topn_all_and_new(v: Views):
+    return predicted(v, v.user_factors()).select("kind", "user", "item", "rank")
 
 
 RATES = f""" SELECT round(avg(CASE WHEN kind = 'all' THEN hits / {N} END), 6) AS "precision", round(avg(CASE WHEN kind = 'all' THEN hits / n_actual END), 6) AS recall,
 round(avg(CASE WHEN kind = 'all' THEN hits END), 6) AS mean_hits, round(avg(CASE WHEN kind = 'new' THEN hits / n_actual END), 6) AS new_hit_rate FROM hits"""
 
 
+RATE_NAMES = ("precision", "recall", "mean_hits", "new_hit_rate")
+
+
 @query("metric_hit_rate", "uf vf test", SEEN + RATES)
-@query("eval_not_cold_hits", "uf vf test", SEEN + RATES)
-def _(v: Views):
-    return rounded(scoring.hit_rates(hits(v), N), "precision", "recall", "mean_hits", "new_hit_rate")
+def metric_hit_rate(v: Views):
+    return rounded(scoring.hit_rates(hits(v), N), *RATE_NAMES)
+
+
+#: The evaluations take a fifth of the users, the same on every run.
+SAMPLED = ' WHERE ("user" * 7919) % 1000 < 200'
+SAMPLED_SEEN = SEEN.replace("AS score FROM scores)", f"AS score FROM scores{SAMPLED})").replace("GROUP BY ALL),\nactual", f"AND {SAMPLED[7:]} GROUP BY ALL),\nactual")
+
+
+@query("eval_not_cold_hits", "uf vf test", SAMPLED_SEEN + RATES)
+def eval_not_cold_hits(v: Views):
+    return rounded(scoring.hit_rates(hits(v, exports.sample_users(v.user_factors(), 0.2)), N), *RATE_NAMES)
 
 
 COLD_TOP = f"""{COLD}, cold_items AS (SELECT item FROM test EXCEPT SELECT item FROM train),
@@ -329,40 +399,71 @@ chits AS (SELECT best."user", count(t.item)::BIGINT AS hits, count(*)::BIGINT AS
   LEFT JOIN (SELECT DISTINCT "user", item FROM test) t ON best."user" = t."user" AND best.item = t.item GROUP BY ALL)"""
 
 
-def cold_hits(v: Views) -> DataFrame:
+def cold_hits(v: Views, share: float | None = None) -> DataFrame:
     users = v.train().select("user").intersect(v.test().select("user"))
+    if share is not None:
+        users = exports.sample_users(users, share)
     cold = v.test().select("item").distinct().join(v.train(), "item", "left_anti")
-    scores = scoring.all_pairs(users, cold, (F.col("user") * 31 + F.col("item") * 17) % 1009)
-    best = relational.top_n(scores, ["user"], [F.desc("score"), F.col("item")], N)
-    found = best.join(v.test().select("user", "item").distinct().withColumn("hit", F.lit(1)), ["user", "item"], "left")
+    best = lambda pairs: relational.top_n(pairs, ["user"], [F.desc("score"), F.col("item")], N)
+    scores = scoring.all_pairs(users, cold, (F.col("user") * 31 + F.col("item") * 17) % 1009, lambda pairs: best(pairs).drop("rank"))
+    found = best(scores).join(v.test().select("user", "item").distinct().withColumn("hit", F.lit(1)), ["user", "item"], "left")
     return found.groupBy("user").agg(F.count("hit").alias("hits"), F.count("*").alias("n_predicted"))
 
 
 @query("topn_cold_hits", "vf test", COLD_TOP + ' SELECT "user", hits, n_predicted FROM chits')
-def _(v: Views):
+def topn_cold_hits(v: Views):
     return cold_hits(v)
 
 
-@query("metric_cold_recall", "vf test", COLD_TOP + " SELECT round(avg(hits / n_predicted), 6) AS cold_recall FROM chits")
-@query("eval_cold_items", "vf test", COLD_TOP + " SELECT round(avg(hits / n_predicted), 6) AS cold_recall FROM chits")
-def _(v: Views):
+COLD_RECALL = " SELECT round(avg(hits / n_predicted), 6) AS cold_recall FROM chits"
+SAMPLED_COLD = COLD_TOP.replace("AS score FROM (SELECT", f"AS score FROM (SELECT * FROM (SELECT").replace('FROM test), cold_items)', f'FROM test){SAMPLED}), cold_items)')
+
+
+@query("metric_cold_recall", "vf test", COLD_TOP + COLD_RECALL)
+def metric_cold_recall(v: Views):
     return rounded(scoring.cold_recall(cold_hits(v)), "cold_recall")
 
 
+@query("eval_cold_items", "vf test", SAMPLED_COLD + COLD_RECALL)
+def eval_cold_items(v: Views):
+    return rounded(scoring.cold_recall(cold_hits(v, 0.2)), "cold_recall")
+
+
 ERROR = """, rows AS (SELECT rating / 60 AS label, 10 * list_dot_product(uf, vf) AS prediction FROM test JOIN uf USING ("user") JOIN vf USING (item))
 SELECT round(avg(pow(label - prediction, 2)), 4) AS mse, round(sqrt(avg(pow(label - prediction, 2))), 4) AS rmse FROM rows"""
 
-for _name in ("metric_mse", "metric_rmse", "eval_not_cold_error", "eval_mf"):
+def warm_error(v: Views) -> DataFrame:
+    rows = scoring.pair_scores(v.test(), v.user_factors(), v.item_factors())
+    rows = rows.select((F.col("rating") / 60).alias("label"), (10 * F.col("score")).alias("prediction"))
+    return rounded(scoring.squared_error(rows), "mse", "rmse", digits=4)
 
-    @query(_name, "uf vf test", ERROR)
-    def _(v: Views):
-        rows = scoring.pair_scores(v.test(), v.user_factors(), v.item_factors())
-        rows = rows.select((F.col("rating") / 60).alias("label"), (10 * F.col("score")).alias("prediction"))
-        return rounded(scoring.squared_error(rows), "mse", "rmse", digits=4)
+
+for _name in ("metric_mse", "metric_rmse", "eval_not_cold_error"):
+    query(_name, "uf vf test", ERROR)(warm_error)
+
+
+EVAL_MF = (
+    SAMPLED_SEEN
+    + SAMPLED_COLD.replace(COLD, COLD)
+    + ERROR.replace("\nSELECT", ", err AS (SELECT").rstrip()
+    + "),\nrates AS ("
+    + RATES.strip()
+    + ") SELECT 'rmse' AS test, rmse AS value FROM err UNION ALL SELECT 'precision', \"precision\" FROM rates UNION ALL SELECT 'recall', recall FROM rates"
+    + " UNION ALL SELECT 'cold_recall', round(avg(hits / n_predicted), 6) FROM chits"
+)
+
+
+@query("eval_mf", "uf vf test", EVAL_MF)
+def eval_mf(v: Views):
+    """Rating error, ranking of known items and ranking of cold items in one table; the rankings for sampled users."""
+    row = lambda df, column, test: df.select(F.lit(test).alias("test"), F.col(column).alias("value"))
+    rates = eval_not_cold_hits(v)
+    parts = [row(warm_error(v), "rmse", "rmse"), row(rates, "precision", "precision"), row(rates, "recall", "recall"), row(eval_cold_items(v), "cold_recall", "cold_recall")]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("select_best_model", "", "SELECT p_brand AS model, round(avg(p_retailprice), 6) AS metric FROM part GROUP BY 1 ORDER BY metric, model LIMIT 1")
-def _(v: Views):
+def select_best_model(v: Views):
     return scoring.best_model(v.table("part").groupBy(F.col("p_brand").alias("model")).agg(F.round(F.avg("p_retailprice"), 6).alias("metric")))
 
 
@@ -376,25 +477,24 @@ def splits(v: Views) -> tuple[DataFrame, ...]:
 
 @query("feat_fact_als")
 @query("mf_train_als")
-def _(v: Views):
-    ints = relational.to_int_ids(v.train(), *maps(v)).select(F.col("uid").alias("user"), F.col("iid").alias("item"), "rating")
+def feat_fact_als(v: Views):
+    ints = relational.to_int_ids(v.train(), *maps(v.train())).select(F.col("uid").alias("user"), F.col("iid").alias("item"), "rating")
     users, items = training.als(ints)
     return users.withColumn("side", F.lit("user")).unionByName(items.withColumn("side", F.lit("item")))
 
 
 def _linear(v: Views, lasso: bool) -> DataFrame:
     train, _, _ = splits(v)
-    model = training.linear(train.select(array_to_vector("x").alias("features"), "label"), 0.1, lasso)
-    return v.spark.createDataFrame(list(enumerate(map(float, model.coefficients))), "idx int, w double")
+    return training.of_linear(training.linear(train.select(array_to_vector("x").alias("features"), "label"), 0.1, lasso)).table(v.spark)
 
 
 @query("reg_ridge")
-def _(v: Views):
+def reg_ridge(v: Views):
     return _linear(v, False)
 
 
 @query("reg_lasso")
-def _(v: Views):
+def reg_lasso(v: Views):
     return _linear(v, True)
 
 
@@ -406,42 +506,47 @@ def _cold(v: Views, lasso: bool) -> DataFrame:
 
 
 @query("cold_profile_ridge")
-def _(v: Views):
+def cold_profile_ridge(v: Views):
     return _cold(v, False)
 
 
 @query("cold_profile_lasso")
-def _(v: Views):
+def cold_profile_lasso(v: Views):
     return _cold(v, True)
 
 
-def weights_table(v: Views, w: training.Weights) -> DataFrame:
-    return v.spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(w.matrix)], ", ".join(["idx int", "w double", *(f"v{k} double" for k in range(w.matrix.shape[1] - 1))]))
+def trained(v: Views, fit, **options) -> training.Weights:
+    """A model on the training split, which is kept in memory for as long as the training takes."""
+    data = splits(v)[0].select("x", "label").persist()
+    try:
+        return fit(data, 10, 3, rounds=4, **options)
+    finally:
+        data.unpersist()
 
 
 @query("fm_l2")
 @query("gd_train")
-def _(v: Views):
-    return weights_table(v, training.fm_l2(splits(v)[0].cache(), 10, 3, rounds=4))
+def fm_l2(v: Views):
+    return trained(v, training.fm_l2).table(v.spark)
 
 
 @query("gd_accelerated")
-def _(v: Views):
-    return weights_table(v, training.fm_l2(splits(v)[0].cache(), 10, 3, step=1e-4, rounds=4, momentum=True))
+def gd_accelerated(v: Views):
+    return trained(v, training.fm_l2, step=1e-4, momentum=True).table(v.spark)
 
 
 @query("fm_l21")
-def _(v: Views):
-    return weights_table(v, training.fm_l21(splits(v)[0].cache(), 10, 3, rounds=4))
+def fm_l21(v: Views):
+    return trained(v, training.fm_l21).table(v.spark)
 
 
 @query("fm_feature_learning")
-def _(v: Views):
-    return weights_table(v, training.fm_feature_learning(splits(v)[0].cache(), 10, 3, rounds=4))
+def fm_feature_learning(v: Views):
+    return trained(v, training.fm_feature_learning).table(v.spark)
 
 
 @query("grid_search_validation")
-def _(v: Views):
+def grid_search_validation(v: Views):
     train, _, validation = splits(v)
     fit = lambda data, **g: training.fm_l2(data, 10, 3, **g)
     _, best, errors = training.grid_search(train, validation, fit, [{"step": s, "rounds": 3, "reg": r} for s in (1e-3, 1e-4) for r in (0.0, 0.1)])
@@ -449,31 +554,48 @@ def _(v: Views):
 
 
 @query("sink_model")
-def _(v: Views):
-    from airwave.sources import artifacts
-
-    return artifacts.cut(weights_table(v, training.fm_l2(splits(v)[0], 10, 2, rounds=2)), "model")
+def sink_model(v: Views):
+    """Models are saved, loaded and held against the held-out split: squared errors before and after, by model."""
+    held_out, rows = splits(v)[1], []
+    models = {"linear": training.of_linear(training.linear(splits(v)[0].select(array_to_vector("x").alias("features"), "label"), 0.1))}
+    models |= {"fm": trained(v, training.fm_l2), "learned": trained(v, training.fm_feature_learning)}
+    for name, w in models.items():
+        loaded = training.Weights.of(artifacts.cut(w.table(v.spark), f"model-{name}"))
+        rows.append((name, training.mean_squared_error(held_out, w), training.mean_squared_error(held_out, loaded)))
+    users, items = training.als(relational.to_int_ids(v.train(), *maps(v.train())).select(F.col("uid").alias("user"), F.col("iid").alias("item"), "rating"), rounds=2)
+    for name, profiles in (("users", users), ("items", items)):
+        saved = artifacts.cut(profiles, f"profiles-{name}")
+        size = lambda df: float(df.agg(F.sum(F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x))).first()[0])
+        rows.append((name, size(profiles), size(saved)))
+    return v.spark.createDataFrame(rows, "model string, before double, after double")
 
 
 @query("pipeline_recommend")
-def _(v: Views):
-    from airwave.plans.pipelines import recommend
-
-    return recommend(v.train(), v.test(), v.program_genre())
+def pipeline_recommend(v: Views):
+    """The whole job; the summary is the result, the programs of the predicted hours are written and counted in it."""
+    ratings = v.train()
+    return recommend(ratings, v.test(), v.program_genre(), v.channels(), v.schedule(), ["20240105"])
 
 
 @query("pipeline_matrix_fact")
-def _(v: Views):
-    from airwave.plans.pipelines import matrix_factorisation
-
-    return matrix_factorisation(v.train(), v.test())
-
-
-@query("pipeline_predict")
-def _(v: Views):
-    from airwave.plans.pipelines import predict
-
-    ratings = v.sched().groupBy("user", "item").agg(F.sum("seconds").cast("double").alias("rating"))
-    return predict(ratings, v.schedule(), ["20240105", "20240106"], 5)
-
-
+def pipeline_matrix_fact(v: Views):
+    block = artifacts.cut(genre_block(v), "genre-block")
+    return matrix_factorisation(v.train(), v.test(), (block, 16))
+
+
+PREDICTED = """, su AS (SELECT DISTINCT "user" FROM sched), days AS (SELECT * FROM schedule WHERE start[1:8] IN ('20240105', '20240106')),
+us AS (SELECT "user", [("user" * 3 % 17) / 17, ("user" * 4 % 17) / 17, ("user" * 5 % 17) / 17, ("user" * 6 % 17) / 17, ("user" * 7 % 17) / 17] AS uf FROM su),
+ps AS (SELECT program, [(program * 5 % 19) / 19, (program * 6 % 19) / 19, (program * 7 % 19) / 19, (program * 8 % 19) / 19, (program * 9 % 19) / 19] AS vf FROM (SELECT DISTINCT program FROM days)),
+slots AS (SELECT program, start[1:8] AS date, start[9:10] AS hour, min(start) AS start FROM days GROUP BY ALL),
+best AS (SELECT "user", date, hour, program, row_number() OVER (PARTITION BY "user", date, hour ORDER BY round(list_dot_product(uf, vf), 9) DESC, program) AS rank
+  FROM slots JOIN ps USING (program), us QUALIFY rank <= 5)
+SELECT date, hour, "user", string_agg(program, chr(9) ORDER BY rank) AS programs FROM best GROUP BY ALL"""
+
+
+@query("pipeline_predict", "sched schedule", PREDICTED)
+def pipeline_predict(v: Views):
+    """Programs of two days from stand-in factors, written by hour; pipelines.predict trains the factors first."""
+    factor = lambda c, by, n: F.array(*((F.col(c) * (k + by) % n) / n for k in range(5)))
+    users = v.sched().select("user").distinct().withColumn("uf", factor("user", 3, 17))
+    programs = v.sched().select("item").distinct().withColumn("vf", factor("item", 5, 19))
+    return hourly_programs(users, programs, v.schedule(), ["20240105", "20240106"], 5, vectors.dot_of(F.col("uf"), F.col("vf"), 5))[1]

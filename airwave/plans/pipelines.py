@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airwave.functions import scalars, vectors
@@ -27,6 +29,53 @@ def temporal_aggregation(watch: DataFrame, genres: DataFrame, grain: str = "week
     return aggregates.by_genre(rows, genres, weeks, min_watch, aggregates.active_users(rows, least_weeks))
 
 
+def corpus(ratings: DataFrame, transform: str = "none") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ratings, transformed, with int ids; and the maps of users and of items."""
+    rows = cut(aggregates.normalised(ratings, transform), "ratings")
+    users, items = relational.dense_ids(rows, "user", "uid"), relational.dense_ids(rows, "item", "iid")
+    return relational.to_int_ids(rows, users, items), users, items
+
+
+Blocks = dict[str, tuple[DataFrame, int]]
+
+
+def sides(ratings: DataFrame, user_blocks: Blocks, item_blocks: Blocks, least: float) -> tuple[DataFrame, DataFrame, int]:
+    """Features of users and of items (id, idx, value) and their number in all; the users' positions come first.
+
+    Blocks (id, idx, value) with their sizes: those that cover too small a share of the rated ids go; ids that all others have stay.
+    """
+    out, at = [], 0
+    for on, blocks in (("user", user_blocks), ("item", item_blocks)):
+        ids = ratings.select(F.col(on).alias("id")).distinct()
+        names = relational.covering({n: b.join(ids, "id", "left_semi") for n, (b, _) in blocks.items()}, ids.count(), least)
+        if not names:
+            raise ValueError(f"no {on} block covers more than {least:.0%} of the ids")
+        side = features.joined_blocks([blocks[n] for n in names]).withColumn("idx", (F.col("idx") + at).cast("int"))
+        out.append(cut(side, f"{on}-side"))
+        at += sum(blocks[n][1] for n in names)
+    return *out, at
+
+
+def design_rows(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """(user, item, idx, value, label) of the ratings whose user and item both have features."""
+    users, items = users.withColumnRenamed("id", "user"), items.withColumnRenamed("id", "item")
+    rows = aggregates.sum_pairs(ratings).join(users.select("user").distinct(), "user", "left_semi").join(items.select("item").distinct(), "item", "left_semi")
+    rows = cut(rows.withColumnRenamed("rating", "label"), "design-pairs")
+    return rows.join(users, "user").unionByName(rows.join(items, "item")).select("user", "item", "idx", "value", "label")
+
+
+def sparse_rows(design: DataFrame) -> DataFrame:
+    """(user, item, places, x, label in minutes): what the trainers take."""
+    rows = design.groupBy("user", "item", "label").agg(F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("f"))
+    return rows.select("user", "item", F.col("f.idx").alias("places"), F.col("f.value").alias("x"), (F.col("label") / 60).alias("label"))
+
+
+def assembled(ratings: DataFrame, user_blocks: Blocks, item_blocks: Blocks, least: float) -> tuple[DataFrame, int]:
+    """The design in long form, and its dimension: coverage, common ids, features side by side, ratings of these ids."""
+    users, items, size = sides(ratings, user_blocks, item_blocks, least)
+    return design_rows(ratings, users, items), size
+
+
 def factor_model(ratings: DataFrame, rank: int, rounds: int) -> tuple[DataFrame, DataFrame]:
     """(user, uf) and (item, vf) of trained factors, by the tables' own ids."""
     user_map, item_map = relational.dense_ids(ratings, "user", "uid"), relational.dense_ids(ratings, "item", "iid")
@@ -38,52 +87,124 @@ def factor_model(ratings: DataFrame, rank: int, rounds: int) -> tuple[DataFrame,
     return cut(users, "user-factors"), cut(items, "item-factors")
 
 
-def matrix_factorisation(train: DataFrame, test: DataFrame, rank: int = 5, rounds: int = 5, n: int = 10) -> DataFrame:
-    """Metrics of a factor model: errors on known pairs, hit rates, and errors with cold profiles."""
+def ranked(users: DataFrame, items: DataFrame, score: Column, train: DataFrame, test: DataFrame, n: int) -> DataFrame:
+    """Hit sets of the best n of all and of unseen items, for users with a history, against the test's own lists."""
+    best = lambda pairs: relational.top_n(pairs, ["user", "seen"], [F.desc("score"), F.col("item")], n).drop("rank")
+    predicted = relational.top_all_and_new(scoring.all_pairs(scoring.with_seen(users, train), items, score, best), n)
+    truth = relational.known_only(test.join(users, "user", "left_semi"), train, train).groupBy("user", "item").agg(F.sum("rating").alias("score"))
+    return scoring.hit_sets(predicted, relational.top_all_and_new(relational.mark_seen(truth, train), n))
+
+
+def cold_ranked(users: DataFrame, items: DataFrame, score: Column, test: DataFrame, n: int) -> DataFrame:
+    """Hits of the best n cold items of users that the test knows."""
+    best = lambda pairs: relational.top_n(pairs, ["user"], [F.desc("score"), F.col("item")], n)
+    top = best(scoring.all_pairs(users.join(test, "user", "left_semi"), items, score, lambda pairs: best(pairs).drop("rank")))
+    found = top.join(test.select("user", "item").distinct().withColumn("hit", F.lit(1)), ["user", "item"], "left")
+    return found.groupBy("user").agg(F.count("hit").alias("hits"), F.count("*").alias("n_predicted"))
+
+
+def cold_of(train: DataFrame, test: DataFrame) -> DataFrame:
+    return test.select("item").distinct().join(train, "item", "left_anti")
+
+
+def figure(rows: DataFrame, test: str, column: str) -> DataFrame:
+    return rows.select(F.lit(test).alias("test"), F.col(column).cast("double").alias("value"))
+
+
+def matrix_factorisation(train: DataFrame, test: DataFrame, content: tuple[DataFrame, int], rank: int = 5, rounds: int = 5, n: int = 10, share: float = 0.2) -> DataFrame:
+    """Metrics of a factor model: errors on known pairs, and with mean or regressed profiles for cold items; ranking of known and of cold items.
+
+    content: features (id, idx, value) of all items, and their number; profiles of cold items are regressed from them.
+    """
     users, items = factor_model(train.withColumn("rating", F.col("rating") / 60), rank, rounds)
-    test = test.withColumn("label", F.col("rating") / 60)
-    error = lambda rows: scoring.squared_error(rows.select("label", F.col("score").alias("prediction")))
-    warm = error(scoring.pair_scores(test, users, items)).select(F.lit("warm").alias("test"), F.col("rmse").alias("value"))
-    cold_items = scoring.completed(test, items, "item", "vf", scoring.mean_profile(items, "vf", rank))
-    cold = error(scoring.pair_scores(test, users, cold_items)).select(F.lit("with_cold").alias("test"), F.col("rmse").alias("value"))
-    sampled = exports.sample_users(users, 0.2)
-    scores = scoring.all_pairs(sampled, items, vectors.dot_of(F.col("uf"), F.col("vf"), rank))
-    truth = relational.known_only(test, train, train).groupBy("user", "item").agg(F.sum("rating").alias("score"))
-    hits = scoring.hit_sets(relational.top_all_and_new(scores, train, n), relational.top_all_and_new(truth, train, n))
-    rates = scoring.hit_rates(hits, n).select(F.lit("precision").alias("test"), F.col("precision").alias("value"))
-    return warm.unionByName(cold).unionByName(rates)
-
-
-def recommend(train: DataFrame, test: DataFrame, genres: DataFrame, factors: int = 3, rounds: int = 5) -> DataFrame:
-    """Metrics of a factorisation machine on genre features of items and users' means of them."""
-    pairs = features.genre_pairs(genres)
-    vocabulary = features.Vocabulary.of(pairs)
-    size = vocabulary.names.count()
-    item_block = cut(vocabulary.multi_hot(pairs), "item-block")
-    user_block = cut(aggregates.weighted_mean(train, item_block).withColumnRenamed("user", "id"), "user-block")
-    dense = lambda block: features.vectors(block, size)
-    from pyspark.ml.functions import vector_to_array
-
-    side = lambda block, name, column: dense(block).select(F.col("id").alias(name), vector_to_array("features").alias(column))
-    users, items = side(user_block, "user", "uf"), side(item_block, "item", "vf")
-
-    def matrix(rows: DataFrame) -> DataFrame:
-        joined = rows.join(users, "user").join(items, "item")
-        return joined.select("user", vectors.concat(F.col("uf"), F.col("vf")).alias("x"), (F.col("rating") / 60).alias("label"))
-
-    design = cut(matrix(aggregates.sum_pairs(train)).withColumn("split", exports.split_of(F.col("user"))), "design")
+    test_rows = test.withColumn("label", F.col("rating") / 60)
+    error = lambda profiles: scoring.squared_error(scoring.pair_scores(test_rows, users, profiles).select("label", F.col("score").alias("prediction")))
+    with_mean = scoring.completed(test, items, "item", "vf", scoring.mean_profile(items, "vf", rank))
+    block, size = content
+    profiles = items.select(F.col("item").alias("id"), F.col("vf").alias("profile"))
+    models = training.cold_profiles(features.vectors(block, size), profiles, rank)
+    spark = train.sparkSession
+    coefficients = spark.createDataFrame([(i, k, float(w)) for k, m in enumerate(models) for i, w in enumerate(m.coefficients)], "idx int, k int, w double")
+    cold = features.regressed(block.join(cold_of(train, test).withColumnRenamed("item", "id"), "id", "left_semi"), coefficients)
+    cold = cut(cold.groupBy(F.col("id").alias("item")).agg(F.array_sort(F.collect_list(F.struct("idx", "value")))["value"].alias("vf")), "cold-profiles")
+    score = vectors.dot_of(F.col("uf"), F.col("vf"), rank)
+    sampled = cut(exports.sample_users(users, share), "sampled-users")
+    rates = cut(scoring.hit_rates(ranked(sampled, items, score, train, test, n), n), "rates")
+    parts = [
+        figure(error(items), "warm: rmse", "rmse"),
+        figure(error(with_mean), "mean profiles: rmse", "rmse"),
+        figure(error(items.unionByName(cold)), "regressed profiles: rmse", "rmse"),
+        figure(rates, "known items: precision", "precision"),
+        figure(rates, "known items: recall", "recall"),
+        figure(scoring.cold_recall(cold_ranked(sampled, cold, score, test, n)), "cold items: recall", "cold_recall"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def recommend(
+    train: DataFrame, test: DataFrame, genres: DataFrame, channels: DataFrame, schedule: DataFrame, dates: list[str],
+    factors: int = 3, rounds: int = 5, n: int = 10, k: int = 5, least: float = 0.3, share: float = 0.2,
+) -> DataFrame:
+    """The job from ratings to programs of an hour, with a factorisation machine on features; its summary.
+
+    Features: genres, channels and show times of items, users' means of genres. Tests: error on known pairs, ranking of known and of
+    cold items for sampled users. The programs of the dates are written by hour.
+    """
+    spark = train.sparkSession
+    item_blocks: Blocks = {}
+    for name, pairs in (("genre", features.genre_pairs(genres)), ("channel", features.channel_pairs(channels))):
+        pairs = cut(pairs, "pairs")
+        vocabulary = features.Vocabulary.of(pairs)
+        item_blocks[name] = cut(vocabulary.multi_hot(pairs), f"{name}-block"), vocabulary.names.count()
+    item_blocks["show"] = features.show_time(schedule), 13
+    user_blocks = {"genre": (aggregates.weighted_mean(train, item_blocks["genre"][0]).withColumnRenamed("user", "id"), item_blocks["genre"][1])}
+    users, items, size = sides(train, user_blocks, item_blocks, least)
+    design = cut(sparse_rows(design_rows(train, users, items)).withColumn("split", exports.split_of(F.col("user"))), "design")
     part = lambda s: design.where(F.col("split") == s)
-    fit = lambda data, **g: training.fm_l2(data, 2 * size, factors, rounds=rounds, **g)
+    fit = lambda data, **g: training.fm_l2(data, size, factors, rounds=rounds, **g)
     model, best, errors = training.grid_search(part("tr"), part("va"), fit, [{"step": s} for s in (1e-2, 1e-3)])
-    rows = [("validation_mse", float(min(errors))), ("test_mse", training.mean_squared_error(part("te"), model)), ("holdout_mse", training.mean_squared_error(matrix(test), model)), ("step", best["step"])]
-    return train.sparkSession.createDataFrame([(k, float(x)) for k, x in rows], "key string, value double")
+    model = training.Weights.of(cut(model.table(spark), "model"))
+
+    wide = spark.createDataFrame(
+        [(i, *map(float, row)) for i, row in enumerate(model.matrix)], ", ".join(["idx int", "w double", *(f"v{j} double" for j in range(factors))])
+    )
+    shares = lambda side, on, x: cut(scoring.partial_model(side, wide, factors).select(F.col("id").alias(on), F.col("linear").alias(f"l{x}"), F.col("latent").alias(f"v{x}")), f"{on}-shares")
+    user_shares, item_shares = shares(users, "user", "u"), shares(items, "item", "i")
+    score = scoring.combined(F.col("lu"), F.col("li"), F.col("vu"), F.col("vi"), model.bias)
+    known = item_shares.join(train, "item", "left_semi")
+    cold = item_shares.join(cold_of(train, test), "item", "left_semi")
+    sampled = cut(exports.sample_users(user_shares, share), "sampled-users")
+    rates = scoring.hit_rates(ranked(sampled, known, score, train, test, n), n)
+    recall = scoring.cold_recall(cold_ranked(sampled, cold, score, test, n))
+    holdout = training.mean_squared_error(sparse_rows(design_rows(test, users, items)), model)
+    programs, _ = hourly_programs(sampled, item_shares, schedule, dates, k, score)
+    row = lambda **figures: spark.createDataFrame([tuple(map(str, figures.values()))], ", ".join(f"`{c}` string" for c in figures))
+    metrics = rates.select(*(exports.metric(c).alias(f"known items: {c}") for c in ("precision", "recall"))).crossJoin(recall.select(exports.metric("cold_recall").alias("cold items: recall")))
+    return exports.summary(
+        {
+            "dates": exports.date_figures(train),
+            "corpus": aggregates.corpus_stats(train),
+            "features": row(**{name: n_ for name, (_, n_) in item_blocks.items()}),
+            "assembled": row(dimension=size, rows=design.count()),
+            "models": row(step=best["step"], validation_mse=f"{min(errors):.4g}", test_mse=f"{training.mean_squared_error(part('te'), model):.4g}"),
+            "tests": metrics.crossJoin(row(**{"known items: mse": f"{holdout:.4g}"})),
+            "prediction": programs.agg(F.count("*").alias("programs"), F.countDistinct("user").alias("users")),
+        }
+    )
+
+
+def hourly_programs(users: DataFrame, items: DataFrame, schedule: DataFrame, dates: list[str], k: int, score: Column) -> tuple[DataFrame, DataFrame]:
+    """The best k programs of each user for each hour of the dates; and the lines that were written with a folder for each hour."""
+    rows = schedule.where(F.substring("start", 1, 8).isin(dates))
+    scheduled = items.join(rows.select(F.col("program").alias("item")).distinct(), "item", "left_semi")
+    scores = scoring.all_pairs(users, scheduled, F.round(score, 9)).withColumnRenamed("item", "program")
+    best = cut(relational.top_programs_per_hour(scores, rows, k).select("user", "date", "hour", "rank", "program", "score"), "hourly-programs")
+    return best, exports.written_by_hour(best)
 
 
-def predict(ratings: DataFrame, schedule: DataFrame, dates: list[str], k: int = 5, rank: int = 5, rounds: int = 5) -> DataFrame:
-    """The best k programs of each user for each hour of the dates, from factors of the ratings."""
+def predict(ratings: DataFrame, schedule: DataFrame, dates: list[str], k: int = 5, rank: int = 5, rounds: int = 5) -> tuple[DataFrame, DataFrame]:
+    """hourly_programs from factors of the ratings; programs without ratings get the mean profile."""
     users, items = factor_model(ratings, rank, rounds)
-    rows = schedule.where(F.substring("start", 1, 8).isin(dates))
-    scheduled = rows.select(F.col("program").alias("item")).distinct()
+    scheduled = schedule.where(F.substring("start", 1, 8).isin(dates)).select(F.col("program").alias("item")).distinct()
     profiles = scoring.completed(scheduled, items, "item", "vf", scoring.mean_profile(items, "vf", rank))
-    scores = scoring.all_pairs(users, profiles, vectors.dot_of(F.col("uf"), F.col("vf"), rank)).withColumnRenamed("item", "program")
-    return relational.top_programs_per_hour(scores, rows, k).select("user", "date", "hour", "rank", "program", F.round("score", 6).alias("score"))
+    return hourly_programs(users, profiles, schedule, dates, k, vectors.dot_of(F.col("uf"), F.col("vf"), rank))

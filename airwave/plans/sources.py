@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,27 +28,26 @@ def text_file(rows: DataFrame, sep: str, *columns) -> str:
     return path
 
 
-
-
 @query("scan_watch_log", "watch", """SELECT CAST("user" AS VARCHAR) AS "user", CAST(item AS VARCHAR) AS item, rating FROM watch
 WHERE date IN (DATE '1995-01-02', DATE '1995-01-03', DATE '1995-01-04')""")
-def _(v: Views):
+def scan_watch_log(v: Views):
+    """Three days that were written, and one that is asked for but missing."""
     base = f"{artifacts.shared_folder(v.spark)}/airwave/watch-{uuid.uuid4().hex}/"
     days = ["19950102", "19950103", "19950104"]
     rows = v.watch().withColumn("day", F.date_format("date", "yyyyMMdd")).where(F.col("day").isin(days))
     rows.select(F.concat_ws("\t", "user", "item", "rating").alias("value"), "day").write.partitionBy("day").text(base)
-    return files.watch_log(v.spark, f"{base}day=", days)
+    return files.watch_log(v.spark, f"{base}day=", [*days, "18991231"])
 
 
-@query("scan_ratings_csv", "watch train", 'SELECT CAST("user" AS INT) AS "user", CAST(item AS INT) AS item, rating FROM train')
-@query("sink_ratings_csv", "watch train", 'SELECT CAST("user" AS INT) AS "user", CAST(item AS INT) AS item, rating FROM train')
-def _(v: Views):
-    return files.ratings_csv(v.spark, text_file(v.train(), ",", "user", "item", "rating"))
+@query("scan_ratings_csv", "watch", 'SELECT CAST("user" AS INT) AS "user", CAST(item AS INT) AS item, rating FROM watch')
+@query("sink_ratings_csv", "watch", 'SELECT CAST("user" AS INT) AS "user", CAST(item AS INT) AS item, rating FROM watch')
+def scan_ratings_csv(v: Views):
+    return files.ratings_csv(v.spark, text_file(v.watch(), ",", "user", "item", "rating"))
 
 
-@query("scan_binary_ratings", "watch train", 'SELECT CAST("user" AS VARCHAR) AS "user", CAST(item AS VARCHAR) AS item, 1.0::DOUBLE AS rating FROM train')
-def _(v: Views):
-    return files.binary_ratings(v.spark, text_file(v.train(), "\t", "user", "item"), "\t")
+@query("scan_binary_ratings", "watch", 'SELECT CAST("user" AS VARCHAR) AS "user", CAST(item AS VARCHAR) AS item, 1.0::DOUBLE AS rating FROM watch')
+def scan_binary_ratings(v: Views):
+    return files.binary_ratings(v.spark, text_file(v.watch(), "\t", "user", "item"), "\t")
 
 
 def _schedule(v: Views) -> DataFrame:
@@ -55,23 +55,23 @@ def _schedule(v: Views) -> DataFrame:
 
 
 @query("scan_schedule", "schedule", 'SELECT channel, start, start AS "end", CAST(program AS VARCHAR) AS program FROM schedule')
-def _(v: Views):
+def scan_schedule(v: Views):
     return _schedule(v)
 
 
 @query("scan_programs_on_date", "schedule", "SELECT DISTINCT CAST(program AS VARCHAR) AS program FROM schedule WHERE start LIKE '20240105%'")
-def _(v: Views):
+def scan_programs_on_date(v: Views):
     return _schedule(v).where(F.substring("start", 1, 8) == "20240105").select("program").distinct()
 
 
 @query("scan_genre_dict", "", "SELECT DISTINCT source AS genre_id, lang, 'about ' || source AS description FROM documents WHERE lang = 'de'")
-def _(v: Views):
+def scan_genre_dict(v: Views):
     docs = v.table("documents").withColumn("d", F.concat(F.lit("about "), "source"))
     return files.genres(v.spark, text_file(docs, "|", NONE, "source", "lang", "d"), "de")
 
 
 @query("scan_genre_desc_clean", "", "SELECT DISTINCT source AS genre_id, lang, 'about-' || source AS description FROM documents WHERE lang = 'en'")
-def _(v: Views):
+def scan_genre_desc_clean(v: Views):
     docs = v.table("documents").withColumn("d", F.concat(F.lit("about "), "source"))
     return files.genres(v.spark, text_file(docs, "|", NONE, "source", "lang", "d"), clean=True)
 
@@ -80,66 +80,75 @@ def _program_genres(v: Views) -> DataFrame:
     return files.program_genres(v.spark, text_file(v.program_genre(), "|", NONE, "item", "genre", F.concat(F.lit(" "), F.col("rank").cast("string"))))
 
 
-@query("scan_program_genre", "watch train pg", """SELECT DISTINCT CAST(item AS VARCHAR) AS item, genre AS genre_id FROM pg
-WHERE item IN (SELECT item FROM train) AND genre IN (SELECT genre FROM pg WHERE rank = 1)""")
-def _(v: Views):
+@query("scan_program_genre", "watch pg", """SELECT DISTINCT CAST(item AS VARCHAR) AS item, genre AS genre_id FROM pg
+WHERE item IN (SELECT item FROM watch) AND genre IN (SELECT genre FROM pg WHERE rank = 1)""")
+def scan_program_genre(v: Views):
     first = v.program_genre().where("rank = 1").select(F.col("genre").alias("genre_id")).distinct()
-    rows = _program_genres(v).join(v.train().select(F.col("item").cast("string")), "item", "left_semi").join(first, "genre_id", "left_semi")
+    rows = _program_genres(v).join(v.watch().select(F.col("item").cast("string")), "item", "left_semi").join(first, "genre_id", "left_semi")
     return rows.select("item", "genre_id").distinct()
 
 
 @query("scan_program_genre_top", "pg", "SELECT CAST(item AS VARCHAR) AS item, genre AS genre_id, rank FROM pg WHERE rank IN (1, 2, 3)")
-def _(v: Views):
+def scan_program_genre_top(v: Views):
     return _program_genres(v).where(F.col("rank").isin(1, 2, 3))
 
 
-@query("scan_program_desc", "", "SELECT CAST(doc_id AS VARCHAR) AS item, lang || ' ' || source AS text FROM documents WHERE lang <> 'fr'")
-def _(v: Views):
-    text = F.when(F.col("lang") != "fr", F.concat_ws(" ", "lang", "source"))
-    return files.program_texts(v.spark, text_file(v.table("documents"), "|", NONE, "doc_id", NONE, NONE, text))
+@query("scan_program_desc", "watch", r"""SELECT CAST(doc_id AS VARCHAR) AS item, regexp_replace(text, '[\r\n|]', ' ', 'g') AS text FROM documents
+WHERE length(text) > 0 AND doc_id IN (SELECT item FROM watch)""")
+def scan_program_desc(v: Views):
+    """Descriptions of known items; line and field ends within a text become blanks, as in the input files."""
+    text = F.regexp_replace("text", r"[\r\n|]", " ")
+    rows = files.program_texts(v.spark, text_file(v.table("documents"), "|", NONE, "doc_id", NONE, NONE, text))
+    return rows.join(v.watch().select(F.col("item").cast("string")).distinct(), "item", "left_semi")
 
 
 @query("scan_channel_names", "", "SELECT CAST(s_suppkey AS VARCHAR) AS channel, min(s_name) AS name FROM supplier GROUP BY 1")
-def _(v: Views):
+def scan_channel_names(v: Views):
     return files.channel_names(v.spark, text_file(v.table("supplier").union(v.table("supplier")), "|", NONE, "s_suppkey", "s_name"))
 
 
 @query("scan_geo", "geo", 'SELECT DISTINCT CAST("user" AS VARCHAR) AS "user", lat, lon FROM geo')
-def _(v: Views):
+def scan_geo(v: Views):
     return files.geo(v.spark, text_file(v.geo().union(v.geo()), "\t", "user", "lat", "lon"))
 
 
 @query("scan_sched_watch", "sched", """SELECT CAST("user" AS VARCHAR) AS "user", CAST(item AS VARCHAR) AS item, hour,
 strftime(date, '%Y-%m-%d') AS day, CAST(floor(seconds) AS INT) AS seconds FROM sched""")
-def _(v: Views):
+def scan_sched_watch(v: Views):
     iso = F.date_format("ts", "yyyy-MM-dd'T 'HH:mm:ss")
     path = text_file(v.sched(), "\t", "user", "item", iso, NONE, F.floor("seconds"))
     return files.scheduled_watch(v.spark, path).select("user", "item", "hour", F.date_format("date", "yyyy-MM-dd").alias("day"), "seconds")
 
 
-@query("scan_valid_dates", "sched", """SELECT CAST(month(date) AS INT) AS month, CAST(count(DISTINCT date) AS BIGINT) AS days FROM sched
+@query("scan_valid_dates", "sched", """SELECT CAST(month(date) AS INT) AS month, CAST(count(DISTINCT date) AS BIGINT) AS days, CAST(min(date) AS VARCHAR) AS first_day FROM sched
 WHERE dayofweek(date) NOT IN (5, 6, 0) GROUP BY 1""")
-def _(v: Views):
-    return v.sched().where(~scalars.is_weekend(F.col("date"))).groupBy(F.month("date").alias("month")).agg(F.countDistinct("date").alias("days"))
+def scan_valid_dates(v: Views):
+    """Work days of two years that have a folder, by month; most are missing."""
+    base = f"{artifacts.shared_folder(v.spark)}/airwave/days-{uuid.uuid4().hex}/"
+    v.sched().select(F.col("user").cast("string").alias("value"), F.date_format("date", "yyyyMMdd").alias("day")).write.partitionBy("day").text(base)
+    asked = [(datetime(2023, 1, 1) + timedelta(days=i)).strftime("%Y%m%d") for i in range(731)]
+    months = files.by_month(files.valid_dates(v.spark, f"{base}day=", asked, work_days=True))
+    rows = [(int(m[4:]), len(days), f"{days[0][:4]}-{days[0][4:6]}-{days[0][6:]}") for m, days in months.items()]
+    return v.spark.createDataFrame(rows, "month int, days long, first_day string")
 
 
-@query("scan_program_scores", "watch train", 'SELECT CAST("user" AS INT) AS "user", CAST(item AS VARCHAR) AS program, rating AS score FROM train')
-def _(v: Views):
-    return files.program_scores(v.spark, text_file(v.train(), "\t", "user", "item", "rating"))
+@query("scan_program_scores", "watch", 'SELECT CAST("user" AS INT) AS "user", CAST(item AS VARCHAR) AS program, rating AS score FROM watch')
+def scan_program_scores(v: Views):
+    return files.program_scores(v.spark, text_file(v.watch(), "\t", "user", "item", "rating"))
 
 
 @query("scan_program_map", "", "SELECT p_name AS program, CAST(p_partkey AS INT) AS id FROM part")
-def _(v: Views):
+def scan_program_map(v: Views):
     return files.program_map(v.spark, text_file(v.table("part"), "\t", "p_name", "p_partkey"))
 
 
 @query("scan_feature_map", "", "SELECT CAST(p_partkey AS INT) AS idx, p_name AS name FROM part")
-def _(v: Views):
+def scan_feature_map(v: Views):
     return files.feature_map(v.spark, text_file(v.table("part"), ",", "p_partkey", "p_name", F.lit(1.5))).select("idx", "name")
 
 
 @query("scan_labeled_csv", "", "SELECT CAST(p_size AS VARCHAR) || '.0,' || CAST(p_partkey % 7 AS VARCHAR) || '.0' AS features, CAST(p_partkey % 3 AS DOUBLE) AS label FROM part")
-def _(v: Views):
+def scan_labeled_csv(v: Views):
     rows = files.labeled_csv(v.spark, text_file(v.table("part"), ",", NONE, NONE, "p_size", F.col("p_partkey") % 7, F.col("p_partkey") % 3))
     return rows.select(F.array_join(F.transform("features", lambda x: x.cast("string")), ",").alias("features"), "label")
 
@@ -147,33 +156,33 @@ def _(v: Views):
 # Sinks.
 
 
-@query("sink_artifact", "watch train", 'SELECT "user", item, sum(rating) AS rating FROM train GROUP BY ALL')
-def _(v: Views):
-    return artifacts.cut(aggregates.sum_pairs(v.train()), "pairs")
+@query("sink_artifact", "watch", 'SELECT "user", item, sum(rating) AS rating FROM watch GROUP BY ALL')
+def sink_artifact(v: Views):
+    return artifacts.cut(aggregates.sum_pairs(v.watch()), "pairs")
 
 
-@query("sink_if_absent", "watch train", 'SELECT "user", count(*)::BIGINT AS n FROM train GROUP BY 1')
-def _(v: Views):
+@query("sink_if_absent", "watch", 'SELECT "user", count(*)::BIGINT AS n FROM watch GROUP BY 1')
+def sink_if_absent(v: Views):
     name = f"counts-{uuid.uuid4().hex}"
-    artifacts.save(v.train().groupBy("user").agg(F.count("*").alias("n")), name)
-    return artifacts.save(v.train().select("user", F.lit(0).cast("long").alias("n")), name)  # is there already
+    artifacts.save(v.watch().groupBy("user").agg(F.count("*").alias("n")), name)
+    return artifacts.save(v.watch().select("user", F.lit(0).cast("long").alias("n")), name)  # is there already
 
 
-@query("artifact_key", "watch train", """SELECT "user", md5(array_to_string(list_sort(list(DISTINCT CAST(item AS VARCHAR))), '%')) AS md5_key,
-sha256(array_to_string(list_sort(list(CAST(item AS VARCHAR))), '%')) AS sha256_key FROM train GROUP BY 1""")
-def _(v: Views):
-    items = v.train().groupBy("user").agg(F.collect_list(F.col("item").cast("string")).alias("items"))
+@query("artifact_key", "watch", """SELECT "user", md5(array_to_string(list_sort(list(DISTINCT CAST(item AS VARCHAR))), '%')) AS md5_key,
+sha256(array_to_string(list_sort(list(CAST(item AS VARCHAR))), '%')) AS sha256_key FROM watch GROUP BY 1""")
+def artifact_key(v: Views):
+    items = v.watch().groupBy("user").agg(F.collect_list(F.col("item").cast("string")).alias("items"))
     return items.select("user", artifacts.key_of(F.col("items")).alias("md5_key"), artifacts.key_of(F.col("items"), False, "sha256").alias("sha256_key"))
 
 
 NUM = "CASE WHEN {0} = floor({0}) THEN CAST(CAST({0} AS BIGINT) AS VARCHAR) ELSE CAST({0} AS VARCHAR) END"
-PAIRS = 'pairs AS (SELECT "user", item, sum(rating) AS rating FROM train GROUP BY ALL)'
+PAIRS = 'pairs AS (SELECT "user", item, sum(rating) AS rating FROM watch GROUP BY ALL)'
 
 
-@query("sink_user_history_text", "watch train", f""", {PAIRS} SELECT "user", "user" || '@' || string_agg('(' || item || ',' || {NUM.format("rating")} || ')', '%' ORDER BY item) AS line
+@query("sink_user_history_text", "watch", f""", {PAIRS} SELECT "user", "user" || '@' || string_agg('(' || item || ',' || {NUM.format("rating")} || ')', '%' ORDER BY item) AS line
 FROM pairs GROUP BY 1""")
-def _(v: Views):
-    return exports.user_history(aggregates.sum_pairs(v.train()))
+def sink_user_history_text(v: Views):
+    return exports.user_history(aggregates.sum_pairs(v.watch()))
 
 
 CHANNEL_BLOCK = """, cap AS (SELECT item FROM channels GROUP BY 1 HAVING count(DISTINCT channel) <= 20),
@@ -189,17 +198,17 @@ def genre_block(v: Views) -> DataFrame:
 
 
 @query("sink_item_feature_text", "pg", GENRE_BLOCK + " SELECT id, id || '@' || string_agg('(' || idx || ',1)', '%' ORDER BY idx) AS line FROM block GROUP BY 1")
-def _(v: Views):
+def sink_item_feature_text(v: Views):
     return exports.item_features(genre_block(v))
 
 
 @query("sink_features_sparse_text", "pg", GENRE_BLOCK + " SELECT id, id || ',16,' || string_agg(idx || ',1', ',' ORDER BY idx) AS line FROM block GROUP BY 1")
-def _(v: Views):
+def sink_features_sparse_text(v: Views):
     return exports.sparse_lines(genre_block(v), 16)
 
 
 @query("sink_features_csr", "pg", GENRE_BLOCK + " SELECT id, string_agg(idx || ',1', ',' ORDER BY idx) AS line FROM block GROUP BY 1 ORDER BY id")
-def _(v: Views):
+def sink_features_csr(v: Views):
     return exports.sparse_lines(genre_block(v)).orderBy("id")
 
 
@@ -207,31 +216,31 @@ RATING_LINES = f""", {PAIRS}, place AS (SELECT item, row_number() OVER (ORDER BY
 SELECT "user", string_agg(idx || ',' || {NUM.format("rating")}, ',' ORDER BY idx) AS line FROM pairs JOIN place USING (item) GROUP BY 1"""
 
 
-@query("sink_ratings_sparse_text", "watch train", RATING_LINES)
-def _(v: Views):
-    return exports.rating_lines(aggregates.sum_pairs(v.train()))
+@query("sink_ratings_sparse_text", "watch", RATING_LINES)
+def sink_ratings_sparse_text(v: Views):
+    return exports.rating_lines(aggregates.sum_pairs(v.watch()))
 
 
-@query("sink_ratings_csr", "watch train", RATING_LINES + ' ORDER BY "user"')
-def _(v: Views):
-    return exports.rating_lines(aggregates.sum_pairs(v.train())).orderBy("user")
+@query("sink_ratings_csr", "watch", RATING_LINES + ' ORDER BY "user"')
+def sink_ratings_csr(v: Views):
+    return exports.rating_lines(aggregates.sum_pairs(v.watch())).orderBy("user")
 
 
-@query("densify_feature_rows", "watch train", f""", {PAIRS}, l AS (SELECT "user" AS id, string_agg(item, ' ' ORDER BY item) AS line FROM pairs GROUP BY 1)
+@query("densify_feature_rows", "watch", f""", {PAIRS}, l AS (SELECT "user" AS id, string_agg(item, ' ' ORDER BY item) AS line FROM pairs GROUP BY 1)
 SELECT g.id, coalesce(line, ' ') AS line FROM (SELECT unnest(range(1, (SELECT max(id) FROM l) + 1)) AS id) g LEFT JOIN l ON g.id = l.id""")
-def _(v: Views):
+def densify_feature_rows(v: Views):
     items = F.array_join(F.transform(F.array_sort(F.collect_list("item")), lambda x: x.cast("string")), " ")
-    return exports.densified(aggregates.sum_pairs(v.train()).groupBy(F.col("user").alias("id")).agg(items.alias("line")))
+    return exports.densified(aggregates.sum_pairs(v.watch()).groupBy(F.col("user").alias("id")).agg(items.alias("line")))
 
 
-@query("export_active_user_rows", "watch train", f""", {PAIRS} SELECT "user", string_agg(item || ' ' || {NUM.format("rating")}, ' ' ORDER BY item) AS line
+@query("export_active_user_rows", "watch", f""", {PAIRS} SELECT "user", string_agg(item || ' ' || {NUM.format("rating")}, ' ' ORDER BY item) AS line
 FROM pairs GROUP BY 1 HAVING count(*) >= 5""")
-def _(v: Views):
-    return exports.active_rows(aggregates.sum_pairs(v.train()))
+def export_active_user_rows(v: Views):
+    return exports.active_rows(aggregates.sum_pairs(v.watch()))
 
 
 @query("filter_schedule_by_programs", "schedule pg", "SELECT channel, start, program FROM schedule WHERE program IN (SELECT item FROM pg WHERE genre = 'red')")
-def _(v: Views):
+def filter_schedule_by_programs(v: Views):
     return v.schedule().join(v.program_genre().where("genre = 'red'").select(F.col("item").alias("program")), "program", "left_semi").select("channel", "start", "program")
 
 
@@ -249,30 +258,51 @@ def hourly(v: Views) -> DataFrame:
 
 
 @query("topk_programs_per_hour", "sched schedule", TOP_PROGRAMS + ' SELECT "user", date, hour, CAST(rank AS INT) AS rank, program FROM best')
-def _(v: Views):
+def topk_programs_per_hour(v: Views):
     return hourly(v).select("user", "date", "hour", "rank", "program")
 
 
 @query("sink_hourly_recs", "sched schedule", TOP_PROGRAMS + """ SELECT date, hour, "user", string_agg(program, chr(9) ORDER BY rank) AS programs FROM best GROUP BY ALL""")
-def _(v: Views):
-    ranked = F.array_sort(F.collect_list(F.struct("rank", "program")))
-    lines = hourly(v).groupBy("date", "hour", "user").agg(F.array_join(F.transform(ranked, lambda r: r["program"].cast("string")), "\t").alias("programs"))
-    saved = artifacts.save(lines, f"hourly-{uuid.uuid4().hex}", by=("date", "hour"))
-    return saved.select(F.col("date").cast("string").alias("date"), F.lpad(F.col("hour").cast("string"), 2, "0").alias("hour"), "user", "programs")
+def sink_hourly_recs(v: Views):
+    return exports.written_by_hour(hourly(v))
 
 
-@query("sink_metric", "watch train", "SELECT round(avg(pow(rating - 1500, 2)), 6) AS mse FROM train")
-def _(v: Views):
-    rows = v.train().select(F.col("rating").alias("label"), F.lit(1500.0).alias("prediction"))
+@query("sink_metric", "watch", "SELECT round(avg(pow(rating - 1500, 2)), 6) AS mse FROM watch")
+def sink_metric(v: Views):
+    rows = v.watch().select(F.col("rating").alias("label"), F.lit(1500.0).alias("prediction"))
     return artifacts.cut(scoring.squared_error(rows), "metric").select(F.round("mse", 6).alias("mse"))
 
 
-@query("report_summary", "watch train", """SELECT 'corpus' AS section, key, value FROM (SELECT count(DISTINCT "user") AS users, count(DISTINCT item) AS items, count(*) AS n FROM train)
-UNPIVOT (value FOR key IN (users, items, n))""")
-def _(v: Views):
-    return aggregates.corpus_stats(v.train()).unpivot([], ["users", "items", "n"], "key", "value").select(F.lit("corpus").alias("section"), "key", "value")
-
-
-@query("rank_dense_id_map", "watch train", 'SELECT "user", CAST(row_number() OVER (ORDER BY "user") - 1 AS INT) AS id FROM (SELECT DISTINCT "user" FROM train)')
-def _(v: Views):
-    return dense_ids(v.train(), "user", "id")
+SUMMARY = (
+    GENRE_BLOCK
+    + """, corpus AS (SELECT count(DISTINCT "user") AS users, count(DISTINCT item) AS items, count(*) AS n, min(date) AS first, max(date) AS last, count(DISTINCT date) AS days FROM train),
+sized AS (SELECT count(*) AS n, 1 + max(idx) AS size FROM block), tested AS (SELECT sqrt(avg(pow(rating - (SELECT avg(rating) FROM train), 2))) AS rmse, count(*) AS n FROM test)
+SELECT 'dates' AS section, 'first' AS key, strftime(first, '%Y%m%d') AS value FROM corpus UNION ALL SELECT 'dates', 'last', strftime(last, '%Y%m%d') FROM corpus
+UNION ALL SELECT 'dates', 'days', CAST(days AS VARCHAR) FROM corpus UNION ALL SELECT 'corpus', 'users', CAST(users AS VARCHAR) FROM corpus
+UNION ALL SELECT 'corpus', 'items', CAST(items AS VARCHAR) FROM corpus UNION ALL SELECT 'corpus', 'n', CAST(n AS VARCHAR) FROM corpus
+UNION ALL SELECT 'features', 'item_genre', CAST(size AS VARCHAR) FROM sized UNION ALL SELECT 'assembled', 'item_genre', CAST(n AS VARCHAR) FROM sized
+UNION ALL SELECT 'models', 'mean', '1' UNION ALL SELECT 'tests', 'mean: rmse', printf('%#.4g', rmse) FROM tested UNION ALL SELECT 'tests', 'mean: rows', CAST(n AS VARCHAR) FROM tested"""
+)
+
+
+@query("report_summary", "watch train test pg", SUMMARY)
+def report_summary(v: Views):
+    """The run of a model that predicts the mean rating: dates, corpus, features, assembled rows, models and tests."""
+    train, test, block = v.train(), v.test(), genre_block(v)
+    mean = train.agg(F.avg("rating").alias("prediction"))
+    tested = scoring.squared_error(test.crossJoin(F.broadcast(mean)).select(F.col("rating").alias("label"), "prediction")).crossJoin(test.agg(F.count("*").alias("n")))
+    return exports.summary(
+        {
+            "dates": exports.date_figures(train),
+            "corpus": aggregates.corpus_stats(train),
+            "features": block.agg((F.max("idx") + 1).alias("item_genre")),
+            "assembled": block.agg(F.count("*").alias("item_genre")),
+            "models": v.spark.range(1).select(F.lit(1).alias("mean")),
+            "tests": tested.select(exports.metric("rmse").alias("mean: rmse"), F.col("n").alias("mean: rows")),
+        }
+    )
+
+
+@query("rank_dense_id_map", "watch", 'SELECT "user", CAST(row_number() OVER (ORDER BY "user") - 1 AS INT) AS id FROM (SELECT DISTINCT "user" FROM watch)')
+def rank_dense_id_map(v: Views):
+    return dense_ids(v.watch(), "user", "id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +14,29 @@ def _delimited(spark: SparkSession, paths, sep: str, fields: dict[str, int], wid
     return raw.select(*(F.col(f"f{i}").alias(name) for name, i in fields.items()))
 
 
+def valid_dates(spark: SparkSession, prefix: str, dates: list[str], work_days: bool = False) -> list[str]:
+    """The dates (yyyyMMdd) whose path prefix + date is there; on request only Monday to Thursday."""
+    asked = [d for d in dates if not work_days or datetime.strptime(d, "%Y%m%d").weekday() < 4]
+    if not asked:
+        return []
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{prefix}*")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or ()
+    names = {f.getPath().getName() for f in found}
+    last = prefix.rsplit("/", 1)[-1]
+    return [d for d in asked if last + d in names]
+
+
+def by_month(dates: list[str]) -> dict[str, list[str]]:
+    """The dates of each month (yyyyMM), in order."""
+    out: dict[str, list[str]] = {}
+    for d in sorted(dates):
+        out.setdefault(d[:6], []).append(d)
+    return out
+
+
 def watch_log(spark: SparkSession, prefix: str, dates: list[str]) -> DataFrame | None:
-    """user, item, seconds of the given days; None without days."""
+    """user, item, seconds of the given days that are there; None without any."""
+    dates = valid_dates(spark, prefix, dates)
     if not dates:
         return None
     rows = _delimited(spark, [prefix + d for d in dates], "\t", {"user": 0, "item": 1, "rating": 2}, 3)

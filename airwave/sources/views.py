@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TRAIN, TEST = ("1995-01-01", "1995-07-01"), ("1995-07-01", "1995-10-01")
+#: Watching before this day trains, from it on it tests.
+CUT = "1996-01-01"
 
 
 class Views:
@@ -23,14 +24,11 @@ class Views:
             F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"), (F.col("l_quantity") * 60).alias("rating"), F.to_date("l_shipdate").alias("date")
         )
 
-    def window(self, span: tuple[str, str]) -> DataFrame:
-        return self.watch().where((F.col("date") >= F.lit(span[0]).cast("date")) & (F.col("date") < F.lit(span[1]).cast("date")))
-
     def train(self) -> DataFrame:
-        return self.window(TRAIN)
+        return self.watch().where(F.col("date") < F.lit(CUT).cast("date"))
 
     def test(self) -> DataFrame:
-        return self.window(TEST)
+        return self.watch().where(F.col("date") >= F.lit(CUT).cast("date"))
 
     def sched(self) -> DataFrame:
         return self.table("events").select(
@@ -52,7 +50,8 @@ class Views:
         return self.table("lineitem").select(F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("channel")).distinct()
 
     def names(self) -> DataFrame:
-        return self.table("supplier").where(F.col("s_suppkey") % 7 != 0).select(F.col("s_suppkey").alias("channel"), F.col("s_name").alias("name"))
+        """Names of channels in good standing; the others have none."""
+        return self.table("supplier").where("s_acctbal >= 0").select(F.col("s_suppkey").alias("channel"), F.col("s_name").alias("name"))
 
     def texts(self) -> DataFrame:
         return self.table("documents").select(F.col("doc_id").alias("item"), "text")
@@ -75,15 +74,15 @@ class Views:
 SQL = {
     "watch": """watch AS (SELECT o_custkey AS "user", l_partkey AS item, l_quantity * 60 AS rating, CAST(l_shipdate AS DATE) AS date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
-    "train": f"train AS (SELECT * FROM watch WHERE date >= DATE '{TRAIN[0]}' AND date < DATE '{TRAIN[1]}')",
-    "test": f"test AS (SELECT * FROM watch WHERE date >= DATE '{TEST[0]}' AND date < DATE '{TEST[1]}')",
+    "train": f"train AS (SELECT * FROM watch WHERE date < DATE '{CUT}')",
+    "test": f"test AS (SELECT * FROM watch WHERE date >= DATE '{CUT}')",
     "sched": """sched AS (SELECT user_id AS "user", CAST(json_extract_string(props, '$.k') AS INT) AS item, CAST(hour(ts) AS INT) AS hour,
   CAST(ts AS DATE) AS date, CAST(value AS DECIMAL(18,2)) AS seconds, event_type, ts FROM events)""",
     "schedule": "schedule AS (SELECT event_type AS channel, strftime(ts, '%Y%m%d%H%M') AS start, item AS program FROM sched)",
     "pg": """pg AS (SELECT p_partkey AS item, words[i] AS genre, CAST(i AS INT) AS rank
   FROM (SELECT p_partkey, string_split(p_name, ' ') AS words, unnest(range(1, len(string_split(p_name, ' ')) + 1)) AS i FROM part))""",
     "channels": "channels AS (SELECT DISTINCT l_partkey AS item, l_suppkey AS channel FROM lineitem)",
-    "names": "names AS (SELECT s_suppkey AS channel, s_name AS name FROM supplier WHERE s_suppkey % 7 <> 0)",
+    "names": "names AS (SELECT s_suppkey AS channel, s_name AS name FROM supplier WHERE s_acctbal >= 0)",
     "texts": "texts AS (SELECT doc_id AS item, text FROM documents)",
     "geo": """geo AS (SELECT c_custkey AS "user", 24 + ((c_custkey * 37) % 260) / 10.0::DOUBLE AS lat,
   -(66 + ((c_custkey * 53) % 590) / 10.0::DOUBLE) AS lon FROM customer)""",

@@ -115,10 +115,58 @@ def test_active_users_need_every_month(spark):
 def test_top_n_is_a_prefix_and_extra_adds_one(spark):
     scores = spark.createDataFrame([(u, i, float(i * u % 5)) for u in (1, 2) for i in range(9)], "user int, item int, score double")
     seen = spark.createDataFrame([(1, 4), (1, 3)], "user int, item int")
-    got = relational.top_all_and_new(scores, seen, 3).orderBy("rank").collect()
+    marked = relational.mark_seen(scores, seen)
+    got = relational.top_all_and_new(marked, 3).orderBy("rank").collect()
     assert {r.user for r in got} == {1}  # no seen set, no rows
     assert [r.item for r in got if r.kind == "all"] == [4, 3, 8] and [r.item for r in got if r.kind == "new"] == [8, 2, 7]
-    assert relational.top_all_and_new(scores, seen, 3, extra=1).count() == 8
+    assert relational.top_all_and_new(marked, 3, extra=1).count() == 8
+
+
+def test_rankings_come_from_one_pass_over_the_pairs(spark):
+    """Blocks of items, each reduced by itself, give the lists of the whole product; every block is one broadcast join, none a cartesian product."""
+    users = spark.range(40).select(F.col("id").alias("user"), (F.col("id") % 7).alias("a"))
+    items = spark.range(60).select(F.col("id").alias("item"), (F.col("id") * 5 % 11).alias("b"))
+    seen = spark.range(200).select((F.col("id") % 30).alias("user"), (F.col("id") * 17 % 60).alias("item"))
+    score = (F.col("a") * F.col("b") % 13).cast("double")
+    best = lambda pairs: relational.top_n(pairs, ["user", "seen"], [F.desc("score"), F.col("item")], 4).drop("rank")
+    made = [relational.top_all_and_new(scoring.all_pairs(scoring.with_seen(users, seen), items, score, best, block), 4) for block in (7, 1000)]
+    have = [sorted((r.user, r.kind, r["rank"], r.item) for r in df.collect()) for df in made]
+    known = {(r.user, r.item) for r in seen.collect()}
+    rows = {u: sorted((-(float(u % 7 * (i * 5 % 11) % 13)), i) for i in range(60)) for u in range(30)}
+    want = [(u, "all", k + 1, i) for u, own in rows.items() for k, (_, i) in enumerate(own[:4])]
+    want += [(u, "new", k + 1, i) for u, own in rows.items() for k, (_, i) in enumerate([x for x in own if (u, x[1]) not in known][:4])]
+    assert have[0] == have[1] == sorted(want)
+    plan = made[1]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("BroadcastNestedLoopJoin") == 1 and "CartesianProduct" not in plan
+
+
+def test_missing_days_drop_out(spark, tmp_path):
+    for day in ("20140521", "20140523", "20140524"):
+        (tmp_path / f"w-{day}").write_text(f"u\ti\t{day}\n")
+    prefix = f"{tmp_path}/w-"
+    days = [f"201405{d}" for d in range(20, 26)]
+    assert files.valid_dates(spark, prefix, days) == ["20140521", "20140523", "20140524"]
+    assert files.valid_dates(spark, prefix, days, work_days=True) == ["20140521"]  # the 23rd is a Friday
+    assert files.watch_log(spark, prefix, days).count() == 3 and files.watch_log(spark, prefix, ["20140520"]) is None
+    assert files.by_month(["20140602", "20140523", "20140521"]) == {"201405": ["20140521", "20140523"], "201406": ["20140602"]}
+
+
+def test_target_count_of_sampled_users(spark):
+    users = spark.range(500).select(F.col("id").alias("user"))
+    few = {r.user for r in exports.sample_users(users, 30).collect()}
+    assert len(few) == 30 and few == {r.user for r in exports.sample_users(users.repartition(7), 30).collect()}
+    assert len(few & {r.user for r in exports.sample_users(users, 0.2).collect()}) == 30
+
+
+def test_a_run_deletes_what_it_has_cut(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        with artifacts.temporary(spark) as folder:
+            assert artifacts.cut(spark.range(5), "x").count() == 5 and list((tmp_path / "airwave").iterdir())
+        assert folder and not list((tmp_path / "airwave").iterdir())
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
 
 
 def test_metrics_on_built_hits(spark):
@@ -176,6 +224,32 @@ def test_gradients_are_those_of_the_loss(seed, learned):
         assert g[k] == pytest.approx((loss(flat + step) - loss(flat - step)) / 2e-5, rel=1e-3, abs=1e-3)
 
 
+@pytest.mark.parametrize("learned", [False, True])
+def test_saved_models_predict_the_same(spark, learned):
+    rnd = np.random.default_rng(7)
+    w = training.Weights(0.5, rnd.normal(size=(3 if learned else 4, 3)), rnd.normal(size=(4, 3)) if learned else None)
+    w.matrix[1], w.matrix[-1] = 0, 0  # zeros are not written, also not those at the end
+    again = training.Weights.of(artifacts.cut(w.table(spark), "model"))
+    x = rnd.normal(size=(9, 4))
+    assert np.array_equal(w.predict(x), again.predict(x))
+    data = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id int, x array<double>")
+    assert [r.prediction for r in training.predicted(data, again).orderBy("id").collect()] == pytest.approx(w.predict(x).tolist())
+
+
+@pytest.mark.parametrize("learned", [False, True])
+def test_sparse_rows_train_as_dense_ones(spark, learned):
+    rnd = np.random.default_rng(9)
+    x = rnd.normal(size=(60, 8)) * (rnd.random((60, 8)) < 0.3)
+    y = x @ rnd.normal(size=8)
+    dense = spark.createDataFrame([(r.tolist(), float(v)) for r, v in zip(x, y, strict=True)], "x array<double>, label double")
+    places = [np.flatnonzero(r) for r in x]
+    sparse = spark.createDataFrame([(p.tolist(), r[p].tolist(), float(v)) for p, r, v in zip(places, x, y, strict=True)], "places array<int>, x array<double>, label double")
+    fit = training.fm_feature_learning if learned else training.fm_l2
+    a, b = (fit(d, 8, 2, step=0.05, rounds=3) for d in (dense, sparse))
+    assert np.allclose(a.matrix, b.matrix) and a.bias == pytest.approx(b.bias)
+    assert training.mean_squared_error(dense, a) == pytest.approx(training.mean_squared_error(sparse, b))
+
+
 @pytest.fixture(scope="module")
 def points(spark):
     rnd = np.random.default_rng(2)

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from airwave.plans.registry import ORACLES, QUERIES
 from tests.conftest import SF
 
-TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events", "documents")
+TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "conversations")
 
 
 @pytest.fixture(scope="module")
