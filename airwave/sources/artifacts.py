@@ -22,7 +22,6 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         root = LOCAL_FOLDER
-        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
