@@ -25,9 +25,11 @@ def known_only(rows: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame
     return rows.join(users.select("user"), "user", "left_semi").join(items.select("item"), "item", "left_semi")
 
 
-def dense_ids(df: DataFrame, column: str, name: str) -> DataFrame:
+def dense_ids(df: DataFrame, column: str, name: str, kind: str = "int") -> DataFrame:
     """(column, name): ids 0..n-1 in the order of the distinct values, without a sort in one partition.
 
+    kind: int, as the factor models take; beyond 2 ** 31 values ask for long.
+
     Values are range-sorted and written; a partition's rows are numbered by themselves, and offsets come from
     the partitions' counts, a table as small as their number.
     """
@@ -36,7 +38,7 @@ def dense_ids(df: DataFrame, column: str, name: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ordered.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("first"))
     offsets = offsets.select("part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return ordered.join(F.broadcast(offsets), "part").select(column, (F.col("at") - F.col("first") + F.col("offset")).cast("int").alias(name))
+    return ordered.join(F.broadcast(offsets), "part").select(column, (F.col("at") - F.col("first") + F.col("offset")).cast(kind).alias(name))
 
 
 def to_int_ids(rows: DataFrame, user_map: DataFrame, item_map: DataFrame) -> DataFrame:
