@@ -251,9 +251,8 @@ best AS (SELECT "user", date, hour, row_number() OVER (PARTITION BY "user", date
 
 
 def hourly(v: Views) -> DataFrame:
-    users, programs = v.sched().select("user").distinct(), v.sched().select(F.col("item").alias("program")).distinct()
-    score = ((F.col("user") * 31 + F.col("program") * 17) % 1009 / 1009).alias("score")
-    scores = users.crossJoin(F.broadcast(programs)).select("user", "program", score)
+    users, programs = v.sched().select("user").distinct(), v.sched().select("item").distinct()
+    scores = scoring.all_pairs(users, programs, (F.col("user") * 31 + F.col("item") * 17) % 1009 / 1009).withColumnRenamed("item", "program")
     return top_programs_per_hour(scores, v.schedule().where(F.substring("start", 1, 8) == "20240105"), 5)
 
 
