@@ -17,11 +17,14 @@ the named columns are read, so further columns (also ones named like results) do
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from airwave.llm.common import KEY, SPACE, map_batches, row_key, staged, utf8
 from airwave.llm.rewrite import rewrite_text
@@ -35,6 +38,8 @@ LEAST_LEFT = 0.3
 #: Base rule: fewer words than this fail, and more repeated words than this percentage.
 LEAST_WORDS, MOST_REPEATED = 20, 30
 WINDOW = 8
+#: Frequent lines are broadcast to the rewriting of texts up to this number (16 MB).
+BROADCAST_LINES = 1 << 20
 
 SYMBOLS = b"#*$%&|<>"
 _NOT_CHARS = SPACE + bytes(range(0x80, 0xC0))
@@ -128,6 +133,11 @@ def verdicts(
     """Every row of docs with its figures, the hashes of its removed lines and the verdict."""
     features = staged(line_features(docs), "line-features")
     frequent = staged(frequent_lines(features, min_docs, max_share, max_docs).select("host", "h"), "frequent-lines")
+    return judged(features, frequent, least_left)
+
+
+def judged(features: DataFrame, frequent: DataFrame, least_left: float) -> DataFrame:
+    """features with the hashes of removed lines and the verdict."""
     removed = (
         features.select("key", "host", F.explode("lines").alias("line"))
         .select("key", "host", "line.h", "line.w")
@@ -153,15 +163,74 @@ def op1_quality_rules(docs: DataFrame) -> DataFrame:
     )
 
 
-def clean(docs: DataFrame, **limits: float) -> DataFrame:
-    """The documents that stay, with their columns, without the lines above the limits; n_chars is counted anew."""
-    judged = verdicts(docs, **limits).where("not kept or removed is not null").select("key", "kept", "removed").distinct()
+def without(text: bytes, gone: np.ndarray) -> tuple[bytes, int]:
+    """The text without lines whose hashes are in the sorted array, and the words that go."""
+    left, words = [], 0
+    for line in text.split(b"\n"):
+        own = line.lower().split()
+        h = line_hash(b" ".join(own)) if own else None
+        at = np.searchsorted(gone, h) if own else 0
+        if own and at < len(gone) and gone[at] == h:
+            words += len(own)
+        else:
+            left.append(line)
+    return b"\n".join(left), words
+
+
+def clean(docs: DataFrame, least_left: float = LEAST_LEFT, **limits: float) -> DataFrame:
+    """The documents that stay, with their columns, without the lines above the limits; n_chars is counted anew.
+
+    Frequent lines are few, as each takes many documents. Below BROADCAST_LINES, which is counted, they are broadcast and each text is judged
+    and changed where it is read, so no text is shuffled; beyond it, verdicts are joined by key.
+    """
+    features = staged(line_features(docs), "line-features")
+    frequent = staged(frequent_lines(features, **limits).select("host", "h"), "frequent-lines")
+    if frequent.count() > BROADCAST_LINES:
+        return _joined_clean(docs, judged(features, frequent, least_left))
+    hosts: dict[str, list[int]] = {}
+    for r in frequent.toLocalIterator():
+        hosts.setdefault(r.host, []).append(r.h)
+    shared = docs.sparkSession.sparkContext.broadcast({host: np.sort(np.array(h, np.int64)) for host, h in hosts.items()})
+    schema = to_arrow_schema(docs.schema)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = dict(zip(schema.names, batch.columns, strict=True))
+            stays, texts, changed = [], columns["text"].to_pylist(), False
+            for i, (data, host) in enumerate(zip(utf8(batch), columns["source"].to_pylist(), strict=True)):
+                words = data.split()
+                if len(words) < LEAST_WORDS or 100 * repeated_words(words) > MOST_REPEATED * len(words):
+                    continue
+                if (gone := shared.value.get(host or "")) is not None:
+                    left, n = without(data, gone)
+                    if len(words) - n < least_left * len(words):
+                        continue
+                    if n:
+                        texts[i], changed = left.decode(), True
+                stays.append(i)
+            at = pa.array(stays, pa.int64())
+            if changed:
+                sizes = [len(texts[i]) if texts[i] is not None else None for i in stays]
+                columns = {k: c.take(at) for k, c in columns.items()}
+                if "n_chars" in columns:
+                    before = columns["n_chars"].to_pylist()
+                    old = columns["text"].to_pylist()
+                    columns["n_chars"] = pa.array([n if texts[i] != o else b for i, n, o, b in zip(stays, sizes, old, before, strict=True)], schema.field("n_chars").type)
+                columns["text"] = pa.array([texts[i] for i in stays], schema.field("text").type)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), schema=schema)
+            else:
+                yield pa.RecordBatch.from_arrays([c.take(at) for c in columns.values()], schema=schema)
+
+    return docs.mapInArrow(judge, docs.schema)
+
+
+def _joined_clean(docs: DataFrame, judgement: DataFrame) -> DataFrame:
+    found = judgement.where("not kept or removed is not null").select("key", "kept", "removed").distinct()
 
     def cut(text: str, removed: list[int]) -> str:
-        gone = set(removed)
-        return "\n".join(x for x in text.split("\n") if line_hash(normalised(x.encode())) not in gone)
+        return without(text.encode(), np.sort(np.array(removed, np.int64)))[0].decode()
 
-    return rewrite_text(docs, row_key("doc_id", "source", "text"), judged, "removed", cut, ~F.col("kept"))
+    return rewrite_text(docs, row_key("doc_id", "source", "text"), found, "removed", cut, ~F.col("kept"))
 
 
 OP1_SQL = r"""

@@ -269,12 +269,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
 def keep_least(docs: DataFrame, parts: DataFrame) -> DataFrame:
     """The rows of docs that bear the id of their component; of equal rows one.
 
-    Only keys that go, or that several rows have, are joined. They are written first, so that Spark knows their size and shuffles
-    texts only if they are too many to broadcast; rows that stay as they are are not gathered.
+    Rows that go are many, so their keys meet the texts in a sort-merge join at every size, in which Spark can split hot keys. Keys
+    that several equal rows have are few, and only rows of such keys are gathered.
     """
     keys = parts.groupBy("key").agg(F.count("*").alias("rows"), F.first(~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("goes"))
-    known = staged(keys.where("goes or rows > 1").select(F.col("key").alias("__key"), F.col("goes").alias("__goes")), "found")
+    known = staged(keys.where("goes or rows > 1").select(F.col("key").alias("__key"), "goes"), "found")
     rows = docs.withColumn("__key", row_key("doc_id", "text"))
-    single = rows.join(known, "__key", "left_anti").select(docs.columns)
-    several = rows.join(known.where(~F.col("__goes")), "__key", "left_semi").dropDuplicates(["__key"]).select(docs.columns)
-    return single.unionByName(several)
+    single = rows.join(known.select("__key").hint("merge"), "__key", "left_anti").select(docs.columns)
+    several = staged(known.where("not goes").select("__key"), "equal-rows")
+    return single.unionByName(rows.join(several, "__key", "left_semi").dropDuplicates(["__key"]).select(docs.columns))

@@ -92,6 +92,18 @@ def test_limits_of_hot_and_small_hosts(spark):
     assert all(gone[i] == (6 if i < 250 else 0) for i in range(6000)) and all(gone[i] == (8 if i < 6030 else 0) for i in range(6000, 6100))
 
 
+def test_texts_are_the_same_by_broadcast_and_by_join(docs, monkeypatch):
+    """Odd rows, lines that go, and equal rows: both ways to rewrite them keep the same rows with the same columns."""
+    limits = {"min_docs": 1, "max_share": 0.0, "least_left": 0.4}
+    rows = lambda df: collections.Counter(map(str, df.collect()))
+    by_broadcast = rows(quality_rules.clean(docs, **limits))
+    monkeypatch.setattr(quality_rules, "BROADCAST_LINES", -1)
+    by_join = rows(quality_rules.clean(docs, **limits))
+    assert by_broadcast == by_join and 20 < sum(by_join.values()) < docs.count()
+    plain = rows(docs)
+    assert any(r not in plain for r in by_join)
+
+
 def test_quality_rules_reject_depleted_documents(spark):
     rows = [(i, "host line number one that many documents of this host all share word for word\n" + " ".join(f"w{i}x{k}" for k in range(12 + 40 * (i % 2))), "en", "h", 1) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
