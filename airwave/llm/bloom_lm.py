@@ -40,8 +40,9 @@ WEIGHT, DISCOUNT = 0.6, 0.75
 SHARD_BYTES = 1 << 27
 #: Exact counts that are broadcast at most.
 HEAD = 1 << 20
-#: Tokens that are handled at once in a task, and slices that wait for a pass over several groups of segments.
-SLICE, WAITING = 400_000, 12
+#: Tokens that are handled at once in a task, slices that are counted before they are sent, and slices that wait for a pass
+#: over several groups of segments.
+SLICE, COUNTED, WAITING = 400_000, 6, 12
 
 _U = np.uint64
 _END = xxhash.xxh3_64_intdigest(b"")
@@ -186,7 +187,7 @@ def _counted(shards: int):
                 for order, codes in ((1, mixed(tokens)), (2, pair_codes(tokens, lengths))):
                     held[order].append(np.unique(codes, return_counts=True))
                 waiting += len(tokens)
-                if waiting > 12 * SLICE:
+                if waiting > COUNTED * SLICE:
                     yield from flush()
                     waiting = 0
         yield from flush()
