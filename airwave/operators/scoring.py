@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airwave.functions import vectors
@@ -52,6 +54,78 @@ def all_pairs(
     return reduce(DataFrame.unionByName, map(reduced, pairs))
 
 
+#: Scores that a task holds at once.
+CELLS = 1 << 21
+
+
+def best_items(users: DataFrame, items: DataFrame, score: Callable[[dict, dict], np.ndarray], n: int, block: int = BLOCK_ROWS) -> DataFrame:
+    """(user, item, score, kind): for each user the best n items of all and, where users carry seen_items, of those not seen.
+
+    score takes the columns of some users and of a block of items as arrays, with shapes (users, 1, ...) and (items, ...), and gives the
+    scores of all their pairs. Pairs live in a task as CELLS scores at a time: no row is made for what is not among the best, and
+    nothing is sorted but these. Items are broadcast in blocks as in all_pairs, and the blocks' lists are ranked again. Equal
+    scores are ranked by item.
+    """
+    blocks = max(1, -(-items.count() // block))
+    own = lambda k: items if blocks == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
+    context, kinds = users.sparkSession.sparkContext, ("all", "new") if "seen_items" in users.columns else ("all",)
+    user, item = users.schema["user"].dataType.simpleString(), items.schema["item"].dataType.simpleString()
+    arrays = lambda t, skip: {c: np.stack(x) if len(x := t[c].to_pylist()) and isinstance(x[0], list) else np.array(x) for c in t.schema.names if c not in skip}
+
+    def part(shared):
+        def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = shared.value
+            size = len(known["item"])
+            for batch in batches:
+                for at in range(0, batch.num_rows if size else 0, step := max(1, CELLS // max(1, size))):
+                    rows = batch.slice(at, step)
+                    mine = arrays(pa.Table.from_batches([rows]), ("seen_items",))
+                    scores = np.asarray(score({c: x[:, None] for c, x in mine.items()}, known), float)
+                    for kind in kinds:
+                        if kind == "new":
+                            seen = rows.column(rows.schema.get_field_index("seen_items")).to_pylist()
+                            who = np.repeat(np.arange(len(seen)), [len(x) for x in seen])
+                            what = np.array([i for x in seen for i in x], known["item"].dtype)
+                            place = np.minimum(np.searchsorted(known["item"], what), size - 1)
+                            hit = known["item"][place] == what
+                            scores[who[hit], place[hit]] = -np.inf
+                        r, c = _best(scores, n)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(mine["user"][r]), pa.array(known["item"][c]), pa.array(scores[r, c]), pa.array(np.full(len(r), kind))], ["user", "item", "score", "kind"]
+                        )
+
+        return go
+
+    lists = []
+    for k in range(blocks):
+        shared = context.broadcast(arrays(own(k).orderBy("item").toArrow(), ()))  # a block is bounded
+        lists.append(users.mapInArrow(part(shared), f"user {user}, item {item}, score double, kind string"))
+    order = Window.partitionBy("user", "kind").orderBy(F.desc("score"), "item")
+    return reduce(DataFrame.unionByName, lists).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+
+
+def _best(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the n largest scores of each row, the first column first among equals; -inf is no score."""
+    least = np.partition(scores, scores.shape[1] - n, axis=1)[:, scores.shape[1] - n, None] if scores.shape[1] > n else -np.inf
+    r, c = np.nonzero((scores >= least) & (scores > -np.inf))
+    order = np.lexsort((c, -scores[r, c], r))
+    r, c = r[order], c[order]
+    few = np.arange(len(r)) - np.searchsorted(r, r) < n
+    return r[few], c[few]
+
+
+def dot_scores(digits: int = 9) -> Callable[[dict, dict], np.ndarray]:
+    """Dot products of uf and vf, added up in order, to so many digits."""
+
+    def score(users: dict, items: dict) -> np.ndarray:
+        total = 0.0
+        for k in range(items["vf"].shape[-1]):
+            total = total + users["uf"][..., k] * items["vf"][..., k]
+        return np.round(total, digits)
+
+    return score
+
+
 def partial_model(block: DataFrame, weights: DataFrame, latent: int) -> DataFrame:
     """(id, linear, latent sums): one side's share of a factorisation model, worked out once for each id.
 

@@ -349,9 +349,7 @@ hits AS (SELECT "user", kind, count(a.rank)::BIGINT AS hits, any_value(n) AS n_a
 
 def predicted(v: Views, users: DataFrame) -> DataFrame:
     """The best N of all and of unseen items by the stand-in factors."""
-    score = F.round(vectors.dot_of(F.col("uf"), F.col("vf"), 5), 9)
-    best = lambda pairs: relational.top_n(pairs, ["user", "seen"], [F.desc("score"), F.col("item")], N).drop("rank")
-    return relational.top_all_and_new(scoring.all_pairs(scoring.with_seen(users, v.train()), v.item_factors(), score, best), N)
+    return scoring.best_items(scoring.with_seen(users, v.train()), v.item_factors(), scoring.dot_scores(), N)
 
 
 def hits(v: Views, users: DataFrame | None = None) -> DataFrame:
@@ -404,9 +402,8 @@ def cold_hits(v: Views, share: float | None = None) -> DataFrame:
     if share is not None:
         users = exports.sample_users(users, share)
     cold = v.test().select("item").distinct().join(v.train(), "item", "left_anti")
-    best = lambda pairs: relational.top_n(pairs, ["user"], [F.desc("score"), F.col("item")], N)
-    scores = scoring.all_pairs(users, cold, (F.col("user") * 31 + F.col("item") * 17) % 1009, lambda pairs: best(pairs).drop("rank"))
-    found = best(scores).join(v.test().select("user", "item").distinct().withColumn("hit", F.lit(1)), ["user", "item"], "left")
+    best = scoring.best_items(users, cold, lambda u, i: (u["user"] * 31 + i["item"] * 17) % 1009, N)
+    found = best.join(v.test().select("user", "item").distinct().withColumn("hit", F.lit(1)), ["user", "item"], "left")
     return found.groupBy("user").agg(F.count("hit").alias("hits"), F.count("*").alias("n_predicted"))
 
 

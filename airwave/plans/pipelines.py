@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,18 +89,19 @@ def factor_model(ratings: DataFrame, rank: int, rounds: int) -> tuple[DataFrame,
     return cut(users, "user-factors"), cut(items, "item-factors")
 
 
-def ranked(users: DataFrame, items: DataFrame, score: Column, train: DataFrame, test: DataFrame, n: int) -> DataFrame:
+Score = Callable[[dict, dict], np.ndarray]
+
+
+def ranked(users: DataFrame, items: DataFrame, score: Score, train: DataFrame, test: DataFrame, n: int) -> DataFrame:
     """Hit sets of the best n of all and of unseen items, for users with a history, against the test's own lists."""
-    best = lambda pairs: relational.top_n(pairs, ["user", "seen"], [F.desc("score"), F.col("item")], n).drop("rank")
-    predicted = relational.top_all_and_new(scoring.all_pairs(scoring.with_seen(users, train), items, score, best), n)
+    predicted = scoring.best_items(scoring.with_seen(users, train), items, score, n)
     truth = relational.known_only(test.join(users, "user", "left_semi"), train, train).groupBy("user", "item").agg(F.sum("rating").alias("score"))
     return scoring.hit_sets(predicted, relational.top_all_and_new(relational.mark_seen(truth, train), n))
 
 
-def cold_ranked(users: DataFrame, items: DataFrame, score: Column, test: DataFrame, n: int) -> DataFrame:
+def cold_ranked(users: DataFrame, items: DataFrame, score: Score, test: DataFrame, n: int) -> DataFrame:
     """Hits of the best n cold items of users that the test knows."""
-    best = lambda pairs: relational.top_n(pairs, ["user"], [F.desc("score"), F.col("item")], n)
-    top = best(scoring.all_pairs(users.join(test, "user", "left_semi"), items, score, lambda pairs: best(pairs).drop("rank")))
+    top = scoring.best_items(users.join(test, "user", "left_semi"), items, score, n)
     found = top.join(test.select("user", "item").distinct().withColumn("hit", F.lit(1)), ["user", "item"], "left")
     return found.groupBy("user").agg(F.count("hit").alias("hits"), F.count("*").alias("n_predicted"))
 
@@ -127,7 +130,7 @@ def matrix_factorisation(train: DataFrame, test: DataFrame, content: tuple[DataF
     coefficients = spark.createDataFrame([(i, k, float(w)) for k, m in enumerate(models) for i, w in enumerate(m.coefficients)], "idx int, k int, w double")
     cold = features.regressed(block.join(cold_of(train, test).withColumnRenamed("item", "id"), "id", "left_semi"), coefficients)
     cold = cut(cold.groupBy(F.col("id").alias("item")).agg(F.array_sort(F.collect_list(F.struct("idx", "value")))["value"].alias("vf")), "cold-profiles")
-    score = vectors.dot_of(F.col("uf"), F.col("vf"), rank)
+    score = scoring.dot_scores()
     sampled = cut(exports.sample_users(users, share), "sampled-users")
     rates = cut(scoring.hit_rates(ranked(sampled, items, score, train, test, n), n), "rates")
     parts = [
@@ -174,8 +177,9 @@ def recommend(
     known = item_shares.join(train, "item", "left_semi")
     cold = item_shares.join(cold_of(train, test), "item", "left_semi")
     sampled = cut(exports.sample_users(user_shares, share), "sampled-users")
-    rates = scoring.hit_rates(ranked(sampled, known, score, train, test, n), n)
-    recall = scoring.cold_recall(cold_ranked(sampled, cold, score, test, n))
+    pair = lambda u, i: model.bias + u["lu"] + i["li"] + ((u["vu"] + i["vi"]) ** 2).sum(axis=-1)
+    rates = scoring.hit_rates(ranked(sampled, known, pair, train, test, n), n)
+    recall = scoring.cold_recall(cold_ranked(sampled, cold, pair, test, n))
     holdout = training.mean_squared_error(sparse_rows(design_rows(test, users, items)), model)
     programs, _ = hourly_programs(sampled, item_shares, schedule, dates, k, score)
     row = lambda **figures: spark.createDataFrame([tuple(map(str, figures.values()))], ", ".join(f"`{c}` string" for c in figures))

@@ -123,22 +123,30 @@ def test_top_n_is_a_prefix_and_extra_adds_one(spark):
     assert relational.top_all_and_new(marked, 3, extra=1).count() == 8
 
 
-def test_rankings_come_from_one_pass_over_the_pairs(spark):
-    """Blocks of items, each reduced by itself, give the lists of the whole product; every block is one broadcast join, none a cartesian product."""
-    users = spark.range(40).select(F.col("id").alias("user"), (F.col("id") % 7).alias("a"))
-    items = spark.range(60).select(F.col("id").alias("item"), (F.col("id") * 5 % 11).alias("b"))
+def test_rankings_are_those_of_all_pairs(spark, monkeypatch):
+    """The best of all and of unseen items, with ties, in blocks of items and slices of users."""
+    users = spark.range(40).select(F.col("id").alias("user"), F.array((F.col("id") % 7).cast("double"), F.lit(0.5)).alias("uf"))
+    items = spark.range(60).select(F.col("id").alias("item"), F.array((F.col("id") * 5 % 11).cast("double"), F.lit(1.0)).alias("vf"))
     seen = spark.range(200).select((F.col("id") % 30).alias("user"), (F.col("id") * 17 % 60).alias("item"))
-    score = (F.col("a") * F.col("b") % 13).cast("double")
-    best = lambda pairs: relational.top_n(pairs, ["user", "seen"], [F.desc("score"), F.col("item")], 4).drop("rank")
-    made = [relational.top_all_and_new(scoring.all_pairs(scoring.with_seen(users, seen), items, score, best, block), 4) for block in (7, 1000)]
-    have = [sorted((r.user, r.kind, r["rank"], r.item) for r in df.collect()) for df in made]
     known = {(r.user, r.item) for r in seen.collect()}
-    rows = {u: sorted((-(float(u % 7 * (i * 5 % 11) % 13)), i) for i in range(60)) for u in range(30)}
+    rows = {u: sorted((-(u % 7 * (i * 5 % 11) + 0.5), i) for i in range(60)) for u in range(30)}
     want = [(u, "all", k + 1, i) for u, own in rows.items() for k, (_, i) in enumerate(own[:4])]
     want += [(u, "new", k + 1, i) for u, own in rows.items() for k, (_, i) in enumerate([x for x in own if (u, x[1]) not in known][:4])]
-    assert have[0] == have[1] == sorted(want)
-    plan = made[1]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("BroadcastNestedLoopJoin") == 1 and "CartesianProduct" not in plan
+    for block, cells in ((7, 1 << 21), (1000, 100), (1000, 1 << 21)):
+        monkeypatch.setattr(scoring, "CELLS", cells)
+        got = scoring.best_items(scoring.with_seen(users, seen), items, scoring.dot_scores(), 4, block).collect()
+        assert sorted((r.user, r.kind, r["rank"], r.item) for r in got) == sorted(want)
+    assert scoring.best_items(users, items.limit(0), scoring.dot_scores(), 4).count() == 0
+    assert scoring.best_items(users.limit(0), items, scoring.dot_scores(), 4).count() == 0
+
+
+def test_pairs_are_broadcast_joins_of_blocks(spark):
+    users, items = spark.range(40).withColumnRenamed("id", "user"), spark.range(60).withColumnRenamed("id", "item")
+    parts = lambda pairs: pairs.groupBy("user").agg(F.sum("score").alias("s"))
+    made = scoring.all_pairs(users, items, F.col("user") * F.col("item"), parts, 7).groupBy("user").agg(F.sum("s").alias("s"))
+    assert {r.user: r.s for r in made.collect()} == {u: u * sum(range(60)) for u in range(40)}
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("BroadcastNestedLoopJoin") == 9 and "CartesianProduct" not in plan
 
 
 def test_missing_days_drop_out(spark, tmp_path):
