@@ -5,6 +5,7 @@ from __future__ import annotations
 from airwave.llm.bloom_lm import op5_bloom_lm
 from airwave.llm.chat_hmm import op9_chat_hmm
 from airwave.llm.common import read_table
+from airwave.llm.conversation_repair import op11_conversation_repair
 from airwave.llm.curriculum_mix import OP10_SQL, op10_curriculum_mix
 from airwave.llm.decontaminate import op7_decontaminate
 from airwave.llm.license_scan import op3_license_scan
@@ -31,6 +32,7 @@ def queries() -> dict:
         "op8_secret_scan": _on(op8_secret_scan, "documents"),
         "op9_chat_hmm": _on(op9_chat_hmm, "conversations"),
         "op10_curriculum_mix": _on(op10_curriculum_mix, "documents"),
+        "op11_conversation_repair": _on(op11_conversation_repair, "conversations"),
     }
 
 
