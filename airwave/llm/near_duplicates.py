@@ -2,12 +2,8 @@
 
 Shingles are SHINGLE words (a shorter text is one shingle). Texts of equal words are one text. Each text has BANDS
 buckets, a hash of ROWS minima of its shingles' hashes for each; a pair of similarity s shares no bucket with
-probability (1 - s**ROWS)**BANDS, which is 3e-6 at LEAST and less above. Buckets only propose: every pair of a bucket
-that its links have not joined yet is compared by the whole sets of shingles, and linked at LEAST or more.
-
-Buckets of the same members are compared once. A bucket above BLOCK members is dealt into blocks, and each two blocks
-meet in a task, so what a task holds is bounded and no pair is left out. Shingles are made only for texts that share
-a bucket.
+probability (1 - s**ROWS)**BANDS, which is 3e-6 at LEAST and less above. Buckets only propose: their members are compared by
+the whole sets of shingles, as pivot_links says, and linked at LEAST or more. Shingles are made only for texts that share a bucket.
 
 Defined cases: no words (or null text) is a text of its own, equal to all others without words; null ids are no
 candidates for component_id; an empty table gives an empty result.
@@ -15,8 +11,6 @@ candidates for component_id; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -24,13 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airwave.llm.common import KEY, map_batches, row_key, staged, utf8
+from airwave.llm.pivot_links import BLOCK, distinct_buckets, similar
 from airwave.llm.simhash_gray import keep_least, labelled, least_ids
 
 #: Words of a shingle, and the least similarity as a fraction of whole numbers.
 SHINGLE, LEAST = 5, (4, 5)
 BANDS, ROWS = 32, 5
-#: Members of a bucket that are compared in one task come from two blocks of about this size at most.
-BLOCK = 2048
 
 _U = np.uint64
 _RND = np.random.default_rng(17)
@@ -40,30 +33,35 @@ _BAND = _RND.integers(0, 2**63, BANDS, dtype=_U)
 _CHUNK = 256
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
+def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> _U(33))) * _U(0xFF51AFD7ED558CCD)
     h = (h ^ (h >> _U(33))) * _U(0xC4CEB9FE1A85EC53)
     return h ^ (h >> _U(33))
 
 
-def shingles(words: list[bytes]) -> np.ndarray:
+def shingles(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
     """The sorted distinct hashes of the shingles."""
     codes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U, len(words))
-    k = min(SHINGLE, len(codes))
+    k = min(size, len(codes))
     n = len(codes) - k + 1 if k else 0
     out = np.full(n, k, _U)
     for i in range(k):
         out += codes[i : i + n] * _FACTORS[i]
-    return np.unique(_mixed(out))
+    return np.unique(mixed(out))
 
 
-def buckets(hashes: np.ndarray) -> np.ndarray:
-    least = np.full(BANDS * ROWS, ~_U(0))
+def minima(hashes: np.ndarray, flips: np.ndarray, turns: np.ndarray) -> np.ndarray:
+    """The least of the hashes under each of some permutations."""
+    least = np.full(len(flips), ~_U(0))
     for at in range(0, len(hashes), _CHUNK):
-        np.minimum(least, ((hashes[at : at + _CHUNK, None] ^ _FLIPS) * _TURNS).min(axis=0), out=least)
+        np.minimum(least, ((hashes[at : at + _CHUNK, None] ^ flips) * turns).min(axis=0), out=least)
+    return least
+
+
+def buckets(hashes: np.ndarray) -> np.ndarray:
     out = _BAND.copy()
-    for row in _mixed(least).reshape(BANDS, ROWS).T:
-        out = _mixed(out * _U(0x9E3779B97F4A7C15) + row)
+    for row in mixed(minima(hashes, _FLIPS, _TURNS)).reshape(BANDS, ROWS).T:
+        out = mixed(out * _U(0x9E3779B97F4A7C15) + row)
     return out
 
 
@@ -76,78 +74,19 @@ def _marks(batch: pa.RecordBatch) -> dict[str, list]:
     return {"key": batch.column(0), "doc_id": batch.column(1), "fp": fps, "buckets": own}
 
 
-def _shingled(batch: pa.RecordBatch) -> dict[str, list]:
-    return {"fp": batch.column(0), "shingles": [shingles(x.lower().split()).tobytes() for x in utf8(batch)]}
-
-
-def forest(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-    """(member, place that found it): links that join the same components as all pairs of similarity LEAST or more."""
-    size = np.array([len(x) for x in sets])
-    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    start = np.cumsum(size) - size
-    mark = np.zeros(int(ids.max()) + 1, bool)
-    left, waiting = np.arange(len(sets)), []
-    flat, own = ids, size
-    part, whole = LEAST
-    while len(left):
-        if not waiting:
-            waiting = [int(left[0])]
-            left, flat, own = left[1:], flat[own[0] :], own[1:]
-        at = waiting.pop()
-        if not len(left):
-            return
-        query = ids[start[at] : start[at] + size[at]]
-        mark[query] = True
-        both = np.add.reduceat(mark[flat], np.cumsum(own) - own, dtype=np.int64)
-        mark[query] = False
-        near = whole * both >= part * (own + size[at] - both)
-        if near.any():
-            found = left[near].tolist()
-            yield from ((x, at) for x in found)
-            waiting += found
-            flat, left, own = flat[np.repeat(~near, own)], left[~near], own[~near]
-
-
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (bucket, cell) to links; a task holds one batch and one cell at most."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    name, fps, sets = None, [], []
-
-    def compared() -> pa.RecordBatch:
-        pairs = list(forest(sets)) if len(sets) > 1 else []
-        return pa.RecordBatch.from_arrays([pa.array([fps[p[k]] for p in pairs], pa.int64()) for k in (0, 1)], schema=schema)
-
-    for batch in batches:
-        for bucket, cell, fp, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if name != (bucket, cell):
-                yield compared()
-                name, fps, sets = (bucket, cell), [], []
-            fps.append(fp)
-            sets.append(np.frombuffer(data, _U))
-    yield compared()
+def shingle_sets(docs: DataFrame, marked: DataFrame, member: DataFrame, size: int) -> DataFrame:
+    """(fp, shingles): the sorted distinct hashes of the shingles of texts that share a bucket; a text that many rows have is made once."""
+    wanted = marked.groupBy("fp").agg(F.min("key").alias("key")).join(member.select("fp").distinct(), "fp", "left_semi")
+    texts = docs.select(row_key("doc_id", "text").alias("key"), "text").join(staged(wanted, "near-wanted").hint("merge"), "key").select("fp", "text")
+    made = lambda batch: {"fp": batch.column(0), "shingles": [shingles(x.lower().split(), size).tobytes() for x in utf8(batch)]}
+    # equal rows share a key
+    return staged(map_batches(texts, made, "fp long, shingles binary").groupBy("fp").agg(F.first("shingles").alias("shingles")), "shingle-sets")
 
 
 def near_links(docs: DataFrame, marked: DataFrame, block: int = BLOCK) -> DataFrame:
     """(a, b): links between texts that join the same components as all pairs which share a bucket and are similar."""
-    member = marked.select("fp", "buckets").distinct().select("fp", F.explode("buckets").alias("bucket"))
-    alike = member.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.sum(F.col("fp").cast("decimal(38,0)")).alias("s"), F.sum(F.xxhash64("fp").cast("decimal(38,0)")).alias("x")
-    )
-    once = staged(alike.where("n > 1").groupBy("n", "s", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n"), "near-buckets")
-    member = staged(member.join(once, "bucket"), "near-members")
-    # copies are brought to one before they meet, so a text that many rows have is one row of the join
-    wanted = marked.groupBy("fp").agg(F.min("key").alias("key")).join(member.select("fp").distinct(), "fp", "left_semi")
-    texts = docs.select(row_key("doc_id", "text").alias("key"), "text").join(staged(wanted, "near-wanted").hint("merge"), "key").select("fp", "text")
-    sets = map_batches(texts, _shingled, "fp long, shingles binary").groupBy("fp").agg(F.first("shingles").alias("shingles"))  # equal rows share a key
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-    cells = (
-        member.withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("bucket", F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "fp")
-    )
-    rows = cells.join(sets, "fp").repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
-    return rows.select("bucket", "cell", "fp", "shingles").mapInArrow(_links, "a long, b long")
+    member = distinct_buckets(marked.select("fp", "buckets").distinct().select("fp", F.explode("buckets").alias("bucket")))
+    return similar(member, shingle_sets(docs, marked, member, SHINGLE), LEAST, block)
 
 
 def components(docs: DataFrame, block: int = BLOCK) -> DataFrame:

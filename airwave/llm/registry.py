@@ -9,6 +9,7 @@ from airwave.llm.conversation_repair import op11_conversation_repair
 from airwave.llm.curriculum_mix import OP10_SQL, op10_curriculum_mix
 from airwave.llm.decontaminate import op7_decontaminate
 from airwave.llm.license_scan import op3_license_scan
+from airwave.llm.minhash_tensor import op13_minhash_tensor
 from airwave.llm.quality_rules import OP1_SQL, op1_quality_rules
 from airwave.llm.secret_scan import op8_secret_scan
 from airwave.llm.simhash_gray import op4_simhash_gray
@@ -33,6 +34,7 @@ def queries() -> dict:
         "op9_chat_hmm": _on(op9_chat_hmm, "conversations"),
         "op10_curriculum_mix": _on(op10_curriculum_mix, "documents"),
         "op11_conversation_repair": _on(op11_conversation_repair, "conversations"),
+        "op13_minhash_tensor": _on(op13_minhash_tensor, "documents"),
     }
 
 

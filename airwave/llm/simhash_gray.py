@@ -243,8 +243,8 @@ def least_ids(marked: DataFrame) -> DataFrame:
     return staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
 
 
-def labelled(marked: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFrame:
-    """(key, doc_id, fp, component_id) for every row of marked, from links between its fingerprints."""
+def labelled(marked: DataFrame, distinct: DataFrame, links: DataFrame, *further: str) -> DataFrame:
+    """(key, doc_id, fp, component_id and further columns) for every row of marked, from links between its fingerprints."""
     stars = star_components(links)
     member = stars.select(F.col("v").alias("fp"), "root").unionByName(stars.select(F.col("root").alias("fp"), "root").distinct())
     member = member.join(distinct, "fp")
@@ -254,7 +254,7 @@ def labelled(marked: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFr
     named = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
     # written, so that both sides of the last join come straight from shuffles and a hot fingerprint can be split
     named = staged(named, "named-fingerprints")
-    return marked.join(named, "fp").select("key", "doc_id", "fp", "component_id")
+    return marked.join(named, "fp").select("key", "doc_id", "fp", "component_id", *further)
 
 
 def op4_simhash_gray(docs: DataFrame) -> DataFrame:
