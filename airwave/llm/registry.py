@@ -8,6 +8,7 @@ from airwave.llm.common import read_table
 from airwave.llm.conversation_repair import op11_conversation_repair
 from airwave.llm.curriculum_mix import OP10_SQL, op10_curriculum_mix
 from airwave.llm.decontaminate import op7_decontaminate
+from airwave.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from airwave.llm.license_scan import op3_license_scan
 from airwave.llm.minhash_tensor import op13_minhash_tensor
 from airwave.llm.quality_rules import OP1_SQL, op1_quality_rules
@@ -34,9 +35,10 @@ def queries() -> dict:
         "op9_chat_hmm": _on(op9_chat_hmm, "conversations"),
         "op10_curriculum_mix": _on(op10_curriculum_mix, "documents"),
         "op11_conversation_repair": _on(op11_conversation_repair, "conversations"),
+        "op12_hard_negatives": _on(op12_hard_negatives, "embeddings"),
         "op13_minhash_tensor": _on(op13_minhash_tensor, "documents"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": OP1_SQL, "op10_curriculum_mix": OP10_SQL}
+    return {"op1_quality_rules": OP1_SQL, "op10_curriculum_mix": OP10_SQL, "op12_hard_negatives": OP12_SQL}
