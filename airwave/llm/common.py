@@ -15,7 +15,7 @@ from airwave.sources.artifacts import cut as staged
 from airwave.sources.artifacts import remove, temporary
 from airwave.sources.artifacts import shared_folder as scratch_dir
 
-__all__ = ["KEY", "SPACE", "as_array", "id_remainder", "map_batches", "read_table", "remove", "row_key", "scratch_dir", "shuffle_width", "staged", "temporary", "utf8"]
+__all__ = ["KEY", "SPACE", "as_array", "id_remainder", "map_batches", "read_table", "remove", "row_key", "scratch_dir", "shuffle_width", "sized", "staged", "temporary", "utf8"]
 
 #: Words of the contracts are runs of bytes other than 0x20 and 0x09-0x0D; ``bytes.split()`` cuts at exactly these.
 SPACE = b" \t\n\r\x0b\x0c"
@@ -69,3 +69,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Rows of a few numbers each that may be broadcast: about 20 MB.
+FEW = 1 << 18
+
+
+def sized(written: DataFrame) -> DataFrame:
+    """The side of a join: broadcast if it is counted to be few rows of a few numbers, else in a sort-merge join, whose hot keys Spark splits."""
+    return F.broadcast(written) if written.count() <= FEW else written.hint("merge")

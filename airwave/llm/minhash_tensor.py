@@ -59,8 +59,8 @@ def _marks(batch: pa.RecordBatch) -> dict[str, list]:
 
 def table_keys(marked: DataFrame) -> DataFrame:
     """(bucket, fp): the table keys of texts, from those of their hashes that another text has too."""
-    texts = marked.groupBy("fp").agg(F.first("hashes").alias("hashes"))
-    each = staged(texts.select("fp", F.posexplode("hashes").alias("at", "h")), "minhash-halves")
+    texts = staged(marked.groupBy("fp").agg(F.first("hashes").alias("hashes")), "minhash-texts")
+    each = texts.select("fp", F.posexplode("hashes").alias("at", "h"))
     shared = staged(each.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "shared-halves")
     own = each.join(shared, "h", "left_semi").groupBy("fp").agg(F.collect_list(F.struct("at", "h")).alias("own"))  # 2 * SIDE at most
     side = lambda first: F.transform(F.filter("own", lambda x: (x["at"] < SIDE) == F.lit(first)), lambda x: x["h"])

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.llm.common import KEY, map_batches, row_key, staged, utf8
+from airwave.llm.common import KEY, map_batches, row_key, sized, staged, utf8
 from airwave.llm.pivot_links import BLOCK, distinct_buckets, similar
 from airwave.llm.simhash_gray import keep_least, labelled, least_ids
 
@@ -77,7 +77,7 @@ def _marks(batch: pa.RecordBatch) -> dict[str, list]:
 def shingle_sets(docs: DataFrame, marked: DataFrame, member: DataFrame, size: int) -> DataFrame:
     """(fp, shingles): the sorted distinct hashes of the shingles of texts that share a bucket; a text that many rows have is made once."""
     wanted = marked.groupBy("fp").agg(F.min("key").alias("key")).join(member.select("fp").distinct(), "fp", "left_semi")
-    texts = docs.select(row_key("doc_id", "text").alias("key"), "text").join(staged(wanted, "near-wanted").hint("merge"), "key").select("fp", "text")
+    texts = docs.select(row_key("doc_id", "text").alias("key"), "text").join(sized(staged(wanted, "near-wanted")), "key").select("fp", "text")
     made = lambda batch: {"fp": batch.column(0), "shingles": [shingles(x.lower().split(), size).tobytes() for x in utf8(batch)]}
     # equal rows share a key
     return staged(map_batches(texts, made, "fp long, shingles binary").groupBy("fp").agg(F.first("shingles").alias("shingles")), "shingle-sets")

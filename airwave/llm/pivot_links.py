@@ -1,8 +1,10 @@
 """Links between similar sets that share a bucket, without all pairs of a bucket.
 
-Buckets propose, whole sets decide. In a round each bucket has a pivot, and each member is compared with one of its buckets'
-pivots: a row a member, however large the bucket. What is linked gets one root, and a bucket whose members all have one root is done.
-After ROUNDS the rest, members of buckets with several roots, is compared in cells. The Jaccard distance is a metric, so members whose
+Buckets propose, whole sets decide. Each bucket has its least member as pivot, and each member is compared with the least of its
+buckets' pivots: a row a member, however large the bucket. What is linked gets one root, and a bucket whose members all have one root is
+done. In each further round an open bucket has PIVOTS pivots, of the roots that fewest of its members have; all members of other roots
+are compared with them (a pair once, whatever number of buckets proposes it), and pivots leave the bucket, as all their pairs are known.
+After ROUNDS, or once a round leaves more than KEPT_UP of the rows, what is still open is compared in cells. The Jaccard distance is a metric, so members whose
 distances from one pivot differ by more than a link allows are not similar: a cell holds two neighbouring bins of such distances.
 Within a cell members of the root that most have need not be compared with each other: each block of members meets each block
 of the other roots' members, and a task holds two blocks of about BLOCK members at most. So a family of near copies costs a row or
@@ -15,14 +17,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airwave.llm.common import map_batches, staged
+from airwave.llm.common import map_batches, sized, staged
 from airwave.llm.simhash_gray import star_components
 
-#: Rounds of pivots before cells, and members of a block.
-ROUNDS, BLOCK = 2, 2048
+#: Further rounds of pivots before cells at most, the share of rows up to which another one is worth it, and members of a block.
+ROUNDS, KEPT_UP, BLOCK = 4, 0.9, 2048
+#: Pivots of a bucket in a round.
+PIVOTS = 4
 
 _U = np.uint64
 Least = tuple[int, int]
@@ -50,7 +54,7 @@ def _both(batch: pa.RecordBatch) -> dict[str, list]:
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(fp, pivot, both, whole) for pairs (fp, pivot)."""
     other = sets.select(F.col("fp").alias("pivot"), F.col("shingles").alias("others"))
-    rows = staged(pairs, "pivot-pairs").join(sets, "fp").join(other, "pivot").select("fp", "pivot", "shingles", "others")
+    rows = sets.join(sized(pairs), "fp").join(other, "pivot").select("fp", "pivot", "shingles", "others")
     return map_batches(rows, _both, "fp long, pivot long, both long, whole long")
 
 
@@ -60,16 +64,30 @@ def _near(least: Least) -> Column:
 
 
 def rooted(member: DataFrame, links: DataFrame) -> DataFrame:
-    """member, each with the root of its component."""
+    """(bucket, fp, root): members, each with the root of its component."""
     roots = staged(star_components(links), "pivot-roots")
-    return member.join(roots.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return member.select("bucket", "fp").join(roots.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def _open(member: DataFrame) -> DataFrame:
-    """Rows of buckets whose members have several roots; pivot is then a member of the largest root, and top that root."""
-    several = member.groupBy("bucket").agg(F.min("root").alias("low"), F.max_by(F.struct("root", "fp"), F.struct("root", F.bitwise_not("fp"))).alias("m"))
-    several = staged(several.where("low < m.root").select("bucket", F.col("m.root").alias("top"), F.col("m.fp").alias("pivot")), "open-buckets")
-    return member.select("bucket", "fp", "root").join(several, "bucket")
+    """Members of buckets that have several roots."""
+    several = member.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
+    return staged(member.join(staged(several, "open-buckets"), "bucket", "left_semi"), "open-members")
+
+
+def _pivots(member: DataFrame) -> DataFrame:
+    """(bucket, top, pivot): PIVOTS members of a bucket and their roots, of the roots that fewest of its members have."""
+    by_root = member.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("bucket").orderBy("n", "fp")
+    ranked = member.join(by_root, ["bucket", "root"]).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS)
+    return staged(ranked.select("bucket", F.col("root").alias("top"), F.col("fp").alias("pivot")), "pivots")
+
+
+def with_middle(member: DataFrame) -> DataFrame:
+    """member, and one of each bucket's members, of the root that most have, as pivot."""
+    by_root = member.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("fp").alias("fp"))
+    middle = by_root.groupBy("bucket").agg(F.max_by("fp", F.struct("n", "fp")).alias("pivot"))
+    return member.join(staged(middle, "pivots"), "bucket")
 
 
 def similar(member: DataFrame, sets: DataFrame, least: Least, block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
@@ -77,22 +95,34 @@ def similar(member: DataFrame, sets: DataFrame, least: Least, block: int = BLOCK
 
     member: (bucket, fp, pivot) of distinct_buckets; sets: (fp, shingles), sorted distinct hashes.
     """
-    links, own = None, member.withColumn("root", F.col("fp")).withColumn("top", F.col("pivot"))
-    for k in range(rounds):
-        pairs = own.where("root <> top").groupBy("fp").agg(F.min("pivot").alias("pivot"))
-        found = staged(compared(pairs, sets).where(_near(least)).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), "pivot-links")
-        links = found if links is None else staged(links.unionByName(found), "pivot-links")
-        own = staged(_open(rooted(member, links)), "open-members")
-        if own.isEmpty():
+    linked = lambda pairs: staged(compared(pairs, sets).where(_near(least)).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), "pivot-links")
+    tested = staged(member.where("fp <> pivot").groupBy("fp").agg(F.min("pivot").alias("pivot")), "pairs")
+    links = linked(tested)
+    own = _open(rooted(member, links))
+    left = own.count()
+    for _ in range(rounds):
+        if not left:
             return links
-    return links.unionByName(staged(in_cells(own, sets, least, block), "cell-links"))
+        pivots = _pivots(own)
+        ordered = F.greatest("fp", "pivot").alias("fp"), F.least("fp", "pivot").alias("pivot")
+        pairs = staged(own.join(pivots, "bucket").where("root <> top").select(*ordered).distinct().join(tested, ["fp", "pivot"], "left_anti"), "pairs")
+        found = linked(pairs)
+        rest = own.join(pivots.select("bucket", F.col("pivot").alias("fp")), ["bucket", "fp"], "left_anti")  # all pairs with a bucket's pivots are known now
+        if not found.isEmpty():
+            links = staged(links.unionByName(found), "pivot-links")
+            rest = rooted(rest, links)
+        own, before, tested = _open(rest), left, staged(tested.unionByName(pairs), "pairs")
+        left = own.count()
+        if left > KEPT_UP * before:
+            break
+    return links.unionByName(staged(in_cells(with_middle(own), sets, least, block), "cell-links")) if left else links
 
 
 def in_cells(member: DataFrame, sets: DataFrame, least: Least, block: int) -> DataFrame:
     """(a, b): links between members of different roots."""
     part, whole = least
     far = F.col("both") / F.col("whole")
-    away = compared(member.select("fp", "pivot").distinct(), sets).select("fp", "pivot", F.floor((1 - far) / ((whole - part) / whole + 1e-9)).cast("int").alias("bin"))
+    away = compared(staged(member.select("fp", "pivot").distinct(), "pairs"), sets).select("fp", "pivot", F.floor((1 - far) / ((whole - part) / whole + 1e-9)).cast("int").alias("bin"))
     binned = member.join(staged(away, "bins"), ["fp", "pivot"])
     binned = staged(binned.select("bucket", "fp", "root", F.explode(F.array(F.col("bin"), F.col("bin") + 1)).alias("bin")), "binned")
     by_root = binned.groupBy("bucket", "bin", "root").agg(F.count("*").alias("n"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airwave.llm.common import KEY, map_batches, row_key, staged, utf8
+from airwave.llm.common import KEY, map_batches, row_key, sized, staged, utf8
 
 MAX_DIFF = 2
 SHINGLE = 3
@@ -269,12 +269,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
 def keep_least(docs: DataFrame, parts: DataFrame) -> DataFrame:
     """The rows of docs that bear the id of their component; of equal rows one.
 
-    Rows that go are many, so their keys meet the texts in a sort-merge join at every size, in which Spark can split hot keys. Keys
-    that several equal rows have are few, and only rows of such keys are gathered.
+    The keys of rows that go are broadcast where they are counted to be few, and meet the texts in a sort-merge join beyond that, in
+    which Spark can split hot keys. Keys that several equal rows have are few, and only rows of such keys are gathered.
     """
     keys = parts.groupBy("key").agg(F.count("*").alias("rows"), F.first(~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("goes"))
     known = staged(keys.where("goes or rows > 1").select(F.col("key").alias("__key"), "goes"), "found")
     rows = docs.withColumn("__key", row_key("doc_id", "text"))
-    single = rows.join(known.select("__key").hint("merge"), "__key", "left_anti").select(docs.columns)
+    single = rows.join(sized(known.select("__key")), "__key", "left_anti").select(docs.columns)
     several = staged(known.where("not goes").select("__key"), "equal-rows")
     return single.unionByName(rows.join(several, "__key", "left_semi").dropDuplicates(["__key"]).select(docs.columns))

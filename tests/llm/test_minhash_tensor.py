@@ -61,7 +61,7 @@ def comparable(rows):
 
 @pytest.mark.parametrize("block, rounds", [(3, 0), (3, 1), (pivot_links.BLOCK, pivot_links.ROUNDS)])
 def test_components_of_all_similar_pairs(spark, monkeypatch, block, rounds):
-    monkeypatch.setattr(minhash_tensor, "similar", lambda m, s, least, b: pivot_links.similar(m, s, least, block, max(rounds, 1)) if rounds else all_in_cells(m, s, least, block))
+    monkeypatch.setattr(minhash_tensor, "similar", lambda m, s, least, b: pivot_links.similar(m, s, least, block, rounds) if rounds else all_in_cells(m, s, least, block))
     rows = made(5)
     docs = spark.createDataFrame([(*r, "a", "b", "c", "d", "e") for r in rows], SCHEMA).repartition(5)
     got = minhash_tensor.op13_minhash_tensor(docs).collect()
@@ -71,7 +71,8 @@ def test_components_of_all_similar_pairs(spark, monkeypatch, block, rounds):
 
 
 def all_in_cells(member, sets, least, block):
-    return pivot_links.in_cells(member.withColumn("root", member["fp"]), sets, least, block)
+    member = member.select("bucket", "fp").withColumn("root", member["fp"])
+    return pivot_links.in_cells(pivot_links.with_middle(member), sets, least, block)
 
 
 def test_whole_table(spark):
