@@ -91,9 +91,8 @@ def top_all_and_new(marked: DataFrame, n: int, extra: int = 0) -> DataFrame:
     return rows.where(F.col("rank") <= n + extra)
 
 
-def top_programs_per_hour(scores: DataFrame, schedule: DataFrame, k: int) -> DataFrame:
-    """(user, date, hour, rank, program): programs that start in an hour, best score first, each once at its first start."""
-    slot = schedule.select("program", "start", F.substring("start", 1, 8).alias("date"), F.substring("start", 9, 2).alias("hour"))
-    first = slot.groupBy("program", "date", "hour").agg(F.min("start").alias("start"))
-    rows = first.join(scores, "program")
-    return top_n(rows, ["user", "date", "hour"], [F.desc("score"), F.col("program")], k).select("user", "date", "hour", "rank", "program", "start", "score")
+def hourly_offers(schedule: DataFrame) -> DataFrame:
+    """(slot, date, hour, item, start, channel): programs that start in an hour, each once, at its first start; slot is date and hour."""
+    rows = schedule.select(F.col("program").alias("item"), "start", "channel", F.substring("start", 1, 8).alias("date"), F.substring("start", 9, 2).alias("hour"))
+    first = rows.groupBy("item", "date", "hour").agg(F.min(F.struct("start", "channel")).alias("f"))
+    return first.select(F.concat("date", "hour").alias("slot"), "date", "hour", "item", F.col("f.start").alias("start"), F.col("f.channel").alias("channel"))

@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from airwave.functions import vectors
 
@@ -56,6 +58,8 @@ def all_pairs(
 
 #: Scores that a task holds at once.
 CELLS = 1 << 21
+#: Slots that an item may be in, on average, for a block of items to be broadcast whole.
+SLOTS_AN_ITEM = 24
 
 
 def best_items(users: DataFrame, items: DataFrame, score: Callable[[dict, dict], np.ndarray], n: int, block: int = BLOCK_ROWS) -> DataFrame:
@@ -66,44 +70,104 @@ def best_items(users: DataFrame, items: DataFrame, score: Callable[[dict, dict],
     nothing is sorted but these. Items are broadcast in blocks as in all_pairs, and the blocks' lists are ranked again. Equal
     scores are ranked by item.
     """
-    blocks = max(1, -(-items.count() // block))
-    own = lambda k: items if blocks == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
+    blocks = _blocks(items, items.count(), block)
     context, kinds = users.sparkSession.sparkContext, ("all", "new") if "seen_items" in users.columns else ("all",)
-    user, item = users.schema["user"].dataType.simpleString(), items.schema["item"].dataType.simpleString()
-    arrays = lambda t, skip: {c: np.stack(x) if len(x := t[c].to_pylist()) and isinstance(x[0], list) else np.array(x) for c in t.schema.names if c not in skip}
+    user, item = (t.schema[c].dataType.simpleString() for t, c in ((users, "user"), (items, "item")))
+    made = T.StructType.fromDDL(f"user {user}, item {item}, score double, kind string")
+    schema = to_arrow_schema(made)
 
     def part(shared):
         def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = shared.value
             size = len(known["item"])
-            for batch in batches:
-                for at in range(0, batch.num_rows if size else 0, step := max(1, CELLS // max(1, size))):
-                    rows = batch.slice(at, step)
-                    mine = arrays(pa.Table.from_batches([rows]), ("seen_items",))
-                    scores = np.asarray(score({c: x[:, None] for c, x in mine.items()}, known), float)
-                    for kind in kinds:
-                        if kind == "new":
-                            seen = rows.column(rows.schema.get_field_index("seen_items")).to_pylist()
-                            who = np.repeat(np.arange(len(seen)), [len(x) for x in seen])
-                            what = np.array([i for x in seen for i in x], known["item"].dtype)
-                            place = np.minimum(np.searchsorted(known["item"], what), size - 1)
-                            hit = known["item"][place] == what
-                            scores[who[hit], place[hit]] = -np.inf
-                        r, c = _best(scores, n)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(mine["user"][r]), pa.array(known["item"][c]), pa.array(scores[r, c]), pa.array(np.full(len(r), kind))], ["user", "item", "score", "kind"]
-                        )
+            for rows, mine, scores in _scored(batches, known, score):
+                for kind in kinds:
+                    if kind == "new":
+                        seen = rows.column(rows.schema.get_field_index("seen_items")).to_pylist()
+                        who = np.repeat(np.arange(len(seen)), [len(x) for x in seen])
+                        what = np.array([i for x in seen for i in x], known["item"].dtype)
+                        place = np.minimum(np.searchsorted(known["item"], what), size - 1)
+                        hit = known["item"][place] == what
+                        scores[who[hit], place[hit]] = -np.inf
+                    r, c = _best(scores, n)
+                    columns = mine["user"][r], known["item"][c], scores[r, c], [kind] * len(r)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
 
         return go
 
-    lists = []
-    for k in range(blocks):
-        shared = context.broadcast(arrays(own(k).orderBy("item").toArrow(), ()))  # a block is bounded
-        lists.append(users.mapInArrow(part(shared), f"user {user}, item {item}, score double, kind string"))
+    lists = [users.mapInArrow(part(context.broadcast(_arrays(own.orderBy("item").toArrow()))), made) for own in blocks]
     order = Window.partitionBy("user", "kind").orderBy(F.desc("score"), "item")
     return reduce(DataFrame.unionByName, lists).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
+def best_in_slots(users: DataFrame, items: DataFrame, offers: DataFrame, score: Callable[[dict, dict], np.ndarray], n: int, block: int = BLOCK_ROWS) -> DataFrame:
+    """(user, slot, rank, item, score): for each user the best n of the items that each slot offers.
+
+    offers: (slot, item), such as programs that start in an hour. Scores are worked out once for each user and item, as in best_items,
+    and a slot is a mask over the items of the block: n rows leave a task for each user and slot, not a row for each pair. Items go in
+    blocks so that a block's items and offers are bounded. With one block its lists are the result; else the
+    lists of blocks, n rows each, are merged by rank.
+    """
+    offers = offers.where(F.col("item").isNotNull()).distinct()
+    blocks = _blocks(items.join(offers.groupBy("item").agg(F.sort_array(F.collect_set("slot")).alias("slots")), "item"), max(items.count(), offers.count() // SLOTS_AN_ITEM), block)
+    context = users.sparkSession.sparkContext
+    user, item, slot = (t.schema[c].dataType.simpleString() for t, c in ((users, "user"), (items, "item"), (offers, "slot")))
+    made = T.StructType.fromDDL(f"user {user}, slot {slot}, rank int, item {item}, score double")
+    schema = to_arrow_schema(made)
+
+    def part(shared):
+        def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, masks = shared.value
+            for _, mine, scores in _scored(batches, known, score):
+                for name, places in masks:
+                    own = scores[:, places]
+                    r, c = _best(own, n)
+                    if not len(r):
+                        continue
+                    rank = (np.arange(len(r)) - np.searchsorted(r, r) + 1).astype(np.int32)
+                    columns = mine["user"][r], [name] * len(r), rank, known["item"][places[c]], own[r, c]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
+
+        return go
+
+    lists = []
+    for own in blocks:
+        table = own.orderBy("item").toArrow()
+        slots: dict = {}
+        for place, names in enumerate(table.column("slots").to_pylist()):
+            for name in names:
+                slots.setdefault(name, []).append(place)
+        shared = context.broadcast((_arrays(table.drop(["slots"])), [(name, np.array(places)) for name, places in sorted(slots.items())]))
+        lists.append(users.mapInArrow(part(shared), made))
+    if len(lists) == 1:
+        return lists[0]
+    order = Window.partitionBy("user", "slot").orderBy(F.desc("score"), "item")
+    return reduce(DataFrame.unionByName, lists).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+
+
+def _blocks(items: DataFrame, rows: int, block: int) -> list[DataFrame]:
+    """items without null ids, dealt by a hash so that a block has about so many rows."""
+    n, items = max(1, -(-rows // block)), items.where(F.col("item").isNotNull())
+    return [items if n == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k) for k in range(n)]
+
+
+def _arrays(table: pa.Table, skip: tuple[str, ...] = ()) -> dict[str, np.ndarray]:
+    """Columns as arrays; lists of one length as matrices."""
+    lists = {c: table.column(c).to_pylist() for c in table.schema.names if c not in skip}
+    return {c: np.stack(x) if len(x) and isinstance(x[0], list) else np.array(x) for c, x in lists.items()}
+
+
+def _scored(batches: Iterator[pa.RecordBatch], known: dict, score: Callable[[dict, dict], np.ndarray]) -> Iterator[tuple]:
+    """(rows, their columns, scores of all their pairs): CELLS scores at a time."""
+    size = len(known["item"])
+    step = max(1, CELLS // max(1, size))
+    for batch in batches:
+        for at in range(0, batch.num_rows if size else 0, step):
+            rows = batch.slice(at, step)
+            mine = _arrays(pa.Table.from_batches([rows]), ("seen_items",))
+            yield rows, mine, np.asarray(score({c: x[:, None] for c, x in mine.items()}, known), float)
+
+
 def _best(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and columns of the n largest scores of each row, the first column first among equals; -inf is no score."""
     least = np.partition(scores, scores.shape[1] - n, axis=1)[:, scores.shape[1] - n, None] if scores.shape[1] > n else -np.inf

@@ -595,4 +595,4 @@ def pipeline_predict(v: Views):
     factor = lambda c, by, n: F.array(*((F.col(c) * (k + by) % n) / n for k in range(5)))
     users = v.sched().select("user").distinct().withColumn("uf", factor("user", 3, 17))
     programs = v.sched().select("item").distinct().withColumn("vf", factor("item", 5, 19))
-    return hourly_programs(users, programs, v.schedule(), ["20240105", "20240106"], 5, vectors.dot_of(F.col("uf"), F.col("vf"), 5))[1]
+    return hourly_programs(users, programs, v.schedule(), ["20240105", "20240106"], 5, scoring.dot_scores())[1]

@@ -6,10 +6,10 @@ from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.functions import scalars, vectors
+from airwave.functions import scalars
 from airwave.operators import aggregates, exports, features, relational, scoring, training
 from airwave.sources.artifacts import cut
 
@@ -173,7 +173,6 @@ def recommend(
     )
     shares = lambda side, on, x: cut(scoring.partial_model(side, wide, factors).select(F.col("id").alias(on), F.col("linear").alias(f"l{x}"), F.col("latent").alias(f"v{x}")), f"{on}-shares")
     user_shares, item_shares = shares(users, "user", "u"), shares(items, "item", "i")
-    score = scoring.combined(F.col("lu"), F.col("li"), F.col("vu"), F.col("vi"), model.bias)
     known = item_shares.join(train, "item", "left_semi")
     cold = item_shares.join(cold_of(train, test), "item", "left_semi")
     sampled = cut(exports.sample_users(user_shares, share), "sampled-users")
@@ -181,7 +180,7 @@ def recommend(
     rates = scoring.hit_rates(ranked(sampled, known, pair, train, test, n), n)
     recall = scoring.cold_recall(cold_ranked(sampled, cold, pair, test, n))
     holdout = training.mean_squared_error(sparse_rows(design_rows(test, users, items)), model)
-    programs, _ = hourly_programs(sampled, item_shares, schedule, dates, k, score)
+    programs, _ = hourly_programs(sampled, item_shares, schedule, dates, k, pair)
     row = lambda **figures: spark.createDataFrame([tuple(map(str, figures.values()))], ", ".join(f"`{c}` string" for c in figures))
     metrics = rates.select(*(exports.metric(c).alias(f"known items: {c}") for c in ("precision", "recall"))).crossJoin(recall.select(exports.metric("cold_recall").alias("cold items: recall")))
     return exports.summary(
@@ -197,12 +196,16 @@ def recommend(
     )
 
 
-def hourly_programs(users: DataFrame, items: DataFrame, schedule: DataFrame, dates: list[str], k: int, score: Column) -> tuple[DataFrame, DataFrame]:
-    """The best k programs of each user for each hour of the dates; and the lines that were written with a folder for each hour."""
-    rows = schedule.where(F.substring("start", 1, 8).isin(dates))
-    scheduled = items.join(rows.select(F.col("program").alias("item")).distinct(), "item", "left_semi")
-    scores = scoring.all_pairs(users, scheduled, F.round(score, 9)).withColumnRenamed("item", "program")
-    best = cut(relational.top_programs_per_hour(scores, rows, k).select("user", "date", "hour", "rank", "program", "score"), "hourly-programs")
+def programs_by_hour(users: DataFrame, items: DataFrame, schedule: DataFrame, dates: list[str], k: int, score: Score) -> DataFrame:
+    """(user, date, hour, rank, program, start, channel, score): the best k programs of each user for each hour of the dates."""
+    offers = cut(relational.hourly_offers(schedule.where(F.substring("start", 1, 8).isin(dates))), "offers")
+    best = scoring.best_in_slots(users, items, offers.select("slot", "item"), score, k)
+    return best.join(offers, ["slot", "item"]).select("user", "date", "hour", "rank", F.col("item").alias("program"), "start", "channel", "score")
+
+
+def hourly_programs(users: DataFrame, items: DataFrame, schedule: DataFrame, dates: list[str], k: int, score: Score) -> tuple[DataFrame, DataFrame]:
+    """programs_by_hour, and the lines that were written with a folder for each hour."""
+    best = cut(programs_by_hour(users, items, schedule, dates, k, score), "hourly-programs")
     return best, exports.written_by_hour(best)
 
 
@@ -211,4 +214,4 @@ def predict(ratings: DataFrame, schedule: DataFrame, dates: list[str], k: int =
     users, items = factor_model(ratings, rank, rounds)
     scheduled = schedule.where(F.substring("start", 1, 8).isin(dates)).select(F.col("program").alias("item")).distinct()
     profiles = scoring.completed(scheduled, items, "item", "vf", scoring.mean_profile(items, "vf", rank))
-    return hourly_programs(users, profiles, schedule, dates, k, vectors.dot_of(F.col("uf"), F.col("vf"), rank))
+    return hourly_programs(users, profiles, schedule, dates, k, scoring.dot_scores())

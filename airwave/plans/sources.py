@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from airwave.functions import scalars
 from airwave.operators import aggregates, exports, features, scoring
-from airwave.operators.relational import dense_ids, top_programs_per_hour
+from airwave.operators.relational import dense_ids
+from airwave.plans.pipelines import programs_by_hour
 from airwave.plans.registry import query
 from airwave.sources import artifacts, files
 from airwave.sources.views import Views
@@ -244,21 +245,20 @@ def filter_schedule_by_programs(v: Views):
     return v.schedule().join(v.program_genre().where("genre = 'red'").select(F.col("item").alias("program")), "program", "left_semi").select("channel", "start", "program")
 
 
-TOP_PROGRAMS = """, firsts AS (SELECT program, start[1:8] AS date, start[9:10] AS hour, min(start) AS start FROM schedule GROUP BY ALL),
+TOP_PROGRAMS = """, firsts AS (SELECT program, start[1:8] AS date, start[9:10] AS hour, min(start) AS start, arg_min(channel, (start, channel)) AS channel FROM schedule GROUP BY ALL),
 scores AS (SELECT DISTINCT "user", ("user" * 31 + p * 17) % 1009 / 1009 AS score, p AS program FROM (SELECT DISTINCT "user" FROM sched), (SELECT DISTINCT item AS p FROM sched)),
-best AS (SELECT "user", date, hour, row_number() OVER (PARTITION BY "user", date, hour ORDER BY score DESC, program) AS rank, program FROM firsts JOIN scores USING (program)
+best AS (SELECT "user", date, hour, row_number() OVER (PARTITION BY "user", date, hour ORDER BY score DESC, program) AS rank, program, start, channel, score FROM firsts JOIN scores USING (program)
   WHERE date = '20240105' QUALIFY rank <= 5)"""
 
 
 def hourly(v: Views) -> DataFrame:
     users, programs = v.sched().select("user").distinct(), v.sched().select("item").distinct()
-    scores = scoring.all_pairs(users, programs, (F.col("user") * 31 + F.col("item") * 17) % 1009 / 1009).withColumnRenamed("item", "program")
-    return top_programs_per_hour(scores, v.schedule().where(F.substring("start", 1, 8) == "20240105"), 5)
+    return programs_by_hour(users, programs, v.schedule(), ["20240105"], 5, lambda u, i: (u["user"] * 31 + i["item"] * 17) % 1009 / 1009)
 
 
-@query("topk_programs_per_hour", "sched schedule", TOP_PROGRAMS + ' SELECT "user", date, hour, CAST(rank AS INT) AS rank, program FROM best')
+@query("topk_programs_per_hour", "sched schedule", TOP_PROGRAMS + ' SELECT "user", date, hour, CAST(rank AS INT) AS rank, program, start, channel, round(score, 9) AS score FROM best')
 def topk_programs_per_hour(v: Views):
-    return hourly(v).select("user", "date", "hour", "rank", "program")
+    return hourly(v).withColumn("score", F.round("score", 9))
 
 
 @query("sink_hourly_recs", "sched schedule", TOP_PROGRAMS + """ SELECT date, hour, "user", string_agg(program, chr(9) ORDER BY rank) AS programs FROM best GROUP BY ALL""")

@@ -140,6 +140,34 @@ def test_rankings_are_those_of_all_pairs(spark, monkeypatch):
     assert scoring.best_items(users.limit(0), items, scoring.dot_scores(), 4).count() == 0
 
 
+def test_best_in_slots_makes_no_pairs(spark, monkeypatch):
+    users = spark.range(40).select(F.col("id").alias("user"), F.array(F.col("id") % 7 + 0.0, F.lit(1.0)).alias("uf"))
+    items = spark.range(60).select(F.col("id").alias("item"), F.array(F.col("id") * 5 % 11 + 0.0, F.col("id") % 3 + 0.0).alias("vf"))
+    offers = spark.createDataFrame([(f"s{s}", i) for s in range(5) for i in range(s, 60 + s, s + 1)] + [("s1", None), ("s0", 3), ("empty", 999)], "slot string, item long")
+    given = {}
+    for r in offers.collect():
+        given.setdefault(r.slot, set()).add(r.item)
+    score = lambda u, i: u % 7 * (i * 5 % 11) + i % 3
+    want = []
+    for u in range(40):
+        for s, own in given.items():
+            ranked = sorted((-score(u, i), i) for i in own if i is not None and i < 60)[:4]
+            want += [(u, s, k + 1, i, float(-x)) for k, (x, i) in enumerate(ranked)]
+    for block, cells in ((7, 1 << 21), (1000, 100), (1000, 1 << 21)):
+        monkeypatch.setattr(scoring, "CELLS", cells)
+        made = scoring.best_in_slots(users, items, offers, scoring.dot_scores(), 4, block)
+        assert sorted((r.user, r.slot, r["rank"], r.item, r.score) for r in made.collect()) == sorted(want)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan and ("Window" in plan) == (block == 7)
+    assert scoring.best_in_slots(users, items, offers.limit(0), scoring.dot_scores(), 4).count() == 0
+
+
+def test_null_items_are_no_candidates(spark):
+    users = spark.range(3).select(F.col("id").alias("user"), F.array(F.lit(1.0)).alias("uf"))
+    items = spark.createDataFrame([(1, [1.0]), (None, [9.0]), (2, [2.0])], "item long, vf array<double>")
+    assert {r.item for r in scoring.best_items(users, items, scoring.dot_scores(), 5).collect()} == {1, 2}
+
+
 def test_pairs_are_broadcast_joins_of_blocks(spark):
     users, items = spark.range(40).withColumnRenamed("id", "user"), spark.range(60).withColumnRenamed("id", "item")
     parts = lambda pairs: pairs.groupBy("user").agg(F.sum("score").alias("s"))
