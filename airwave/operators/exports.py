@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airwave.operators.relational import dense_ids
-from airwave.sources.artifacts import save
+from airwave.sources.artifacts import save, shared_folder
 
 
 def split_of(user: Column, train: float = 0.7, test: float = 0.2) -> Column:
@@ -32,6 +32,18 @@ def written_by_hour(best: DataFrame) -> DataFrame:
     return saved.select(F.col("date").cast("string").alias("date"), F.lpad(F.col("hour").cast("string"), 2, "0").alias("hour"), "user", "programs")
 
 
+def append_metrics(rows: DataFrame, name: str, run: str) -> DataFrame:
+    """The stored metrics (run, model, test, metric, value) after those of a run (model, test, metric, value) came to them.
+
+    A run's figures of a model and a test are a folder of their own, so a run that is repeated replaces them and doubles nothing.
+    """
+    spark, keys = rows.sparkSession, ("run", "model", "test")
+    path = f"{shared_folder(spark)}/airwave/{name}"
+    rows.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    schema = "metric string, value double, " + ", ".join(f"{k} string" for k in keys)
+    return spark.read.schema(schema).parquet(path).select(*keys, "metric", "value")
+
+
 def metric(column: str) -> Column:
     """A metric as text of four digits."""
     return F.format_string("%.4g", column)

@@ -13,7 +13,7 @@ from airwave.functions import vectors
 from airwave.operators import aggregates, exports, features, relational, scoring, training
 from airwave.plans.pipelines import assembled, hourly_programs, matrix_factorisation, recommend
 from airwave.plans.registry import query
-from airwave.plans.relational import TOKENS, maps
+from airwave.plans.relational import TOKENS
 from airwave.plans.sources import CHANNEL_BLOCK, GENRE_BLOCK, genre_block
 from airwave.sources import artifacts
 from airwave.sources.views import Views
@@ -459,114 +459,6 @@ def eval_mf(v: Views):
     return reduce(DataFrame.unionByName, parts)
 
 
-@query("select_best_model", "", "SELECT p_brand AS model, round(avg(p_retailprice), 6) AS metric FROM part GROUP BY 1 ORDER BY metric, model LIMIT 1")
-def select_best_model(v: Views):
-    return scoring.best_model(v.table("part").groupBy(F.col("p_brand").alias("model")).agg(F.round(F.avg("p_retailprice"), 6).alias("metric")))
-
-
-# Training: no SQL; held by property tests.
-
-
-def splits(v: Views) -> tuple[DataFrame, ...]:
-    rows = design(v).withColumn("split", exports.split_of(F.col("user")))
-    return tuple(rows.where(F.col("split") == s) for s in ("tr", "te", "va"))
-
-
-@query("feat_fact_als")
-@query("mf_train_als")
-def feat_fact_als(v: Views):
-    ints = relational.to_int_ids(v.train(), *maps(v.train())).select(F.col("uid").alias("user"), F.col("iid").alias("item"), "rating")
-    users, items = training.als(ints)
-    return users.withColumn("side", F.lit("user")).unionByName(items.withColumn("side", F.lit("item")))
-
-
-def _linear(v: Views, lasso: bool) -> DataFrame:
-    train, _, _ = splits(v)
-    return training.of_linear(training.linear(train.select(array_to_vector("x").alias("features"), "label"), 0.1, lasso)).table(v.spark)
-
-
-@query("reg_ridge")
-def reg_ridge(v: Views):
-    return _linear(v, False)
-
-
-@query("reg_lasso")
-def reg_lasso(v: Views):
-    return _linear(v, True)
-
-
-def _cold(v: Views, lasso: bool) -> DataFrame:
-    content = features.vectors(genre_block(v), 16)
-    profiles = v.item_factors().select(F.col("item").alias("id"), F.col("vf").alias("profile"))
-    models = training.cold_profiles(content, profiles, 5, lasso=lasso)
-    return v.spark.createDataFrame([(k, i, float(w)) for k, m in enumerate(models) for i, w in enumerate(m.coefficients)], "dimension int, idx int, w double")
-
-
-@query("cold_profile_ridge")
-def cold_profile_ridge(v: Views):
-    return _cold(v, False)
-
-
-@query("cold_profile_lasso")
-def cold_profile_lasso(v: Views):
-    return _cold(v, True)
-
-
-def trained(v: Views, fit, **options) -> training.Weights:
-    """A model on the training split, which is kept in memory for as long as the training takes."""
-    data = splits(v)[0].select("x", "label").persist()
-    try:
-        return fit(data, 10, 3, rounds=4, **options)
-    finally:
-        data.unpersist()
-
-
-@query("fm_l2")
-@query("gd_train")
-def fm_l2(v: Views):
-    return trained(v, training.fm_l2).table(v.spark)
-
-
-@query("gd_accelerated")
-def gd_accelerated(v: Views):
-    return trained(v, training.fm_l2, step=1e-4, momentum=True).table(v.spark)
-
-
-@query("fm_l21")
-def fm_l21(v: Views):
-    return trained(v, training.fm_l21).table(v.spark)
-
-
-@query("fm_feature_learning")
-def fm_feature_learning(v: Views):
-    return trained(v, training.fm_feature_learning).table(v.spark)
-
-
-@query("grid_search_validation")
-def grid_search_validation(v: Views):
-    train, _, validation = splits(v)
-    fit = lambda data, **g: training.fm_l2(data, 10, 3, **g)
-    _, best, errors = training.grid_search(train, validation, fit, [{"step": s, "rounds": 3, "reg": r} for s in (1e-3, 1e-4) for r in (0.0, 0.1)])
-    return v.spark.createDataFrame([(best["step"], best["reg"], float(min(errors)))], "step double, reg double, mse double")
-
-
-@query("sink_model")
-def sink_model(v: Views):
-    """Models are saved, loaded and held against the held-out split: squared errors before and after, by model."""
-    held_out, rows = splits(v)[1], []
-    models = {"linear": training.of_linear(training.linear(splits(v)[0].select(array_to_vector("x").alias("features"), "label"), 0.1))}
-    models |= {"fm": trained(v, training.fm_l2), "learned": trained(v, training.fm_feature_learning)}
-    for name, w in models.items():
-        loaded = training.Weights.of(artifacts.cut(w.table(v.spark), f"model-{name}"))
-        rows.append((name, training.mean_squared_error(held_out, w), training.mean_squared_error(held_out, loaded)))
-    users, items = training.als(relational.to_int_ids(v.train(), *maps(v.train())).select(F.col("uid").alias("user"), F.col("iid").alias("item"), "rating"), rounds=2)
-    for name, profiles in (("users", users), ("items", items)):
-        saved = artifacts.cut(profiles, f"profiles-{name}")
-        size = lambda df: float(df.agg(F.sum(F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x))).first()[0])
-        rows.append((name, size(profiles), size(saved)))
-    return v.spark.createDataFrame(rows, "model string, before double, after double")
-
-
 @query("pipeline_recommend")
 def pipeline_recommend(v: Views):
     """The whole job; the summary is the result, the programs of the predicted hours are written and counted in it."""

@@ -125,9 +125,8 @@ def matrix_factorisation(train: DataFrame, test: DataFrame, content: tuple[DataF
     with_mean = scoring.completed(test, items, "item", "vf", scoring.mean_profile(items, "vf", rank))
     block, size = content
     profiles = items.select(F.col("item").alias("id"), F.col("vf").alias("profile"))
-    models = training.cold_profiles(features.vectors(block, size), profiles, rank)
-    spark = train.sparkSession
-    coefficients = spark.createDataFrame([(i, k, float(w)) for k, m in enumerate(models) for i, w in enumerate(m.coefficients)], "idx int, k int, w double")
+    fitted = training.cold_profiles(block, profiles, rank, size)
+    coefficients = train.sparkSession.createDataFrame([(i, k, float(w)) for (i, k), w in np.ndenumerate(fitted)], "idx int, k int, w double")
     cold = features.regressed(block.join(cold_of(train, test).withColumnRenamed("item", "id"), "id", "left_semi"), coefficients)
     cold = cut(cold.groupBy(F.col("id").alias("item")).agg(F.array_sort(F.collect_list(F.struct("idx", "value")))["value"].alias("vf")), "cold-profiles")
     score = scoring.dot_scores()
@@ -164,8 +163,9 @@ def recommend(
     users, items, size = sides(train, user_blocks, item_blocks, least)
     design = cut(sparse_rows(design_rows(train, users, items)).withColumn("split", exports.split_of(F.col("user"))), "design")
     part = lambda s: design.where(F.col("split") == s)
-    fit = lambda data, **g: training.fm_l2(data, size, factors, rounds=rounds, **g)
-    model, best, errors = training.grid_search(part("tr"), part("va"), fit, [{"step": s} for s in (1e-2, 1e-3)])
+    steps = (1e-2, 1e-3)
+    fits = [training.fm_l2(size, factors, step=s, rounds=rounds) for s in steps]
+    model, at, errors = training.grid_search(part("tr"), {"validation": part("va"), "test": part("te")}, fits)
     model = training.Weights.of(cut(model.table(spark), "model"))
 
     wide = spark.createDataFrame(
@@ -189,7 +189,7 @@ def recommend(
             "corpus": aggregates.corpus_stats(train),
             "features": row(**{name: n_ for name, (_, n_) in item_blocks.items()}),
             "assembled": row(dimension=size, rows=design.count()),
-            "models": row(step=best["step"], validation_mse=f"{min(errors):.4g}", test_mse=f"{training.mean_squared_error(part('te'), model):.4g}"),
+            "models": row(step=steps[at], validation_mse=f"{errors.validation[at]:.4g}", test_mse=f"{errors.test[at]:.4g}"),
             "tests": metrics.crossJoin(row(**{"known items: mse": f"{holdout:.4g}"})),
             "prediction": programs.agg(F.count("*").alias("programs"), F.countDistinct("user").alias("users")),
         }

@@ -162,11 +162,21 @@ def sink_artifact(v: Views):
     return artifacts.cut(aggregates.sum_pairs(v.watch()), "pairs")
 
 
-@query("sink_if_absent", "watch", 'SELECT "user", count(*)::BIGINT AS n FROM watch GROUP BY 1')
+@query("sink_if_absent", "watch", """SELECT 'kept' AS how, "user", count(*)::BIGINT AS n FROM watch GROUP BY ALL
+UNION ALL SELECT 'overwritten', "user", sum(rating)::BIGINT FROM watch GROUP BY ALL UNION ALL SELECT 'incomplete', "user", count(*)::BIGINT FROM watch GROUP BY ALL""")
 def sink_if_absent(v: Views):
-    name = f"counts-{uuid.uuid4().hex}"
-    artifacts.save(v.watch().groupBy("user").agg(F.count("*").alias("n")), name)
-    return artifacts.save(v.watch().select("user", F.lit(0).cast("long").alias("n")), name)  # is there already
+    """A whole result is kept, or overwritten if asked; a folder that a writer left without its mark is written anew. Names come from inputs and parameters."""
+    counts = v.watch().groupBy("user").agg(F.count("*").alias("n"))
+    sums = v.watch().groupBy("user").agg(F.sum("rating").cast("long").alias("n"))
+    parts = []
+    for how in ("kept", "overwritten", "incomplete"):
+        name = artifacts.name_of("counts", v.sf_dir, how, uuid.uuid4().hex)
+        artifacts.save(counts if how != "incomplete" else sums, name)
+        if how == "incomplete":
+            artifacts.remove(v.spark, f"{artifacts.shared_folder(v.spark)}/airwave/{name}/_SUCCESS")
+        again = artifacts.save(sums if how != "incomplete" else counts, name, overwrite=how == "overwritten")
+        parts.append(again.select(F.lit(how).alias("how"), "user", "n"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("artifact_key", "watch", """SELECT "user", md5(array_to_string(list_sort(list(DISTINCT CAST(item AS VARCHAR))), '%')) AS md5_key,
@@ -266,12 +276,6 @@ def sink_hourly_recs(v: Views):
     return exports.written_by_hour(hourly(v))
 
 
-@query("sink_metric", "watch", "SELECT round(avg(pow(rating - 1500, 2)), 6) AS mse FROM watch")
-def sink_metric(v: Views):
-    rows = v.watch().select(F.col("rating").alias("label"), F.lit(1500.0).alias("prediction"))
-    return artifacts.cut(scoring.squared_error(rows), "metric").select(F.round("mse", 6).alias("mse"))
-
-
 SUMMARY = (
     GENRE_BLOCK
     + """, corpus AS (SELECT count(DISTINCT "user") AS users, count(DISTINCT item) AS items, count(*) AS n, min(date) AS first, max(date) AS last, count(DISTINCT date) AS days FROM train),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -43,19 +44,35 @@ def temporary(spark: SparkSession) -> Iterator[str]:
         remove(spark, folder)
 
 
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a result is there whole: writers leave a mark when all of it is."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def name_of(kind: str, *inputs: object) -> str:
+    """A result's name, made of what it is computed from: inputs and parameters in order."""
+    return f"{kind}-{hashlib.md5('%'.join(map(str, inputs)).encode()).hexdigest()}"
+
+
 def save(df: DataFrame, name: str, overwrite: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
-    """Write df under a name unless it is there already (or overwrite), and read it back."""
-    path = f"{shared_folder(df.sparkSession)}/airwave/{name}"
-    writer = df.write.mode("overwrite" if overwrite else "ignore")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Write df under a name unless it is there whole already (or overwrite), and read it back.
+
+    What a writer left that did not end has no mark and is written anew.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/airwave/{name}"
+    if overwrite or not complete(spark, path):
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(*by) if by else writer).parquet(path)
+    return spark.read.parquet(path)
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """A fresh artefact: cuts lineage between the steps of an iteration. Without ``temporary`` it stays, as its readers are lazy."""
     folder = _SCOPES[-1] if _SCOPES else f"{shared_folder(df.sparkSession)}/airwave"
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -92,11 +92,11 @@ SQL = {
 NEEDS = {"train": ["watch"], "test": ["watch"], "schedule": ["sched"], "uf": ["watch", "train"], "vf": ["watch", "train"]}
 
 
-def with_views(names: str, body: str) -> str:
+def with_views(names: str, body: str, recursive: bool = False) -> str:
     """A query over the named views."""
     order: list[str] = []
     for n in names.split():
         for x in [*NEEDS.get(n, []), n]:
             if x not in order:
                 order.append(x)
-    return ("WITH " + ",\n".join(SQL[n] for n in order) + "\n" if order else "") + body
+    return ("WITH " + "RECURSIVE " * recursive + ",\n".join(SQL[n] for n in order) + "\n" if order else "") + body

@@ -277,7 +277,7 @@ def test_sparse_rows_train_as_dense_ones(spark, learned):
     places = [np.flatnonzero(r) for r in x]
     sparse = spark.createDataFrame([(p.tolist(), r[p].tolist(), float(v)) for p, r, v in zip(places, x, y, strict=True)], "places array<int>, x array<double>, label double")
     fit = training.fm_feature_learning if learned else training.fm_l2
-    a, b = (fit(d, 8, 2, step=0.05, rounds=3) for d in (dense, sparse))
+    a, b = (training.descend(d, [fit(8, 2, step=0.05, rounds=3)])[0] for d in (dense, sparse))
     assert np.allclose(a.matrix, b.matrix) and a.bias == pytest.approx(b.bias)
     assert training.mean_squared_error(dense, a) == pytest.approx(training.mean_squared_error(sparse, b))
 
@@ -290,23 +290,163 @@ def points(spark):
     return spark.createDataFrame([(row.tolist(), float(v)) for row, v in zip(x, y, strict=True)], "x array<double>, label double").cache()
 
 
+def one(data, fit):
+    return training.descend(data, [fit])[0]
+
+
 def test_descent_lowers_the_loss(points):
     for fit in (training.fm_l2, training.fm_l21, training.fm_feature_learning):
-        w = fit(points, 5, 2, step=0.05, rounds=6)
-        assert w.losses[-1] < w.losses[0] and training.mean_squared_error(points, w) > 0
-    plain, fast = (training.fm_l2(points, 5, 2, step=0.05, rounds=1, momentum=m) for m in (False, True))
+        w = one(points, fit(5, 2, step=0.05, rounds=6))
+        assert len(w.losses) == 6 and w.losses[-1] < w.losses[0] and training.mean_squared_error(points, w) > 0
+    plain, fast = (one(points, training.fm_l2(5, 2, step=0.05, rounds=1, momentum=m)) for m in (False, True))
     assert np.allclose(plain.matrix, fast.matrix)  # the first step has no momentum
-    assert training.fm_l2(points, 5, 2, rounds=2, freeze_intercept=True).bias == 0
+    assert one(points, training.fm_l2(5, 2, rounds=2, freeze_intercept=True)).bias == 0
+
+
+def test_momentum_is_that_of_plain_numpy(points):
+    rows = points.collect()
+    x, y = np.array([r.x for r in rows]), np.array([r.label for r in rows])
+    got = one(points, training.fm_l2(5, 2, step=0.05, rounds=5, reg=0.3, momentum=True))
+    w = before = np.concatenate(([0.0], np.full(15, 0.2)))
+    t, losses = 1.0, []
+    for i in range(1, 6):
+        m = w[1:].reshape(5, 3)
+        model = training.Weights(w[0], m)
+        losses.append(((model.predict(x) - y) ** 2).mean() / 2 + 0.15 * (m**2).sum())
+        g = training.gradients(model, x, y)[0] / len(x)
+        at = w + (t - 1) / t * (w - before)
+        step = 0.05 / np.sqrt(i)
+        new = np.concatenate(([at[0]], at[1:] * (1 - step * 0.3))) - step * g
+        w, before, t = new, w, (1 + np.sqrt(1 + 4 * t * t)) / 2
+    assert np.allclose(got.matrix.ravel(), w[1:]) and got.bias == pytest.approx(w[0]) and got.losses == pytest.approx(losses)
 
 
 def test_large_group_penalty_drops_features(points):
-    assert not training.fm_l21(points, 5, 2, step=0.05, rounds=2, l21=1e4).matrix.any()
-
-
-def test_grid_search_takes_the_least_error(points):
-    fit = lambda data, **g: training.fm_l2(data, 5, 2, **g)
-    _, best, errors = training.grid_search(points, points, fit, [{"step": 1e-9, "rounds": 1}, {"step": 0.05, "rounds": 3}, {"step": 0.05, "rounds": 3}])
-    assert best == {"step": 0.05, "rounds": 3} and errors[1] == min(errors) and math.isclose(errors[1], errors[2])
+    assert not one(points, training.fm_l21(5, 2, step=0.05, rounds=2, l21=1e4)).matrix.any()
+
+
+def test_batches_cover_every_row_once(spark, points):
+    same = spark.range(1000).select(F.array(F.lit(1.0), F.lit(2.0)).alias("x"), F.lit(1.0).alias("label"))
+    for data in (points, same):
+        deal = training.dealt(data, 8)
+        parts = [deal.batch(i) for i in range(3, 11)]
+        sizes = [p.count() for p in parts]
+        assert sum(sizes) == data.count() and min(sizes) > 0.5 * sum(sizes) / 8
+        assert sorted(map(tuple, (r for p in parts for r in p.collect()))) == sorted(map(tuple, data.collect()))
+        assert parts[0].columns == data.columns
+        plan = parts[0]._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(batch" in plan
+    w = one(training.dealt(points, 4), training.fm_l2(5, 2, step=0.05, rounds=8))
+    assert len(w.losses) == 8 and training.mean_squared_error(points, w) < training.mean_squared_error(points, training.fm_l2(5, 2).start)
+
+
+def test_steps_without_rows_change_nothing(points):
+    w = one(points.limit(0), training.fm_l2(5, 2, rounds=2))
+    assert w.losses == [] and np.array_equal(w.matrix, training.fm_l2(5, 2).start.matrix)
+
+
+def test_many_partitions_and_features(spark):
+    """A sum over 500 partitions of rows with a few of 100,000 features; what leaves a task are the features that it touched."""
+    rows = spark.range(0, 5000, 1, 500).select(
+        F.array(*(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(100_000)).cast("int") for k in range(4))).alias("places"),
+        F.array(*(F.lit(1.0 + k) for k in range(4))).alias("x"), (F.col("id") % 7).cast("double").alias("label"),
+    )
+    start = training.fm_l2(100_000, 2).start
+    (flat, loss, n), = training.summed_gradients(rows, [start])
+    got = rows.toPandas()
+    want, err = training.gradients(start, training.design_of(got), got.label.to_numpy())
+    assert n == 5000 and loss == pytest.approx(err) and np.allclose(flat, want)
+
+
+def test_weights_beyond_a_broadcast_are_refused(points, monkeypatch):
+    monkeypatch.setattr(training, "MOST_BYTES", 100)
+    with pytest.raises(ValueError, match="more than 100"):
+        one(points, training.fm_l2(5, 2, rounds=1))
+
+
+def jobs_of(spark, what):
+    """How many jobs ran."""
+    group = f"counted-{id(what)}"
+    spark.sparkContext.setJobGroup(group, "")
+    out = what()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_candidates_share_passes(spark, points):
+    alone = [one(points, training.fm_l2(5, 2, step=s, rounds=n)) for s, n in ((1e-9, 1), (0.05, 3), (0.05, 3))]
+    fits = [training.fm_l2(5, 2, step=s, rounds=n) for s, n in ((1e-9, 1), (0.05, 3), (0.05, 3))]
+    (best, at, errors), jobs = jobs_of(spark, lambda: training.grid_search(points, {"validation": points, "test": points.limit(0)}, fits))
+    assert at == 1 and errors.validation[1] == errors.validation.min() and math.isclose(errors.validation[1], errors.validation[2])
+    assert (errors.test == -1).all() and np.allclose(errors.train, errors.validation)
+    assert np.allclose(best.matrix, alone[1].matrix) and errors.validation[0] == pytest.approx(training.mean_squared_error(points, alone[0]))
+    _, one_candidate = jobs_of(spark, lambda: training.grid_search(points, {"validation": points, "test": points.limit(0)}, fits[1:2]))
+    assert jobs == one_candidate
+
+
+def test_moments_give_all_regressions(spark):
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(300, 6)) * [1, 2, 0.5, 1, 1, 0]
+    y = np.stack((x @ [1, 0, 0, -2, 0, 0], x @ [0, 0, 3, 0, 0.1, 0]), axis=1) + 0.1 * rnd.normal(size=(300, 2))
+    split = np.where(np.arange(300) % 3, "tr", "va")
+    data = spark.createDataFrame([(a.tolist(), b.tolist(), str(s)) for a, b, s in zip(x, y, split, strict=True)], "x array<double>, y array<double>, split string").repartition(5)
+    found, jobs = jobs_of(spark, lambda: training.moments(data, 6, 2))
+    a, b, n = x[split == "tr"], y[split == "tr"], (split == "tr").sum()
+    own = found["tr"]
+    assert own.n == n and jobs <= 3
+    for reg in (0.01, 0.5):
+        ridge, lasso = own.ridge(reg), own.lasso(reg)
+        assert np.allclose(a.T @ (a @ ridge - b) / n + reg * ridge, 0, atol=1e-9)
+        slope = a.T @ (b - a @ lasso) / n  # within reg, and at it where a weight is not zero
+        assert (np.abs(slope) <= reg + 1e-8).all() and np.allclose(slope[lasso != 0], reg * np.sign(lasso[lasso != 0]), atol=1e-8)
+        assert np.allclose(own.error(lasso), ((a @ lasso - b) ** 2).mean(axis=0))
+    with pytest.raises(ValueError, match="more than"):
+        training.moments(data, 5000)
+    errors, _, at = training.linear_grid(data.select("x", F.slice("y", 1, 1).alias("y"), "split"), 6, [0.001, 10.0])
+    assert at == 0 and list(errors.test) == [-1, -1] and errors.validation[0] < errors.validation[1]
+
+
+def test_profiles_without_content(spark):
+    none = spark.createDataFrame([], "id long, idx int, value double")
+    profiles = spark.createDataFrame([(1, [1.0, 2.0])], "id long, profile array<double>")
+    assert not training.cold_profiles(none, profiles, 2, 4).any()
+
+
+def test_factors_with_checkpoints_beat_the_mean(spark):
+    rnd = np.random.default_rng(8)
+    u, i = rnd.random((40, 2)), rnd.random((30, 2))
+    pairs = [(a, b, float(u[a] @ i[b])) for a in range(40) for b in range(30)]
+    rnd.shuffle(pairs)
+    pairs = [(int(a), int(b), float(r)) for a, b, r in pairs]
+    known, held = pairs[:900], pairs[900:]
+    users, items = training.als(spark.createDataFrame(known, "user int, item int, rating double"), 2, 100, 0.01)
+    uf, vf = ({r.id: np.array(r.features) for r in t.collect()} for t in (users, items))
+    mean = np.mean([r for *_, r in known])
+    error = np.mean([(uf[a] @ vf[b] - r) ** 2 for a, b, r in held])
+    assert error < 0.2 * np.mean([(mean - r) ** 2 for *_, r in held]) and spark.sparkContext.getCheckpointDir()
+
+
+def test_results_count_only_when_whole(spark):
+    name = f"test-{os.urandom(6).hex()}"
+    path = f"{artifacts.shared_folder(spark)}/airwave/{name}"
+    assert artifacts.save(spark.range(5), name).count() == 5
+    assert artifacts.save(spark.range(7), name).count() == 5 and artifacts.save(spark.range(6), name, overwrite=True).count() == 6
+    os.remove(f"{path}/_SUCCESS")
+    assert artifacts.save(spark.range(8), name).count() == 8
+    assert artifacts.name_of("a", 1, "x") == artifacts.name_of("a", 1, "x") != artifacts.name_of("a", 1, "y")
+    artifacts.remove(spark, path)
+
+
+def test_metrics_of_a_repeated_run_do_not_double(spark):
+    name = f"metrics-{os.urandom(6).hex()}"
+    rows = lambda x: spark.createDataFrame([("m", "t", "mse", x), ("m", "t", "rmse", x), ("n", "t", "mse", 2 * x)], "model string, test string, metric string, value double")
+    exports.append_metrics(rows(1.0), name, "a")
+    exports.append_metrics(rows(2.0), name, "b")
+    got = exports.append_metrics(rows(3.0), name, "a")
+    assert {(r.run, r.model, r.test, r.metric): r.value for r in got.collect()} == {
+        (run, m, "t", k): x * (2 if m == "n" else 1) for run, x in (("a", 3.0), ("b", 2.0)) for m, k in (("m", "mse"), ("m", "rmse"), ("n", "mse"))
+    } and got.count() == 6
+    artifacts.remove(spark, f"{artifacts.shared_folder(spark)}/airwave/{name}")
 
 
 def test_temporal_grains(spark):
