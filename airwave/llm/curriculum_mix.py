@@ -6,7 +6,7 @@ size by weight, a source stops if its limit is below the level that the rest of
 
 Within a source the documents stand in the order of a hash of their ids. Whole passes over the source make up the floor of
 target by size, and a first part of one more pass the rest, so the words taken miss the target by half a document at
-most. Each weight has a schedule over training time, piecewise linear. Its integral is the share of the target that is
+most, with equal rows too, as each stands in the order by itself. Each weight has a schedule over training time, piecewise linear. Its integral is the share of the target that is
 wanted by a time; inverting it at the middle of a document's words gives the document's position in training, and the
 documents are range-sorted by it.
 
@@ -15,7 +15,7 @@ be as many as hosts: they are numbered, and their limits added up, by range-sort
 
 Defined cases: null text has size 0; documents of size 0, and all of a source without words, are taken 0 times and
 have no position; null ids are ordered by their rows' content; columns of documents named position or copy give way in the
-stream; equal rows are taken equally often; an empty table gives an empty result.
+stream (no other name clashes); equal rows are taken equally often, but for one copy; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ MAX_REPEAT = 3
 SCHEDULES = {5: ((0.0, 1.5), (1.0, 0.5)), 2: ((0.0, 1.0), (0.5, 1.25), (1.0, 0.75)), 1: ((0.0, 0.5), (0.7, 1.0), (1.0, 2.0))}
 #: Hex digits of the id's hash that make a bucket: 4096 buckets to a source.
 BUCKET_DIGITS = 3
+#: Equal rows that are made from one row at once.
+CHUNK = 4096
 
 
 def _sizes(batch: pa.RecordBatch) -> dict[str, list]:
@@ -94,8 +96,11 @@ def time_of(share: Column, knots: tuple[tuple[float, float], ...]) -> Column:
 
 
 def plan(docs: DataFrame) -> DataFrame:
-    """A row for each distinct row of docs, and how many ``rows`` are equal to it: figures of the source, words taken of
-    each of them, and the positions of the copies. Equal rows are taken together."""
+    """A row for each row of docs: figures of its source, the words taken of it, and the positions of its copies.
+
+    Equal rows stand one after the other in the order of their source, so that of many equal rows as many are taken once more as the
+    target asks for. They share a key, and nth counts them from 0; a key's rows are made from one row in steps of CHUNK.
+    """
     sized = staged(sizes(docs), "sizes").withColumn("bucket", F.substring("h", 1, BUCKET_DIGITS))
     units = sized.groupBy("place", "bucket", "h", "size", "key", "doc_id").agg(F.count("*").alias("rows")).withColumn("all", F.col("rows") * F.col("size"))
     sums = sized.groupBy("place", "bucket").agg(F.sum("size").alias("n"))
@@ -103,14 +108,16 @@ def plan(docs: DataFrame) -> DataFrame:
     sums = sums.select("place", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("bucket_start")).join(targets(sized), "place")
     inner = Window.partitionBy("place", "bucket").orderBy("h", "size", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = units.withColumn("upto", F.sum("all").over(inner)).join(sums, ["place", "bucket"])
-    start = F.col("bucket_start") + F.col("upto") - F.col("all")
+    rows = rows.withColumn("first", F.col("bucket_start") + F.col("upto") - F.col("all"))
+    rows = rows.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(CHUNK).cast("long"))))
+    rows = rows.withColumn("nth", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + CHUNK, F.col("rows")) - 1)))
     whole = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0))
-    rows = rows.withColumn("start", start).withColumn("whole", whole)
-    extra = F.col("start") + F.col("all") / 2 < F.col("target") - F.col("whole") * F.col("source_size")
+    rows = rows.withColumn("start", F.col("first") + F.col("nth") * F.col("size")).withColumn("whole", whole)
+    extra = F.col("start") + F.col("size") / 2 < F.col("target") - F.col("whole") * F.col("source_size")
     rows = rows.withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + extra.cast("long")).otherwise(0))
 
     def position(copy: Column) -> Column:
-        share = F.least(F.lit(1.0), F.try_divide(copy * F.col("source_size") + F.col("start") + F.col("all") / 2, F.col("target")))
+        share = F.least(F.lit(1.0), F.try_divide(copy * F.col("source_size") + F.col("start") + F.col("size") / 2, F.col("target")))
         out = F.lit(None).cast("double")
         for w, knots in SCHEDULES.items():
             out = F.when(F.col("weight") == w, time_of(share, knots)).otherwise(out)
@@ -118,15 +125,14 @@ def plan(docs: DataFrame) -> DataFrame:
 
     made = F.transform(F.filter(F.array(*map(F.lit, range(MAX_REPEAT))), lambda c: c < F.col("copies")), position)
     return rows.select(
-        "key", "doc_id", "rows", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), made.alias("positions")
+        "key", "doc_id", "rows", "nth", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), made.alias("positions")
     )
 
 
 def op10_curriculum_mix(docs: DataFrame) -> DataFrame:
     """A row for each document with its copies' positions; range-sorted by the first, documents without one at the end."""
-    each = plan(docs).withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
     listed = F.array_join(F.transform("positions", lambda x: F.format_string("%.6f", x)), ",")
-    rows = each.select(
+    rows = plan(docs).select(
         "doc_id", "size", "source_size", "target", "taken",
         F.round(F.try_element_at("positions", F.lit(1)), 9).alias("first_position"), listed.alias("positions"),
     )
@@ -135,11 +141,19 @@ def op10_curriculum_mix(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The training stream: a row for each copy with its position, range-sorted by position."""
-    placed = plan(docs).where(F.size("positions") > 0).select(F.col("key").alias("__key"), "positions")
-    rows = docs.withColumn("__key", row_key("doc_id", "source", "text")).join(placed, "__key")
-    stream = rows.select(*[docs[c] for c in docs.columns if c != "position" and c != "copy"], "__key", F.posexplode("positions").alias("copy", "position"))
-    return stream.repartitionByRange("position", "__key").sortWithinPartitions("position", "__key", "copy").drop("__key")
+    """The training stream: a row for each copy with its position, range-sorted by position.
+
+    Of equal rows one carries the text to all their positions.
+    """
+    placed = staged(plan(docs).where(F.size("positions") > 0).select("key", "rows", "positions"), "placed")
+    several = staged(placed.where("rows > 1").select("key").distinct(), "equal-rows")
+    own = [c for c in docs.columns if c not in ("position", "copy")]
+    rows = docs.select(row_key("doc_id", "source", "text").alias("key"), F.struct(*(docs[c] for c in own)).alias("doc"))
+    once = rows.join(several, "key", "left_semi").groupBy("key").agg(F.first("doc").alias("doc"))
+    rows = rows.join(several, "key", "left_anti").unionByName(once).join(placed, "key")
+    stream = rows.select("doc", "key", F.posexplode("positions").alias("copy", "position"))
+    order = "position", "key", "copy"
+    return stream.repartitionByRange("position", "key").sortWithinPartitions(*order).select("doc.*", "copy", "position")
 
 
 def _time_sql(share: str, knots: tuple[tuple[float, float], ...]) -> str:

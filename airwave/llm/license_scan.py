@@ -4,19 +4,23 @@ Texts and notices are brought to words of lower-case ASCII letters, digits and n
 between. A notice of m characters may differ in k = m // EDIT_SHARE edits (one at least). It is cut into k + 1
 pieces; a place within k edits holds at least one of them unchanged (pigeonhole), so an exact search for the pieces
 finds all candidates. Around each, the regex library's bounded-error matching decides, counts the edits and gives the span.
-Words that tell licenses apart have to stand in the span unchanged ("by nc", not "by sd"), and of notices that overlap the
-one with the highest similarity names the place, so siblings are not taken for each other.
+Words that tell licenses apart may have errors too: the span's nearest word to each of them has to lie within TOLD edits (one for
+four letters or fewer, and two letters changed about are one), and to no rival closer than to it ("rights", not "nights"). Only the short codes of Creative Commons, which are one edit apart, have to stand unchanged ("by nc", not "by sd"). Of notices that
+overlap the one with the highest similarity names the place, so siblings are not taken for each other.
 
 The scan is one map-only pass; nothing is shuffled or broadcast but the notices.
 
 Windows hold one place at most, so the work grows with the text, also where a notice is repeated over a very long one.
 
 Defined cases: null text is empty; overlapping places of a phrase all count; of matches that overlap, the most similar one is
-reported, then the longer, then the earlier; repeated rows give repeated results.
+reported, then the longer, then the earlier; repeated rows give repeated results; an empty table gives an empty result; columns
+besides doc_id and text, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -35,15 +39,15 @@ CC = {
     " nc sa": " noncommercial sharealike",
     " nc nd": " noncommercial noderivatives",
 }
-#: Notices searched with errors: label, text, and the words that must not differ.
+#: Notices searched with errors: label, text, and the words that tell it from others (for cc- labels: that must not differ).
 NOTICES = (
-    ("mit", "released under the mit license", "mit license"),
+    ("mit", "released under the mit license", "mit"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", ""),
-    ("apache", "licensed under the apache license version 2 0", "apache license"),
-    ("gpl", "licensed under the gnu general public license version 3", "gnu general public license"),
-    ("lgpl", "licensed under the gnu lesser general public license version 3", "gnu lesser general public license"),
-    ("agpl", "licensed under the gnu affero general public license version 3", "gnu affero general public license"),
-    ("gpl", "redistribute it and or modify it under the terms of the gnu general public license", "gnu general public license"),
+    ("apache", "licensed under the apache license version 2 0", "apache"),
+    ("gpl", "licensed under the gnu general public license version 3", "general public"),
+    ("lgpl", "licensed under the gnu lesser general public license version 3", "lesser general public"),
+    ("agpl", "licensed under the gnu affero general public license version 3", "affero general public"),
+    ("gpl", "redistribute it and or modify it under the terms of the gnu general public license", "general public"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", ""),
     ("mpl", "subject to the terms of the mozilla public license", "mozilla"),
     ("proprietary", "all rights reserved", "rights"),
@@ -54,6 +58,14 @@ NOTICES = (
     ),
 )
 EDIT_SHARE = 12
+#: Edits of a telling word, and words that are something else where they are nearer.
+TOLD = 2
+RIVALS = {
+    "mit": ("bsd", "isc", "ms", "it", "nit", "mint", "fit", "unit", "limit", "eit"),
+    "rights": ("nights", "lights", "flights", "sights", "fights", "heights", "tights", "eights", "knights"),
+    "lesser": ("affero", "library"),
+    "affero": ("lesser", "library"),
+}
 
 _KEEP = bytes(c if c >= 0x80 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _RESULT = (
@@ -62,10 +74,29 @@ _RESULT = (
 )
 
 
+@lru_cache(1 << 16)
+def apart(a: bytes, b: bytes) -> int:
+    """Edits between two words; neighbours changed about are one. Above TOLD only that it is above."""
+    if abs(len(a) - len(b)) > TOLD:
+        return TOLD + 1
+    before, last = [], list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j - 1] + (x != y), last[j] + 1, row[j - 1] + 1))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                row[j] = min(row[j], before[j - 2] + 1)
+        before, last = last, row
+    return last[-1]
+
+
 class Notice:
-    def __init__(self, label: str, text: str, exact: str = "") -> None:
+    def __init__(self, label: str, text: str, told: str = "") -> None:
         data = text.encode()
-        self.label, self.size, self.exact = label, len(data), exact.encode()
+        self.label, self.size = label, len(data)
+        self.exact = told.encode() if label.startswith("cc-") else b""
+        self.told = [] if self.exact else told.encode().split()
+        self.own = [w for w in data.split() if len(w) > 1]
         self.edits = max(1, len(data) // EDIT_SHARE)
         cuts = [len(data) * i // (self.edits + 1) for i in range(self.edits + 2)]
         self.pieces = [(a, data[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
@@ -87,21 +118,43 @@ class Notice:
                 out.append((s, s))
         return [(max(0, a - self.edits), min(b + self.size + self.edits, len(text))) for a, b in out]
 
-    def tells(self, text: bytes, a: int, b: int) -> bool:
-        """Whether the words that must not differ are whole words of a stretch, with the words at its ends."""
-        if not self.exact:
-            return True
+    def tells(self, text: bytes, a: int, b: int, window: bool = False) -> bool:
+        """Whether the telling words are in a stretch, with the words at its ends; of a window, whether they may be."""
         a = text.rfind(b" ", 0, a + 1) + 1
         b = text.find(b" ", b)
-        return b" " + self.exact + b" " in b" " + text[a : b if b >= 0 else len(text)] + b" "
+        stretch = text[a : b if b >= 0 else len(text)]
+        if self.exact:
+            return b" " + self.exact + b" " in b" " + stretch + b" "
+        return all(self._told(word, stretch.split(), window) for word in self.told)
+
+    def _told(self, word: bytes, words: list[bytes], window: bool) -> bool:
+        """Whether one of the words is near enough; a blank may be lost beside another word of the notice, or be too many."""
+        most = TOLD if len(word) > 4 else 1
+        near = [w for w in words if apart(w, word) <= most]
+        if not near:
+            near = [x + y for x, y in zip(words, words[1:], strict=False) if apart(x + y, word) <= most]
+        if not near:
+            longer = [w for w in words if len(w) > len(word) + most]
+            cut = [w[len(o) :] for w in longer for o in self.own if w.startswith(o)] + [w[: -len(o)] for w in longer for o in self.own if w.endswith(o)]
+            near = [w for w in cut if apart(w, word) <= most]
+        if window or not near:
+            return bool(near)
+        best = min(near, key=lambda w: apart(w, word))
+        return all(apart(best, rival.encode()) >= apart(best, word) for rival in RIVALS.get(word.decode(), ()))
+
+    def _searched(self, text: bytes, a: int, b: int):
+        """The best match of a window that the telling words allow."""
+        match = self.pattern.search(text, a, b)
+        while match and not self.tells(text, *match.span()):
+            match = self.pattern.search(text, match.start() + 1, b)
+        return match
 
     def find(self, text: bytes) -> list[tuple[int, int, int]]:
         """(start, end, edits) in bytes of the matches, in order; they don't overlap."""
-        # a window without the words that must not differ holds no match; this spares the costly search
-        found = (self.pattern.search(text, a, b) for a, b in self.windows(text) if self.tells(text, a, b))
-        found = (m for m in found if m and self.tells(text, *m.span()))
+        # a window without words like the telling ones holds no match; this spares the costly search
+        found = (self._searched(text, a, b) for a, b in self.windows(text) if self.tells(text, a, b, window=True))
         out: list[tuple[int, int, int]] = []
-        for match in sorted({(m.start(), m.end(), sum(m.fuzzy_counts)) for m in found}):
+        for match in sorted({(m.start(), m.end(), sum(m.fuzzy_counts)) for m in found if m}):
             if not out or match[0] >= out[-1][1]:
                 out.append(match)
             elif match[2] < out[-1][2]:

@@ -10,7 +10,8 @@ from tests.conftest import SF
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     cur = con.execute(registry.oracle_sql()[name])
     names = [d[0] for d in cur.description]
     got = registry.queries()[name](spark, SF)
