@@ -24,6 +24,8 @@ from airwave.llm.simhash_gray import keep_least, labelled, least_ids
 #: Words of a shingle, and the least similarity as a fraction of whole numbers.
 SHINGLE, LEAST = 5, (4, 5)
 BANDS, ROWS = 32, 5
+#: Further rounds of one pivot a bucket before cells: with 32 buckets a text, few are open after that.
+ROUNDS_OF_PIVOTS = 1
 
 _U = np.uint64
 _RND = np.random.default_rng(17)
@@ -86,7 +88,7 @@ def shingle_sets(docs: DataFrame, marked: DataFrame, member: DataFrame, size: in
 def near_links(docs: DataFrame, marked: DataFrame, block: int = BLOCK) -> DataFrame:
     """(a, b): links between texts that join the same components as all pairs which share a bucket and are similar."""
     member = distinct_buckets(marked.select("fp", "buckets").distinct().select("fp", F.explode("buckets").alias("bucket")))
-    return similar(member, shingle_sets(docs, marked, member, SHINGLE), LEAST, block)
+    return similar(member, shingle_sets(docs, marked, member, SHINGLE), LEAST, block, ROUNDS_OF_PIVOTS, 1)
 
 
 def components(docs: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Buckets propose, whole sets decide. Each bucket has its least member as pivot, and each member is compared with the least of its
 buckets' pivots: a row a member, however large the bucket. What is linked gets one root, and a bucket whose members all have one root is
-done. In each further round an open bucket has PIVOTS pivots, of the roots that fewest of its members have; all members of other roots
+done. In each further round an open bucket has some pivots (PIVOTS), of the roots that fewest of its members have; all members of other roots
 are compared with them (a pair once, whatever number of buckets proposes it), and pivots leave the bucket, as all their pairs are known.
 After ROUNDS, or once a round leaves more than KEPT_UP of the rows, what is still open is compared in cells. The Jaccard distance is a metric, so members whose
 distances from one pivot differ by more than a link allows are not similar: a cell holds two neighbouring bins of such distances.
@@ -75,11 +75,11 @@ def _open(member: DataFrame) -> DataFrame:
     return staged(member.join(staged(several, "open-buckets"), "bucket", "left_semi"), "open-members")
 
 
-def _pivots(member: DataFrame) -> DataFrame:
-    """(bucket, top, pivot): PIVOTS members of a bucket and their roots, of the roots that fewest of its members have."""
+def _pivots(member: DataFrame, n: int) -> DataFrame:
+    """(bucket, top, pivot): n members of a bucket and their roots, of the roots that fewest of its members have."""
     by_root = member.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     order = Window.partitionBy("bucket").orderBy("n", "fp")
-    ranked = member.join(by_root, ["bucket", "root"]).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS)
+    ranked = member.join(by_root, ["bucket", "root"]).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= n)
     return staged(ranked.select("bucket", F.col("root").alias("top"), F.col("fp").alias("pivot")), "pivots")
 
 
@@ -90,7 +90,7 @@ def with_middle(member: DataFrame) -> DataFrame:
     return member.join(staged(middle, "pivots"), "bucket")
 
 
-def similar(member: DataFrame, sets: DataFrame, least: Least, block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
+def similar(member: DataFrame, sets: DataFrame, least: Least, block: int = BLOCK, rounds: int = ROUNDS, n_pivots: int = PIVOTS) -> DataFrame:
     """(a, b): links that join the same components as all pairs of a bucket whose similarity is least[0] / least[1] or more.
 
     member: (bucket, fp, pivot) of distinct_buckets; sets: (fp, shingles), sorted distinct hashes.
@@ -103,7 +103,7 @@ def similar(member: DataFrame, sets: DataFrame, least: Least, block: int = BLOCK
     for _ in range(rounds):
         if not left:
             return links
-        pivots = _pivots(own)
+        pivots = _pivots(own, n_pivots)
         ordered = F.greatest("fp", "pivot").alias("fp"), F.least("fp", "pivot").alias("pivot")
         pairs = staged(own.join(pivots, "bucket").where("root <> top").select(*ordered).distinct().join(tested, ["fp", "pivot"], "left_anti"), "pairs")
         found = linked(pairs)
