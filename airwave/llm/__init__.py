@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus jobs, each a Spark job of its own module.
+"""Training-data operators: thirteen corpus jobs, each a Spark job of its own module.
 
 Nothing outside this subpackage imports it.
 """
