@@ -247,7 +247,7 @@ WITH d AS (
 ), raw AS (
   SELECT r, host, text, unnest(string_split(text, chr(10))) AS line FROM d
 ), lines AS (
-  SELECT r, host, text, line, regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') AS lw FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+  SELECT r, host, text, line, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS lw FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), norm AS (
   SELECT r, host, text, array_to_string(lw, ' ') AS nl, len(lw) AS n FROM lines
 ), dup AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY r
