@@ -2,7 +2,8 @@
 
 Buckets propose, whole sets decide. Each bucket has its least member as pivot, and each member is compared with the least of its
 buckets' pivots: a row a member, however large the bucket. What is linked gets one root, and a bucket whose members all have one root is
-done. In each further round an open bucket has some pivots (PIVOTS), of the roots that fewest of its members have; all members of other roots
+done. Members of a family need not be similar to its first pivot, so in JOININGS rounds a member of another root than most of its buckets'
+members have is compared with some members (REPRESENTATIVES) of that one: a fixed number of rows a member again. In each further round an open bucket has some pivots (PIVOTS), of the roots that fewest of its members have; all members of other roots
 are compared with them (a pair once, whatever number of buckets proposes it), and pivots leave the bucket, as all their pairs are known.
 After ROUNDS, or once a round leaves more than KEPT_UP of the rows, what is still open is compared in cells. The Jaccard distance is a metric, so members whose
 distances from one pivot differ by more than a link allows are not similar: a cell holds two neighbouring bins of such distances.
@@ -27,6 +28,8 @@ from airwave.llm.simhash_gray import star_components
 ROUNDS, KEPT_UP, BLOCK = 4, 0.9, 2048
 #: Pivots of a bucket in a round.
 PIVOTS = 4
+#: Rounds in which members are compared with representatives of the root that most have, and how many these are.
+JOININGS, REPRESENTATIVES = 2, 8
 
 _U = np.uint64
 Least = tuple[int, int]
@@ -69,6 +72,12 @@ def rooted(member: DataFrame, links: DataFrame) -> DataFrame:
     return member.select("bucket", "fp").join(roots.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
+def _renamed(member: DataFrame, moved: DataFrame) -> DataFrame:
+    """(bucket, fp, root): members with new roots where moved (fp, top) has one; members without any are their own."""
+    root = F.col("root") if "root" in member.columns else F.col("fp")
+    return member.select("bucket", "fp", root.alias("root")).join(sized(staged(moved, "moved")), "fp", "left").select("bucket", "fp", F.coalesce("top", "root").alias("root"))
+
+
 def _open(member: DataFrame) -> DataFrame:
     """Members of buckets that have several roots."""
     several = member.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
@@ -83,6 +92,18 @@ def _pivots(member: DataFrame, n: int) -> DataFrame:
     return staged(ranked.select("bucket", F.col("root").alias("top"), F.col("fp").alias("pivot")), "pivots")
 
 
+def _to_join(member: DataFrame, turn: int) -> DataFrame:
+    """(fp, top, pivot): for members of other roots, the root that most members of most of their buckets have, and representatives of it."""
+    by_root = member.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    most = staged(by_root.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("top")), "most")
+    chosen = member.join(most, "bucket").where("root <> top").groupBy("fp", "top").agg(F.count("*").alias("n"))
+    chosen = chosen.groupBy("fp").agg(F.max_by("top", F.struct("n", "top")).alias("top"))
+    order = Window.partitionBy("root").orderBy(F.xxhash64("fp", F.lit(turn)), "fp")
+    some = member.select("fp", "root").distinct().withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= REPRESENTATIVES)
+    some = staged(some.select(F.col("root").alias("top"), F.col("fp").alias("pivot")), "representatives")
+    return staged(chosen.join(some, "top").where("fp <> pivot").select("fp", "top", "pivot"), "to-join")
+
+
 def with_middle(member: DataFrame) -> DataFrame:
     """member, and one of each bucket's members, of the root that most have, as pivot."""
     by_root = member.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("fp").alias("fp"))
@@ -98,8 +119,21 @@ def similar(member: DataFrame, sets: DataFrame, least: Least, block: int = BLOCK
     linked = lambda pairs: staged(compared(pairs, sets).where(_near(least)).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), "pivot-links")
     tested = staged(member.where("fp <> pivot").groupBy("fp").agg(F.min("pivot").alias("pivot")), "pairs")
     links = linked(tested)
-    own = _open(rooted(member, links))
+    # a root is a name that only connected members share; until the rounds of pivots it is a neighbour, and not yet that of the whole component
+    own = _open(_renamed(member, links.select(F.col("a").alias("fp"), F.col("b").alias("top"))))
     left = own.count()
+    for turn in range(JOININGS if left else 0):
+        asked = _to_join(own, turn)
+        found = staged(linked(asked.select("fp", "pivot")).groupBy("a").agg(F.min("b").alias("b")), "joined")
+        links = links.unionByName(found)
+        pairs = asked.select(F.greatest("fp", "pivot").alias("fp"), F.least("fp", "pivot").alias("pivot"))
+        own, tested = _open(_renamed(own, asked.select("fp", "top").distinct().join(found.select(F.col("a").alias("fp")), "fp", "left_semi"))), tested.unionByName(pairs)
+        left = own.count()
+        if not left:
+            return links
+    if left:
+        own = _open(rooted(own, links))
+        left = own.count()
     for _ in range(rounds):
         if not left:
             return links

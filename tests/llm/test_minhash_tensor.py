@@ -113,3 +113,19 @@ def test_large_family_in_linear_rows(spark):
 
 def test_empty_table(spark):
     assert minhash_tensor.op13_minhash_tensor(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_family_about_the_limit(spark):
+    """Members of which few are similar to the first pivot, outsiders, and a second family that one text joins to the first."""
+    rnd = random.Random(8)
+    base = [f"b{i}" for i in range(90)]
+    rows = []
+    for i in range(240):
+        own = base[:45] + [f"c{j}" for j in range(45)] if i % 5 == 4 else list(base)
+        for at in rnd.sample(range(90), 1 + i % 3):
+            own[at] = f"x{i}"
+        rows.append((i, " ".join(own)))
+    docs = spark.createDataFrame([(*r, "a", "b", "c", "d", "e") for r in rows], SCHEMA).repartition(4)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in minhash_tensor.op13_minhash_tensor(docs).collect())
+    assert got == [(d, n, c) for (d, _), (n, c) in zip(rows, brute(rows), strict=True)]
+    assert len({c for _, _, c in got}) > 2
