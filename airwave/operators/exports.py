@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airwave.operators.relational import dense_ids
-from airwave.sources.artifacts import save, shared_folder
+from airwave.sources.artifacts import cut, save, shared_folder
 
 
 def split_of(user: Column, train: float = 0.7, test: float = 0.2) -> Column:
@@ -101,6 +101,48 @@ def rating_lines(ratings: DataFrame) -> DataFrame:
     return sparse_lines(ratings.join(places, "item").select(F.col("user").alias("id"), "idx", F.col("rating").alias("value"))).withColumnRenamed("id", "user")
 
 
+#: Rows of a part file of an ordered export.
+PART_ROWS = 1 << 17
+
+
+def write_ordered(lines: DataFrame, key: str, path: str, entries: Column | None = None, part_rows: int = PART_ROWS) -> None:
+    """Lines as text in the order of a unique key: part files of part_rows rows each in path/lines, and beside them what locates a row.
+
+    path/rows has (key, row, pointer): a row's place from 0, and how many entries the rows before it have (entries: a row's own, else 1).
+    No line holds its key, so it is the place that says whose it is. Places come from a range sort; pointers from sums of the parts
+    and, within one, of its rows. An overwritten export is marked whole (_SUCCESS) only when both are there, lines last.
+    """
+    own = entries if entries is not None else F.lit(1)
+    placed = dense_ids(lines, key, "row", "long")
+    rows = cut(lines.select(key, "line", own.cast("long").alias("n")).join(placed, key).withColumn("part", F.floor(F.col("row") / part_rows)), "placed-lines", by=("part",))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("part").agg(F.sum("n").alias("n"))  # a row for each part_rows lines
+    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    pointer = F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    rows.join(parts, "part").select(key, "row", pointer.alias("pointer")).write.mode("overwrite").parquet(f"{path}/rows")
+    dealt = rows.select("part", "row", "line").repartition("part").sortWithinPartitions("part", "row")
+    # the order within a part has to be the writer's input order; the row is dropped after the sort
+    dealt.select("part", "line").write.mode("overwrite").partitionBy("part").text(f"{path}/lines")
+
+
+def read_ordered(spark: SparkSession, path: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """(row, line) of an ordered export, placed by where a line stands in its part file."""
+    files = spark.read.option("recursiveFileLookup", True).text(f"{path}/lines")  # so that an export without rows has the same columns
+    part = F.regexp_extract("_metadata.file_path", r"part=(\d+)", 1).cast("long")
+    lines = files.select(part.alias("part"), F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("block", "at")) - 1  # a part has part_rows rows
+    return lines.select((F.col("part") * part_rows + place).alias("row"), "line")
+
+
+def ordered_export(lines: DataFrame, key: str, entries: Column | None = None, part_rows: int = PART_ROWS) -> DataFrame:
+    """(key, line, row, pointer) of lines written in order of the key and read back by their places."""
+    spark = lines.sparkSession
+    path = f"{shared_folder(spark)}/airwave/ordered-{uuid.uuid4().hex}"
+    write_ordered(lines, key, path, entries, part_rows)
+    return spark.read.parquet(f"{path}/rows").join(read_ordered(spark, path, part_rows), "row").select(key, "line", "row", "pointer")
+
+
 def densified(lines: DataFrame) -> DataFrame:
     """(id, line) for each id from 1 to the largest; a blank where there is none."""
     most = lines.agg(F.max("id")).first()[0] or 0  # one number; the range itself is made in parallel

@@ -5,12 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airwave.functions import scalars
 from airwave.operators import aggregates
 from airwave.operators.relational import channel_cap, dense_ids
+from airwave.sources import artifacts
 
 
 @dataclass
@@ -88,6 +89,57 @@ def chained(block: DataFrame, steps: list) -> DataFrame:
     return reduce(lambda b, f: f(b), steps, block)
 
 
+@dataclass
+class Extractor:
+    """What a chain learned from known items, as tables that are saved and applied to unseen ones.
+
+    Positions that are dropped leave the vocabulary, too; the norm is an item's own, so nothing of it is stored; coefficients (idx, k, w)
+    of regressions, over the positions that stay, are optional and append an item's latent factors behind its content.
+    """
+
+    names: DataFrame  # idx, name, kept: a name's position after the chain, null if it is dropped
+    coefficients: DataFrame | None = None  # idx, k, w
+    normalise: bool = False
+
+    @classmethod
+    def fitted(cls, pairs: DataFrame, drop: tuple[int, ...] = (), normalise: bool = False, coefficients: DataFrame | None = None) -> Extractor:
+        names = Vocabulary.of(pairs).names
+        shift = sum((F.when(F.col("idx") > d, 1).otherwise(0) for d in drop), F.lit(0))
+        kept = (F.col("idx") - shift).cast("int")
+        return cls(names.withColumn("kept", F.when(~F.col("idx").isin(*drop), kept) if drop else kept), coefficients, normalise)
+
+    @property
+    def vocabulary(self) -> DataFrame:
+        """(idx, name) of the positions that stay."""
+        return self.names.where("kept IS NOT NULL").select(F.col("kept").alias("idx"), "name")
+
+    def transform(self, pairs: DataFrame) -> DataFrame:
+        """(id, idx, value) of items, known or not; names that no known item has give nothing."""
+        content = Vocabulary(self.vocabulary).multi_hot(pairs)
+        content = l2_normalised(content) if self.normalise else content
+        if self.coefficients is None:
+            return content
+        behind = self.names.agg((F.count("kept")).alias("size"))  # one row
+        factors = regressed(content, self.coefficients).crossJoin(F.broadcast(behind))
+        return content.unionByName(factors.select("id", (F.col("idx") + F.col("size")).cast("int").alias("idx"), "value"))
+
+    def save(self, name: str) -> Extractor:
+        """Written unless it is there whole already, and as loaded from there."""
+        artifacts.save(self.names, f"{name}-names")
+        if self.coefficients is not None:
+            artifacts.save(self.coefficients, f"{name}-coefficients")
+        spark = self.names.sparkSession
+        # last, so that an extractor with this table has all others
+        artifacts.save(spark.range(1).select(F.lit(self.normalise).alias("normalise"), F.lit(self.coefficients is not None).alias("regresses")), f"{name}-extractor")
+        return Extractor.load(spark, name)
+
+    @classmethod
+    def load(cls, spark: SparkSession, name: str) -> Extractor:
+        table = lambda part: spark.read.parquet(f"{artifacts.shared_folder(spark)}/airwave/{name}-{part}")
+        kind = table("extractor").first()  # one row
+        return cls(table("names"), table("coefficients") if kind.regresses else None, kind.normalise)
+
+
 def joined_blocks(blocks: list[tuple[DataFrame, int]], ids: DataFrame | None = None) -> DataFrame:
     """Blocks side by side: (id, idx, value) of the ids that all blocks have, positions shifted by the sizes before."""
     common = reduce(DataFrame.intersect, (b.select("id").distinct() for b, _ in blocks))

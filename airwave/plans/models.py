@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 import numpy as np
@@ -139,8 +140,10 @@ def post_select_positions(v: Views):
 
 @query("post_chain", "pg", GENRE_BLOCK.replace("block AS (", "raw AS (") + ", block AS (SELECT id, CASE WHEN idx > 2 THEN idx - 1 ELSE idx END AS idx, value FROM raw WHERE idx <> 2)" + L2)
 def post_chain(v: Views):
-    names = features.Vocabulary.of(features.genre_pairs(v.program_genre())).names
-    return rounded(features.chained(genre_block(v), [lambda b: features.select_positions(b, names, [2])[0], features.l2_normalised]), "value")
+    """Selection and norm as an extractor that was saved and loaded."""
+    pairs = features.genre_pairs(v.program_genre())
+    extractor = features.Extractor.fitted(pairs, drop=(2,), normalise=True).save(artifacts.name_of("chain", v.sf_dir, uuid.uuid4().hex))
+    return rounded(extractor.transform(pairs), "value")
 
 
 JOINED = GENRE_BLOCK.replace("vocab", "gvocab").replace("block", "gblock") + CHANNEL_BLOCK.replace("block", "cblock") + """, ids AS (SELECT id FROM gblock INTERSECT SELECT id FROM cblock),
@@ -325,13 +328,13 @@ SELECT id, idx, value FROM own UNION ALL SELECT id, CAST(idx + 16 AS INT), round
 
 @query("feat_cold_item", "pg watch train test", GENRE_BLOCK + COLD_ITEM)
 def feat_cold_item(v: Views):
-    """Content of cold items by the vocabulary of the known ones, and factors regressed from it; stand-ins for trained coefficients."""
+    """Cold items by an extractor that was fitted on known content, saved and loaded; stand-ins for trained coefficients."""
     cold = v.test().select("item").distinct().join(v.train(), "item", "left_anti")
     pairs = features.genre_pairs(v.program_genre())
-    content = features.Vocabulary.of(pairs).multi_hot(pairs.join(cold, "item", "left_semi"))
     coefficients = v.spark.range(16 * 5).select((F.col("id") % 16).cast("int").alias("idx"), F.floor(F.col("id") / 16).cast("int").alias("k"))
     coefficients = coefficients.withColumn("w", (F.col("idx") * (F.col("k") + 3)) % 7 / 7)
-    return rounded(features.cold_items([(content, 16)], content, coefficients), "value")
+    extractor = features.Extractor.fitted(pairs, coefficients=coefficients).save(artifacts.name_of("cold-item", v.sf_dir, uuid.uuid4().hex))
+    return rounded(extractor.transform(pairs.join(cold, "item", "left_semi")), "value")
 
 
 # Ranking and evaluation.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airwave.functions import scalars
@@ -218,9 +218,19 @@ def sink_features_sparse_text(v: Views):
     return exports.sparse_lines(genre_block(v), 16)
 
 
-@query("sink_features_csr", "pg", GENRE_BLOCK + " SELECT id, string_agg(idx || ',1', ',' ORDER BY idx) AS line FROM block GROUP BY 1 ORDER BY id")
+def entries() -> Column:
+    """Pairs of a sparse line."""
+    return (F.size(F.split("line", ",")) / 2).cast("long")
+
+
+CSR = """SELECT {0}, line, row_number() OVER (ORDER BY {0}) - 1 AS row,
+CAST(coalesce(sum(len(string_split(line, ',')) // 2) OVER (ORDER BY {0} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pointer FROM lines"""
+
+
+@query("sink_features_csr", "pg", GENRE_BLOCK + ", lines AS (SELECT id, string_agg(idx || ',1', ',' ORDER BY idx) AS line FROM block GROUP BY 1) " + CSR.format("id"))
 def sink_features_csr(v: Views):
-    return exports.sparse_lines(genre_block(v)).orderBy("id")
+    """Rows by item as written to ordered part files and read back by their places, with row pointers."""
+    return exports.ordered_export(exports.sparse_lines(genre_block(v)), "id", entries())
 
 
 RATING_LINES = f""", {PAIRS}, place AS (SELECT item, row_number() OVER (ORDER BY item) AS idx FROM (SELECT DISTINCT item FROM pairs))
@@ -232,9 +242,10 @@ def sink_ratings_sparse_text(v: Views):
     return exports.rating_lines(aggregates.sum_pairs(v.watch()))
 
 
-@query("sink_ratings_csr", "watch", RATING_LINES + ' ORDER BY "user"')
+@query("sink_ratings_csr", "watch", RATING_LINES.replace("SELECT \"user\", string_agg", "lines AS (SELECT \"user\", string_agg").replace("place AS (SELECT item, row_number() OVER (ORDER BY item) AS idx FROM (SELECT DISTINCT item FROM pairs))", "place AS (SELECT item, row_number() OVER (ORDER BY item) AS idx FROM (SELECT DISTINCT item FROM pairs)),") + ") " + CSR.format('"user"'))
 def sink_ratings_csr(v: Views):
-    return exports.rating_lines(aggregates.sum_pairs(v.watch())).orderBy("user")
+    """Rows by user as written to ordered part files and read back by their places, with row pointers."""
+    return exports.ordered_export(exports.rating_lines(aggregates.sum_pairs(v.watch())), "user", entries())
 
 
 @query("densify_feature_rows", "watch", f""", {PAIRS}, l AS (SELECT "user" AS id, string_agg(item, ' ' ORDER BY item) AS line FROM pairs GROUP BY 1)
