@@ -110,7 +110,7 @@ def write_ordered(lines: DataFrame, key: str, path: str, entries: Column | None
 
     path/rows has (key, row, pointer): a row's place from 0, and how many entries the rows before it have (entries: a row's own, else 1).
     No line holds its key, so it is the place that says whose it is. Places come from a range sort; pointers from sums of the parts
-    and, within one, of its rows. An overwritten export is marked whole (_SUCCESS) only when both are there, lines last.
+    and, within one, of its rows. Lines are written last, so an export to a new path is whole once they have their mark (_SUCCESS).
     """
     own = entries if entries is not None else F.lit(1)
     placed = dense_ids(lines, key, "row", "long")
