@@ -2,13 +2,15 @@
 
 Buckets propose, whole sets decide. Each bucket has its least member as pivot, and each member is compared with the least of its
 buckets' pivots: a row a member, however large the bucket. What is linked gets one root, and a bucket whose members all have one root is
-done. In each further round an open bucket has some pivots (PIVOTS), of the roots that fewest of its members have; all members of other roots
-are compared with them (a pair once, whatever number of buckets proposes it), and pivots leave the bucket, as all their pairs are known.
-After ROUNDS, or once a round leaves more than KEPT_UP of the rows, what is still open is compared in cells. The Jaccard distance is a metric, so members whose
-distances from one pivot differ by more than a link allows are not similar: a cell holds two neighbouring bins of such distances.
-Within a cell members of the root that most have need not be compared with each other: each block of members meets each block
-of the other roots' members, and a task holds two blocks of about BLOCK members at most. So a family of near copies costs a row or
-two a member, and with it a few outsiders as many rows a member as there are blocks of outsiders; no pair of different roots is left out.
+done. Open buckets that hang together by members form a family. Many buckets of nearly the same members would compare the same pairs again
+and again, so a family with fewer pairs of members than its buckets have together is one bucket from then on; others keep theirs. Each bucket
+gets another pivot, of the root that most of its members have; all members are compared with it, and it leaves the bucket, as all its pairs
+are known. The rest is compared in cells. The Jaccard distance is a metric, so members whose distances from the pivot differ by more
+than a link allows are not similar: a cell holds two neighbouring bins of such distances. Within a cell members of the root that most
+have need not be compared with each other: each block of members meets each block of the other roots' members, and a task holds two blocks
+of about BLOCK members at most (fewer, where that would leave tasks without a cell). So a family of near copies costs a row or two a member, and
+with it a few outsiders as many rows a member as there are blocks of outsiders; no pair of different roots is left out. Roots here are
+known connections, which need not be all: one that is missed costs comparisons and loses no link.
 """
 
 from __future__ import annotations
@@ -17,16 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airwave.llm.common import map_batches, sized, staged
+from airwave.llm.common import map_batches, shuffle_width, sized, staged
 from airwave.llm.simhash_gray import star_components
 
-#: Further rounds of pivots before cells at most, the share of rows up to which another one is worth it, and members of a block.
-ROUNDS, KEPT_UP, BLOCK = 4, 0.9, 2048
-#: Pivots of a bucket in a round.
-PIVOTS = 4
+#: Members of a block at most.
+BLOCK = 2048
+#: Cells that a task should get, and members of a block that are worth a cell.
+CELLS_A_TASK, LEAST_BLOCK = 8, 32
 
 _U = np.uint64
 Least = tuple[int, int]
@@ -64,9 +66,11 @@ def _near(least: Least) -> Column:
 
 
 def rooted(member: DataFrame, links: DataFrame) -> DataFrame:
-    """(bucket, fp, root): members, each with the root of its component."""
-    roots = staged(star_components(links), "pivot-roots")
-    return member.select("bucket", "fp").join(roots.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    """(bucket, fp, root): members with a vertex that they are connected with by two links at most; links: (a, b) with at most one b for an a."""
+    to = staged(links.select(F.col("a").alias("fp"), F.col("b").alias("root")), "pivot-of")
+    further = to.select(F.col("fp").alias("root"), F.col("root").alias("top"))
+    to = staged(to.join(further, "root", "left").select("fp", F.coalesce("top", "root").alias("root")), "pivot-roots")
+    return member.select("bucket", "fp").join(to, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def _open(member: DataFrame) -> DataFrame:
@@ -75,61 +79,63 @@ def _open(member: DataFrame) -> DataFrame:
     return staged(member.join(staged(several, "open-buckets"), "bucket", "left_semi"), "open-members")
 
 
-def _pivots(member: DataFrame, n: int) -> DataFrame:
-    """(bucket, top, pivot): n members of a bucket and their roots, of the roots that fewest of its members have."""
-    by_root = member.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("bucket").orderBy("n", "fp")
-    ranked = member.join(by_root, ["bucket", "root"]).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= n)
-    return staged(ranked.select("bucket", F.col("root").alias("top"), F.col("fp").alias("pivot")), "pivots")
+def merged(member: DataFrame) -> DataFrame:
+    """(bucket, fp, root): a bucket for each family of buckets that has fewer pairs of members than its buckets have together; else the buckets.
+
+    A family is named by the least pivot that a member of its buckets has in another bucket; whatever the name, a bucket goes to one family whole.
+    """
+    counted = staged(member.groupBy("bucket").agg(F.count("*").cast("double").alias("n"), F.min("fp").alias("pivot")), "open-counts")
+    least = staged(member.join(counted, "bucket").groupBy("fp").agg(F.min("pivot").alias("least")), "least-pivots")
+    family = member.join(least, "fp").groupBy("bucket").agg(F.min("least").alias("family"))
+    family = staged(family.join(counted.select("bucket", "n"), "bucket"), "families")
+    whole = staged(member.join(family.select("bucket", "family"), "bucket").select("family", "fp", "root").distinct(), "family-members")
+    apart = family.groupBy("family").agg(F.sum(F.col("n") * F.col("n")).alias("apart"))
+    sizes = whole.groupBy("family").agg(F.count("*").cast("double").alias("n"))
+    fewer = staged(sizes.join(apart, "family").where("n * n < apart").select("family"), "merged-families")
+    joint = whole.join(fewer, "family", "left_semi").select(F.xxhash64(F.lit("family"), "family").alias("bucket"), "fp", "root")
+    rest = member.join(family.join(fewer, "family", "left_anti").select("bucket"), "bucket", "left_semi").select("bucket", "fp", "root")
+    return staged(joint.unionByName(rest), "open-members")
 
 
 def with_middle(member: DataFrame) -> DataFrame:
-    """member, and one of each bucket's members, of the root that most have, as pivot."""
-    by_root = member.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("fp").alias("fp"))
-    middle = by_root.groupBy("bucket").agg(F.max_by("fp", F.struct("n", "fp")).alias("pivot"))
-    return member.join(staged(middle, "pivots"), "bucket")
+    """member, with one of each bucket's members, of the root that most have, as pivot, and that root as top."""
+    by_root = member.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.max("fp").alias("fp"))
+    middle = by_root.groupBy("bucket").agg(F.max_by(F.struct("fp", "root"), F.struct("n", "fp")).alias("m"))
+    return member.join(staged(middle.select("bucket", F.col("m.fp").alias("pivot"), F.col("m.root").alias("top")), "pivots"), "bucket")
 
 
-def similar(member: DataFrame, sets: DataFrame, least: Least, block: int = BLOCK, rounds: int = ROUNDS, n_pivots: int = PIVOTS) -> DataFrame:
+def similar(member: DataFrame, sets: DataFrame, least: Least, block: int = BLOCK) -> DataFrame:
     """(a, b): links that join the same components as all pairs of a bucket whose similarity is least[0] / least[1] or more.
 
     member: (bucket, fp, pivot) of distinct_buckets; sets: (fp, shingles), sorted distinct hashes.
     """
-    linked = lambda pairs: staged(compared(pairs, sets).where(_near(least)).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), "pivot-links")
     tested = staged(member.where("fp <> pivot").groupBy("fp").agg(F.min("pivot").alias("pivot")), "pairs")
-    links = linked(tested)
+    links = staged(compared(tested, sets).where(_near(least)).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), "pivot-links")
     own = _open(rooted(member, links))
-    left = own.count()
-    for _ in range(rounds):
-        if not left:
-            return links
-        pivots = _pivots(own, n_pivots)
-        ordered = F.greatest("fp", "pivot").alias("fp"), F.least("fp", "pivot").alias("pivot")
-        pairs = staged(own.join(pivots, "bucket").where("root <> top").select(*ordered).distinct().join(tested, ["fp", "pivot"], "left_anti"), "pairs")
-        found = linked(pairs)
-        rest = own.join(pivots.select("bucket", F.col("pivot").alias("fp")), ["bucket", "fp"], "left_anti")  # all pairs with a bucket's pivots are known now
-        if not found.isEmpty():
-            links = staged(links.unionByName(found), "pivot-links")
-            rest = rooted(rest, links)
-        own, before, tested = _open(rest), left, staged(tested.unionByName(pairs), "pairs")
-        left = own.count()
-        if left > KEPT_UP * before:
-            break
-    return links.unionByName(staged(in_cells(with_middle(own), sets, least, block), "cell-links")) if left else links
+    return links if own.isEmpty() else links.unionByName(in_cells(with_middle(merged(own)), sets, least, block))
+
+
+def block_size(pairs: float, tasks: int, most: int) -> int:
+    """Members of a block: as many as leave some cells for each task, so that one family is dealt to all tasks; at most the given number."""
+    return min(most, max(LEAST_BLOCK, int((pairs / (CELLS_A_TASK * tasks)) ** 0.5)))
 
 
 def in_cells(member: DataFrame, sets: DataFrame, least: Least, block: int) -> DataFrame:
-    """(a, b): links between members of different roots."""
+    """(a, b): links of members with their buckets' pivots, and between members of different roots. member: (bucket, fp, root, pivot, top)."""
     part, whole = least
-    far = F.col("both") / F.col("whole")
-    away = compared(staged(member.select("fp", "pivot").distinct(), "pairs"), sets).select("fp", "pivot", F.floor((1 - far) / ((whole - part) / whole + 1e-9)).cast("int").alias("bin"))
-    binned = member.join(staged(away, "bins"), ["fp", "pivot"])
+    member = staged(member, "members-of-pivots")
+    far = F.floor((1 - F.col("both") / F.col("whole")) / ((whole - part) / whole + 1e-9)).cast("int")
+    away = compared(staged(member.where("fp <> pivot").select("fp", "pivot").distinct(), "pairs"), sets)
+    away = staged(away.select("fp", "pivot", far.alias("bin"), _near(least).alias("near")), "bins")
+    links = away.where("near").select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
+    binned = member.join(away, ["fp", "pivot"]).withColumn("root", F.when(F.col("near"), F.col("top")).otherwise(F.col("root")))
     binned = staged(binned.select("bucket", "fp", "root", F.explode(F.array(F.col("bin"), F.col("bin") + 1)).alias("bin")), "binned")
     by_root = binned.groupBy("bucket", "bin", "root").agg(F.count("*").alias("n"))
     cells = by_root.groupBy("bucket", "bin").agg(F.sum("n").alias("n"), F.max_by(F.struct("root", "n"), F.struct("n", "root")).alias("most"))
-    blocks = lambda n: F.ceil(n / F.lit(block)).cast("int")
-    cells = cells.where("n > most.n").select("bucket", "bin", F.col("most.root").alias("most"), blocks(F.col("n")).alias("wide"), blocks(F.col("n") - F.col("most.n")).alias("deep"))
-    rows = binned.join(staged(cells, "cells"), ["bucket", "bin"])
+    cells = staged(cells.where("n > most.n").select("bucket", "bin", F.col("most.root").alias("most"), F.col("n").cast("double").alias("n"), (F.col("n") - F.col("most.n")).alias("minors")), "cells")
+    block = block_size(cells.agg(F.sum(F.col("n") * F.col("minors"))).first()[0] or 0, shuffle_width(member.sparkSession), block)
+    blocks = lambda name: F.ceil(F.col(name) / F.lit(block)).cast("int")
+    rows = binned.join(cells.select("bucket", "bin", "most", blocks("n").alias("wide"), blocks("minors").alias("deep")), ["bucket", "bin"])
     place = lambda n: F.pmod(F.xxhash64("fp"), n).cast("int")
     every = rows.select("bucket", "bin", "fp", "root", F.lit(False).alias("minor"), place(F.col("wide")).alias("x"), F.explode(F.sequence(F.lit(0), F.col("deep") - 1)).alias("y"))
     minor = rows.where("root <> most")
@@ -137,7 +143,7 @@ def in_cells(member: DataFrame, sets: DataFrame, least: Least, block: int) -> Da
     rows = every.unionByName(minor).join(sets, "fp")
     cell = F.xxhash64("bucket", "bin", "x", "y")
     rows = rows.select(cell.alias("cell"), "minor", "fp", "root", "shingles").repartition("cell").sortWithinPartitions("cell", "minor")
-    return rows.mapInArrow(lambda batches: _cells(batches, least), "a long, b long")
+    return links.unionByName(staged(rows.mapInArrow(lambda batches: _cells(batches, least), "a long, b long"), "cell-links"))
 
 
 def _cells(batches: Iterator[pa.RecordBatch], least: Least) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airwave.llm.common import KEY, map_batches, row_key, sized, staged, utf8
+from airwave.llm.common import KEY, map_batches, row_key, shuffle_width, sized, staged, utf8
 
 MAX_DIFF = 2
 SHINGLE = 3
@@ -210,6 +210,10 @@ def near_links(fps: DataFrame, node_limit: int = NODE_LIMIT) -> DataFrame:
     return ordered.select("mask", "pattern", "fp").withColumn("mask", F.col("mask").cast("long")).mapInArrow(_node_links, "a long, b long")
 
 
+#: Least tasks of a step of star_components, and rows that are worth one more.
+EDGES_TASKS, EDGES_A_TASK = 8, 1 << 15
+
+
 def star_components(links: DataFrame) -> DataFrame:
     """(v, root): every linked vertex but the roots, by alternating large-star and small-star rounds.
 
@@ -223,13 +227,16 @@ def star_components(links: DataFrame) -> DataFrame:
         if not now[0] or now == state:
             return edges.select(F.col("u").alias("v"), F.col("v").alias("root"))
         state = now
+        # no more rows than twice the edges come from a step; tasks of a few rows would cost more than they do
+        few = max(EDGES_TASKS, 2 * now[0] // EDGES_A_TASK)
+        kept = (lambda df, name: staged(df.coalesce(few), name)) if few < shuffle_width(edges.sparkSession) else staged
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        least = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = staged(large, "stars")
-        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        large = kept(large, "stars")
+        least = kept(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = staged(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        edges = kept(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
 
 
 def components(docs: DataFrame, node_limit: int = NODE_LIMIT) -> DataFrame:

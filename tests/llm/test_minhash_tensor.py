@@ -59,9 +59,9 @@ def comparable(rows):
     return sorted(rows, key=lambda r: tuple((x is None, x or 0) for x in r))
 
 
-@pytest.mark.parametrize("block, rounds", [(3, 0), (3, 1), (pivot_links.BLOCK, pivot_links.ROUNDS)])
-def test_components_of_all_similar_pairs(spark, monkeypatch, block, rounds):
-    monkeypatch.setattr(minhash_tensor, "similar", lambda m, s, least, b: pivot_links.similar(m, s, least, block, rounds) if rounds else all_in_cells(m, s, least, block))
+@pytest.mark.parametrize("block, pivots", [(3, False), (3, True), (pivot_links.BLOCK, True)])
+def test_components_of_all_similar_pairs(spark, monkeypatch, block, pivots):
+    monkeypatch.setattr(minhash_tensor, "similar", lambda m, s, least, b: (pivot_links.similar if pivots else all_in_cells)(m, s, least, block))
     rows = made(5)
     docs = spark.createDataFrame([(*r, "a", "b", "c", "d", "e") for r in rows], SCHEMA).repartition(5)
     got = minhash_tensor.op13_minhash_tensor(docs).collect()
@@ -75,6 +75,26 @@ def all_in_cells(member, sets, least, block):
     return pivot_links.in_cells(pivot_links.with_middle(member), sets, least, block)
 
 
+def test_buckets_of_a_family_are_merged_where_that_saves_pairs(spark):
+    """Ten buckets of nearly the same members become one; a chain of small buckets stays as it is; no two members of a bucket part."""
+    rows = [(b, fp, fp) for b in range(10) for fp in range(12) if fp != b]
+    chain = [(100 + b, 1000 + b + i, 1000 + b + i) for b in range(0, 40) for i in (0, 1)]
+    got = pivot_links.merged(spark.createDataFrame([*rows, *chain], "bucket long, fp long, root long")).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.bucket, set()).add(r.fp)
+    assert sorted(len(v) for v in by.values()) == [2] * 40 + [12]
+    assert {frozenset(v) for v in by.values()} == {frozenset(range(12))} | {frozenset((1000 + b, 1001 + b)) for b in range(40)}
+    assert len(got) == 12 + 80
+
+
+def test_few_pairs_are_dealt_in_small_blocks():
+    assert pivot_links.block_size(0, 200, 2048) == pivot_links.LEAST_BLOCK
+    assert pivot_links.block_size(4_500_000, 211, 2048) == 51
+    assert pivot_links.block_size(1e12, 200, 2048) == 2048
+    assert pivot_links.block_size(1e12, 200, 3) == 3
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
