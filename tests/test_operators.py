@@ -5,6 +5,7 @@ import os
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -457,3 +458,39 @@ def test_temporal_grains(spark):
     assert {r.user for r in pipelines.temporal_aggregation(watch, genres, "weekly").collect()} == {1}
     assert {r.user for r in pipelines.temporal_aggregation(watch, genres, "hourly").collect()} == {1}
     assert not pipelines.temporal_aggregation(watch, genres, "hourly", min_watch=500).count()
+
+
+@pytest.mark.parametrize("factors", [2, 5])
+def test_searches_leave_out_leaves_but_no_result(spark, monkeypatch, factors):
+    """Distinct profiles, ties and long histories; most scores are never worked out."""
+    monkeypatch.setattr(scoring, "LEAF", 8)
+    rnd = np.random.default_rng(factors)
+    vf = rnd.normal(size=(3000, factors))
+    vf[2000:] = np.round(vf[2000:])
+    uf = rnd.normal(size=(30, factors)) * rnd.choice([0.1, 1, 10], size=(30, 1))
+    uf[:5] = np.round(uf[:5])
+    seen = [rnd.permutation(3000)[: rnd.integers(1, 40)].tolist() for _ in uf]
+    seen[7] = list(range(2990))
+    score, worked = scoring.dot_scores(), []
+    rows = pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array(uf.tolist()), pa.array(seen)], names=["user", "uf", "seen_items"])
+    known = scoring.Leaves.of({"item": np.arange(3000), "vf": vf})
+    counted = scoring.Bounded(lambda u, i: worked.append(score.pairs(u, i).size) or score.pairs(u, i), score.most)
+    got = {}
+    for mine, kind, r, item, s in scoring._searched(iter([rows]), known, counted, ("all", "new"), 10):
+        for u, i, x in zip(mine["user"].ravel()[r].tolist(), item.tolist(), s.tolist(), strict=True):
+            got.setdefault((u, kind), []).append((-x, i))
+    whole = score({"uf": uf[:, None]}, {"vf": vf})
+    for u in range(30):
+        ranked = sorted(zip((-whole[u]).tolist(), range(3000), strict=True))
+        assert got[u, "all"] == ranked[:10]
+        assert got[u, "new"] == [x for x in ranked if x[1] not in set(seen[u])][:10]
+    assert sum(worked) < whole.size / 2
+
+
+def test_factorisation_scores_stay_below_their_bounds():
+    rnd = np.random.default_rng(3)
+    users, items = {"lu": rnd.normal(size=(50, 1)), "vu": rnd.normal(size=(50, 1, 3))}, {"item": np.arange(2000), "li": rnd.normal(size=2000), "vi": rnd.normal(size=(2000, 3))}
+    score, known = scoring.factorisation_scores(0.5), scoring.Leaves.of(items)
+    most = np.maximum.reduceat(score(users, known.columns), known.starts[:-1], axis=1)
+    assert (most <= score.most(users, known.lo, known.hi)).all()
+    assert score(users, items)[4, 9] == pytest.approx(0.5 + users["lu"][4, 0] + items["li"][9] + ((users["vu"][4, 0] + items["vi"][9]) ** 2).sum())
