@@ -494,3 +494,14 @@ def test_factorisation_scores_stay_below_their_bounds():
     most = np.maximum.reduceat(score(users, known.columns), known.starts[:-1], axis=1)
     assert (most <= score.most(users, known.lo, known.hi)).all()
     assert score(users, items)[4, 9] == pytest.approx(0.5 + users["lu"][4, 0] + items["li"][9] + ((users["vu"][4, 0] + items["vi"][9]) ** 2).sum())
+
+
+def test_equal_profiles_are_paired_once(spark):
+    """Figures of all pairs from pairs of profiles, in blocks."""
+    users = spark.range(3000).select(F.col("id").alias("user"), (F.col("id") % 3 + 0.0).alias("a"))
+    items = spark.range(5000).select(F.col("id").alias("item"), (F.col("id") % 4 + 0.0).alias("b"))
+    parts = lambda rows: rows.groupBy("user").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("score")).alias("s"))
+    for block in (1, 100):
+        made = scoring.profile_pairs(users, items, F.col("a") * F.col("b"), parts, block).groupBy("user").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+        got = {r.user: (r.n, r.s) for r in made.collect()}
+        assert got == {u: (5000, u % 3 * 1.5 * 5000) for u in range(3000)}
