@@ -505,3 +505,19 @@ def test_equal_profiles_are_paired_once(spark):
         made = scoring.profile_pairs(users, items, F.col("a") * F.col("b"), parts, block).groupBy("user").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
         got = {r.user: (r.n, r.s) for r in made.collect()}
         assert got == {u: (5000, u % 3 * 1.5 * 5000) for u in range(3000)}
+
+
+def test_weighted_mean_shuffles_no_row_for_each_feature(spark, monkeypatch):
+    monkeypatch.setattr(aggregates, "ENTRIES_A_TASK", 100)
+    watch = spark.range(60).select((F.col("id") % 5).alias("user"), (F.col("id") % 12).alias("item"), (F.col("id") + 1.0).alias("rating"))
+    block = spark.range(400).select((F.col("id") % 10).alias("id"), F.floor(F.col("id") / 10).cast("int").alias("idx"), (F.col("id") % 7 + 0.0).alias("value"))
+    made = aggregates.weighted_mean(watch, block)
+    got, want, total = {(r.user, r.idx): r.value for r in made.collect()}, {}, {}
+    for i in range(60):
+        if i % 12 < 10:
+            total[i % 5] = total.get(i % 5, 0) + i + 1
+            for k in range(40):
+                want[i % 5, k] = want.get((i % 5, k), 0) + (i + 1) * ((k * 10 + i % 12) % 7)
+    assert got == pytest.approx({(u, k): x / total[u] for (u, k), x in want.items()})
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "hashpartitioning(user" in plan and "idx" not in "".join(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
