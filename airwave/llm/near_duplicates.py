@@ -1,4 +1,7 @@
-"""Near duplicates by exact Jaccard similarity of word shingles.
+"""Near duplicates by the SimHash index and hashes of minima, confirmed by exact Jaccard similarity of word shingles.
+
+Texts whose SimHash fingerprints hang together in the Gray-order index (simhash_gray) are a bucket; it proposes, too, what is near in
+bits. Two bits alone leave out half of the near copies, so hashes of minima propose the rest.
 
 Shingles are SHINGLE words (a shorter text is one shingle). Texts of equal words are one text. Each text has BANDS
 buckets, a hash of ROWS minima of its shingles' hashes for each; a pair of similarity s shares no bucket with
@@ -19,7 +22,8 @@ from pyspark.sql import functions as F
 
 from airwave.llm.common import KEY, map_batches, row_key, sized, staged, utf8
 from airwave.llm.pivot_links import BLOCK, distinct_buckets, similar
-from airwave.llm.simhash_gray import keep_least, labelled, least_ids
+from airwave.llm.simhash_gray import keep_least, labelled, least_ids, signed, simhash, star_components
+from airwave.llm.simhash_gray import near_links as gray_links
 
 #: Words of a shingle, and the least similarity as a fraction of whole numbers.
 SHINGLE, LEAST = 5, (4, 5)
@@ -66,12 +70,13 @@ def buckets(hashes: np.ndarray) -> np.ndarray:
 
 
 def _marks(batch: pa.RecordBatch) -> dict[str, list]:
-    fps, own = [], []
+    fps, own, gray = [], [], []
     for data in utf8(batch):
         words = data.lower().split()
         fps.append(xxhash.xxh64_intdigest(b" ".join(words), 42) - (1 << 63))
         own.append(buckets(shingles(words)).view(np.int64) if words else [])
-    return {"key": batch.column(0), "doc_id": batch.column(1), "fp": fps, "buckets": own}
+        gray.append(signed(simhash(data)) if words else None)
+    return {"key": batch.column(0), "doc_id": batch.column(1), "fp": fps, "buckets": own, "gray": gray}
 
 
 def shingle_sets(docs: DataFrame, marked: DataFrame, member: DataFrame, size: int) -> DataFrame:
@@ -83,16 +88,25 @@ def shingle_sets(docs: DataFrame, marked: DataFrame, member: DataFrame, size: in
     return staged(map_batches(texts, made, "fp long, shingles binary").groupBy("fp").agg(F.first("shingles").alias("shingles")), "shingle-sets")
 
 
+def gray_buckets(marked: DataFrame) -> DataFrame:
+    """(fp, bucket): texts whose fingerprints hang together by the links of the SimHash index, in a bucket for each component."""
+    texts = staged(marked.where("gray IS NOT NULL").select("fp", "gray").distinct(), "gray-texts")
+    stars = star_components(gray_links(texts.select(F.col("gray").alias("fp")).distinct()))
+    roots = texts.join(stars.select(F.col("v").alias("gray"), "root"), "gray", "left")
+    return roots.select("fp", F.xxhash64(F.lit("gray"), F.coalesce("root", "gray")).alias("bucket"))
+
+
 def near_links(docs: DataFrame, marked: DataFrame, block: int = BLOCK) -> DataFrame:
     """(a, b): links between texts that join the same components as all pairs which share a bucket and are similar."""
-    member = distinct_buckets(marked.select("fp", "buckets").distinct().select("fp", F.explode("buckets").alias("bucket")))
+    own = marked.select("fp", "buckets").distinct().select("fp", F.explode("buckets").alias("bucket"))
+    member = distinct_buckets(gray_buckets(marked).unionByName(own))
     return similar(member, shingle_sets(docs, marked, member, SHINGLE), LEAST, block)
 
 
 def components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """(key, doc_id, fp, component_id) for every row of docs; fp is a hash of the text's words."""
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
-    marked = staged(map_batches(rows, _marks, f"key {KEY}, doc_id long, fp long, buckets array<long>"), "near-marks")
+    marked = staged(map_batches(rows, _marks, f"key {KEY}, doc_id long, fp long, buckets array<long>, gray long"), "near-marks")
     return labelled(marked, least_ids(marked), near_links(docs, marked, block))
 
 

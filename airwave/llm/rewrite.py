@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from airwave.llm.common import staged
+from airwave.llm.common import sliced, staged
 
 
 def rewrite_text(docs: DataFrame, key: Column, found: DataFrame, column: str, change: Callable, rejected: Column | None = None) -> DataFrame:
@@ -24,7 +24,7 @@ def rewrite_text(docs: DataFrame, key: Column, found: DataFrame, column: str, ch
     schema = to_arrow_schema(docs.schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             columns = dict(zip(schema.names, batch.columns, strict=False))
             values = batch.column(len(schema.names)).to_pylist()
             if any(values):

@@ -68,3 +68,23 @@ def test_buckets_rarely_miss_at_the_limit():
         h = rnd.integers(0, 1 << 63, 100, dtype=np.uint64)
         a, b = np.unique(h[:90]), np.unique(h[10:])
         assert set(near_duplicates.buckets(a).tolist()) & set(near_duplicates.buckets(b).tolist())
+
+
+def test_simhash_index_proposes(spark, monkeypatch):
+    """With no hashes of minima the SimHash index still finds copies that differ in no or few bits; the exact check decides."""
+    rnd = random.Random(3)
+    base = [f"w{rnd.randrange(5000)}" for _ in range(3000)]
+    changed = ([*base[:at], "changed", *base[at:]] for at in range(100, 3000, 10))
+    bits = lambda t: near_duplicates.simhash(" ".join(t).encode())
+    near = next(t for t in changed if 1 <= (bits(t) ^ bits(base)).bit_count() <= 2)
+    other = [f"v{rnd.randrange(5000)}" for _ in range(3000)]
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", None) for i, t in enumerate((base, near, other))], SCHEMA)
+    monkeypatch.setattr(near_duplicates, "_marks", lambda b, own=near_duplicates._marks: own(b) | {"buckets": [[]] * b.num_rows})
+    assert sorted(r.doc_id for r in near_duplicates.keep_one(docs).collect()) == [0, 2]
+
+
+def test_batches_are_worked_on_in_slices(spark):
+    from airwave.llm.common import SLICE, map_batches
+
+    most = map_batches(spark.range(5000).coalesce(1), lambda b: {"n": [b.num_rows]}, "n long").collect()
+    assert sum(r.n for r in most) == 5000 and max(r.n for r in most) <= SLICE
