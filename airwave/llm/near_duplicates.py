@@ -85,7 +85,7 @@ def shingle_sets(docs: DataFrame, marked: DataFrame, member: DataFrame, size: in
     texts = docs.select(row_key("doc_id", "text").alias("key"), "text").join(sized(staged(wanted, "near-wanted")), "key").select("fp", "text")
     made = lambda batch: {"fp": batch.column(0), "shingles": [shingles(x.lower().split(), size).tobytes() for x in utf8(batch)]}
     # equal rows share a key
-    return staged(map_batches(texts, made, "fp long, shingles binary").groupBy("fp").agg(F.first("shingles").alias("shingles")), "shingle-sets")
+    return staged(map_batches(texts, made, "fp long, shingles binary", slices=True).groupBy("fp").agg(F.first("shingles").alias("shingles")), "shingle-sets")
 
 
 def gray_buckets(marked: DataFrame) -> DataFrame:
@@ -106,7 +106,7 @@ def near_links(docs: DataFrame, marked: DataFrame, block: int = BLOCK) -> DataFr
 def components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """(key, doc_id, fp, component_id) for every row of docs; fp is a hash of the text's words."""
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
-    marked = staged(map_batches(rows, _marks, f"key {KEY}, doc_id long, fp long, buckets array<long>, gray long"), "near-marks")
+    marked = staged(map_batches(rows, _marks, f"key {KEY}, doc_id long, fp long, buckets array<long>, gray long", slices=True), "near-marks")
     return labelled(marked, least_ids(marked), near_links(docs, marked, block))
 
 

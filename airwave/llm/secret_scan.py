@@ -226,7 +226,7 @@ def thresholds(scanned: DataFrame, fdr: float = FDR) -> dict[int, int]:
 def secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """Every row of docs with its base spans and all spans, as arrays of (kind, start, end)."""
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
-    scanned = staged(map_batches(rows, _scanned, f"key {KEY}, doc_id long, base {_SPAN}, candidates {_CANDIDATE}"), "secret-candidates")
+    scanned = staged(map_batches(rows, _scanned, f"key {KEY}, doc_id long, base {_SPAN}, candidates {_CANDIDATE}", slices=True), "secret-candidates")
     limits = thresholds(scanned, fdr)
     limit = F.create_map(*(F.lit(x) for kv in limits.items() for x in kv)) if limits else F.lit(None).cast("map<int,int>")
     random = F.transform(

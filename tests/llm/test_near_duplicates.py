@@ -86,5 +86,5 @@ def test_simhash_index_proposes(spark, monkeypatch):
 def test_batches_are_worked_on_in_slices(spark):
     from airwave.llm.common import SLICE, map_batches
 
-    most = map_batches(spark.range(5000).coalesce(1), lambda b: {"n": [b.num_rows]}, "n long").collect()
+    most = map_batches(spark.range(5000).coalesce(1), lambda b: {"n": [b.num_rows]}, "n long", slices=True).collect()
     assert sum(r.n for r in most) == 5000 and max(r.n for r in most) <= SLICE
