@@ -487,6 +487,42 @@ def test_searches_leave_out_leaves_but_no_result(spark, monkeypatch, factors):
     assert sum(worked) < whole.size / 2
 
 
+@pytest.mark.parametrize("kind_of_score", ["dot", "machine"])
+def test_near_users_share_lists_and_lose_no_result(kind_of_score):
+    """Ties, copies, long histories and users without a direction; what is worked out hardly grows with the items."""
+    rnd, counts = np.random.default_rng(5), []
+    users = 600
+    vu = rnd.normal(size=(users, 3)) * rnd.choice([0.01, 1, 100], size=(users, 1))
+    vu[:50] = np.round(vu[:50])
+    vu[50:53] = 0
+    vu[53] = np.nan
+    for size in (4000, 64000):
+        vi = rnd.normal(size=(size, 3)) + 3
+        vi[size // 2 : -size // 4] = np.round(vi[size // 2 : -size // 4])
+        seen = [rnd.permutation(size)[: rnd.integers(1, 40)].tolist() for _ in range(users)]
+        seen[7] = list(range(size - 4))
+        if kind_of_score == "dot":
+            score, mine, known = scoring.dot_scores(), {"uf": vu}, {"vf": vi}
+        else:
+            score, mine, known = scoring.factorisation_scores(0.5), {"lu": rnd.normal(size=users), "vu": vu}, {"li": np.round(rnd.normal(size=size)), "vi": vi}
+        rows = pa.RecordBatch.from_arrays([pa.array(range(users)), *(pa.array(x.tolist()) for x in mine.values()), pa.array(seen)], names=["user", *mine, "seen_items"])
+        worked, known = [], {"item": np.arange(size) * 3, **known}
+        seen_items = [{3 * x for x in own} for own in seen]
+        rows = rows.set_column(rows.num_columns - 1, "seen_items", pa.array([sorted(x) for x in seen_items]))
+        counted = scoring.Bounded(lambda u, i: worked.append(score.pairs(u, i).size) or score.pairs(u, i), score.most, score.of_users, score.of_items, score.error)  # noqa: B023
+        got = {}
+        for who, kind, r, item, s in scoring._grouped(iter([rows]), (scoring.Leaves.of(known), scoring.Longest.of(known, score)), counted, ("all", "new"), 10):
+            for u, i, x in zip(who["user"].ravel()[r].tolist(), item.tolist(), s.tolist(), strict=True):
+                got.setdefault((u, kind), []).append((-x, i))
+        counts.append(sum(worked) / users)
+        for u in (*range(60), *range(60, users, 29)):
+            whole = score({c: x[u : u + 1, None] for c, x in mine.items()}, known)[0]
+            ranked = [(-whole[i], 3 * int(i)) for i in np.lexsort((np.arange(size), -whole))] if u != 53 else []
+            assert got.get((u, "all"), []) == ranked[:10]
+            assert got.get((u, "new"), []) == [x for x in ranked if x[1] not in seen_items[u]][:10]
+    assert counts[1] < 4 * counts[0], counts
+
+
 def test_factorisation_scores_stay_below_their_bounds():
     rnd = np.random.default_rng(3)
     users, items = {"lu": rnd.normal(size=(50, 1)), "vu": rnd.normal(size=(50, 1, 3))}, {"item": np.arange(2000), "li": rnd.normal(size=2000), "vi": rnd.normal(size=(2000, 3))}
