@@ -427,6 +427,38 @@ def test_factors_with_checkpoints_beat_the_mean(spark):
     assert error < 0.2 * np.mean([(mean - r) ** 2 for *_, r in held]) and spark.sparkContext.getCheckpointDir()
 
 
+@pytest.mark.parametrize(("low", "high"), [(0, 9), (0, 1003), (-7, 2), (5, 5), (2**31 - 40, 2**31 - 1), (-(2**30), 2**30 - 30)])
+def test_ids_go_to_blocks_in_ranges_and_back(spark, low, high):
+    ids = sorted({*range(low, min(low + 1100, high + 1)), *range(max(low, high - 50), high + 1)})
+    rows = spark.createDataFrame([(x,) for x in ids], "id int").select("id", training.in_ranges(F.col("id"), low, high)[0].alias("as"))
+    rows = rows.select("id", "as", training.in_ranges(F.col("as"), low, high)[1].alias("back")).orderBy("id").collect()
+    assert [r.back for r in rows] == ids and len({r["as"] for r in rows}) == len(ids)
+    blocks = [r["as"] % training.BLOCKS for r in rows]
+    assert blocks == sorted(blocks) and (high - low < 1000 or blocks[0] == 0 and blocks[-1] == training.BLOCKS - 1)
+
+
+def test_factors_go_to_few_blocks_where_ratings_are_near(spark):
+    """Ten groups of users rate ten groups of items; with the ids mixed, a factor goes to many blocks. Both fit the ratings."""
+    rnd, sizes, jvm = np.random.default_rng(4), [], spark.sparkContext._jvm
+    u, i = rnd.random((2000, 2)), rnd.random((1000, 2))
+    pairs = sorted({(int(a), int(a // 200 * 100 + b)) for a in range(2000) for b in rnd.integers(0, 100, 12)})
+
+    def written() -> int:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        none = jvm.java.util.ArrayList
+        found = spark.sparkContext._jsc.sc().statusStore().stageList(none(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), none())
+        return {found.apply(k).stageId(): found.apply(k).shuffleWriteBytes() for k in range(found.size())}
+
+    for users, items in ((np.arange(2000), np.arange(1000)), (rnd.permutation(2000), rnd.permutation(1000))):
+        ratings = spark.createDataFrame([(int(users[a]), int(items[b]), float(u[a] @ i[b])) for a, b in pairs], "user int, item int, rating double").coalesce(2)
+        before = written()
+        uf, vf = ({r.id: np.array(r.features) for r in t.collect()} for t in training.als(ratings, 2, 30, 0.001))
+        sizes.append(sum(n for k, n in written().items() if k not in before))
+        assert sorted(uf) == sorted({int(users[a]) for a, _ in pairs}) and sorted(vf) == sorted({int(items[b]) for _, b in pairs})
+        assert np.mean([(uf[int(users[a])] @ vf[int(items[b])] - u[a] @ i[b]) ** 2 for a, b in pairs]) < 1e-3
+    assert sizes[0] < sizes[1] / 2, sizes
+
+
 def test_results_count_only_when_whole(spark):
     name = f"test-{os.urandom(6).hex()}"
     path = f"{artifacts.shared_folder(spark)}/airwave/{name}"
