@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from airwave.functions import scalars, vectors
 from airwave.operators import aggregates, exports, features, relational, scoring, training
-from airwave.plans import pipelines
+from airwave.plans import models, pipelines
 from airwave.sources import artifacts, files
+from airwave.sources.views import Views
+from tests.conftest import SF
 
 
 def one(spark, *columns):
@@ -178,6 +180,18 @@ def test_pairs_are_broadcast_joins_of_blocks(spark):
     assert plan.count("BroadcastNestedLoopJoin") == 9 and "CartesianProduct" not in plan
 
 
+def test_few_users_are_broadcast_and_items_stay(spark, monkeypatch):
+    """More items than a block with fewer users: one join, whichever way the users are known to be few."""
+    users = spark.createDataFrame([(1, [5, 9]), (2, [60])], "user long, seen_items array<long>")
+    items = spark.range(60).withColumnRenamed("id", "item")
+    joins = lambda df: df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("BroadcastNestedLoopJoin")
+    made = scoring.all_pairs(users, items, F.col("user") * F.col("item"), block=7)
+    assert sorted((r.user, r.item, r.score, r.seen) for r in made.collect()) == [(u, i, u * i, u == 1 and i in (5, 9)) for u in (1, 2) for i in range(60)]
+    assert joins(made) == 1
+    monkeypatch.setattr(scoring.all_pairs, "__defaults__", (scoring.all_pairs.__defaults__[0], 7))
+    assert joins(models.mf_predict_user_items(Views(spark, SF))) == 2  # the user's, and that of the mean profile
+
+
 def test_missing_days_drop_out(spark, tmp_path):
     for day in ("20140521", "20140523", "20140524"):
         (tmp_path / f"w-{day}").write_text(f"u\ti\t{day}\n")
