@@ -506,6 +506,20 @@ def test_temporal_grains(spark):
     assert not pipelines.temporal_aggregation(watch, genres, "hourly", min_watch=500).count()
 
 
+def test_recommendations_and_their_tests_are_of_all_users(spark, monkeypatch):
+    """Every user with features is ranked, tested and gets programs: none is left out by a sample."""
+    given = {}
+    keep = lambda name, fn: lambda users, *rest: given.setdefault(name, []).append({r.user for r in users.select("user").collect()}) or fn(users, *rest)
+    for name in ("best_items", "best_in_slots"):
+        monkeypatch.setattr(scoring, name, keep(name, getattr(scoring, name)))
+    v = Views(spark, SF)
+    found = {(r.section, r.key): r.value for r in models.pipeline_recommend(v).collect()}
+    trained = {r.user for r in v.train().select("user").distinct().collect()}
+    tested = {r.user for r in v.test().select("user").distinct().collect()}
+    assert given == {"best_items": [trained, trained & tested], "best_in_slots": [trained]}
+    assert found["prediction", "users"] == found["corpus", "users"] == str(len(trained))
+
+
 @pytest.mark.parametrize("factors", [2, 5])
 def test_searches_leave_out_leaves_but_no_result(spark, monkeypatch, factors):
     """Distinct profiles, ties and long histories; most scores are never worked out."""
