@@ -506,6 +506,26 @@ def test_temporal_grains(spark):
     assert not pipelines.temporal_aggregation(watch, genres, "hourly", min_watch=500).count()
 
 
+def test_design_and_errors_from_lists_and_shares(spark):
+    """Features that meet the ratings as lists give the rows of the long design; both sides' shares give the model's error on them."""
+    rnd = np.random.default_rng(3)
+    ratings = spark.createDataFrame([(u % 7, u * 5 % 11, 60.0 * u) for u in range(60)], "user int, item int, rating double")
+    side = lambda n, at: spark.createDataFrame([(i, int(k), float(rnd.normal())) for i in range(n) for k in at + rnd.permutation(3)[: 1 + i % 3]], "id int, idx int, value double")
+    users, items = side(6, 0), side(9, 3)  # user 6 and items 9 and 10 have none
+    long = pipelines.design_rows(ratings, users, items).groupBy("user", "item", "label").agg(F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("f"))
+    made = pipelines.sparse_design(ratings, users, items)
+    got = sorted((r.user, r.item, r.label, r.places, r.x) for r in made.collect())
+    assert got == sorted((r.user, r.item, r.label / 60, [e.idx for e in r.f], [e.value for e in r.f]) for r in long.collect())
+    assert len(got) == sum(u % 7 < 6 and u * 5 % 11 < 9 for u in range(60)) == 42
+    assert "Generate" not in made._jdf.queryExecution().executedPlan().toString()
+    model = training.Weights(0.5, rnd.normal(size=(6, 3)))
+    wide = spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(model.matrix)], "idx int, w double, v0 double, v1 double")
+    u, i = scoring.partial_model(users, wide, 2), scoring.partial_model(items, wide, 2)
+    pairs = u.toDF("user", "lu", "vu").join(aggregates.sum_pairs(ratings), "user").join(i.toDF("item", "li", "vi"), "item")
+    scored = pairs.select((F.col("rating") / 60).alias("label"), scoring.combined(F.col("lu"), F.col("li"), F.col("vu"), F.col("vi"), model.bias).alias("prediction"))
+    assert scoring.squared_error(scored).first().mse == pytest.approx(training.mean_squared_error(made, model))
+
+
 def test_recommendations_and_their_tests_are_of_all_users(spark, monkeypatch):
     """Every user with features is ranked, tested and gets programs: none is left out by a sample."""
     given = {}
